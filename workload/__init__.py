@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-GROUPS = ("sales",)
+GROUPS = ("sales", "typing", "quality")
 
 
 def load() -> None:
