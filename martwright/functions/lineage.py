@@ -28,7 +28,7 @@ def add_lineage(
     ``_metadata``, so one scan may cover any number of files.
     """
     if source_file is None:
-        source_file = F.col("_metadata.file_name")
+        source_file = scanned_file_name()
     elif isinstance(source_file, str):
         source_file = F.lit(source_file)
     return df.withColumns(
@@ -42,6 +42,11 @@ def add_lineage(
     )
 
 
+def scanned_file_name() -> Column:
+    """Each row's file name as listed; the scan reports it percent-encoded."""
+    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+
+
 def stringify(df: DataFrame) -> DataFrame:
     """Business columns to text in one projection; nested ones as JSON."""
 

@@ -18,6 +18,7 @@ from martwright.session import work_dir
 
 # Largest relation we hint to broadcast; beyond it Spark shuffles or decides by itself.
 BROADCAST_BYTES = 128 * 1024 * 1024
+NESTED = (T.StructType, T.ArrayType, T.MapType)
 
 
 def row_bytes(schema: T.StructType) -> Column:
@@ -27,7 +28,7 @@ def row_bytes(schema: T.StructType) -> Column:
         if isinstance(field.dataType, (T.StringType, T.BinaryType)):
             length = F.coalesce(F.octet_length(F.col(quoted(field.name))), F.lit(0))
             total = total + length + 24
-        elif isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType)):
+        elif isinstance(field.dataType, NESTED):
             raise TypeError(f"no size bound for nested column {field.name}")
         else:
             total = total + 32
@@ -41,10 +42,12 @@ def broadcast_within(df: DataFrame, size: int | None, limit: int = BROADCAST_BYT
 
 @dataclass(frozen=True)
 class Staged:
+    """A written frame; ``bytes`` is None where nested columns have no size bound."""
+
     frame: DataFrame
     path: str
     rows: int
-    bytes: int
+    bytes: int | None
 
 
 def stage(df: DataFrame, label: str) -> Staged:
@@ -52,7 +55,9 @@ def stage(df: DataFrame, label: str) -> Staged:
     spark = df.sparkSession
     path = f"{work_dir(spark)}/martwright/{label}-{uuid4().hex}"
     measured = Observation()
-    size = F.coalesce(F.sum(row_bytes(df.schema)), F.lit(0)).alias("bytes")
-    df.observe(measured, F.count(F.lit(1)).alias("rows"), size).write.parquet(path)
+    metrics = [F.count(F.lit(1)).alias("rows")]
+    if not any(isinstance(f.dataType, NESTED) for f in df.schema.fields):
+        metrics.append(F.coalesce(F.sum(row_bytes(df.schema)), F.lit(0)).alias("bytes"))
+    df.observe(measured, *metrics).write.parquet(path)
     frame = spark.read.schema(df.schema).parquet(path)
-    return Staged(frame, path, measured.get["rows"], measured.get["bytes"])
+    return Staged(frame, path, measured.get["rows"], measured.get.get("bytes"))

@@ -88,7 +88,8 @@ def over_master(master: DataFrame, mart: Mart, ordered: bool = True) -> DataFram
 
 def over_star(source: Star, mart: Mart, ordered: bool = True) -> DataFrame:
     """The mart straight from order lines and lookups, joining only what it needs."""
-    lookups = [_needed(lookup, mart) for lookup in source.lookups]
+    needs = [(lookup, _needed(lookup, mart)) for lookup in source.lookups]
+    lookups = zip(measured(needs), (names for _, names in needs), strict=True)
     rows = source.orders.withColumns({YEAR: F.year("order_date"), "profit": master_profit()})
     late: list[tuple[Lookup, list[str]]] = []
     keys = list(mart.keys)
@@ -108,9 +109,8 @@ def over_star(source: Star, mart: Mart, ordered: bool = True) -> DataFrame:
     return _finished(grouped, mart, ordered)
 
 
-def _needed(lookup: Lookup, mart: Mart) -> tuple[Lookup, list[str]]:
-    names = [name for name in lookup.columns if name in mart.keys]
-    return measured(lookup, names), names
+def _needed(lookup: Lookup, mart: Mart) -> list[str]:
+    return [name for name in lookup.columns if name in mart.keys]
 
 
 def _measures(mart: Mart) -> list[str]:

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -96,18 +97,32 @@ def star(orders: DataFrame, customers: DataFrame, products: DataFrame) -> Star:
     )
 
 
-def measured(lookup: Lookup, names: list[str]) -> Lookup:
-    """Lookup with its key's uniqueness and its broadcast size known, from one small job.
+def measured(needs: list[tuple[Lookup, list[str]]]) -> list[Lookup]:
+    """Each lookup with its key's uniqueness and its broadcast size known.
 
-    Hot keys shrink in the partial aggregation. A NULL key joins nothing and is
-    no duplicate.
+    One job over the lookups' needed columns. Hot keys shrink in the partial
+    aggregation; a NULL key joins nothing and is no duplicate.
     """
-    rows = lookup.rows(names)
-    size = F.sum(row_bytes(rows.schema)).alias("bytes")
-    per_key = rows.groupBy(lookup.key).agg(F.count(F.lit(1)).alias("rows"), size)
-    repeats = F.max(F.when(F.col(lookup.key).isNotNull(), F.col("rows")))
-    found = per_key.agg(repeats.alias("repeats"), F.sum("bytes").alias("bytes")).first()
-    return replace(lookup, unique=(found.repeats or 0) <= 1, bytes=found.bytes or 0)
+    parts = []
+    for position, (lookup, names) in enumerate(needs):
+        rows = lookup.rows(names)
+        key = F.col(lookup.key).cast("string").alias("key")
+        size = row_bytes(rows.schema).alias("bytes")
+        parts.append(rows.select(F.lit(position).alias("lookup"), key, size))
+    per_key = (
+        reduce(DataFrame.unionAll, parts)
+        .groupBy("lookup", "key")
+        .agg(F.count(F.lit(1)).alias("rows"), F.sum("bytes").alias("bytes"))
+    )
+    repeats = F.max(F.when(F.col("key").isNotNull(), F.col("rows")).otherwise(0)).alias("repeats")
+    found = per_key.groupBy("lookup").agg(repeats, F.sum("bytes").alias("bytes")).collect()
+    by_position = {row.lookup: row for row in found}
+    return [
+        replace(lookup, unique=row.repeats <= 1, bytes=row.bytes)
+        if (row := by_position.get(position))
+        else replace(lookup, unique=True, bytes=0)
+        for position, (lookup, _) in enumerate(needs)
+    ]
 
 
 def master_profit() -> Column:
@@ -121,9 +136,10 @@ def sales_master(source: Star, measure: bool = True) -> DataFrame:
     lines; otherwise both joins shuffle and adaptive execution splits hot keys.
     """
     joined = source.orders
-    for lookup in source.lookups:
-        names = list(lookup.columns)
-        lookup = measured(lookup, names) if measure else lookup
-        joined = joined.join(lookup.lend(names), lookup.key, "left")
+    lookups = source.lookups
+    if measure:
+        lookups = measured([(lookup, list(lookup.columns)) for lookup in lookups])
+    for lookup in lookups:
+        joined = joined.join(lookup.lend(list(lookup.columns)), lookup.key, "left")
     facts = [master_profit() if name == "profit" else F.col(name) for name in ORDER_COLUMNS]
     return joined.select(*facts, *CUSTOMER_COLUMNS, *PRODUCT_COLUMNS)

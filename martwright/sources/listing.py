@@ -48,18 +48,38 @@ def hadoop_glob(file_pattern: str) -> str:
     return "".join(glob).replace("[!", "[^")
 
 
+# One line per file and state: STARTED before its rows are written, LOADED after.
+LEDGER_COLUMNS = ("path", "modification_time", "file_name", "length")
+STARTED, LOADED = "STARTED", "LOADED"
+
+
 def unloaded(listing: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Files of the listing the ledger does not know; a rewritten file is new."""
-    return listing.join(ledger, ["path", "modification_time"], "left_anti")
+    """Files of the listing not yet loaded by the ledger; a rewritten file is new."""
+    loaded = ledger.filter(F.col("state") == LOADED)
+    return listing.join(loaded, ["path", "modification_time"], "left_anti")
 
 
-def ledger_rows(listing: DataFrame, source_name: str, run_id: str) -> DataFrame:
-    """Ledger lines for loaded files."""
-    return listing.select(
-        "path",
-        "modification_time",
-        "file_name",
-        "length",
+def ledger_rows(files: DataFrame, source_name: str, run_id: str, state: str) -> DataFrame:
+    """Ledger lines for files of one load."""
+    return files.select(
+        *LEDGER_COLUMNS,
         F.lit(source_name).alias("source_name"),
         F.lit(run_id).alias("run_id"),
+        F.lit(state).alias("state"),
+    )
+
+
+def interrupted(ledger: DataFrame, source_name: str) -> DataFrame:
+    """Lines of loads that started but were never confirmed."""
+    own = ledger.filter(F.col("source_name") == source_name)
+    loaded = own.filter(F.col("state") == LOADED).select("path", "modification_time")
+    started = own.filter(F.col("state") == STARTED)
+    return started.join(loaded, ["path", "modification_time"], "left_anti")
+
+
+def landed_after_all(unconfirmed: DataFrame, bronze: DataFrame) -> DataFrame:
+    """Interrupted loads whose rows did reach bronze before the interruption."""
+    runs = bronze.select(
+        F.col("pipeline_run_id").alias("run_id"), F.col("source_file_name").alias("file_name")
     )
+    return unconfirmed.join(runs, ["run_id", "file_name"], "left_semi")
