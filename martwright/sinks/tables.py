@@ -161,11 +161,16 @@ def _repoint(df: DataFrame, table: str) -> None:
 
 
 def _replace_partitions(df: DataFrame, table: str, dynamic: bool) -> None:
-    """Staged first, since a table cannot be overwritten while it is read."""
-    spark = df.sparkSession
-    path = f"{work_dir(spark)}/martwright/upsert-{uuid4().hex}"
-    columns = spark.table(table).columns
-    df.select(*columns).write.parquet(path)
-    staged = spark.read.schema(spark.table(table).schema).parquet(path)
+    """Staged first, since a table cannot be overwritten while it is read.
+
+    The overwrite mode is a session setting, so the write has a session of its own.
+    """
+    target = df.sparkSession.table(table)
+    path = f"{work_dir(df.sparkSession)}/martwright/upsert-{uuid4().hex}"
+    df.select(*target.columns).write.parquet(path)
+    writing = df.sparkSession.newSession()
     mode = "dynamic" if dynamic else "static"
-    staged.write.option("partitionOverwriteMode", mode).insertInto(table, overwrite=True)
+    writing.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    staged = writing.read.schema(target.schema).parquet(path)
+    staged.write.insertInto(table, overwrite=True)
+    df.sparkSession.catalog.refreshTable(table)

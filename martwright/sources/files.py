@@ -2,15 +2,11 @@
 
 from __future__ import annotations
 
-import csv
-import io
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass, field
 from functools import reduce
-from urllib.parse import quote, unquote
 
 import pandas as pd
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -106,23 +102,32 @@ def _paths(files: DataFrame) -> list[str]:
 
 
 def csv_headers(files: DataFrame, separator: str = ",") -> DataFrame:
-    """(path, header) of each listed CSV file; tasks read the first line only."""
+    """(path, header) of each listed CSV file; tasks read the first line only.
+
+    The function shipped to the workers imports what it needs by itself, so
+    this package need not be installed there.
+    """
 
     def first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import csv
+        import io
+        from urllib.parse import quote, unquote
+
+        from pyarrow import fs
+
         for batch in batches:
-            batch["header"] = [_header(path, separator) for path in batch["path"]]
+            headers = []
+            for path in batch["path"]:
+                files, inner = fs.FileSystem.from_uri(quote(path, safe=":/@"))
+                with files.open_input_stream(unquote(inner), compression="detect") as stream:
+                    text = io.TextIOWrapper(stream, encoding="utf-8-sig", newline="")
+                    headers.append("\x1f".join(next(csv.reader(text, delimiter=separator), [])))
+            batch["header"] = headers
             yield batch
 
     return files.select("path").mapInPandas(first_lines, "path string, header string")
 
 
-def _header(path: str, separator: str) -> str:
-    files, inner = fs.FileSystem.from_uri(quote(path, safe=":/@"))
-    with files.open_input_stream(unquote(inner), compression="detect") as stream:
-        text = io.TextIOWrapper(stream, encoding="utf-8-sig", newline="")
-        return "\x1f".join(next(csv.reader(text, delimiter=separator), []))
-
-
 def union_scans(scans: list[DataFrame]) -> DataFrame:
     """Union by name; a column absent from some files is NULL there."""
     return reduce(lambda done, more: done.unionByName(more, allowMissingColumns=True), scans)

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-GROUPS = ("sales", "typing", "quality")
+GROUPS = ("sales", "typing", "quality", "files")
 
 
 def load() -> None:
