@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from martwright.functions.lineage import quoted
 from martwright.functions.rules import UNIQUE, Rule, is_known, violation
-from martwright.operators.staging import broadcast_within, stage
+from martwright.operators.staging import BROADCAST_BYTES, broadcast_within, stage
 
 REJECT_COLUMNS = ("failed_column", "failed_rule", "actual_value", "rejection_reason")
 RULE_VIOLATED = "DATA_QUALITY_RULE_FAILED"
@@ -119,7 +119,7 @@ def _mark_repeated(df: DataFrame, broken: Column, key: str, marker: str) -> Data
 def _known_size(keys: DataFrame, label: str) -> DataFrame:
     """Staged keys: broadcast when they measure small, else joined by shuffle."""
     staged = stage(keys, label)
-    return broadcast_within(staged.frame, staged.bytes)
+    return broadcast_within(staged.frame, staged.bytes, BROADCAST_BYTES)
 
 
 def _reasons(rules: list[Rule]) -> list[Column]:

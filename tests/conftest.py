@@ -37,6 +37,21 @@ def database(spark):
     return name
 
 
+@pytest.fixture
+def settings(spark):
+    """Set session options for one test."""
+    changed = []
+
+    def apply(**options):
+        for key, value in options.items():
+            changed.append(key.replace("__", "."))
+            spark.conf.set(changed[-1], value)
+
+    yield apply
+    for key in changed:
+        spark.conf.unset(key)
+
+
 def rows(df, *columns):
     """Sorted tuples, for comparison."""
     picked = df.select(*columns) if columns else df
