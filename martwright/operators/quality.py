@@ -29,17 +29,16 @@ class QualitySplit:
     valid: DataFrame
     # input columns plus REJECT_COLUMNS: the first rule each row breaks
     rejected: DataFrame
+    # one row per input row: whether it passed
+    verdicts: DataFrame
     skipped: list[Rule]
 
     def metrics(self) -> DataFrame:
         """total / valid / rejected row counts, one row."""
-        flags = self.valid.select(F.lit(1).alias("ok")).unionAll(
-            self.rejected.select(F.lit(0).alias("ok"))
-        )
-        return flags.agg(
+        return self.verdicts.agg(
             F.count(F.lit(1)).alias("total_records"),
-            F.count_if(F.col("ok") == 1).alias("valid_records"),
-            F.count_if(F.col("ok") == 0).alias("rejected_records"),
+            F.count_if("passed").alias("valid_records"),
+            F.count_if(~F.col("passed")).alias("rejected_records"),
         )
 
 
@@ -88,7 +87,12 @@ def quality_split(
     if distinct and active:
         first = quality_split(df, active[:1])
         rest = quality_split(first.valid.dropDuplicates(), active[1:])
-        return QualitySplit(rest.valid, first.rejected.unionByName(rest.rejected), skipped)
+        return QualitySplit(
+            valid=rest.valid,
+            rejected=first.rejected.unionByName(rest.rejected),
+            verdicts=first.verdicts.filter(~F.col("passed")).unionAll(rest.verdicts),
+            skipped=skipped,
+        )
 
     flagged, broken = df, F.lit(None).cast("int")
     for position, rule in enumerate(active):
@@ -105,6 +109,7 @@ def quality_split(
         rejected=flagged.select(*columns, broken.alias(_BROKEN))
         .filter(F.col(_BROKEN).isNotNull())
         .select(*columns, *_reasons(active)),
+        verdicts=flagged.select(broken.isNull().alias("passed")),
         skipped=skipped,
     )
 

@@ -21,7 +21,7 @@ from martwright.functions.lineage import LINEAGE_COLUMNS, quoted
 CAST_FAILED = "DATATYPE_CAST_FAILED"
 REQUIRED_NULL = "REQUIRED_COLUMN_NULL"
 FAILURE_COLUMNS = ("failed_column", "expected_data_type", "actual_value", "rejection_reason")
-_FAILURES = "__failures"
+_FAILURE = "__failure"
 
 
 @dataclass(frozen=True)
@@ -61,40 +61,53 @@ def as_fields(schema: DataFrame | Iterable[Field]) -> list[Field]:
 def cast_split(df: DataFrame, schema: DataFrame | Iterable[Field]) -> TypedSplit:
     """Type the columns; rows with a value that does not parse are rejected."""
     fields = as_fields(schema)
-    failures = _cast_failures(df, fields)
-    return TypedSplit(
-        valid=_typed(df.filter(_none_of(failures)), fields),
-        rejected=_exploded(df, failures),
-    )
+    return _split(df, fields, _parsed_columns(df, fields), required=False)
 
 
 def required_split(df: DataFrame, schema: DataFrame | Iterable[Field]) -> TypedSplit:
     """Reject rows with a NULL in a non-nullable column."""
     failures = _required_failures(as_fields(schema))
-    return TypedSplit(valid=df.filter(_none_of(failures)), rejected=_exploded(df, failures))
+    return TypedSplit(
+        valid=df.filter(_none_of(failures)),
+        rejected=_exploded(df.filter(~_none_of(failures)), failures, df.columns),
+    )
 
 
 def typed_split(df: DataFrame, schema: DataFrame | Iterable[Field]) -> TypedSplit:
     """Cast, then required check on the rows that cast; source values in the rejects."""
     fields = as_fields(schema)
-    casts = _cast_failures(df, fields)
-    required = _required_failures(fields)
-    return TypedSplit(
-        valid=_typed(df.filter(_none_of(casts + required)), fields),
-        rejected=_exploded(df, casts, required),
-    )
+    return _split(df, fields, _parsed_columns(df, fields), required=True)
 
 
 Failure = tuple[Field, Column, str]
 
 
-def _cast_failures(df: DataFrame, fields: list[Field]) -> list[Failure]:
-    """Columns that can fail: those present whose type really changes."""
-    return [
-        (f, failed_cast(f.name, tolerant_cast(f.name, f.data_type, f.date_format)), CAST_FAILED)
+def _split(
+    df: DataFrame, fields: list[Field], parsed: dict[str, str], required: bool
+) -> TypedSplit:
+    rows = _with_parsed(df, fields, parsed)
+    casts = [
+        (f, failed_cast(f.name, F.col(parsed[f.name])), CAST_FAILED)
         for f in fields
-        if f.name in df.columns and _can_fail(df.schema[f.name].dataType, f)
+        if f.name in parsed
     ]
+    gaps = _required_failures(fields) if required else []
+    castable = _none_of(casts)
+    only_castable = [(field, castable & gap, reason) for field, gap, reason in gaps]
+    passed = castable & _none_of(gaps)
+    return TypedSplit(
+        valid=_typed(rows.filter(passed), df, fields, parsed),
+        rejected=_exploded(rows.filter(~passed), casts + only_castable, df.columns),
+    )
+
+
+def _parsed_columns(df: DataFrame, fields: list[Field]) -> dict[str, str]:
+    """Helper column per column that can fail: present, and its type really changes."""
+    return {
+        f.name: f"__parsed_{position}"
+        for position, f in enumerate(fields)
+        if f.name in df.columns and _can_fail(df.schema[f.name].dataType, f)
+    }
 
 
 def _can_fail(source: T.DataType, field: Field) -> bool:
@@ -102,6 +115,22 @@ def _can_fail(source: T.DataType, field: Field) -> bool:
     return source != target and not isinstance(target, T.StringType)
 
 
+def _with_parsed(df: DataFrame, fields: list[Field], parsed: dict[str, str]) -> DataFrame:
+    """Rows with the parsed values next to the source values.
+
+    A plain projection would be merged with the filter that follows, and every
+    value parsed once for each; a generator of one struct is not.
+    """
+    if not parsed:
+        return df
+    values = [
+        tolerant_cast(f.name, f.data_type, f.date_format).alias(parsed[f.name])
+        for f in fields
+        if f.name in parsed
+    ]
+    return df.select("*", F.inline(F.array(F.struct(*values))))
+
+
 def _required_failures(fields: list[Field]) -> list[Failure]:
     return [
         (f, F.col(quoted(f.name)).isNull(), REQUIRED_NULL)
@@ -114,34 +143,30 @@ def _none_of(failures: list[Failure]) -> Column:
     return reduce(lambda ok, failure: ok & ~failure[1], failures, F.lit(True))
 
 
-def _typed(df: DataFrame, fields: list[Field]) -> DataFrame:
+def _typed(rows: DataFrame, df: DataFrame, fields: list[Field], parsed: dict[str, str]) -> DataFrame:
     """Metadata columns typed and in metadata order, then the others."""
-    casts = {
-        f.name: tolerant_cast(f.name, f.data_type, f.date_format)
-        for f in fields
-        if f.name in df.columns and df.schema[f.name].dataType != parse_type(f.data_type)
-    }
-    return reorder_columns(df.withColumns(casts) if casts else df, [f.name for f in fields])
+    by_name = {f.name: f for f in fields}
 
+    def value(name: str) -> Column:
+        if name in parsed:
+            return F.col(parsed[name]).alias(name)
+        if name in by_name and df.schema[name].dataType != parse_type(by_name[name].data_type):
+            return tolerant_cast(name, by_name[name].data_type)
+        return F.col(quoted(name))
 
-def _exploded(df: DataFrame, *stages: list[Failure]) -> DataFrame:
-    """One row per failure, the row's own columns first.
-
-    A later stage counts only for rows without a failure in the stages before.
-    """
-    found = [_array(stage) for stage in stages]
-    first = reduce(lambda kept, more: F.when(F.size(kept) > 0, kept).otherwise(more), found)
-    details = [F.col(f"{_FAILURES}.{name}").alias(name) for name in FAILURE_COLUMNS]
-    return df.select("*", F.explode(first).alias(_FAILURES)).select(
-        *[F.col(quoted(name)) for name in df.columns], *details
-    )
+    return rows.select(*[value(name) for name in reorder_columns(df, by_name).columns])
 
 
-def _array(failures: list[Failure]) -> Column:
+def _exploded(failing: DataFrame, failures: list[Failure], columns: list[str]) -> DataFrame:
+    """One row per failure of the failing rows, the row's own columns first."""
+    kept = [F.col(quoted(name)) for name in columns]
     if not failures:
-        members = ",".join(f"{name}:string" for name in FAILURE_COLUMNS)
-        return F.array().cast(f"array<struct<{members}>>")
-    return F.array_compact(F.array(*[_entry(*failure) for failure in failures]))
+        details = [F.lit(None).cast("string").alias(name) for name in FAILURE_COLUMNS]
+        return failing.filter(F.lit(False)).select(*kept, *details)
+    entries = F.explode(F.array(*[_entry(*failure) for failure in failures])).alias(_FAILURE)
+    details = [F.col(f"{_FAILURE}.{name}").alias(name) for name in FAILURE_COLUMNS]
+    exploded = failing.select(*kept, entries).filter(F.col(_FAILURE).isNotNull())
+    return exploded.select(*kept, *details)
 
 
 def _entry(field: Field, broken: Column, reason: str) -> Column:
