@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
-from datetime import datetime
+from datetime import date, datetime, timedelta
 from itertools import batched
 from uuid import uuid4
 
@@ -81,15 +81,12 @@ class Flow:
 
 def counted_write(df: DataFrame, name: str, mode: str, keys: list[str] | None = None, **how) -> int:
     """Write and return the number of rows, observed on the way."""
-    if mode == "merge":
-        staged = stage(df, "merge")
-        if df.sparkSession.catalog.tableExists(full_name(df.sparkSession, name)):
-            upsert(staged.frame, full_name(df.sparkSession, name), keys or [])
-        else:
-            write_table(staged.frame, name, "overwrite", **how)
-        return staged.rows
+    spark = df.sparkSession
+    if mode == "merge" and spark.catalog.tableExists(full_name(spark, name)):
+        return upsert(df, full_name(spark, name), keys or [])
     seen = Observation()
-    write_table(df.observe(seen, F.count(F.lit(1)).alias("rows")), name, mode, **how)
+    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    write_table(counted, name, "overwrite" if mode == "merge" else mode, **how)
     return seen.get["rows"]
 
 
@@ -217,7 +214,7 @@ def _load_files(flow: Flow, source: Row, files: list[Row], started: datetime) ->
         bronze, source.bronze_table, "append", merge_schema=True, partition_by=[INGESTED_ON]
     )
     _note(flow, listed, source, flow.run_id, LOADED)
-    rows = _rows_per_file(flow, source)
+    rows = _rows_per_file(flow, source, started.date() - timedelta(days=1))
     entries = []
     for file in files:
         entry = _file_entry(flow, source, file.file_name)
@@ -227,9 +224,10 @@ def _load_files(flow: Flow, source: Row, files: list[Row], started: datetime) ->
     return entries
 
 
-def _rows_per_file(flow: Flow, source: Row) -> dict[str, int]:
-    """Rows of this run by file, counted where they landed."""
-    written = read_table(flow.spark, source.bronze_table).filter(F.col(RUN_ID) == flow.run_id)
+def _rows_per_file(flow: Flow, source: Row, since: date) -> dict[str, int]:
+    """Rows of this run by file, counted where they landed; older partitions are pruned."""
+    bronze = read_table(flow.spark, source.bronze_table)
+    written = bronze.filter((F.col(INGESTED_ON) >= F.lit(since)) & (F.col(RUN_ID) == flow.run_id))
     counts = written.groupBy(SOURCE_FILE).agg(F.count(F.lit(1)).alias("rows")).collect()
     return {row[SOURCE_FILE]: row.rows for row in counts}
 

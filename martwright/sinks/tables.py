@@ -5,16 +5,21 @@ from __future__ import annotations
 from functools import reduce
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martwright.functions.lineage import quoted
 from martwright.operators.quality import duplicate_rows
+from martwright.operators.staging import broadcast_within, stage
 from martwright.session import work_dir
 from martwright.sources.tables import full_name
 
 MODES = ("append", "overwrite", "merge")
 
+# Up to so many touched partitions are named in the scan's filter, so that the
+# others are not even listed; beyond, the join alone picks them.
+LISTED_PARTITIONS = 10_000
+
 # How a source's load type becomes a sink mode.
 LOAD_POLICY = {"FULL": "overwrite", "INCREMENTAL": "merge", "CDC": "merge"}
 
@@ -85,53 +90,66 @@ def _provider(spark: SparkSession, table: str) -> str:
     return details.filter("col_name = 'Provider'").first().data_type.lower()
 
 
-def merged(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
+def merged(target: DataFrame, source: DataFrame, keys: list[str], size: int | None) -> DataFrame:
     """``source`` over ``target`` by key: matched rows replaced, others added.
 
-    NULL keys match nothing, so NULL-key rows of both sides stay. The source
-    must have every column of the target and takes its types.
+    NULL keys match nothing, so NULL-key rows of both sides stay. A source
+    measured small is broadcast, which spares shuffling the target.
     """
-    rows = source.select(
-        *[F.col(quoted(f.name)).cast(f.dataType).alias(f.name) for f in target.schema.fields]
-    )
-    kept = target.join(rows.select(*keys), keys, "left_anti").select(*target.columns)
-    return kept.unionByName(rows)
+    changed = broadcast_within(source.select(*keys), size)
+    kept = target.join(changed, keys, "left_anti").select(*target.columns)
+    return kept.unionByName(source)
 
 
 def touched_partitions(target: DataFrame, source: DataFrame, partitions: list[str]) -> DataFrame:
     """All rows of the target partitions that ``source`` has rows for.
 
-    Partitions with a NULL value match no join key, so they always come along.
+    Partitions with a NULL value match no join key and always come along.
     """
-    touched = source.select(*partitions).distinct()
-    matched = target.join(touched, partitions, "left_semi").select(*target.columns)
-    unnamed = reduce(lambda found, name: found | F.col(name).isNull(), partitions, F.lit(False))
-    return matched.unionByName(target.filter(unnamed))
-
-
-def upsert(source: DataFrame, table: str, keys: list[str]) -> None:
-    """Merge ``source`` into ``table``.
-
-    Formats with row-level commands run MERGE INTO. A parquet table is
-    rewritten: only the partitions the source touches when the keys cover the
-    partition columns, else as a new version the table is then pointed to.
+    staged = stage(source.select(*partitions).distinct(), "touched")
+    touched = broadcast_within(staged.frame, staged.bytes)
+    candidates = target
+    if staged.rows <= LISTED_PARTITIONS:
+        values = staged.frame.collect()
+        for position, name in enumerate(partitions):
+            present = {row[position] for row in values} - {None}
+            candidates = candidates.filter(F.col(quoted(name)).isin(list(present)))
+    matched = candidates.join(touched, partitions, "left_semi").select(*target.columns)
+    nulls = [F.col(quoted(name)).isNull() for name in partitions]
+    return matched.unionByName(target.filter(reduce(Column.__or__, nulls)))
+
+
+def upsert(source: DataFrame, table: str, keys: list[str]) -> int:
+    """Merge ``source`` into ``table``; returns the number of source rows.
+
+    The source must have every column of the target and takes its types. It is
+    staged, since the merge reads it several times. Formats with row-level
+    commands run MERGE INTO. A parquet table is rewritten: only the partitions
+    the source touches when the keys cover the partition columns, else as a
+    new version the table is then pointed to.
     """
     if not keys:
         raise ValueError("merge needs merge_keys")
     spark = source.sparkSession
-    _require_single_match(source, spark.table(table), keys)
+    target = spark.table(table)
+    fields = target.schema.fields
+    typed = [F.col(quoted(f.name)).cast(f.dataType).alias(f.name) for f in fields]
+    staged = stage(source.select(*typed), "upsert")
+    rows, size = staged.frame, staged.bytes
+    _require_single_match(rows, target, keys)
     if _provider(spark, table) != "parquet":
-        source.createOrReplaceTempView(view := f"upsert_{uuid4().hex}")
+        rows.createOrReplaceTempView(view := f"upsert_{uuid4().hex}")
         spark.sql(merge_statement(table, view, keys))
-        return
+        return staged.rows
     partitions = _partition_columns(spark, table)
     if not partitions:
-        _repoint(merged(spark.table(table), source, keys), table)
+        _repoint(merged(target, rows, keys, size), table)
     elif set(partitions) <= set(keys):
-        affected = touched_partitions(spark.table(table), source, partitions)
-        _replace_partitions(merged(affected, source, keys), table, dynamic=True)
+        affected = touched_partitions(target, rows, partitions)
+        _replace_partitions(merged(affected, rows, keys, size), table, dynamic=True)
     else:
-        _replace_partitions(merged(spark.table(table), source, keys), table, dynamic=False)
+        _replace_partitions(merged(target, rows, keys, size), table, dynamic=False)
+    return staged.rows
 
 
 def merge_statement(table: str, source_view: str, keys: list[str]) -> str:
@@ -143,9 +161,15 @@ def merge_statement(table: str, source_view: str, keys: list[str]) -> str:
 
 
 def _require_single_match(source: DataFrame, target: DataFrame, keys: list[str]) -> None:
-    """Refuse a source key that occurs twice and matches: which row wins is undefined."""
-    repeated = duplicate_rows(source, keys).select(*keys)
-    if not repeated.join(target.select(*keys), keys, "left_semi").isEmpty():
+    """Refuse a source key that occurs twice and matches: which row wins is undefined.
+
+    The target is read only if the source does repeat a key.
+    """
+    repeated = stage(duplicate_rows(source, keys).select(*keys), "repeated")
+    if not repeated.rows:
+        return
+    found = broadcast_within(repeated.frame, repeated.bytes)
+    if not target.select(*keys).join(found, keys, "left_semi").isEmpty():
         raise ValueError(f"several source rows match one target row on {keys}")
 
 

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 import random
+import re
 from datetime import datetime
 
 import pytest
@@ -17,7 +18,12 @@ from martwright.sinks.audit import (
     log_schema_checks,
     rejected_records,
 )
-from martwright.sinks.tables import load_mode, merge_statement, write_table
+from martwright.sinks.tables import (
+    load_mode,
+    merge_statement,
+    touched_partitions,
+    write_table,
+)
 
 
 def frame(spark, data, schema="k int, v string"):
@@ -151,3 +157,17 @@ def test_rejected_records(spark, database):
     broken = quality_split(frame(spark, [(None, "v")]), [Rule("k", "NOT_NULL")]).rejected
     line = rejected_records(broken, "r", "s", "t", "n", "file.csv").first()
     assert (line.source_file_name, line.expected_data_type, line.failed_column) == ("file.csv", "NOT_NULL", "k")
+
+
+def test_partitioned_merge_prunes_the_target(spark, database):
+    """Only touched partitions are scanned and rewritten."""
+    name = f"{database}.t"
+    write_table(frame(spark, [(i, f"p{i % 4}") for i in range(40)]), name, partition_by=["v"])
+    plan = touched_partitions(spark.table(name), frame(spark, [(1, "p1")]), ["v"])
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^]]*v#\d+ = p1", text)
+    before = {f: f.split("/v=")[1][:2] for f in spark.table(name).inputFiles()}
+    write_table(frame(spark, [(1, "p1"), (99, "p1")]), name, "merge", merge_keys=["k", "v"])
+    after = set(spark.table(name).inputFiles())
+    assert {part for f, part in before.items() if f not in after} == {"p1"}
+    assert spark.table(name).count() == 41
