@@ -1,17 +1,20 @@
 """The five stages from landing folder to marts, driven by metadata tables.
 
 Stages hand over through tables only, so each can run as a job of its own.
-One bad source does not stop the others; ``run_all`` stops at the first stage
-that is not a full success. Counts for the run log are observed during the
-writes, not by jobs of their own.
+Within a stage the sources' jobs are submitted side by side, so a small source
+does not leave the cluster idle. One bad source does not stop the others;
+``run_all`` stops at the first stage that is not a full success. Counts for the
+run log are observed during the writes, not by jobs of their own.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import date, datetime, timedelta
 from itertools import batched
+from threading import Lock
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
@@ -43,6 +46,9 @@ from martwright.sources.tables import full_name, read_table
 
 SUCCESS, PARTIAL, FAILED = "SUCCESS", "PARTIAL_SUCCESS", "FAILED"
 
+# Sources, or marts, whose jobs run side by side.
+SIDE_BY_SIDE = 4
+
 # Paths one scan names; a larger delivery is loaded by several scans.
 FILES_PER_SCAN = 20_000
 
@@ -57,6 +63,8 @@ class Flow:
     gold_schema: str = "gold"
     pipeline_name: str = "Sales"
     run_id: str = field(default_factory=lambda: str(uuid4()))
+    # Sources share the audit tables, and two appends to one folder must not overlap.
+    shared_tables: Lock = field(default_factory=Lock, repr=False, compare=False)
 
     def audit(self, table: str) -> str:
         return f"{self.audit_schema}.{table}"
@@ -90,6 +98,11 @@ def counted_write(df: DataFrame, name: str, mode: str, keys: list[str] | None =
     return seen.get["rows"]
 
 
+def _side_by_side[T, R](work: Callable[[T], R], items: Iterable[T]) -> list[R]:
+    with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
+        return list(pool.map(work, items))
+
+
 def _attempt(entry: RunEntry, work: Callable[[RunEntry], None]) -> RunEntry:
     """Run one source's part of a stage; whatever happens ends in its log entry."""
     try:
@@ -122,9 +135,8 @@ def _summary(stage_name: str, flow: Flow, entries: list[RunEntry], none_is_faile
 
 def ingest(flow: Flow) -> dict:
     """New files of every source to its bronze table, each file once."""
-    entries: list[RunEntry] = []
-    for source in flow.sources():
-        entries += _ingest_source(flow, source)
+    loads = _side_by_side(lambda source: _ingest_source(flow, source), flow.sources())
+    entries = [entry for load in loads for entry in load]
     flow.log(entries)
     return _summary("ingestion", flow, entries, none_is_failed=False)
 
@@ -183,7 +195,8 @@ def _ledger(flow: Flow) -> DataFrame | None:
 
 def _note(flow: Flow, files: DataFrame, source: Row, run_id: str, state: str) -> None:
     lines = ledger_rows(files, source.source_name, run_id, state)
-    write_table(lines.coalesce(1), flow.audit("file_ledger"))
+    with flow.shared_tables:
+        write_table(lines.coalesce(1), flow.audit("file_ledger"))
 
 
 def _confirm_interrupted(flow: Flow, source: Row) -> None:
@@ -237,15 +250,17 @@ def _rows_per_file(flow: Flow, source: Row, since: date) -> dict[str, int]:
 
 def validate(flow: Flow) -> dict:
     """Typed, complete rows of every source to its validated table; the rest to the reject log."""
-    entries = []
-    for source in flow.sources():
+
+    def run(source: Row) -> RunEntry:
         entry = flow.entry(
             "Schema Validation",
             source.source_name,
             source_table=source.bronze_table,
             target_table=source.validated_table,
         )
-        entries.append(_attempt(entry, lambda e, s=source: _validate_source(flow, s, e)))
+        return _attempt(entry, lambda e: _validate_source(flow, source, e))
+
+    entries = _side_by_side(run, flow.sources())
     flow.log(entries)
     return _summary("schema_validation", flow, entries, none_is_failed=False)
 
@@ -269,20 +284,22 @@ def _validate_source(flow: Flow, source: Row, entry: RunEntry) -> None:
 
 def _require(flow: Flow, source: Row, diff: SchemaDiff) -> None:
     rows = diff.log_rows(flow.run_id, source.source_name)
-    log_schema_checks(flow.spark, rows, flow.audit("schema_validation_log"))
+    with flow.shared_tables:
+        log_schema_checks(flow.spark, rows, flow.audit("schema_validation_log"))
     if not diff.valid:
         raise ValueError(f"schema validation failed: {rows}")
 
 
 def _log_rejects(flow: Flow, source: Row, rejected: DataFrame, stage_name: str, table: str) -> None:
-    log_rejected(
-        rejected,
-        flow.audit("rejected_records"),
-        run_id=flow.run_id,
-        stage=stage_name,
-        table_name=table,
-        source_name=source.source_name,
-    )
+    with flow.shared_tables:
+        log_rejected(
+            rejected,
+            flow.audit("rejected_records"),
+            run_id=flow.run_id,
+            stage=stage_name,
+            table_name=table,
+            source_name=source.source_name,
+        )
 
 
 # --- validated to checked --------------------------------------------------
@@ -290,15 +307,17 @@ def _log_rejects(flow: Flow, source: Row, rejected: DataFrame, stage_name: str,
 
 def check(flow: Flow) -> dict:
     """Rows that pass the source's rules to its checked table, the others to its rejected table."""
-    entries = []
-    for source in flow.sources():
+
+    def run(source: Row) -> RunEntry:
         entry = flow.entry(
             "Data Quality",
             source.source_name,
             source_table=source.validated_table,
             target_table=f"{source.checked_table},{source.rejected_table}",
         )
-        entries.append(_attempt(entry, lambda e, s=source: _check_source(flow, s, e)))
+        return _attempt(entry, lambda e: _check_source(flow, source, e))
+
+    entries = _side_by_side(run, flow.sources())
     flow.log(entries)
     return _summary("data_quality", flow, entries, none_is_failed=True)
 
@@ -325,15 +344,17 @@ def _check_source(flow: Flow, source: Row, entry: RunEntry) -> None:
 
 def enrich_all(flow: Flow) -> dict:
     """Derived columns; a source without enrich_table is left as it is."""
-    entries = []
-    for source in flow.sources():
+
+    def run(source: Row) -> RunEntry:
         entry = flow.entry(
             "Enrichment",
             source.source_name,
             source_table=source.checked_table,
             target_table=source.enrich_table or source.checked_table,
         )
-        entries.append(_attempt(entry, lambda e, s=source: _enrich_source(flow, s, e)))
+        return _attempt(entry, lambda e: _enrich_source(flow, source, e))
+
+    entries = _side_by_side(run, flow.sources())
     flow.log(entries)
     return _summary("enrichment", flow, entries, none_is_failed=True)
 
@@ -349,38 +370,43 @@ def _enrich_source(flow: Flow, source: Row, entry: RunEntry) -> None:
 # --- enriched to marts -----------------------------------------------------
 
 
-def build_gold(flow: Flow) -> dict[str, DataFrame]:
-    """Sales master and marts as lazy frames over the tables of the last stages."""
+def _master(flow: Flow) -> DataFrame:
     by_name = {source.source_name: source for source in flow.sources()}
-    master = sales_master(
+    return sales_master(
         star(
             read_table(flow.spark, by_name["orders"].checked_table),
             read_table(flow.spark, by_name["customer"].enrich_table),
             read_table(flow.spark, by_name["products"].enrich_table),
         )
     )
+
+
+def build_gold(flow: Flow) -> dict[str, DataFrame]:
+    """Sales master and marts as lazy frames over the tables of the last stages."""
+    master = _master(flow)
     marts = {name: over_master(master, mart) for name, mart in MARTS.items()}
     return {f"{flow.gold_schema}.{name}": df for name, df in {"sales_master": master, **marts}.items()}
 
 
 def gold(flow: Flow) -> dict:
     """Write the sales master, then every mart from the written master: no join runs twice."""
-    entries: list[RunEntry] = []
 
-    def write(name: str, build: Callable[[], DataFrame]) -> None:
+    def write(name: str, build: Callable[[], DataFrame]) -> RunEntry:
         target = f"{flow.gold_schema}.{name}"
         entry = flow.entry("Gold", "Multiple", source_table="Curated", target_table=target)
 
         def work(e: RunEntry) -> None:
             e.records_written = counted_write(build(), target, "overwrite")
 
-        entries.append(_attempt(entry, work))
+        return _attempt(entry, work)
 
-    write("sales_master", lambda: build_gold(flow)[f"{flow.gold_schema}.sales_master"])
-    if entries[0].status == SUCCESS:
+    def write_mart(name: str) -> RunEntry:
         master = read_table(flow.spark, f"{flow.gold_schema}.sales_master")
-        for name, mart in MARTS.items():
-            write(name, lambda m=mart: over_master(master, m, ordered=False))
+        return write(name, lambda: over_master(master, MARTS[name], ordered=False))
+
+    entries = [write("sales_master", lambda: _master(flow))]
+    if entries[0].status == SUCCESS:
+        entries += _side_by_side(write_mart, MARTS)
     flow.log(entries)
     result = _summary("gold", flow, entries, none_is_failed=True)
     return result | {"status": FAILED if result["failed_tables"] else SUCCESS}
