@@ -219,7 +219,12 @@ def _load_files(flow: Flow, source: Row, files: list[Row], started: datetime) ->
     """One append for a set of files; the log gets a line per file."""
     listed = flow.spark.createDataFrame(files)
     scans = scan_landing(
-        flow.spark, source.landing_path, source.file_pattern, source.file_type, listed
+        flow.spark,
+        source.landing_path,
+        source.file_pattern,
+        source.file_type,
+        listed,
+        schema=source.asDict().get("source_schema"),
     )
     bronze = union_scans([to_bronze(scan, flow.run_id, source.source_name) for scan in scans])
     _note(flow, listed, source, flow.run_id, STARTED)

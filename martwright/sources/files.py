@@ -74,17 +74,17 @@ def scan_landing(
     file_type: str,
     files: DataFrame | None = None,
     options: Mapping[str, str] | None = None,
+    schema: str | None = None,
 ) -> list[DataFrame]:
     """Scans over the matching files of a landing folder.
 
     ``files`` (path, ...) narrows them to part of the listing. The result is
     one scan, unless CSV files disagree on their header: then one per distinct
     header. Each keeps its ``_metadata``; union them by name after adding lineage.
+    A known ``schema`` saves JSON its inference pass over the data.
     """
     options = dict(options or {})
-    is_csv = file_type.lower() == "csv"
-    headers = None
-    if is_csv:
+    if file_type.lower() == "csv":
         listed = matching_files(spark, landing_path, file_pattern) if files is None else files
         headers = csv_headers(listed, options.get("sep", options.get("delimiter", ",")))
         layouts = [row.header for row in headers.groupBy("header").count().collect()]
@@ -92,9 +92,9 @@ def scan_landing(
             groups = [_paths(headers.filter(F.col("header") == layout)) for layout in layouts]
             return [scan(spark, paths, "csv", options) for paths in groups]
     if files is not None:
-        return [scan(spark, _paths(files), file_type, options)]
+        return [scan(spark, _paths(files), file_type, options, schema)]
     globbed = {"pathGlobFilter": hadoop_glob(file_pattern)} | options
-    return [scan(spark, landing_path, file_type, globbed)]
+    return [scan(spark, landing_path, file_type, globbed, schema)]
 
 
 def _paths(files: DataFrame) -> list[str]:

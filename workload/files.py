@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martwright.functions.lineage import stringify
-from martwright.operators.bronze import to_bronze
-from martwright.operators.typing import cast_split, typed_split
-from martwright.plans.flow import Flow, ingest, run_all
+from martwright.operators.typing import typed_split
+from martwright.plans.flow import Flow, ingest, run_all, validate
+from martwright.plans.marts import run_report
+from martwright.plans.star import sales_master
 from martwright.session import work_dir
 from martwright.sinks.audit import rejected_records
 from martwright.sinks.tables import write_table
@@ -27,19 +28,17 @@ from martwright.sources.tables import read_table
 from martwright.streaming.bronze import ingest_new_files, stream_landing
 from workload.adapter import (
     CUSTOMERS_SQL,
-    ORDERS_SQL,
     PRODUCTS_SQL,
     RAW_SQL,
     customers,
     doubles,
-    order_lines,
     products,
     raw_lines,
     table,
 )
 from workload.quality import EMAIL
 from workload.registry import query
-from workload.sales import ENRICHED_SQL, MASTER_SQL, PROFIT, YEAR
+from workload.sales import FULL_MASTER, PROFIT, YEAR, sales_star
 from workload.typing import (
     CAST_FAILURES,
     LINE_FIELDS,
@@ -327,7 +326,7 @@ FLOW_RULES = [
     ("orders", "quantity", "MIN_VALUE", "2"),
 ]
 
-FLOW_SQL = f"""
+FLOW_CTES = f"""
 WITH {CUSTOMERS_SQL}, {PRODUCTS_SQL}, {TYPED_SQL.replace("WITH ", "", 1)},
 valid_lines AS (
     SELECT * FROM castable
@@ -340,7 +339,9 @@ survivors AS (
       AND row_id NOT IN (SELECT row_id FROM valid_lines GROUP BY row_id HAVING count(*) > 1)
 ),
 flow_customers AS (SELECT * FROM customers WHERE regexp_matches(email, '{EMAIL}')),
-flow_products AS (SELECT * FROM products WHERE price_per_product >= 950)
+flow_products AS (SELECT * FROM products WHERE price_per_product >= 950)"""
+
+FLOW_SQL = f"""{FLOW_CTES}
 SELECT {YEAR}, p.category AS product_category, p.sub_category AS product_sub_category,
        o.customer_id, c.customer_name, {PROFIT}
 FROM survivors o
@@ -349,7 +350,7 @@ LEFT JOIN flow_products p ON o.product_id = p.product_id
 GROUP BY year(order_date), p.category, p.sub_category, o.customer_id, c.customer_name"""
 
 
-def flow_over(spark: SparkSession, sf_dir: str) -> Flow:
+def flow_over(spark: SparkSession, sf_dir: str, absent: str | None = None) -> Flow:
     """Landing files of all three sources, and the metadata tables that describe them."""
     name, landing = database(spark, "flow"), folder(spark, "landing")
     people, goods, lines = f"{landing}/customer", f"{landing}/products", f"{landing}/orders"
@@ -374,6 +375,9 @@ def flow_over(spark: SparkSession, sf_dir: str) -> Flow:
         tables = [f"{name}.{source}_{t}" for t in ("bronze", "validated", "checked", "rejected")]
         enriched = "" if source == "orders" else f"{name}.{source}_enriched"
         config.append((source, path, f"*.{kind}", kind, *tables, enriched, "FULL", None, True))
+    fields = [(t, i, *f) for t, lines in FLOW_FIELDS.items() for i, f in enumerate(lines)]
+    if absent:
+        fields.append(("orders", len(fields), absent, "string", None, True))
     metadata = {
         "ingestion_config": spark.createDataFrame(
             config,
@@ -383,7 +387,7 @@ def flow_over(spark: SparkSession, sf_dir: str) -> Flow:
             "active_flag boolean",
         ),
         "required_schema": spark.createDataFrame(
-            [(t, i, *f) for t, fields in FLOW_FIELDS.items() for i, f in enumerate(fields)],
+            fields,
             "table_name string, column_order int, standard_column string, data_type string, "
             "date_format string, nullable boolean",
         ),
@@ -419,3 +423,68 @@ def bronze_ingestion(spark: SparkSession, sf_dir: str) -> DataFrame:
     ingest(flow)
     log = read_table(spark, flow.audit("pipeline_run_log"))
     return log.groupBy("source_name").agg(F.sum("records_written").alias("rows"))
+
+
+@query(
+    "flow_run_log",
+    f"""{FLOW_CTES}
+SELECT 'Bronze' AS pipeline_stage, 'customer' AS source_name, count(*) AS records_read,
+       count(*) AS records_written, 0::BIGINT AS rejected_records FROM customers
+UNION ALL SELECT 'Bronze', 'products', count(*), count(*), 0 FROM products
+UNION ALL SELECT 'Bronze', 'orders', count(*), count(*), 0 FROM raw_lines
+UNION ALL SELECT 'Schema Validation', 'customer', count(*), count(*), 0 FROM customers
+UNION ALL SELECT 'Schema Validation', 'products', count(*), count(*), 0 FROM products
+UNION ALL SELECT 'Schema Validation', 'orders', count(*), (SELECT count(*) FROM valid_lines),
+    count(*) - (SELECT count(*) FROM valid_lines) FROM raw_lines
+UNION ALL SELECT 'Data Quality', 'customer', count(*), (SELECT count(*) FROM flow_customers),
+    count(*) - (SELECT count(*) FROM flow_customers) FROM customers
+UNION ALL SELECT 'Data Quality', 'products', count(*), (SELECT count(*) FROM flow_products),
+    count(*) - (SELECT count(*) FROM flow_products) FROM products
+UNION ALL SELECT 'Data Quality', 'orders', count(*), (SELECT count(*) FROM survivors),
+    count(*) - (SELECT count(*) FROM survivors) FROM valid_lines
+UNION ALL SELECT 'Enrichment', 'customer', count(*), count(*), 0 FROM flow_customers
+UNION ALL SELECT 'Enrichment', 'products', count(*), count(*), 0 FROM flow_products
+UNION ALL SELECT 'Enrichment', 'orders', 0, 0, 0
+UNION ALL SELECT 'Gold', 'sales_master', 0, count(*), 0 FROM survivors""",
+)
+def flow_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts per stage and source as the run log has them after a full run."""
+    flow = flow_over(spark, sf_dir)
+    run_all(flow)
+    log = read_table(spark, flow.audit("pipeline_run_log"))
+    target = F.element_at(F.split("target_table", r"\."), -1)
+    is_gold = F.col("pipeline_stage") == "Gold"
+    named = log.withColumn("source_name", F.when(is_gold, target).otherwise(F.col("source_name")))
+    kept = named.filter(~is_gold | (F.col("source_name") == "sales_master"))
+    counts = ("records_read", "records_written", "rejected_records")
+    return kept.groupBy("pipeline_stage", "source_name").agg(*[F.sum(c).alias(c) for c in counts])
+
+
+@query(
+    "validation_stage",
+    f"""{FLOW_CTES}
+SELECT 'customer' AS source_name, 'SUCCESS' AS status, count(*) AS records_written,
+       NULL::VARCHAR AS column_name, NULL::VARCHAR AS expected_type, NULL::VARCHAR AS actual_type
+FROM customers
+UNION ALL SELECT 'products', 'SUCCESS', count(*), NULL, NULL, NULL FROM products
+UNION ALL SELECT 'orders', 'FAILED', 0, 'ship_priority', 'Present', 'Missing'""",
+)
+def validation_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A source whose files lack an expected column fails and is logged; the others pass."""
+    flow = flow_over(spark, sf_dir, absent="ship_priority")
+    ingest(flow)
+    validate(flow)
+    log = read_table(spark, flow.audit("pipeline_run_log"))
+    runs = log.filter("pipeline_stage = 'Schema Validation'")
+    checks = read_table(spark, flow.audit("schema_validation_log"))
+    return runs.join(checks.withColumnRenamed("table_name", "source_name"), "source_name", "left").select(
+        "source_name", "status", "records_written", "column_name", "expected_type", "actual_type"
+    )
+
+
+@query("report_over_table", f"{FULL_MASTER} SELECT customer_id, customer_name, {YEAR}, {PROFIT} FROM master GROUP BY ALL")
+def report_over_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A profit report as SQL text over a written sales master."""
+    name = f"{database(spark, 'gold')}.sales_master"
+    write_table(sales_master(sales_star(spark, sf_dir)), name, "overwrite")
+    return doubles(run_report(spark, "profit_by_customer_year", name))
