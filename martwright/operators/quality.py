@@ -94,18 +94,19 @@ def quality_split(
             skipped=skipped,
         )
 
-    flagged, broken = df, F.lit(None).cast("int")
+    flagged, verdicts = df, []
     for position, rule in enumerate(active):
         if rule.kind == UNIQUE:
             marker = f"__repeated_{position}"
-            flagged = _mark_repeated(flagged, broken, rule.column, marker)
-            verdict = F.col(marker).isNotNull()
+            flagged = _mark_repeated(flagged, verdicts, rule.column, marker)
+            verdicts.append(F.col(marker).isNotNull())
         else:
-            verdict = violation(rule, df.schema)
-        broken = F.coalesce(broken, F.when(verdict, F.lit(position)))
+            verdicts.append(violation(rule, df.schema))
+    first = [F.when(verdict, F.lit(position)) for position, verdict in enumerate(verdicts)]
+    broken = F.coalesce(*first, F.lit(None).cast("int"))
     columns = [F.col(quoted(name)) for name in df.columns]
     return QualitySplit(
-        valid=flagged.filter(broken.isNull()).select(*columns),
+        valid=_unbroken(flagged, verdicts).select(*columns),
         rejected=flagged.select(*columns, broken.alias(_BROKEN))
         .filter(F.col(_BROKEN).isNotNull())
         .select(*columns, *_reasons(active)),
@@ -114,9 +115,15 @@ def quality_split(
     )
 
 
-def _mark_repeated(df: DataFrame, broken: Column, key: str, marker: str) -> DataFrame:
+def _unbroken(df: DataFrame, verdicts: list[Column]) -> DataFrame:
+    """Rows no verdict is against. One filter each, so that the row-local ones
+    move below the join that marks repeated keys."""
+    return reduce(lambda rows, verdict: rows.filter(~verdict), verdicts, df)
+
+
+def _mark_repeated(df: DataFrame, verdicts: list[Column], key: str, marker: str) -> DataFrame:
     """Non-NULL ``marker`` where the key repeats among rows not yet broken."""
-    keys = duplicate_keys(df.filter(broken.isNull()), key)
+    keys = duplicate_keys(_unbroken(df, verdicts), key)
     repeated = _known_size(keys, "duplicates").withColumn(marker, F.lit(True))
     return df.join(repeated, key, "left").select(*[F.col(quoted(c)) for c in df.columns], marker)
 

@@ -127,6 +127,17 @@ def test_random_chains(spark, rows, settings, monkeypatch, seed, limit):
     assert tuple(split.metrics().first()) == (120, len(valid), len(rejected))
 
 
+def test_row_rules_move_below_the_shuffle(spark, settings, monkeypatch, tmp_path):
+    """Rows that break a later row-local rule are not shuffled for the UNIQUE join."""
+    monkeypatch.setattr("martwright.operators.quality.BROADCAST_BYTES", -1)
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    path = str(tmp_path / "lines")
+    products(spark, [(1, "P1"), (2, "P2")]).write.parquet(path)
+    rules = [Rule("product_id", "UNIQUE"), Rule("quantity", "MIN_VALUE", "7")]
+    plan = quality_split(spark.read.parquet(path), rules).valid._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("SortMergeJoin") < plan.index("Exchange hashpartitioning") < plan.index("< 7)")
+
+
 def test_duplicate_rows(spark, rows):
     df = spark.createDataFrame([(1, 1), (1, 1), (1, 2), (None, 1), (None, 1)], "a int, b int")
     assert rows(duplicate_rows(df, ["a", "b"])) == [(1, 1, 2)]
