@@ -93,11 +93,12 @@ products AS (
 
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Typed order lines. Money is decimal, so sums do not depend on row order."""
+    """Typed order lines. Money is decimal, so sums do not depend on row order;
+    twelve digits keep the arithmetic per line within 64 bits."""
     lines = table(spark, sf_dir, "lineitem").join(
         table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
     )
-    price = F.col("l_extendedprice").cast("decimal(18,2)")
+    price = F.col("l_extendedprice").cast("decimal(12,2)")
     discount = F.col("l_discount").cast("decimal(4,2)")
     margin = F.lit("0.05").cast("decimal(4,2)") - discount
     return lines.select(
@@ -130,9 +131,9 @@ order_lines AS (
            o_custkey::VARCHAR AS customer_id,
            l_partkey::VARCHAR AS product_id,
            l_quantity::INTEGER AS quantity,
-           l_extendedprice::DECIMAL(18,2) AS price,
+           l_extendedprice::DECIMAL(12,2) AS price,
            l_discount::DECIMAL(4,2) AS discount,
-           l_extendedprice::DECIMAL(18,2) * (0.05::DECIMAL(4,2) - l_discount::DECIMAL(4,2)) AS profit,
+           l_extendedprice::DECIMAL(12,2) * (0.05::DECIMAL(4,2) - l_discount::DECIMAL(4,2)) AS profit,
            '{RUN_ID}' AS pipeline_run_id,
            'orders' AS source_system,
            'lineitem.parquet' AS source_file_name,
