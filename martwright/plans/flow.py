@@ -154,19 +154,26 @@ def _ingest_source(flow: Flow, source: Row) -> list[RunEntry]:
 
 
 def _load_or_split(flow: Flow, source: Row, files: list[Row]) -> list[RunEntry]:
-    """Load a set of files at once; when that fails, halve it until the bad file stands alone."""
+    """Load a set of files at once; when that fails, halve it until the bad file stands alone.
+
+    Only a failed write is tried again: once rows are in bronze, whatever goes
+    wrong is left to the ledger.
+    """
     started = datetime.now()
+    listed = flow.spark.createDataFrame(files)
     try:
-        return _load_files(flow, source, files, started)
+        _append_to_bronze(flow, source, listed)
     except Exception as problem:  # noqa: BLE001 - reported in the run log
         if len(files) == 1:
             entry = _file_entry(flow, source, files[0].file_name)
             entry.start_time, entry.end_time = started, datetime.now()
             entry.status, entry.error_message = FAILED, str(problem)
             return [entry]
-    middle = len(files) // 2
-    halves = files[:middle], files[middle:]
-    return [entry for half in halves for entry in _load_or_split(flow, source, half)]
+        middle = len(files) // 2
+        halves = files[:middle], files[middle:]
+        return [entry for half in halves for entry in _load_or_split(flow, source, half)]
+    _note(flow, listed, source, flow.run_id, LOADED)
+    return _loaded_entries(flow, source, files, started)
 
 
 def _file_entry(flow: Flow, source: Row, file_name: str) -> RunEntry:
@@ -215,23 +222,25 @@ def _confirm_interrupted(flow: Flow, source: Row) -> None:
         _note(flow, settled.filter(F.col("run_id") == run_id), source, run_id, LOADED)
 
 
-def _load_files(flow: Flow, source: Row, files: list[Row], started: datetime) -> list[RunEntry]:
-    """One append for a set of files; the log gets a line per file."""
-    listed = flow.spark.createDataFrame(files)
+def _append_to_bronze(flow: Flow, source: Row, files: DataFrame) -> None:
+    """One append for a set of files."""
     scans = scan_landing(
         flow.spark,
         source.landing_path,
         source.file_pattern,
         source.file_type,
-        listed,
+        files,
         schema=source.asDict().get("source_schema"),
     )
     bronze = union_scans([to_bronze(scan, flow.run_id, source.source_name) for scan in scans])
-    _note(flow, listed, source, flow.run_id, STARTED)
+    _note(flow, files, source, flow.run_id, STARTED)
     write_table(
         bronze, source.bronze_table, "append", merge_schema=True, partition_by=[INGESTED_ON]
     )
-    _note(flow, listed, source, flow.run_id, LOADED)
+
+
+def _loaded_entries(flow: Flow, source: Row, files: list[Row], started: datetime) -> list[RunEntry]:
+    """A log line per file."""
     rows = _rows_per_file(flow, source, started.date() - timedelta(days=1))
     entries = []
     for file in files:
@@ -370,6 +379,8 @@ def _enrich_source(flow: Flow, source: Row, entry: RunEntry) -> None:
         enriched = enrich(checked, source.source_name)
         entry.records_written = counted_write(enriched, source.enrich_table, "overwrite")
         entry.records_read = entry.records_written
+    else:
+        entry.records_read = checked.count()
 
 
 # --- enriched to marts -----------------------------------------------------

@@ -84,7 +84,7 @@ def scan_landing(
     A known ``schema`` saves JSON its inference pass over the data.
     """
     options = dict(options or {})
-    if file_type.lower() == "csv":
+    if file_type.lower() == "csv" and str(options.get("header", "true")).lower() == "true":
         listed = matching_files(spark, landing_path, file_pattern) if files is None else files
         headers = csv_headers(listed, options.get("sep", options.get("delimiter", ",")))
         layouts = [row.header for row in headers.groupBy("header").count().collect()]

@@ -43,6 +43,8 @@ def hadoop_glob(file_pattern: str) -> str:
         elif char == "[":
             inside = True
             glob.append(char)
+        elif char in "{}":
+            glob.append(f"\\{char}")
         else:
             glob.append(f"[{char.lower()}{char.upper()}]" if char.isalpha() else char)
     return "".join(glob).replace("[!", "[^")

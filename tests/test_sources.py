@@ -75,6 +75,7 @@ def test_listing(spark, tmp_path):
 def test_hadoop_glob(spark, tmp_path):
     assert hadoop_glob("a*.[cC]sv") == "[aA]*.[cCcC][sS][vV]"
     assert hadoop_glob("[!x]1?") == "[^xX]1?"
+    assert hadoop_glob("{1}") == r"\{1\}"
     for name in ("B.CSV", "b2.csv", "x.csv"):
         (tmp_path / name).write_text("h\n1\n")
     found = scan(spark, str(tmp_path), "csv", {"pathGlobFilter": hadoop_glob("[!x]*.csv")})
@@ -106,6 +107,7 @@ def test_csv_with_different_headers(spark, tmp_path, rows):
     assert rows(union_scans(scans), "id", "name", "extra") == [
         ("1", "x", None), ("2", "y", "e"), ("3", "z", None)]
     assert len(scan_landing(spark, str(tmp_path), "t*.csv.gz", "csv")) == 1
+    assert len(scan_landing(spark, str(tmp_path), "*.csv", "csv", options={"header": "false"})) == 1
 
 
 def test_table_names(spark, database, rows):

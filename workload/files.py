@@ -444,7 +444,7 @@ UNION ALL SELECT 'Data Quality', 'orders', count(*), (SELECT count(*) FROM survi
     count(*) - (SELECT count(*) FROM survivors) FROM valid_lines
 UNION ALL SELECT 'Enrichment', 'customer', count(*), count(*), 0 FROM flow_customers
 UNION ALL SELECT 'Enrichment', 'products', count(*), count(*), 0 FROM flow_products
-UNION ALL SELECT 'Enrichment', 'orders', 0, 0, 0
+UNION ALL SELECT 'Enrichment', 'orders', count(*), 0, 0 FROM survivors
 UNION ALL SELECT 'Gold', 'sales_master', 0, count(*), 0 FROM survivors""",
 )
 def flow_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
