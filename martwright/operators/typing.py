@@ -18,6 +18,7 @@ from martwright.functions.casting import failed_cast, parse_type, tolerant_cast
 from martwright.functions.columns import reorder_columns
 from martwright.functions.lineage import LINEAGE_COLUMNS, quoted
 
+# Reasons, and the columns a reject carries.
 CAST_FAILED = "DATATYPE_CAST_FAILED"
 REQUIRED_NULL = "REQUIRED_COLUMN_NULL"
 FAILURE_COLUMNS = ("failed_column", "expected_data_type", "actual_value", "rejection_reason")

@@ -44,6 +44,7 @@ from martwright.sources.listing import (
 from martwright.sources.metadata import active_rules, active_sources, table_schema
 from martwright.sources.tables import full_name, read_table
 
+# Statuses in results and run log.
 SUCCESS, PARTIAL, FAILED = "SUCCESS", "PARTIAL_SUCCESS", "FAILED"
 
 # Sources, or marts, whose jobs run side by side.

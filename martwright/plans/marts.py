@@ -22,6 +22,7 @@ class Mart:
     profit_only: bool = False
 
 
+# Keys and sort order of the marts and reports.
 MARTS: dict[str, Mart] = {
     "profit_summary": Mart(
         keys=(YEAR, "product_category", "product_sub_category", "customer_id", "customer_name"),

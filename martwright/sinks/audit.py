@@ -13,6 +13,7 @@ from martwright.functions.lineage import SOURCE_FILE, quoted
 from martwright.operators.typing import FAILURE_COLUMNS
 from martwright.sinks.tables import write_table
 
+# Columns of the two logs.
 RUN_LOG_SCHEMA = """
     run_id string, pipeline_name string, pipeline_stage string, source_name string,
     source_file_name string, archived_file_name string, source_table string,

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from martwright.functions.rules import Rule
 from martwright.operators import staging
@@ -138,6 +139,27 @@ def test_row_rules_move_below_the_shuffle(spark, settings, monkeypatch, tmp_path
     assert plan.index("SortMergeJoin") < plan.index("Exchange hashpartitioning") < plan.index("< 7)")
 
 
+def test_hot_key_is_split(spark, settings, monkeypatch):
+    """A repeated key with most of the rows, and too many repeated keys to broadcast."""
+    monkeypatch.setattr("martwright.operators.quality.BROADCAST_BYTES", -1)
+    settings(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="10KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="1.5",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="8KB",
+    )
+    ids = spark.range(30000, numPartitions=8)
+    key = F.when(F.col("id") < 20000, "HOT").otherwise(F.concat(F.lit("P"), F.col("id").cast("string")))
+    noise = F.sha2(F.col("id").cast("string"), 256)
+    df = ids.select(noise.alias("noise"), key.alias("product_id"))
+    split = quality_split(df, [Rule("product_id", "UNIQUE")])
+    assert tuple(split.metrics().first()) == (30000, 10000, 20000)
+    widest = split.rejected.groupBy("failed_rule").agg(F.max("noise"), F.count(F.lit(1)).alias("rows"))
+    assert [row.rows for row in widest.collect()] == [20000]
+    assert "skew=true" in widest._jdf.queryExecution().executedPlan().toString()
+
+
 def test_duplicate_rows(spark, rows):
     df = spark.createDataFrame([(1, 1), (1, 1), (1, 2), (None, 1), (None, 1)], "a int, b int")
     assert rows(duplicate_rows(df, ["a", "b"])) == [(1, 1, 2)]
@@ -150,7 +172,5 @@ def test_rules_from_metadata(spark):
         "table_name string, column_name string, rule_type string, rule_value string, active_flag boolean",
     )
     assert as_rules(active_rules(table, "t")) == [Rule("a", "REGEX", "x"), Rule("b", "UNIQUE")]
-    from pyspark.sql import functions as F
-
     first = table.withColumn("priority", F.when(F.col("column_name") == "b", 1).otherwise(2))
     assert as_rules(active_rules(first, "t")) == [Rule("b", "UNIQUE"), Rule("a", "REGEX", "x")]

@@ -27,6 +27,7 @@ from workload.adapter import (
 from workload.registry import query
 from workload.typing import LINE_FIELDS, TYPED_COLUMNS, TYPED_SQL
 
+# Fixed value: the e-mail pattern of the rule table.
 EMAIL = r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}$"
 CUSTOMERS = f"""WITH {CUSTOMERS_SQL}
 SELECT * REPLACE (balance::DOUBLE AS balance) FROM customers"""
