@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from martwright.llm.common import table
+from martwright.llm import quality, urls
+from martwright.llm.common import shared_path, table
 from martwright.llm.exact_dedup import exact_dedup
+from martwright.llm.packing import pack
+from martwright.llm.token_files import read_token_files, write_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -37,3 +42,38 @@ def query(name: str, sql: str | None = None):
 )
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents")).drop("row")
+
+
+@query("op2_quality_rules")
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.judge(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+URL_RULES = [
+    urls.Rule("allow", "com/"),
+    urls.Rule("block", "example.com/en/"),
+    urls.Rule("allow", "www.example.com/en/"),
+    urls.Rule("block", "net/es/"),
+    urls.Rule("block", "net/fr/"),
+]
+
+
+@query("op3_url_filter")
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = urls.ruled(table(spark, sf_dir, "pages"), URL_RULES)
+    known = parts.where("rule IS NOT NULL").select("host", "path", F.col("rule_verdict").alias("verdict"))
+    return urls.judge(parts, urls.fit(known))
+
+
+@query("op4_token_files")
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    path = write_token_files(table(spark, sf_dir, "documents"), tokenizer, 0, shared_path(spark, "token-files"))
+    return read_token_files(spark, path, with_ids=False)
+
+
+@query("op5_packing")
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    return pack(table(spark, sf_dir, "documents"), tokenizer, 1, with_ids=False)
