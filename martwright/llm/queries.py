@@ -12,6 +12,8 @@ from martwright.llm import quality, urls
 from martwright.llm.common import shared_path, table
 from martwright.llm.exact_dedup import exact_dedup
 from martwright.llm.packing import pack
+from martwright.llm.pieces import piece_digests
+from martwright.llm.token_counts import count_tokens
 from martwright.llm.token_files import read_token_files, write_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,3 +79,13 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     return pack(table(spark, sf_dir, "documents"), tokenizer, 1, with_ids=False)
+
+
+@query("op6_piece_encoding")
+def op6_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op8_token_counts")
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
