@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 from uuid import uuid4
 
 import numpy as np
@@ -73,7 +77,22 @@ def _ends(texts: pa.Array) -> np.ndarray:
     return np.cumsum(sizes.to_numpy(zero_copy_only=False).astype(np.int64))
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once a session, unless their search path holds it."""
+    root, context = Path(__file__).parents[2], spark.sparkContext
+    if str(root) in os.environ.get("PYTHONPATH", "").split(os.pathsep) or context.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).parents[1].name
+    archive = shutil.make_archive(f"{tempfile.mkdtemp(prefix='package-')}/{package}", "zip", root, package)
+    context.addPyFile(archive)
+    _SHIPPED.add(context.applicationId)
+
+
 def mapped(df: DataFrame, function: Batches, schema: str) -> DataFrame:
+    ship(df.sparkSession)
     return df.mapInArrow(function, schema)
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martwright.llm import quality, urls
+from martwright.llm import maxent, pii, quality, urls
 from martwright.llm.common import shared_path, table
 from martwright.llm.exact_dedup import exact_dedup
 from martwright.llm.packing import pack
@@ -89,3 +89,14 @@ def op6_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_token_counts")
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op7_maxent_score")
+def op7_maxent_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent.score(table(spark, sf_dir, "documents"))
+
+
+@query("op9_personal_data")
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.find(docs, pii.fit(docs))
