@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from martwright.llm import maxent, pii, quality, urls
 from martwright.llm.common import shared_path, table
 from martwright.llm.exact_dedup import exact_dedup
+from martwright.llm.near_dedup import near_duplicates
 from martwright.llm.packing import pack
 from martwright.llm.pieces import piece_digests
 from martwright.llm.token_counts import count_tokens
@@ -100,3 +101,8 @@ def op7_maxent_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return pii.find(docs, pii.fit(docs))
+
+
+@query("op10_near_dedup")
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("row", "component")
