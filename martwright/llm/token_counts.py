@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 
 from martwright.llm.common import mapped, picked, ragged, sliced
-from martwright.llm.tokenizing import BYTE_SPLIT, UNSURE, byte_characters
+from martwright.llm.tokenizing import BYTE_SPLIT, byte_characters, cut_at_spaces, piece_text
 
 COUNTS_HELD = 400_000
 LIMIT = 1024
@@ -85,7 +85,7 @@ class RankMerger:
             self.held = {p: self.held[p] for p in seen if p in self.held}
         if len(self.parts) > COUNTS_HELD:
             self.parts = {}
-        split = {p: self.split(p[1:].decode() if p[:1] == b" " else " " + p.decode()) for p in new}
+        split = {p: self.split(piece_text(p)) for p in new}
         whole = {k: self._segments(t.decode()) for k, (t, c) in enumerate(zip(texts, cut, strict=True)) if c is None}
         wanted = set(chain.from_iterable(split.values())).union(chain.from_iterable(parts for parts, _ in whole.values()))
         fresh = [p for p in wanted if p not in self.parts]
@@ -100,13 +100,7 @@ class RankMerger:
 
     def _cut(self, text: bytes) -> list[bytes] | None:
         """Pieces that are split alike alone and in the text; None if that isn't sure."""
-        if not text:
-            return []
-        if UNSURE.search(text) or any(s.encode() in text for s in self.specials):
-            return None
-        pieces = text.split(b" ")
-        pieces[0] = b" " + pieces[0]  # a key with a space: the piece that has none before it
-        return pieces
+        return None if any(s.encode() in text for s in self.specials) else cut_at_spaces(text)
 
     def _segments(self, text: str) -> tuple[list[str], int]:
         segments = self.cut_specials(text) if self.cut_specials else [text]

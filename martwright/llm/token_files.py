@@ -173,6 +173,16 @@ BLOCK_NAMES = [c.split()[0] for c in BLOCKS.split(", ")]
 ORDERED = "part int, doc_id long, before long, n_tokens long, ids binary"
 
 
+def _stored(raw: bytes) -> bytes:
+    """Ids in 16 bits where they fit, after a byte that tells the width."""
+    ids = np.frombuffer(raw, np.uint32)
+    return b"\x02" + ids.astype(np.uint16).tobytes() if len(ids) and ids.max() < 1 << 16 else b"\x04" + raw
+
+
+def _ids(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw[1:], np.uint16 if raw[0] == 2 else np.uint32)
+
+
 def _tokenized(path: str, end_id: int, bounds: np.ndarray):
     end = np.uint32(end_id).tobytes()
 
@@ -181,34 +191,27 @@ def _tokenized(path: str, end_id: int, bounds: np.ndarray):
         for batch, texts in sliced(batches):
             doc = batch.column("doc_id").fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False)
             part = np.searchsorted(bounds, doc, side="right").astype(np.int32)
-            ids = pa.array([x + end for x in encoder.encode(texts)], pa.binary())
+            ids = pa.array([_stored(x + end) for x in encoder.encode(texts)], pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(part), batch.column("doc_id"), ids], names=["part", "doc_id", "ids"])
 
     return encode
 
 
 def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds the ids before each document in its part, and stores ids in 16 bits where they fit."""
+    """Adds each document's number of ids, and the ids before it in its part."""
     part, before = None, 0
     for batch in batches:
-        parts, starts, sizes, stored = batch.column("part").to_pylist(), [], [], []
-        for p, raw in zip(parts, batch.column("ids").to_pylist(), strict=True):
+        starts, sizes = [], []
+        for p, raw in zip(batch.column("part").to_pylist(), batch.column("ids").to_pylist(), strict=True):
             if p != part:
                 part, before = p, 0
-            ids = np.frombuffer(raw, np.uint32)
-            small = len(ids) and ids.max() < 1 << 16
-            stored.append(b"\x02" + ids.astype(np.uint16).tobytes() if small else b"\x04" + raw)
+            sizes.append((len(raw) - 1) // raw[0])
             starts.append(before)
-            sizes.append(len(ids))
-            before += len(ids)
-        columns = [batch.column("part"), batch.column("doc_id"), pa.array(starts, pa.int64()), pa.array(sizes, pa.int64()), pa.array(stored, pa.binary())]
+            before += sizes[-1]
+        columns = [batch.column("part"), batch.column("doc_id"), pa.array(starts, pa.int64()), pa.array(sizes, pa.int64()), batch.column("ids")]
         yield pa.RecordBatch.from_arrays(columns, names=["part", "doc_id", "before", "n_tokens", "ids"])
 
 
-def _ids(raw: bytes) -> np.ndarray:
-    return np.frombuffer(raw[1:], np.uint16 if raw[0] == 2 else np.uint32)
-
-
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts = np.zeros(0, np.int64)
     for batch in batches:

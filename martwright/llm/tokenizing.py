@@ -23,10 +23,9 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 PIECES_HELD = 300_000
 PIECES_A_CALL = 20_000
-# White space that follows a space, or a space at the end: there the cut before a space isn't sure.
-UNSURE = re.compile(
-    rb" (?:[\t-\r\x1c- ]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80|\Z)"
-)
+# Where a cut before a space or line end isn't sure: white space on both sides of it, or a space at the end.
+_SPACE = rb"[\t-\r\x1c- ]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80"
+UNSURE = re.compile(rb" (?:%s|\Z)|(?:%s)\n" % (_SPACE, _SPACE))
 # The split patterns of the two kinds of tokenizer; the second matches no white space.
 BYTE_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -39,6 +38,27 @@ def byte_characters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
 
 
+def cut_at_spaces(text: bytes) -> list[bytes] | None:
+    """Keys of pieces that a byte-level tokenizer splits alike alone and in the text; None if that isn't sure.
+
+    A cut is before each space and each line end. The key has no leading space;
+    the first piece, which has none in the text either, has one in its key.
+    """
+    if not text:
+        return []
+    if UNSURE.search(text):
+        return None
+    pieces = text.replace(b"\n", b" \n").split(b" ")
+    pieces[0] = b" " + pieces[0]
+    return pieces
+
+
+def piece_text(key: bytes) -> str:
+    if key[:1] == b" ":
+        return key[1:].decode()
+    return key.decode() if key[:1] == b"\n" else " " + key.decode()
+
+
 class PieceTokenizer:
     """Ids as little-endian unsigned 32-bit integers, in bytes."""
 
@@ -79,24 +99,18 @@ class PieceTokenizer:
             return None
         if self.kind == "words":
             return text.split()
-        if not text:
-            return []
-        if UNSURE.search(text):
-            return None
-        pieces = text.split(b" ")
-        pieces[0] = b" " + pieces[0]  # a key with a space: the piece that has none before it
-        return pieces
+        return cut_at_spaces(text)
 
     def _learn(self, pieces: list[bytes]) -> None:
         if self.kind == "words":
             shown = [p.decode() for p in pieces]
         else:
-            shown = [p[1:].decode() if p[:1] == b" " else " " + p.decode() for p in pieces]
+            shown = [piece_text(p) for p in pieces]
         others = []
         if len(self.parts) > PIECES_HELD:
             self.parts = {}
         for piece, text in zip(pieces, shown, strict=True):
-            if max(text) > "\xff":
+            if text and max(text) > "\xff":
                 others.append((piece, text))
                 continue
             parts = self.split(text.lower() if self.kind == "words" else text)
