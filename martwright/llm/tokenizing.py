@@ -21,11 +21,14 @@ import regex
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-PIECES_HELD = 300_000
+PIECES_HELD = 250_000
 PIECES_A_CALL = 20_000
 # Where a cut before a space or line end isn't sure: white space on both sides of it, or a space at the end.
 _SPACE = rb"[\t-\r\x1c- ]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80"
 UNSURE = re.compile(rb" (?:%s|\Z)|(?:%s)\n" % (_SPACE, _SPACE))
+# A quick look first: without two ASCII spaces in a row and these bytes, only a space at the end is unsure.
+_FLAT = bytes.maketrans(b"\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f", b" " * 9)
+_WIDE = (b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80")
 # The split patterns of the two kinds of tokenizer; the second matches no white space.
 BYTE_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -46,7 +49,8 @@ def cut_at_spaces(text: bytes) -> list[bytes] | None:
     """
     if not text:
         return []
-    if UNSURE.search(text):
+    doubtful = b"  " in text.translate(_FLAT) or text[-1:] == b" " or any(w in text for w in _WIDE)
+    if doubtful and UNSURE.search(text):
         return None
     pieces = text.replace(b"\n", b" \n").split(b" ")
     pieces[0] = b" " + pieces[0]
@@ -78,7 +82,9 @@ class PieceTokenizer:
             self.split = regex.compile(WORD_SPLIT if self.kind == "words" else BYTE_SPLIT).findall
             self.model = self.tokenizer.model
             self.characters = byte_characters()
+        # Pieces in use, and those of the generation before; the latter go when the former are full.
         self.held: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
@@ -86,10 +92,11 @@ class PieceTokenizer:
             return [self._whole(t) for t in texts]
         cut = [self._cut(t) for t in texts]
         seen = set(chain.from_iterable(c for c in cut if c is not None))
+        if len(self.held) > PIECES_HELD:
+            self.held, self.older = {}, self.held
         new = [p for p in seen if p not in self.held]
-        if len(self.held) + len(new) > PIECES_HELD:
-            self.held = {p: self.held[p] for p in seen if p in self.held}
-        self._learn(new)
+        self.held.update((p, self.older[p]) for p in new if p in self.older)
+        self._learn([p for p in new if p not in self.older])
         ids = self.held.__getitem__
         return [self._whole(t) if c is None else b"".join(map(ids, c)) for t, c in zip(texts, cut, strict=True)]
 
@@ -110,7 +117,7 @@ class PieceTokenizer:
         if len(self.parts) > PIECES_HELD:
             self.parts = {}
         for piece, text in zip(pieces, shown, strict=True):
-            if text and max(text) > "\xff":
+            if not text.isascii() and max(text) > "\xff":
                 others.append((piece, text))
                 continue
             parts = self.split(text.lower() if self.kind == "words" else text)
@@ -125,7 +132,10 @@ class PieceTokenizer:
                 begin = end + 1
 
     def _part(self, part: str) -> bytes:
-        text = part.encode().decode("latin-1").translate(self.characters)
+        if part.isascii() and part.isprintable():  # only the space is shown as something else
+            text = part.replace(" ", self.characters[32])
+        else:
+            text = part.encode().decode("latin-1").translate(self.characters)
         ids = array("I", [t.id for t in self.model.tokenize(text)]).tobytes()
         self.parts[part] = ids
         return ids
