@@ -14,6 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from martwright.functions.lineage import quoted
 from martwright.session import work_dir
@@ -49,6 +50,25 @@ def written(df: DataFrame, label: str, codec: str = "snappy") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(docs: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """``docs`` written once with a row number that stays, and the number's column (a name not in use)."""
+    row = "_row"
+    while row in docs.columns:
+        row = f"_{row}"
+    return written(docs.withColumn(row, F.monotonically_increasing_id()), label), row
+
+
+# Row numbers known to be fewer than this are broadcast (8 bytes each and overhead).
+BROADCAST_ROWS = 1_000_000
+
+
+def without(docs: DataFrame, row: str, dropped: DataFrame) -> DataFrame:
+    """``docs`` but for the rows whose numbers are in ``dropped``, and without the number's column."""
+    gone = written(dropped.select(F.col(dropped.columns[0]).alias(row)), "dropped")
+    gone = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
+    return docs.join(gone, row, "left_anti").drop(row)
+
+
 def partitions_for(df: DataFrame, rows: int, rows_each: int) -> int:
     """Partitions with at most about ``rows_each`` rows each, and no fewer than the session's."""
     session = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -91,7 +111,7 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(context.applicationId)
 
 
-def mapped(df: DataFrame, function: Batches, schema: str) -> DataFrame:
+def mapped(df: DataFrame, function: Batches, schema: str | StructType) -> DataFrame:
     ship(df.sparkSession)
     return df.mapInArrow(function, schema)
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martwright.llm.common import mapped, mixed, partitions_for, picked, sliced, written
+from martwright.llm.common import mapped, mixed, numbered, partitions_for, picked, sliced, without, written
 
 SLOTS = 4
 KEYS_PER_PARTITION = 1_000_000
@@ -225,9 +225,12 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from groups.batches()
 
 
-def digests(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def digests(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", row_column: str | None = None) -> DataFrame:
     """(doc_id, row, digest) of every document, written once; ``row`` tells repeated rows apart."""
-    rows = picked(docs, doc_id=id_column, text=text_column).withColumn("row", F.monotonically_increasing_id())
+    if row_column:
+        rows = picked(docs, doc_id=id_column, text=text_column, row=row_column)
+    else:
+        rows = picked(docs, doc_id=id_column, text=text_column).withColumn("row", F.monotonically_increasing_id())
     hashed = mapped(rows.select(F.col("doc_id").cast("long"), "row", "text"), _hashed, "doc_id long, row long, digest binary")
     return written(hashed, "digests")
 
@@ -277,3 +280,10 @@ def verdicts(hashed: DataFrame) -> DataFrame:
         F.lower(F.hex("digest")).alias("text_sha256"),
         "row",
     )
+
+
+def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``docs`` with one document of each group of equal texts: the one ``exact_dedup`` keeps."""
+    rows, row = numbered(docs, "numbered")
+    judged = verdicts(digests(rows, id_column, text_column, row))
+    return without(rows, row, judged.where("NOT kept").select("row"))

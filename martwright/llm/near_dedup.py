@@ -32,7 +32,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martwright.llm.common import mapped, mixed, partitions_for, picked, ragged, sliced, written
+from martwright.llm.common import (
+    BROADCAST_ROWS, mapped, mixed, numbered, partitions_for, picked, ragged, sliced, without, written,
+)
 
 WORDS = 5
 PERCENT = 85
@@ -42,8 +44,6 @@ HASHES = 2 * SIDE * HALF
 LEAST_EQUAL = 19
 BLOCK = 20_000
 ROWS_PER_PARTITION = 1_000_000
-# Candidates known to be fewer than this are broadcast (8 bytes each and overhead).
-BROADCAST_ROWS = 1_000_000
 NO_ID = -(2**63)
 
 _RNG = np.random.default_rng(10)
@@ -200,10 +200,10 @@ def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class _Corpus:
-    """Texts by id, and the classes with a member's id each."""
+    """Texts by id, the classes with a member's id each, and whether some ids repeat."""
 
-    def __init__(self, source: DataFrame, classes: DataFrame) -> None:
-        self.source, self.classes = source, classes
+    def __init__(self, source: DataFrame, classes: DataFrame, repeats: bool) -> None:
+        self.source, self.classes, self.repeats = source, classes, repeats
 
     def confirmed(self, pairs: DataFrame) -> DataFrame:
         """Those of the written pairs (a, b) that are links, on full sets computed anew from the texts."""
@@ -219,8 +219,6 @@ class _Corpus:
         right = sets.select(F.col("rep").alias("b"), F.col("shingles").alias("y"))
         return mapped(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y"), _confirmed, "a long, b long")
 
-    repeats = False
-
 
 def components(edges: DataFrame) -> DataFrame:
     """(rep, component): the smallest node that each node with an edge can reach."""
@@ -241,17 +239,24 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id, kept (doc_id is component_id) and row of every document."""
-    source = picked(docs, doc_id=id_column, text=text_column).withColumn("doc_id", F.col("doc_id").cast("long"))
-    numbered = source.withColumn("row", F.monotonically_increasing_id())
-    sketches = written(mapped(numbered, _sketched, SKETCHES.format("long")), "sketches")
+def near_duplicates(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", row_column: str | None = None
+) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept (doc_id is component_id), row and component of every document.
+
+    ``component`` tells groups apart; it is null for a document that is alone.
+    """
+    source = picked(docs, doc_id=id_column, text=text_column, **({"row": row_column} if row_column else {}))
+    source = source.withColumn("doc_id", F.col("doc_id").cast("long"))
+    rows = source if row_column else source.withColumn("row", F.monotonically_increasing_id())
+    sketches = written(mapped(rows, _sketched, SKETCHES.format("long")), "sketches")
     classes = sketches.where("n > 0").groupBy("digest").agg(
         F.min("row").alias("rep"), F.min(F.coalesce("doc_id", F.lit(NO_ID))).alias("member"), F.min("doc_id").alias("least_id"),
         F.count("row").alias("size"), F.first("n").alias("n"), F.first("halves").alias("halves"), F.first("signature").alias("signature"),
     )
     classes = written(classes, "classes")
-    corpus = _Corpus(source, classes)
+    repeats = sketches.groupBy("doc_id").count().where("count > 1").limit(1).count() > 0
+    corpus = _Corpus(source, classes, repeats)
     keyed = mapped(classes.select("rep", "halves"), _keyed, "key long, rep long")
     parts = partitions_for(classes, classes.count() * SIDE * SIDE, ROWS_PER_PARTITION)
     dealt = keyed.repartition(parts, "key").sortWithinPartitions("key", "rep")
@@ -260,7 +265,6 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     met = stars.groupBy("hub", "rep").agg(F.count("key").alias("times"))
     best = met.groupBy("rep").agg(F.max(F.struct("times", (-F.col("hub")).alias("hub"))).alias("best"))
     first = written(best.select((-F.col("best.hub")).alias("a"), F.col("rep").alias("b")), "first-pairs")
-    corpus.repeats = sketches.groupBy("doc_id").count().where("count > 1").limit(1).count() > 0
     links = written(corpus.confirmed(first), "first-links")
     labels = components(links)
 
@@ -290,3 +294,14 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
         F.col("doc_id").eqNullSafe(component).alias("kept"), "row", "component",
     )
+
+
+def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``docs`` with one document of each component: the one with the smallest id, the first of equals."""
+    rows, row = numbered(docs, "numbered")
+    found = near_duplicates(rows, id_column, text_column, row).where("component IS NOT NULL")
+    found = written(found.select("component", "doc_id", "row"), "in-components")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
+    stay = found.groupBy("component").agg(F.min(order).getField("row").alias("stays"))
+    dropped = found.join(stay, "component").where("row != stays").select("row")
+    return without(rows, row, dropped)

@@ -462,3 +462,20 @@ def masked(text: str, spans: list[Span]) -> str:
         elif end > at:
             at = end
     return "".join([*out, text[at:]])
+
+
+def mask(docs: DataFrame, decoder: Decoder | None, text_column: str = "text", length_column: str | None = None) -> DataFrame:
+    """``docs`` with every span masked, and ``length_column``, if given, set to the new number of code points."""
+
+    def hidden(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, raw in sliced(batches, text_column):
+            texts = [t.decode() for t in raw]
+            clean = [masked(t, spans) for t, (_, spans) in zip(texts, spans_of(texts, decoder), strict=True)]
+            present = batch.column(text_column).is_valid().to_pylist()
+            new = {text_column: [c if p else None for c, p in zip(clean, present, strict=True)]}
+            if length_column:
+                new[length_column] = [len(c) if p else None for c, p in zip(clean, present, strict=True)]
+            columns = [pa.array(new[f.name], f.type) if f.name in new else batch.column(f.name) for f in batch.schema]
+            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+
+    return mapped(docs, hidden, docs.schema)
