@@ -38,7 +38,7 @@ WORD = np.uint64(32)
 LANES = 64
 BLOCK_TOKENS = 1 << 16
 EVERY = 256
-BATCH_TOKENS = 1 << 20
+BATCH_TOKENS = 1 << 21
 DOCS_A_PART = 16_384
 CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -85,27 +85,30 @@ def encode_blocks(blocks: list[np.ndarray], table: Table) -> list[tuple[bytes, b
     """(payload, states, checkpoints) of each block; all are coded side by side."""
     sizes = np.array([len(b) for b in blocks], np.int64)
     steps = int(-(-sizes.max() // LANES))
-    ids = np.zeros((len(blocks), steps * LANES), np.int64)
+    # After a block's end stands a symbol that has the whole range: coding it changes no state.
+    unit, shift = np.uint64(1 << SCALE), np.uint64(64 - SCALE)
+    frequencies, below = np.append(table.frequency, unit), np.append(table.below, np.uint64(0))
+    gaps = unit - frequencies
+    ids = np.full((len(blocks), steps * LANES), len(frequencies) - 1, np.int32)
     for k, block in enumerate(blocks):
         ids[k, : len(block)] = block
     ids = np.ascontiguousarray(ids.reshape(len(blocks), steps, LANES).swapaxes(0, 1))
-    below, shift = table.below, np.uint64(SCALE)
     state = np.full((len(blocks), LANES), LOW, np.uint64)
-    lane, words, owners = np.arange(LANES), [], []
+    words, owners = [], []
     emitted = np.zeros(len(blocks), np.int64)
     marks: list[list[tuple[int, bytes]]] = [[] for _ in blocks]
     for step in range(steps - 1, -1, -1):
-        active = step * LANES + lane[None, :] < sizes[:, None]
-        frequency = np.where(active, table.frequency[ids[step]], np.uint64(1))
-        full = active & ((state >> (np.uint64(64) - shift)) >= frequency)
-        if full.any():
-            words.append(state[full].astype(np.uint32))
-            owners.append(np.nonzero(full)[0])
-            emitted += full.sum(axis=1)
-            state = np.where(full, state >> WORD, state)
-        whole = state // frequency
-        coded = (whole << shift) + (state - whole * frequency) + below[ids[step]]
-        state = np.where(active, coded, state)
+        symbols = ids[step]
+        frequency = frequencies[symbols]
+        full = (state >> shift) >= frequency
+        owner, lane = np.nonzero(full)
+        if len(owner):
+            over = state[owner, lane]
+            words.append(over.astype(np.uint32))
+            owners.append(owner)
+            emitted += np.bincount(owner, minlength=len(blocks))
+            state[owner, lane] = over >> WORD
+        state += (state // frequency) * gaps[symbols] + below[symbols]
         if step and step % EVERY == 0:
             for k in np.flatnonzero(sizes > step * LANES):
                 marks[k].append((int(emitted[k]), state[k].tobytes()))
@@ -146,19 +149,21 @@ def decode_blocks(blocks: list[dict], table: Table) -> list[np.ndarray]:
     out = [np.zeros(-(-n // lanes) * lanes, np.uint32) for n in sizes.tolist()]
     steps = np.minimum(every, -(-sizes[owner] // lanes) - begin)
     decoded = np.zeros((int(steps.max()), len(owner), lanes), np.uint32)
+    lane = np.arange(lanes)
+    left = np.minimum(sizes[owner] - begin * lanes, steps * lanes)  # symbols of each segment
     for step in range(len(decoded)):
-        active = ((begin + step) * lanes)[:, None] + np.arange(lanes)[None, :] < sizes[owner][:, None]
-        active &= (step < steps)[:, None]
         slot = state & low_bits
         symbol = symbols[slot.astype(np.int64)]
         decoded[step] = symbol
-        after = table.frequency[symbol] * (state >> shift) + slot - below[symbol]
-        state = np.where(active, after, state)
-        empty = active & (state < LOW)
-        taken = empty.sum(axis=1)
-        where = (at - taken)[:, None] + np.cumsum(empty, axis=1) - 1
-        state = np.where(empty, (state << WORD) | flat[np.where(empty, where, len(flat) - 1)], state)
-        at = at - taken
+        state >>= shift
+        state *= table.frequency[symbol]
+        state += slot - below[symbol]
+        # Past its end a segment decodes on without meaning, but reads nothing more.
+        segment, which = np.nonzero((state < LOW) & (step * lanes + lane[None, :] < left[:, None]))
+        taken = np.bincount(segment, minlength=len(owner))
+        at -= taken
+        place = at[segment] + np.arange(len(segment)) - (np.cumsum(taken) - taken)[segment]
+        state[segment, which] = (state[segment, which] << WORD) | flat[place]
     for k in range(len(owner)):
         part = decoded[: steps[k], k].ravel()
         out[owner[k]][begin[k] * lanes : begin[k] * lanes + len(part)] = part

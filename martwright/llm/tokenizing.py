@@ -3,9 +3,9 @@
 Texts are cut where the tokenizer itself always cuts, so that every piece can be
 encoded alone; ids of pieces already seen come from a bounded dictionary. A
 Latin-1 piece not yet seen is split by the tokenizer's own pattern and its parts
-go to the tokenizer's merge model. Others are encoded in one call, set apart by
-a special token, which separates text for the tokenizer too. Texts for which the
-cut isn't sure, and tokenizers of other kinds, go to the tokenizer whole.
+go to the tokenizer's merge model; any other piece goes to the tokenizer. Texts
+for which the cut isn't sure, those with a special token's string, and texts for
+tokenizers of other kinds go to it whole.
 """
 
 from __future__ import annotations
@@ -14,15 +14,13 @@ import json
 import os
 import re
 from array import array
-from itertools import chain
 
 import numpy as np
 import regex
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-PIECES_HELD = 250_000
-PIECES_A_CALL = 20_000
+PIECES_HELD = 350_000
 # Where a cut before a space or line end isn't sure: white space on both sides of it, or a space at the end.
 _SPACE = rb"[\t-\r\x1c- ]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80"
 UNSURE = re.compile(rb" (?:%s|\Z)|(?:%s)\n" % (_SPACE, _SPACE))
@@ -63,6 +61,19 @@ def piece_text(key: bytes) -> str:
     return key.decode() if key[:1] == b"\n" else " " + key.decode()
 
 
+class Held(dict):
+    """Ids of pieces; a piece that is not held comes from the generation before, or is encoded."""
+
+    def __init__(self, older: dict, encode) -> None:
+        super().__init__()
+        self.older, self.encode = older, encode
+
+    def __missing__(self, piece: bytes) -> bytes:
+        ids = self.older.get(piece)
+        self[piece] = ids = self.encode(piece) if ids is None else ids
+        return ids
+
+
 class PieceTokenizer:
     """Ids as little-endian unsigned 32-bit integers, in bytes."""
 
@@ -73,71 +84,48 @@ class PieceTokenizer:
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         self.kind = _kind(spec)
-        special = [(a["content"], a["id"]) for a in spec.get("added_tokens", []) if a.get("special") and not (a["lstrip"] or a["rstrip"])]
-        if not special or any(re.search(r"\s", content) for content, _ in special):
-            self.kind = "whole"
-        else:
-            self.mark, self.mark_id = special[-1]
-            self.specials = [content.encode() for content, _ in special]
+        self.specials = [a["content"].encode() for a in spec.get("added_tokens", [])]
+        if self.kind != "whole":
             self.split = regex.compile(WORD_SPLIT if self.kind == "words" else BYTE_SPLIT).findall
             self.model = self.tokenizer.model
             self.characters = byte_characters()
-        # Pieces in use, and those of the generation before; the latter go when the former are full.
-        self.held: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
+        self.held = Held({}, self._encode_piece)
         self.parts: dict[str, bytes] = {}
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        if self.kind == "whole":
-            return [self._whole(t) for t in texts]
-        cut = [self._cut(t) for t in texts]
-        seen = set(chain.from_iterable(c for c in cut if c is not None))
-        if len(self.held) > PIECES_HELD:
-            self.held, self.older = {}, self.held
-        new = [p for p in seen if p not in self.held]
-        self.held.update((p, self.older[p]) for p in new if p in self.older)
-        self._learn([p for p in new if p not in self.older])
-        ids = self.held.__getitem__
-        return [self._whole(t) if c is None else b"".join(map(ids, c)) for t, c in zip(texts, cut, strict=True)]
+        out = []
+        for text in texts:
+            pieces = self._cut(text)
+            if pieces is None:
+                out.append(self._whole(text))
+                continue
+            if len(self.held) > PIECES_HELD:
+                self.held.older = {}
+                self.held = Held(dict(self.held), self._encode_piece)
+            out.append(b"".join(map(self.held.__getitem__, pieces)))
+        return out
 
     def _cut(self, text: bytes) -> list[bytes] | None:
         """Keys of the pieces; None where the text must stay whole."""
-        if any(s in text for s in self.specials):
+        if self.kind == "whole" or any(s in text for s in self.specials):
             return None
-        if self.kind == "words":
-            return text.split()
-        return cut_at_spaces(text)
+        return text.split() if self.kind == "words" else cut_at_spaces(text)
 
-    def _learn(self, pieces: list[bytes]) -> None:
-        if self.kind == "words":
-            shown = [p.decode() for p in pieces]
-        else:
-            shown = [piece_text(p) for p in pieces]
-        others = []
-        if len(self.parts) > PIECES_HELD:
-            self.parts = {}
-        for piece, text in zip(pieces, shown, strict=True):
-            if not text.isascii() and max(text) > "\xff":
-                others.append((piece, text))
-                continue
-            parts = self.split(text.lower() if self.kind == "words" else text)
-            self.held[piece] = b"".join([self.parts.get(p) or self._part(p) for p in parts])
-        for start in range(0, len(others), PIECES_A_CALL):
-            part = others[start : start + PIECES_A_CALL]
-            ids = np.array(self.tokenizer.encode(self.mark.join([t for _, t in part]), add_special_tokens=False).ids, np.uint32)
-            ends = np.r_[np.flatnonzero(ids == self.mark_id), len(ids)]
-            raw, begin = ids.tobytes(), 0
-            for (piece, _), end in zip(part, ends.tolist(), strict=True):
-                self.held[piece] = raw[4 * begin : 4 * end]
-                begin = end + 1
+    def _encode_piece(self, piece: bytes) -> bytes:
+        text = piece.decode() if self.kind == "words" else piece_text(piece)
+        if not text.isascii() and max(text) > "\xff":
+            return self._whole(text.encode())
+        parts = self.split(text.lower() if self.kind == "words" else text)
+        return b"".join([self.parts.get(p) or self._part(p) for p in parts])
 
     def _part(self, part: str) -> bytes:
         if part.isascii() and part.isprintable():  # only the space is shown as something else
             text = part.replace(" ", self.characters[32])
         else:
             text = part.encode().decode("latin-1").translate(self.characters)
-        ids = array("I", [t.id for t in self.model.tokenize(text)]).tobytes()
-        self.parts[part] = ids
+        if len(self.parts) > PIECES_HELD:
+            self.parts.clear()
+        self.parts[part] = ids = array("I", [t.id for t in self.model.tokenize(text)]).tobytes()
         return ids
 
     def _whole(self, text: bytes) -> bytes:
