@@ -13,6 +13,8 @@ of about 2 (1 - s^HALF)^SIDE: 2e-5 at 0.85, 1e-7 at 0.92.
 3. In each table, members of different components are paired, unless their
    minhashes rule a link out (fewer than ``LEAST_EQUAL`` of them equal, a chance
    of 1e-6 for a link) or their sizes do. Members of one component need no test.
+   From keys with more than ``CROWD`` members those go first whose own shingles,
+   which no other member of such a key has, already rule out any link there.
    Keys with more than ``BLOCK`` members are dealt out as pairs of blocks.
 4. Confirmed links of both rounds give the components.
 
@@ -43,6 +45,7 @@ HALF = 2
 HASHES = 2 * SIDE * HALF
 LEAST_EQUAL = 19
 BLOCK = 20_000
+CROWD = 32
 ROWS_PER_PARTITION = 1_000_000
 NO_ID = -(2**63)
 
@@ -205,20 +208,43 @@ class _Corpus:
     def __init__(self, source: DataFrame, classes: DataFrame, repeats: bool) -> None:
         self.source, self.classes, self.repeats = source, classes, repeats
 
-    def confirmed(self, pairs: DataFrame) -> DataFrame:
-        """Those of the written pairs (a, b) that are links, on full sets computed anew from the texts."""
-        wanted = pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct()
+    def full_sets(self, wanted: DataFrame) -> DataFrame:
+        """(rep, shingles) of the classes in ``wanted`` (rep), computed anew from the texts."""
         members = self.classes.join(wanted, "rep").select("rep", "digest", F.col("member").alias("id"))
         members = written(members, "wanted-sets")
         if members.count() <= BROADCAST_ROWS:
             members = F.broadcast(members)
         texts = self.source.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), "text").join(members, "id").select("rep", "digest", "text")
         found = mapped(texts, _full_sets, "rep long, shingles binary")
-        sets = written(found.dropDuplicates(["rep"]) if self.repeats else found, "full-sets")
+        return written(found.dropDuplicates(["rep"]) if self.repeats else found, "full-sets")
+
+    def confirmed(self, pairs: DataFrame) -> DataFrame:
+        """Those of the written pairs (a, b) that are links, on full sets."""
+        sets = self.full_sets(pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct())
         left = sets.select(F.col("rep").alias("a"), F.col("shingles").alias("x"))
         right = sets.select(F.col("rep").alias("b"), F.col("shingles").alias("y"))
         return mapped(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y"), _confirmed, "a long, b long")
 
+    def alone(self, reps: DataFrame) -> DataFrame:
+        """Those of ``reps`` that can't be linked with another of them.
+
+        Of a set's shingles, those that no other of the sets has bound its
+        similarity to any of them: it is at most the share of the others.
+        """
+        sets = self.full_sets(reps)
+        spread = mapped(sets, _spread, "shingle long, rep long")
+        own = spread.groupBy("shingle").agg(F.count("rep").alias("sets"), F.min("rep").alias("rep")).where("sets = 1")
+        counts = own.groupBy("rep").agg(F.count("shingle").alias("own"))
+        joined = counts.join(self.classes.select("rep", "n"), "rep")
+        return joined.where(f"100 * (n - own) < {PERCENT} * n").select("rep")
+
+
+def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for rep, raw in zip(batch.column("rep").to_pylist(), batch.column("shingles").to_pylist(), strict=True):
+            shingles = np.frombuffer(raw, np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(shingles), pa.array(np.full(len(shingles), rep))], names=["shingle", "rep"])
+
 
 def components(edges: DataFrame) -> DataFrame:
     """(rep, component): the smallest node that each node with an edge can reach."""
@@ -273,9 +299,15 @@ def near_duplicates(
     labelled = written(labelled, "members")
     mixed_keys = labelled.groupBy("key").agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.count("rep").alias("members")
-    ).where("low < high").select("key", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
+    ).where("low < high").select("key", "members", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
+    mixed_keys = written(mixed_keys, "mixed-keys")
+    rows = written(labelled.join(mixed_keys, "key"), "mixed-rows")
+    crowded = rows.where(F.col("members") > CROWD)
+    if crowded.limit(1).count():
+        alone = written(corpus.alone(crowded.select("rep").distinct()), "alone")
+        rows = rows.where(F.col("members") <= CROWD).unionByName(crowded.join(alone, "rep", "left_anti"))
     own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    open_ = labelled.join(mixed_keys, "key").select(
+    open_ = rows.select(
         "key", "rep", "component", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     ).select("rep", "component", F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("group"))
     open_ = open_.join(classes.select("rep", "n", "signature"), "rep")

@@ -1,0 +1,29 @@
+"""Small tables with the awkward cases that every operator must stand."""
+
+from __future__ import annotations
+
+import random
+
+SCHEMA = "doc_id long, text string, row long, kept string, n long, digest string, word string, score double"
+
+
+def words(seed: int, n: int) -> str:
+    rng = random.Random(seed)
+    return " ".join("".join(rng.choice(["ka", "lo", "mi", "tu", "re", "sän"]) for _ in range(rng.randint(1, 4))) for _ in range(n))
+
+
+def odd_rows() -> list[tuple]:
+    """(doc_id, text): nulls, empty, white space, repeats, ties, other scripts, one very long text."""
+    same = words(1, 80)
+    return [
+        (None, None), (None, "Only here"), (1, None), (2, ""), (3, " \t\n "), (4, same), (4, same), (5, same.upper().replace("Ä", "ä")),
+        (6, same + " end"), (7, "one two"), (8, "ONE two"), (9, "日本語 テキスト\u3000x"), (10, "é ́x <|endoftext|> <s> y  z "),
+        (11, words(2, 40_000)), (12, "a" * 3000), (13, "line\nline\n\nline\n"), (14, words(3, 300)), (15, words(3, 300) + " tail"),
+        (16, "mail me at jo.doe@mail.example.org or +1 (555) 010-9999, 10.0.0.1 and 4111 1111 1111 1111."),
+    ]
+
+
+def documents(spark, rows: list[tuple] | None = None):
+    """Documents with further columns whose names clash with those that the operators use."""
+    filled = [(i, t, 7, "k", 0, "d", "w", 0.5) for i, t in (odd_rows() if rows is None else rows)]
+    return spark.createDataFrame(filled, SCHEMA)

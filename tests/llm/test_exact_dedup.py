@@ -1,0 +1,95 @@
+from __future__ import annotations
+
+import hashlib
+from collections import defaultdict
+
+import corpora
+import numpy as np
+import pytest
+
+from martwright.llm.exact_dedup import CuckooIndex, digests, exact_dedup, keep_one, live_digests
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def keys(n: int, seed: int = 0) -> np.ndarray:
+    return np.random.default_rng(seed).integers(0, 2**64, (n, 4), dtype=np.uint64)
+
+
+def test_index_against_a_dict():
+    rng, index, live, pool = np.random.default_rng(5), CuckooIndex(16), {}, keys(3000)
+    for _ in range(60):
+        some = pool[rng.choice(len(pool), 200, replace=False)]
+        if rng.random() < 0.6:
+            rows = index.insert(some)
+            for key, row in zip(some, rows, strict=True):
+                assert live.setdefault(key.tobytes(), row) == row
+        else:
+            there = index.remove(some)
+            for key, was in zip(some, there, strict=True):
+                assert (live.pop(key.tobytes(), None) is not None) == was
+        found = index.find(pool)
+        assert [f >= 0 for f in found] == [k.tobytes() in live for k in pool]
+        assert len(index) == len(live)
+
+
+def test_equal_fingerprints_are_told_apart_by_the_stored_key():
+    some = keys(6)
+    some[:, :2] = some[0, :2]  # the same buckets and fingerprint
+    index = CuckooIndex(16)
+    index.insert(some[:3])
+    assert (index.find(some) >= 0).tolist() == [True] * 3 + [False] * 3
+
+
+def test_overflow_resizes():
+    index = CuckooIndex(16)
+    many = keys(20_000, 3)
+    index.insert(many)
+    assert (index.find(many) == np.arange(len(many))).all()
+
+
+def expected(rows):
+    groups = defaultdict(list)
+    for doc, text in rows:
+        groups[(text or "").translate(LOWER)].append(doc)
+    out = []
+    for doc, text in rows:
+        low = (text or "").translate(LOWER)
+        ids = [i for i in groups[low] if i is not None]
+        out.append((doc, max(ids, default=None), len(groups[low]), hashlib.sha256(low.encode()).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def test_groups_against_brute_force(odd, rows):
+    result = exact_dedup(odd)
+    assert rows(result, "doc_id", "keep_id", "group_size", "text_sha256") == expected(corpora.odd_rows())
+    stays = result.where("kept").groupBy("text_sha256").count().collect()
+    assert all(r["count"] == 1 for r in stays)
+    assert len(stays) == result.select("text_sha256").distinct().count()
+
+
+def test_hot_group(spark, rows):
+    many = [(k, "Same Text" if k % 3 else f"text {k}") for k in range(3000)]
+    result = exact_dedup(corpora.documents(spark, many).repartition(5))
+    assert rows(result, "doc_id", "keep_id", "group_size", "text_sha256") == expected(many)
+
+
+def test_deletion(spark):
+    docs = corpora.documents(spark, [(1, "a"), (2, "b"), (3, "A"), (4, "c")])
+    hashed = digests(docs)
+    gone = hashed.where("doc_id = 3").select("digest")
+    left = live_digests(hashed, gone).collect()
+    assert sorted((r.doc, r["size"]) for r in left) == [(2, 1), (4, 1)]
+
+
+def test_keep_one(odd, rows):
+    kept = keep_one(odd)
+    assert kept.columns == odd.columns
+    assert {r.doc_id for r in kept.collect()} == {None, 3, 2, 5, 6, 8, *range(9, 17)} - {2} | {2}
+    assert kept.where("doc_id = 4").count() == 0
+    assert kept.count() == exact_dedup(odd).where("kept").count()
+
+
+@pytest.mark.parametrize("run", [exact_dedup, keep_one])
+def test_empty(none, run):
+    assert run(none).count() == 0
