@@ -42,9 +42,18 @@ def add_lineage(
     )
 
 
+def file_name_of(path: Column) -> Column:
+    """A path's base name, after its partition folders if it has any: ``dt=1/part-0.csv``.
+
+    So files of one name in two partition folders stay apart.
+    """
+    return F.regexp_extract(path, r"((?:[^/=]+=[^/]*/)*[^/]+)$", 1)
+
+
 def scanned_file_name() -> Column:
     """Each row's file name as listed; the scan reports it percent-encoded."""
-    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    return file_name_of(path)
 
 
 def stringify(df: DataFrame) -> DataFrame:

@@ -3,18 +3,21 @@
 Stages hand over through tables only, so each can run as a job of its own.
 Within a stage the sources' jobs are submitted side by side, so a small source
 does not leave the cluster idle. One bad source does not stop the others;
-``run_all`` stops at the first stage that is not a full success. Counts for the
-run log are observed during the writes, not by jobs of their own.
+``run_all`` stops at the first stage that is not a full success. Rows read,
+written and rejected are observed during the writes, not by jobs of their own;
+rows by file are counted in bronze, once after a source's last load.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import date, datetime, timedelta
 from itertools import batched
 from threading import Lock
+from urllib.parse import unquote, urlsplit
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
@@ -29,17 +32,19 @@ from martwright.operators.staging import stage
 from martwright.operators.typing import Field, as_fields, typed_split
 from martwright.plans.marts import MARTS, over_master
 from martwright.plans.star import sales_master, star
-from martwright.sinks.audit import RunEntry, log_rejected, log_runs, log_schema_checks
-from martwright.sinks.tables import load_mode, upsert, write_table
+from martwright.sinks.audit import RunEntry, log_runs, log_schema_checks, rejected_records
+from martwright.sinks.tables import add_missing_columns, load_mode, upsert, write_table
 from martwright.sources.files import scan_landing, union_scans
 from martwright.sources.listing import (
     LOADED,
     STARTED,
+    VALIDATED,
     interrupted,
     landed_after_all,
     ledger_rows,
     matching_files,
     unloaded,
+    unvalidated,
 )
 from martwright.sources.metadata import active_rules, active_sources, table_schema
 from martwright.sources.tables import full_name, read_table
@@ -89,9 +94,13 @@ class Flow:
 
 
 def counted_write(df: DataFrame, name: str, mode: str, keys: list[str] | None = None, **how) -> int:
-    """Write and return the number of rows, observed on the way."""
+    """Write and return the number of rows, observed on the way.
+
+    A merge into a table that lacks some of the columns adds them first.
+    """
     spark = df.sparkSession
     if mode == "merge" and spark.catalog.tableExists(full_name(spark, name)):
+        add_missing_columns(df, full_name(spark, name))
         return upsert(df, full_name(spark, name), keys or [])
     seen = Observation()
     counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
@@ -143,38 +152,68 @@ def ingest(flow: Flow) -> dict:
 
 
 def _ingest_source(flow: Flow, source: Row) -> list[RunEntry]:
-    loaded: list[RunEntry] = []
+    started = datetime.now()
+    loaded: list[Row] = []
+    failed: list[RunEntry] = []
+    counted: list[RunEntry] = []
 
     def load(_: RunEntry) -> None:
         _confirm_interrupted(flow, source)
         for files in _new_files(flow, source):
-            loaded.extend(_load_or_split(flow, source, files))
+            done, bad = _load(flow, source, files)
+            loaded.extend(done)
+            failed.extend(bad)
+        counted.extend(_loaded_entries(flow, source, loaded, started))
 
     entry = _attempt(_file_entry(flow, source, ""), load)
-    return [*loaded, entry] if entry.status == FAILED else loaded
+    return [*counted, *failed, *([entry] if entry.status == FAILED else [])]
 
 
-def _load_or_split(flow: Flow, source: Row, files: list[Row]) -> list[RunEntry]:
-    """Load a set of files at once; when that fails, halve it until the bad file stands alone.
+def _load(flow: Flow, source: Row, files: list[Row]) -> tuple[list[Row], list[RunEntry]]:
+    """Load a set of files at once: the files loaded, and log entries of those that can't be read.
 
-    Only a failed write is tried again: once rows are in bronze, whatever goes
-    wrong is left to the ledger.
+    A file that the error names is set aside and the others are tried again; any
+    other error ends the load. An error after the rows are in bronze ends it too:
+    the next start finds them there and confirms the load.
     """
-    started = datetime.now()
-    listed = flow.spark.createDataFrame(files)
-    try:
-        _append_to_bronze(flow, source, listed)
-    except Exception as problem:  # noqa: BLE001 - reported in the run log
-        if len(files) == 1:
-            entry = _file_entry(flow, source, files[0].file_name)
-            entry.start_time, entry.end_time = started, datetime.now()
-            entry.status, entry.error_message = FAILED, str(problem)
-            return [entry]
-        middle = len(files) // 2
-        halves = files[:middle], files[middle:]
-        return [entry for half in halves for entry in _load_or_split(flow, source, half)]
-    _note(flow, listed, source, flow.run_id, LOADED)
-    return _loaded_entries(flow, source, files, started)
+    bad: list[RunEntry] = []
+    while files:
+        started = datetime.now()
+        listed = flow.spark.createDataFrame(files)
+        try:
+            _append_to_bronze(flow, source, listed)
+        except Exception as problem:  # noqa: BLE001 - reported in the run log
+            named = _named_in(str(problem), files)
+            if not named or _landed(flow, source, listed, started):
+                raise
+            for file in named:
+                entry = _file_entry(flow, source, file.file_name)
+                entry.start_time, entry.end_time = started, datetime.now()
+                entry.status, entry.error_message = FAILED, str(problem)
+                bad.append(entry)
+            files = [file for file in files if file not in named]
+            continue
+        _note(flow, listed, source, flow.run_id, LOADED)
+        return files, bad
+    return [], bad
+
+
+def _named_in(message: str, files: list[Row]) -> list[Row]:
+    """The files that an error message tells by path."""
+    plain = unquote(message)
+    paths = {urlsplit(file.path).path.split("/", 1)[-1]: file for file in files}
+    return [file for path, file in paths.items() if re.search(rf"{re.escape(unquote(path))}(?![\w.])", plain)]
+
+
+def _landed(flow: Flow, source: Row, files: DataFrame, started: datetime) -> bool:
+    """Whether rows of these files, loaded in this run, are in bronze."""
+    name = full_name(flow.spark, source.bronze_table)
+    if not flow.spark.catalog.tableExists(name):
+        return False
+    flow.spark.catalog.refreshTable(name)
+    since = started.date() - timedelta(days=1)
+    own = flow.spark.table(name).filter((F.col(INGESTED_ON) >= F.lit(since)) & (F.col(RUN_ID) == flow.run_id))
+    return not own.join(files, F.col(SOURCE_FILE) == F.col("file_name"), "left_semi").isEmpty()
 
 
 def _file_entry(flow: Flow, source: Row, file_name: str) -> RunEntry:
@@ -202,9 +241,9 @@ def _ledger(flow: Flow) -> DataFrame | None:
 
 
 def _note(flow: Flow, files: DataFrame, source: Row, run_id: str, state: str) -> None:
-    lines = ledger_rows(files, source.source_name, run_id, state)
+    lines = ledger_rows(files, source.source_name, run_id, state).withColumn("noted_at", F.current_timestamp())
     with flow.shared_tables:
-        write_table(lines.coalesce(1), flow.audit("file_ledger"))
+        write_table(lines.coalesce(1), flow.audit("file_ledger"), merge_schema=True)
 
 
 def _confirm_interrupted(flow: Flow, source: Row) -> None:
@@ -216,8 +255,9 @@ def _confirm_interrupted(flow: Flow, source: Row) -> None:
     open_loads = stage(interrupted(ledger, source.source_name), "interrupted")
     if not open_loads.rows:
         return
+    since = open_loads.frame.agg(F.to_date(F.min("noted_at"))).first()[0]
     runs = [row.run_id for row in open_loads.frame.select("run_id").distinct().collect()]
-    written = flow.spark.table(bronze).filter(F.col(RUN_ID).isin(runs))
+    written = flow.spark.table(bronze).filter((F.col(INGESTED_ON) >= F.lit(since)) & F.col(RUN_ID).isin(runs))
     settled = stage(landed_after_all(open_loads.frame, written), "settled").frame
     for run_id in runs:
         _note(flow, settled.filter(F.col("run_id") == run_id), source, run_id, LOADED)
@@ -242,7 +282,7 @@ def _append_to_bronze(flow: Flow, source: Row, files: DataFrame) -> None:
 
 def _loaded_entries(flow: Flow, source: Row, files: list[Row], started: datetime) -> list[RunEntry]:
     """A log line per file."""
-    rows = _rows_per_file(flow, source, started.date() - timedelta(days=1))
+    rows = _rows_per_file(flow, source, started.date() - timedelta(days=1)) if files else {}
     entries = []
     for file in files:
         entry = _file_entry(flow, source, file.file_name)
@@ -281,20 +321,50 @@ def validate(flow: Flow) -> dict:
 
 
 def _validate_source(flow: Flow, source: Row, entry: RunEntry) -> None:
-    mode = load_mode(source.load_type)
     bronze = read_table(flow.spark, source.bronze_table)
-    if mode == "merge":
-        bronze = bronze.filter(F.col(RUN_ID) == flow.run_id)
     fields = flow.fields(source.source_name)
     _require(flow, source, SchemaDiff(missing=schema_diff(bronze, fields).missing))
-    split = typed_split(bronze, fields)
-    _require(flow, source, schema_diff(split.valid, fields))
-    entry.records_read = bronze.count()
+    _require(flow, source, schema_diff(typed_split(bronze, fields).valid, fields))
+    if load_mode(source.load_type) == "overwrite":
+        _write_valid(flow, source, entry, bronze, fields)
+        return
+    for files, rows in _unvalidated_loads(flow, source, bronze):
+        _write_valid(flow, source, entry, rows, fields)
+        _note(flow, files, source, files.first().run_id, VALIDATED)
+
+
+def _write_valid(flow: Flow, source: Row, entry: RunEntry, bronze: DataFrame, fields: list[Field]) -> None:
+    """Valid rows to their table, and the others, if there are any, to the reject log."""
+    seen = Observation()
+    split = typed_split(bronze.observe(seen, F.count(F.lit(1)).alias("rows")), fields)
     keys = [key.strip() for key in (source.merge_keys or "").split(",") if key.strip()]
-    entry.records_written = counted_write(split.valid, source.validated_table, mode, keys)
-    entry.rejected_records = entry.records_read - entry.records_written
-    if entry.rejected_records:
-        _log_rejects(flow, source, split.rejected, "Schema Validation", source.validated_table)
+    written = counted_write(split.valid, source.validated_table, load_mode(source.load_type), keys)
+    rejected = seen.get["rows"] - written
+    if rejected:
+        _log_rejects(flow, source, typed_split(bronze, fields).rejected, "Schema Validation", source.validated_table)
+    entry.records_read += seen.get["rows"]
+    entry.records_written += written
+    entry.rejected_records += rejected
+
+
+def _unvalidated_loads(flow: Flow, source: Row, bronze: DataFrame) -> Iterator[tuple[DataFrame, DataFrame]]:
+    """The loads that no validation has merged yet, oldest first: their files and their bronze rows.
+
+    Whatever run loaded them. Only the partitions of the days they landed on are read.
+    """
+    ledger = _ledger(flow)
+    if ledger is None:
+        return
+    open_files = stage(unvalidated(ledger, source.source_name), "unvalidated").frame
+    loads = open_files.groupBy("run_id").agg(
+        F.min("first_day").alias("first"), F.max("last_day").alias("last"), F.min("loaded_at").alias("at")
+    )
+    for load in loads.orderBy("at", "run_id").collect():
+        files = open_files.filter(F.col("run_id") == load.run_id)
+        days = F.col(INGESTED_ON).between(F.lit(load.first), F.lit(load.last))
+        rows = bronze.filter(days & (F.col(RUN_ID) == load.run_id))
+        names = files.select(F.col("file_name").alias(SOURCE_FILE)).distinct()
+        yield files, rows.join(names, SOURCE_FILE, "left_semi").select(*bronze.columns)
 
 
 def _require(flow: Flow, source: Row, diff: SchemaDiff) -> None:
@@ -306,15 +376,13 @@ def _require(flow: Flow, source: Row, diff: SchemaDiff) -> None:
 
 
 def _log_rejects(flow: Flow, source: Row, rejected: DataFrame, stage_name: str, table: str) -> None:
+    """The rows are made before the audit table is held; under the lock they are only appended."""
+    rows = rejected_records(
+        rejected, run_id=flow.run_id, stage=stage_name, table_name=table, source_name=source.source_name
+    )
+    made = stage(rows, "rejects").frame
     with flow.shared_tables:
-        log_rejected(
-            rejected,
-            flow.audit("rejected_records"),
-            run_id=flow.run_id,
-            stage=stage_name,
-            table_name=table,
-            source_name=source.source_name,
-        )
+        write_table(made, flow.audit("rejected_records"))
 
 
 # --- validated to checked --------------------------------------------------

@@ -5,13 +5,13 @@ from __future__ import annotations
 from functools import reduce
 from uuid import uuid4
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martwright.functions.lineage import quoted
 from martwright.operators.quality import duplicate_rows
-from martwright.operators.staging import broadcast_within, stage
-from martwright.session import work_dir
+from martwright.operators.staging import Staged, broadcast_within, stage
 from martwright.sources.tables import full_name
 
 MODES = ("append", "overwrite", "merge")
@@ -20,6 +20,9 @@ MODES = ("append", "overwrite", "merge")
 # others are not even listed; beyond, the join alone picks them.
 LISTED_PARTITIONS = 10_000
 
+# Folder names of table versions that merges and overwrites made begin with this.
+VERSIONS = "_versions-"
+
 # How a source's load type becomes a sink mode.
 LOAD_POLICY = {"FULL": "overwrite", "INCREMENTAL": "merge", "CDC": "merge"}
 
@@ -57,12 +60,23 @@ def _save(df: DataFrame, table: str, mode: str, merge_schema: bool, partition_by
     if absent:
         raise ValueError(f"partition columns not found: {absent}")
     spark = df.sparkSession
-    if mode == "append" and spark.catalog.tableExists(table):
+    exists = spark.catalog.tableExists(table)
+    if mode == "append" and exists:
         if merge_schema:
             add_missing_columns(df, table)
             df = _aligned(df, spark.table(table))
         partition_by = partition_by or _partition_columns(spark, table)
-    df.write.mode(mode).partitionBy(*partition_by).saveAsTable(table)
+    writer = df.write.mode(mode).partitionBy(*partition_by)
+    if exists and mode == "overwrite" and VERSIONS in _location(spark, table):
+        # Its own folder still holds what it held before a merge: overwrite as a new version too.
+        writer = writer.option("path", _new_version(spark, table))
+    try:
+        writer.saveAsTable(table)
+    except AnalysisException as problem:
+        if problem.getCondition() != "LOCATION_ALREADY_EXISTS":
+            raise
+        # A table of this name was merged, and dropped, before.
+        writer.option("path", _new_version(spark, table)).saveAsTable(table)
 
 
 def add_missing_columns(df: DataFrame, table: str) -> None:
@@ -101,22 +115,34 @@ def merged(target: DataFrame, source: DataFrame, keys: list[str], size: int | No
     return kept.unionByName(source)
 
 
-def touched_partitions(target: DataFrame, source: DataFrame, partitions: list[str]) -> DataFrame:
-    """All rows of the target partitions that ``source`` has rows for.
+def touched_partitions(target: DataFrame, source: DataFrame, keys: list[str], partitions: list[str]) -> DataFrame:
+    """The partitions that a merge of ``source`` changes: its own, and those of the rows it replaces.
 
-    Partitions with a NULL value match no join key and always come along.
+    If the keys cover the partition columns, a replaced row is in a partition of
+    its own source row; else only the target's keys and partition columns are read.
     """
-    staged = stage(source.select(*partitions).distinct(), "touched")
-    touched = broadcast_within(staged.frame, staged.bytes)
+    own = source.select(*partitions)
+    if set(partitions) <= set(keys):
+        return own.distinct()
+    changed = stage(source.select(*keys).na.drop().distinct(), "changed-keys")
+    found = target.select(*dict.fromkeys([*keys, *partitions])).join(
+        broadcast_within(changed.frame, changed.bytes), keys, "left_semi"
+    )
+    return own.unionByName(found.select(*partitions)).distinct()
+
+
+def within_partitions(target: DataFrame, touched: Staged, partitions: list[str]) -> DataFrame:
+    """All rows of the target in the ``touched`` partitions; NULL is a partition like any other."""
     candidates = target
-    if staged.rows <= LISTED_PARTITIONS:
-        values = staged.frame.collect()
+    if touched.rows <= LISTED_PARTITIONS:
+        values = touched.frame.collect()
         for position, name in enumerate(partitions):
-            present = {row[position] for row in values} - {None}
-            candidates = candidates.filter(F.col(quoted(name)).isin(list(present)))
-    matched = candidates.join(touched, partitions, "left_semi").select(*target.columns)
-    nulls = [F.col(quoted(name)).isNull() for name in partitions]
-    return matched.unionByName(target.filter(reduce(Column.__or__, nulls)))
+            column, present = F.col(quoted(name)), {row[position] for row in values}
+            listed = column.isin(list(present - {None}))
+            candidates = candidates.filter(listed | column.isNull() if None in present else listed)
+    wanted = broadcast_within(touched.frame, touched.bytes).toDF(*[f"touched_{k}" for k in range(len(partitions))])
+    same = [F.col(quoted(name)).eqNullSafe(F.col(f"touched_{k}")) for k, name in enumerate(partitions)]
+    return candidates.join(wanted, reduce(Column.__and__, same), "left_semi").select(*target.columns)
 
 
 def upsert(source: DataFrame, table: str, keys: list[str]) -> int:
@@ -124,9 +150,10 @@ def upsert(source: DataFrame, table: str, keys: list[str]) -> int:
 
     The source must have every column of the target and takes its types. It is
     staged, since the merge reads it several times. Formats with row-level
-    commands run MERGE INTO. A parquet table is rewritten: only the partitions
-    the source touches when the keys cover the partition columns, else as a
-    new version the table is then pointed to.
+    commands run MERGE INTO. Of a partitioned parquet table only the partitions
+    with replaced or new rows are rewritten; they change when the write is
+    committed. A table without partitions is written as a new version
+    that it is then pointed to.
     """
     if not keys:
         raise ValueError("merge needs merge_keys")
@@ -142,13 +169,12 @@ def upsert(source: DataFrame, table: str, keys: list[str]) -> int:
         spark.sql(merge_statement(table, view, keys))
         return staged.rows
     partitions = _partition_columns(spark, table)
-    if not partitions:
-        _repoint(merged(target, rows, keys, size), table)
-    elif set(partitions) <= set(keys):
-        affected = touched_partitions(target, rows, partitions)
-        _replace_partitions(merged(affected, rows, keys, size), table, dynamic=True)
+    if partitions:
+        touched = stage(touched_partitions(target, rows, keys, partitions), "touched")
+        affected = within_partitions(target, touched, partitions)
+        _replace_partitions(merged(affected, rows, keys, size), table, touched, partitions)
     else:
-        _replace_partitions(merged(target, rows, keys, size), table, dynamic=False)
+        _repoint(merged(target, rows, keys, size), table)
     return staged.rows
 
 
@@ -173,28 +199,59 @@ def _require_single_match(source: DataFrame, target: DataFrame, keys: list[str])
         raise ValueError(f"several source rows match one target row on {keys}")
 
 
+def _location(spark: SparkSession, table: str) -> str:
+    details = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
+    return details.filter("col_name = 'Location'").first().data_type.rstrip("/")
+
+
+def _new_version(spark: SparkSession, table: str) -> str:
+    """A folder beside the table's own, never inside it."""
+    base = spark.sql(f"DESCRIBE DATABASE {table.rsplit('.', 1)[0]}").filter("info_name = 'Location'").first()
+    return f"{base.info_value.rstrip('/')}/{VERSIONS}{table.rsplit('.', 1)[-1].strip('`')}/{uuid4().hex}"
+
+
 def _repoint(df: DataFrame, table: str) -> None:
-    """New version in its own folder, then one catalog change. The old stays for readers."""
+    """New version in its own folder, then one catalog change.
+
+    The version before it stays, for running readers; older ones are deleted.
+    """
     spark = df.sparkSession
-    old = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'").first()
-    base = old.data_type.rstrip("/").split("/_version-")[0]
-    location = f"{base}/_version-{uuid4().hex}"
+    before, location = _location(spark, table), _new_version(spark, table)
     df.write.parquet(location)
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
     spark.catalog.refreshTable(table)
+    _drop_versions(spark, location, keep={location.rsplit("/", 1)[-1], before.rsplit("/", 1)[-1]})
+
+
+def _drop_versions(spark: SparkSession, location: str, keep: set[str]) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(location).getParent()
+    files = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    for status in files.listStatus(path):
+        if status.getPath().getName() not in keep:
+            files.delete(status.getPath(), True)
 
 
-def _replace_partitions(df: DataFrame, table: str, dynamic: bool) -> None:
-    """Staged first, since a table cannot be overwritten while it is read.
+def _replace_partitions(df: DataFrame, table: str, touched: Staged, partitions: list[str]) -> None:
+    """Overwrite the partitions that ``df`` has rows for, and drop the touched ones that it leaves empty.
 
-    The overwrite mode is a session setting, so the write has a session of its own.
+    Staged first, since a table cannot be overwritten while it is read. The
+    overwrite mode is a session setting, so the write has a session of its own.
     """
-    target = df.sparkSession.table(table)
-    path = f"{work_dir(df.sparkSession)}/martwright/upsert-{uuid4().hex}"
-    df.select(*target.columns).write.parquet(path)
-    writing = df.sparkSession.newSession()
-    mode = "dynamic" if dynamic else "static"
-    writing.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
-    staged = writing.read.schema(target.schema).parquet(path)
-    staged.write.insertInto(table, overwrite=True)
-    df.sparkSession.catalog.refreshTable(table)
+    spark = df.sparkSession
+    target = spark.table(table)
+    staged = stage(df.select(*target.columns), "merged")
+    filled = staged.frame.select(*partitions).distinct()
+    writing = spark.newSession()
+    writing.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    writing.read.schema(target.schema).parquet(staged.path).write.insertInto(table, overwrite=True)
+    for row in touched.frame.exceptAll(filled).toLocalIterator():
+        spec = ", ".join(f"{quoted(n)} = {_literal(v)}" for n, v in zip(partitions, row, strict=True))
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+    spark.catalog.refreshTable(table)
+
+
+def _literal(value: object) -> str:
+    if value is None:
+        return "NULL"
+    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{text}'"

@@ -84,6 +84,9 @@ def scan_landing(
     A known ``schema`` saves JSON its inference pass over the data.
     """
     options = dict(options or {})
+    if files is not None or file_type.lower() == "csv":
+        # Listed by path, files keep the columns that their partition folders name.
+        options = {"basePath": landing_path} | options
     if file_type.lower() == "csv" and str(options.get("header", "true")).lower() == "true":
         listed = matching_files(spark, landing_path, file_pattern) if files is None else files
         headers = csv_headers(listed, options.get("sep", options.get("delimiter", ",")))
@@ -94,6 +97,7 @@ def scan_landing(
     if files is not None:
         return [scan(spark, _paths(files), file_type, options, schema)]
     globbed = {"pathGlobFilter": hadoop_glob(file_pattern)} | options
+    globbed.pop("basePath", None)
     return [scan(spark, landing_path, file_type, globbed, schema)]
 
 

@@ -7,6 +7,8 @@ import fnmatch
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martwright.functions.lineage import file_name_of
+
 
 def file_listing(spark: SparkSession, landing_path: str, file_pattern: str = "*") -> DataFrame:
     """The matching files of a folder, oldest first."""
@@ -16,19 +18,21 @@ def file_listing(spark: SparkSession, landing_path: str, file_pattern: str = "*"
 def matching_files(spark: SparkSession, landing_path: str, file_pattern: str = "*") -> DataFrame:
     """(path, file_name, modification_time, length), in no order.
 
-    The pattern is a glob on the file name, upper and lower case alike. The
-    content column is pruned, so no file is opened; the coalesce keeps the
+    The pattern is a glob on the base name, upper and lower case alike. Names
+    that begin with ``_`` or ``.`` are hidden files to Spark and never listed.
+    The content column is pruned, so no file is opened; the coalesce keeps the
     number of tasks to the cluster's cores rather than to the bytes listed.
     """
     files = spark.read.format("binaryFile").load(landing_path)
+    base_name = F.element_at(F.split("path", "/"), -1)
     return (
-        files.select(
+        files.filter(F.lower(base_name).rlike(fnmatch.translate(file_pattern.lower())))
+        .select(
             "path",
-            F.element_at(F.split("path", "/"), -1).alias("file_name"),
+            file_name_of(F.col("path")).alias("file_name"),
             F.col("modificationTime").alias("modification_time"),
             "length",
         )
-        .filter(F.lower("file_name").rlike(fnmatch.translate(file_pattern.lower())))
         .coalesce(spark.sparkContext.defaultParallelism)
     )
 
@@ -50,15 +54,17 @@ def hadoop_glob(file_pattern: str) -> str:
     return "".join(glob).replace("[!", "[^")
 
 
-# One line per file and state: STARTED before its rows are written, LOADED after.
+# One line per file and state: STARTED before its rows are written, LOADED after,
+# VALIDATED once an incremental stage has merged them.
 LEDGER_COLUMNS = ("path", "modification_time", "file_name", "length")
-STARTED, LOADED = "STARTED", "LOADED"
+STARTED, LOADED, VALIDATED = "STARTED", "LOADED", "VALIDATED"
+FILE_KEY = ["path", "modification_time"]
 
 
 def unloaded(listing: DataFrame, ledger: DataFrame) -> DataFrame:
     """Files of the listing not yet loaded by the ledger; a rewritten file is new."""
     loaded = ledger.filter(F.col("state") == LOADED)
-    return listing.join(loaded, ["path", "modification_time"], "left_anti")
+    return listing.join(loaded, FILE_KEY, "left_anti")
 
 
 def ledger_rows(files: DataFrame, source_name: str, run_id: str, state: str) -> DataFrame:
@@ -73,10 +79,27 @@ def ledger_rows(files: DataFrame, source_name: str, run_id: str, state: str) ->
 
 def interrupted(ledger: DataFrame, source_name: str) -> DataFrame:
     """Lines of loads that started but were never confirmed."""
+    return _without(ledger.filter(F.col("source_name") == source_name), STARTED, LOADED)
+
+
+def unvalidated(ledger: DataFrame, source_name: str) -> DataFrame:
+    """Loaded files whose rows no incremental validation has merged yet, with the days they may have landed on.
+
+    ``first_day`` and ``last_day`` come from the lines before and after the write.
+    """
     own = ledger.filter(F.col("source_name") == source_name)
-    loaded = own.filter(F.col("state") == LOADED).select("path", "modification_time")
-    started = own.filter(F.col("state") == STARTED)
-    return started.join(loaded, ["path", "modification_time"], "left_anti")
+    days = own.groupBy(*FILE_KEY, "run_id").agg(
+        F.to_date(F.min("noted_at")).alias("first_day"),
+        F.to_date(F.max(F.when(F.col("state") == LOADED, F.col("noted_at")))).alias("last_day"),
+        F.max(F.when(F.col("state") == LOADED, F.col("noted_at"))).alias("loaded_at"),
+    )
+    return _without(own, LOADED, VALIDATED).join(days, [*FILE_KEY, "run_id"])
+
+
+def _without(ledger: DataFrame, state: str, later: str) -> DataFrame:
+    """Lines in one state for files that have none in a later one."""
+    done = ledger.filter(F.col("state") == later).select(*FILE_KEY)
+    return ledger.filter(F.col("state") == state).join(done, FILE_KEY, "left_anti")
 
 
 def landed_after_all(unconfirmed: DataFrame, bronze: DataFrame) -> DataFrame:

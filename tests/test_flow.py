@@ -7,6 +7,8 @@ from datetime import date
 
 import pytest
 
+import martwright.plans.flow as flow_module
+
 from martwright.plans.flow import (
     STAGES,
     Flow,
@@ -295,3 +297,101 @@ def test_run_stops_at_first_failure(flow):
     with pytest.raises(RuntimeError, match="stage b ended with status PARTIAL_SUCCESS"):
         run_all(flow, stages)
     assert calls == ["a", "b"]
+
+
+def only_orders(flow, spark, **changes):
+    config = table(flow, "ingestion_config")
+    lines = [r.asDict() | changes for r in config.collect() if r.source_name == "orders"]
+    spark.createDataFrame(lines, config.schema).write.mode("overwrite").saveAsTable(
+        f"{flow.metadata_schema}.ingestion_config")
+
+
+def another(flow):
+    return Flow(flow.spark, flow.metadata_schema, flow.audit_schema, flow.gold_schema)
+
+
+def test_late_validation_loses_no_run(flow, spark, rows):
+    """Two loads under run ids of their own wait for one validation; the later row wins."""
+    only_orders(flow, spark, load_type="INCREMENTAL", merge_keys="row_id")
+    write_orders(landing_of(flow) / "orders_1.json", ORDERS[:1])
+    ingest(flow)
+    changed = (1, "O1", "22/8/2016", "C1", "P1", 9, 39.0, 0.1, 1)
+    write_orders(landing_of(flow) / "orders_2.json", [changed, (7, "O7", "1/1/2017", "C1", "P1", 1, 1, 0, 1)])
+    ingest(another(flow))
+    result = validate(another(flow))
+    assert (result["rows_read"], result["rows_written"]) == (3, 3)
+    assert rows(table(flow, "orders_validated"), "row_id", "quantity") == [(1, 9), (7, 1)]
+    assert validate(another(flow))["rows_read"] == 0
+
+
+def test_new_column_reaches_an_incremental_table(flow, spark, rows):
+    only_orders(flow, spark, load_type="INCREMENTAL", merge_keys="row_id")
+    write_orders(landing_of(flow) / "orders_1.json", ORDERS[:1])
+    ingest(flow)
+    validate(flow)
+    extra = [("orders", 99, "ship_mode", "string", None, True)]
+    if "ship_mode" not in table(flow, "orders_validated").columns:
+        spark.createDataFrame(extra, table(flow, "required_schema").schema).write.mode("append").saveAsTable(
+            f"{flow.metadata_schema}.required_schema")
+    write_orders(landing_of(flow) / "orders_2.json", [(7, "O7", "1/1/2017", "C1", "P1", 1, 1, 0, 1)])
+    ingest(another(flow))
+    validate(another(flow))
+    assert ("7", "Air") in {(str(r.row_id), r.ship_mode) for r in table(flow, "orders_validated").collect()}
+
+
+def test_error_after_the_commit_doubles_no_row(flow, spark, monkeypatch):
+    only_orders(flow, spark)
+    real, calls = flow_module._append_to_bronze, []
+
+    def late(*args):
+        calls.append(1)
+        real(*args)
+        raise OSError("the catalog did not answer")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(flow_module, "_append_to_bronze", late)
+        assert ingest(flow)["failed_tables"] == 1
+    assert len(calls) == 1
+    assert table(flow, "orders_bronze").count() == 7
+    assert ingest(another(flow))["rows_written"] == 0
+    assert table(flow, "orders_bronze").count() == 7
+
+
+def test_storage_failure_is_tried_once(flow, spark, monkeypatch):
+    only_orders(flow, spark)
+    for k in range(8):
+        write_orders(landing_of(flow) / f"orders_{k + 2}.json", ORDERS[:1])
+    calls = []
+
+    def broken(*_):
+        calls.append(1)
+        raise OSError("no space left")
+
+    monkeypatch.setattr(flow_module, "_append_to_bronze", broken)
+    assert ingest(flow)["failed_tables"] == 1
+    assert len(calls) == 1
+
+
+def test_one_name_in_two_folders(flow, spark, rows):
+    landing = landing_of(flow) / "parts"
+    for day, n in (("d=1", 2), ("d=2", 6)):
+        (landing / day).mkdir(parents=True)
+        spark.range(n).toPandas().to_parquet(landing / day / "part-0.parquet")
+    only_orders(flow, spark, landing_path=str(landing), file_pattern="*.parquet", file_type="parquet")
+    assert ingest(flow)["rows_written"] == 8
+    assert rows(table(flow, "pipeline_run_log"), "source_file_name", "records_written") == [
+        ("d=1/part-0.parquet", 2), ("d=2/part-0.parquet", 6)]
+    assert rows(table(flow, "orders_bronze").groupBy("d").count()) == [("1", 2), ("2", 6)]
+
+
+def test_validation_reads_bronze_once_or_twice(flow, spark, monkeypatch):
+    """Without rejects one write, with rejects a second; no job only counts."""
+    ingest(flow)
+    made = []
+    real = flow_module.typed_split
+    monkeypatch.setattr(flow_module, "typed_split", lambda df, fields: made.append(1) or real(df, fields))
+    result = validate(flow)
+    assert result["rejected_rows"] > 0
+    assert len(made) <= 3 * 3  # the plan's check, the valid rows, and rejects where there are some
+    log = table(flow, "pipeline_run_log").filter("pipeline_stage = 'Schema Validation'").collect()
+    assert all(r.records_read == r.records_written + r.rejected_records for r in log)

@@ -3,6 +3,8 @@ from __future__ import annotations
 import json
 import random
 import re
+from pathlib import Path
+from urllib.parse import urlsplit
 from datetime import datetime
 
 import pytest
@@ -18,10 +20,12 @@ from martwright.sinks.audit import (
     log_schema_checks,
     rejected_records,
 )
+from martwright.operators.staging import stage
 from martwright.sinks.tables import (
     load_mode,
     merge_statement,
     touched_partitions,
+    within_partitions,
     write_table,
 )
 
@@ -163,7 +167,8 @@ def test_partitioned_merge_prunes_the_target(spark, database):
     """Only touched partitions are scanned and rewritten."""
     name = f"{database}.t"
     write_table(frame(spark, [(i, f"p{i % 4}") for i in range(40)]), name, partition_by=["v"])
-    plan = touched_partitions(spark.table(name), frame(spark, [(1, "p1")]), ["v"])
+    touched = stage(touched_partitions(spark.table(name), frame(spark, [(1, "p1")]), ["k", "v"], ["v"]), "touched")
+    plan = within_partitions(spark.table(name), touched, ["v"])
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"PartitionFilters: \[[^]]*v#\d+ = p1", text)
     before = {f: f.split("/v=")[1][:2] for f in spark.table(name).inputFiles()}
@@ -171,3 +176,31 @@ def test_partitioned_merge_prunes_the_target(spark, database):
     after = set(spark.table(name).inputFiles())
     assert {part for f, part in before.items() if f not in after} == {"p1"}
     assert spark.table(name).count() == 41
+
+
+def test_merge_moves_rows_between_partitions(spark, database, rows):
+    """Keys without the partition column: emptied partitions go, untouched ones keep their files."""
+    name = f"{database}.t"
+    write_table(frame(spark, [(1, "a"), (2, "b"), (3, "b"), (4, None), (5, "c")]), name, partition_by=["v"])
+    kept = {f for f in spark.table(name).inputFiles() if "v=c" in f or "HIVE_DEFAULT" in f}
+    write_table(frame(spark, [(1, "b"), (9, "n'w")]), name, "merge", merge_keys=["k"])
+    assert rows(spark.table(name)) == sorted([(1, "b"), (2, "b"), (3, "b"), (4, None), (5, "c"), (9, "n'w")], key=repr)
+    assert kept <= set(spark.table(name).inputFiles())
+    write_table(frame(spark, [(4, "c"), (9, None)]), name, "merge", merge_keys=["k"])
+    assert rows(spark.table(name)) == sorted([(1, "b"), (2, "b"), (3, "b"), (4, "c"), (5, "c"), (9, None)], key=repr)
+    assert rows(spark.sql(f"SHOW PARTITIONS {name}")) == [("v=__HIVE_DEFAULT_PARTITION__",), ("v=b",), ("v=c",)]
+
+
+def test_table_stays_usable_after_a_merge(spark, database, rows):
+    name = f"{database}.t"
+    write_table(frame(spark, [(1, "a")]), name)
+    for k in range(4):
+        write_table(frame(spark, [(1, f"m{k}")]), name, "merge", merge_keys=["k"])
+    folder = Path(urlsplit(spark.table(name).inputFiles()[0]).path).parents[1]
+    assert len(list(folder.iterdir())) == 2  # this version and the one before
+    write_table(frame(spark, [(7, "new")]), name, "overwrite")
+    write_table(frame(spark, [(7, "newer"), (8, "x")]), name, "merge", merge_keys=["k"])
+    assert rows(spark.table(name)) == [(7, "newer"), (8, "x")]
+    spark.sql(f"DROP TABLE {name}")
+    write_table(frame(spark, [(1, "again")]), name, "overwrite")
+    assert rows(spark.table(name)) == [(1, "again")]

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-GROUPS = ("sales", "typing", "quality", "files")
+GROUPS = ("sales", "typing", "quality", "files", "loads")
 
 
 def load() -> None:
