@@ -26,6 +26,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -100,7 +101,7 @@ class Lexicon:
 
     def bucket_of(self, words: list[bytes], hashes: np.ndarray) -> np.ndarray:
         shared = OWN_BUCKETS + hashes.astype(np.int64) % (BUCKETS - OWN_BUCKETS)
-        own = np.fromiter((self.own.get(w, -1) for w in words), np.int64, len(words))
+        own = np.fromiter(map(self.own.get, words, repeat(-1)), np.int64, len(words))
         # Neighbouring ranks go to different classes.
         spread = np.where(own >= 0, own, shared)
         return (spread % CLASSES) * IN_CLASS + spread // CLASSES
@@ -233,13 +234,15 @@ class LocalSteps:
         self._apply(CLASS_ROWS + bucket_rows * CLASSES + classes, slopes[1])
 
     def _apply(self, rows: np.ndarray, slope: np.ndarray) -> None:
-        flat = rows.ravel()
-        order = np.argsort(flat, kind="stable")
-        ranked = flat[order]
-        begins = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]])
-        sums = np.add.reduceat(slope[order % len(slope)], begins, axis=0)
-        touched = ranked[begins]
-        self.seen[touched] += np.diff(np.r_[begins, len(ranked)])
+        touched, place, counts = np.unique(rows, return_inverse=True, return_counts=True)
+        place, columns = place.reshape(rows.shape), np.ascontiguousarray(slope.T, np.float64)
+        sums = np.empty((len(columns), len(touched)))
+        for column, out in zip(columns, sums, strict=True):
+            out[:] = np.bincount(place[0], column, len(touched))
+            for kind in place[1:]:
+                out += np.bincount(kind, column, len(touched))
+        sums = sums.T.astype(np.float32)
+        self.seen[touched] += counts
         self.squares[touched] += (sums**2).mean(axis=1)
         self.all[touched] -= RATE * sums / np.sqrt(self.squares[touched])[:, None]
 
@@ -309,7 +312,7 @@ def _scored(words: Broadcast, weights: Broadcast):
             for k in range(0, len(flat), STEP_TOKENS):
                 part = slice(k, k + STEP_TOKENS)
                 shares[part] = log_shares(weights.value, class_rows[:, part], bucket_rows[:, part], buckets[part])
-            head = np.fromiter((lex.head.get(w, 0) for w in flat), np.int64, len(flat))
+            head = np.fromiter(map(lex.head.get, flat, repeat(0)), np.int64, len(flat))
             _, row = ragged(counts)
             per_text = lambda values: np.bincount(row, weights=values, minlength=len(counts))
             rare = np.flatnonzero(head == 0)
