@@ -14,9 +14,11 @@ of about 2 (1 - s^HALF)^SIDE: 2e-5 at 0.85, 1e-7 at 0.92.
    minhashes rule a link out (fewer than ``LEAST_EQUAL`` of them equal, a chance
    of 1e-6 for a link) or their sizes do. Members of one component need no test.
    From keys with more than ``CROWD`` members those go first whose own shingles,
-   which no other member of such a key has, already rule out any link there.
+   which no other member of such a key has, already rule out any link there; the
+   others are first paired, twice, with the ``NEAREST`` of other components, so
+   that few components are left when all pairs of different ones are tested.
    Keys with more than ``BLOCK`` members are dealt out as pairs of blocks.
-4. Confirmed links of both rounds give the components.
+4. Confirmed links of all rounds give the components.
 
 A text without words, null included, has the empty set and no links. One with
 fewer than five words has its whole sequence as its only shingle. Repeated rows
@@ -46,6 +48,7 @@ HASHES = 2 * SIDE * HALF
 LEAST_EQUAL = 19
 BLOCK = 20_000
 CROWD = 32
+NEAREST = 3
 ROWS_PER_PARTITION = 1_000_000
 NO_ID = -(2**63)
 
@@ -140,46 +143,70 @@ def _starred(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(a[others]) for a in (keys, hub, reps)], names=["key", "hub", "rep"])
 
 
-def possible_pairs(component: np.ndarray, size: np.ndarray, signature: np.ndarray, chunk: int = 128) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _sizes_allow(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    return 100 * np.minimum(one, two) >= PERCENT * np.maximum(one, two)
+
+
+def possible_pairs(component: np.ndarray, size: np.ndarray, signature: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs of different components that sizes and minhashes don't rule out."""
-    for start in range(0, len(size), chunk):
-        a = np.arange(start, min(start + chunk, len(size)))
-        rest = np.arange(start + 1, len(size))
-        low = np.minimum(size[a][:, None], size[rest][None, :])
-        high = np.maximum(size[a][:, None], size[rest][None, :])
-        open_ = (component[a][:, None] != component[rest][None, :]) & (100 * low >= PERCENT * high) & (rest[None, :] > a[:, None])
-        left, right = np.nonzero(open_)
+    for a in _chunks(len(size)):
+        rest = np.arange(a[0] + 1, len(size))
+        open_ = (component[a][:, None] != component[rest][None, :]) & _sizes_allow(size[a][:, None], size[rest][None, :])
+        left, right = np.nonzero(open_ & (rest[None, :] > a[:, None]))
         for k in range(0, len(left), 1 << 20):
             x, y = a[left[k : k + (1 << 20)]], rest[right[k : k + (1 << 20)]]
             same = (signature[x] == signature[y]).sum(axis=1) >= LEAST_EQUAL
             yield x[same], y[same]
 
 
-def _crossed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs within each group of rows sorted by group; a group has at most two blocks."""
-    held: list[tuple] = []
-
-    def pairs() -> Iterator[pa.RecordBatch]:
-        reps, component, size = (np.concatenate([h[k] for h in held]) for k in (1, 2, 3))
-        signature = np.frombuffer(b"".join(h for g in held for h in g[4]), np.uint8).reshape(-1, HASHES)
-        for x, y in possible_pairs(component, size, signature):
-            low, high = np.minimum(reps[x], reps[y]), np.maximum(reps[x], reps[y])
-            if len(x):
-                yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], names=["a", "b"])
-
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        group, reps, component, size = (batch.column(c).to_numpy() for c in ("group", "rep", "component", "n"))
-        signatures = batch.column("signature").to_pylist()
-        heads = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
-        for a, b in zip(heads.tolist(), [*heads[1:].tolist(), len(group)], strict=True):
-            if held and held[0][0] != group[a]:
-                yield from pairs()
-                held.clear()
-            held.append((group[a], reps[a:b], component[a:b], size[a:b], signatures[a:b]))
-    if held:
-        yield from pairs()
+def nearest_pairs(component: np.ndarray, size: np.ndarray, signature: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Of the possible pairs, each member's with the ``NEAREST`` whose minhashes agree most."""
+    for a in _chunks(len(size)):
+        same = (signature[a][:, None, :] == signature[None, :, :]).sum(axis=2).astype(np.int16)
+        open_ = (component[a][:, None] != component[None, :]) & _sizes_allow(size[a][:, None], size[None, :])
+        same[~open_] = 0
+        order = np.argsort(-same, axis=1, kind="stable")[:, :NEAREST]
+        far = np.take_along_axis(same, order, 1) < LEAST_EQUAL
+        yield np.repeat(a, order.shape[1])[~far.ravel()], order.ravel()[~far.ravel()]
+
+
+def _chunks(n: int) -> Iterator[np.ndarray]:
+    """Rows to compare with all at a time: as many as fit in 64 MB."""
+    step = max(1, min(128, (64 << 20) // max(1, n * HASHES)))
+    for start in range(0, n, step):
+        yield np.arange(start, min(start + step, n))
+
+
+def _crossed(nearest: bool):
+    choose = nearest_pairs if nearest else possible_pairs
+
+    def cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Pairs within each group of rows sorted by group; a group has at most two blocks."""
+        held: list[tuple] = []
+
+        def pairs() -> Iterator[pa.RecordBatch]:
+            reps, component, size = (np.concatenate([h[k] for h in held]) for k in (1, 2, 3))
+            signature = np.frombuffer(b"".join(h for g in held for h in g[4]), np.uint8).reshape(-1, HASHES)
+            for x, y in choose(component, size, signature):
+                low, high = np.minimum(reps[x], reps[y]), np.maximum(reps[x], reps[y])
+                if len(x):
+                    yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], names=["a", "b"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            group, reps, component, size = (batch.column(c).to_numpy() for c in ("group", "rep", "component", "n"))
+            signatures = batch.column("signature").to_pylist()
+            heads = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
+            for a, b in zip(heads.tolist(), [*heads[1:].tolist(), len(group)], strict=True):
+                if held and held[0][0] != group[a]:
+                    yield from pairs()
+                    held.clear()
+                held.append((group[a], reps[a:b], component[a:b], size[a:b], signatures[a:b]))
+        if held:
+            yield from pairs()
+
+    return cross
 
 
 def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -294,28 +321,29 @@ def near_duplicates(
     links = written(corpus.confirmed(first), "first-links")
     labels = components(links)
 
-    members = stars.select("key", "rep").union(stars.select("key", "hub").distinct())
-    labelled = members.join(labels, "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("component"))
-    labelled = written(labelled, "members")
-    mixed_keys = labelled.groupBy("key").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count("rep").alias("members")
-    ).where("low < high").select("key", "members", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
-    mixed_keys = written(mixed_keys, "mixed-keys")
-    rows = written(labelled.join(mixed_keys, "key"), "mixed-rows")
-    crowded = rows.where(F.col("members") > CROWD)
-    if crowded.limit(1).count():
-        alone = written(corpus.alone(crowded.select("rep").distinct()), "alone")
-        rows = rows.where(F.col("members") <= CROWD).unionByName(crowded.join(alone, "rep", "left_anti"))
-    own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    open_ = rows.select(
-        "key", "rep", "component", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    ).select("rep", "component", F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("group"))
-    open_ = open_.join(classes.select("rep", "n", "signature"), "rep")
-    crossed = mapped(open_.repartition(parts, "group").sortWithinPartitions("group"), _crossed, "a long, b long")
-    second = written(crossed.distinct().join(first, ["a", "b"], "left_anti"), "second-pairs")
-    more = written(corpus.confirmed(second), "second-links")
-    if more.limit(1).count():
-        labels = components(links.union(more))
+    members = written(stars.select("key", "rep").union(stars.select("key", "hub").distinct()), "members")
+    tested, alone = first, None
+    for nearest in (True, True, False):
+        labelled = members.join(labels, "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("component"))
+        mixed_keys = labelled.groupBy("key").agg(
+            F.min("component").alias("low"), F.max("component").alias("high"), F.count("rep").alias("members")
+        ).where("low < high").select("key", "members")
+        rows = written(labelled.join(mixed_keys, "key"), "mixed-rows")
+        crowded = rows.where(F.col("members") > CROWD)
+        if not crowded.limit(1).count():
+            if nearest:
+                continue
+        else:
+            if alone is None:
+                alone = written(corpus.alone(crowded.select("rep").distinct()), "alone")
+            crowded = crowded.join(alone, "rep", "left_anti")
+            rows = crowded if nearest else rows.where(F.col("members") <= CROWD).unionByName(crowded)
+        crossed = mapped(_dealt(rows, classes, parts), _crossed(nearest), "a long, b long")
+        pairs = written(crossed.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
+        more = written(corpus.confirmed(pairs), "links")
+        if more.limit(1).count():
+            links, tested = links.union(more), tested.union(pairs)
+            labels = components(links)
 
     joined = classes.join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     ids = joined.groupBy("component").agg(F.min("least_id").alias("component_id"), F.sum("size").alias("members"))
@@ -328,6 +356,16 @@ def near_duplicates(
     )
 
 
+def _dealt(rows: DataFrame, classes: DataFrame, parts: int) -> DataFrame:
+    """Rows of the keys with sizes and signatures, sorted by group: a key, or a pair of blocks of a large one."""
+    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("rep"), blocks).cast("int")
+    dealt = rows.select("key", "rep", "component", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    group = F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other"))
+    named = dealt.select("rep", "component", group.alias("group")).join(classes.select("rep", "n", "signature"), "rep")
+    return named.repartition(parts, "group").sortWithinPartitions("group")
+
+
 def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``docs`` with one document of each component: the one with the smallest id, the first of equals."""
     rows, row = numbered(docs, "numbered")

@@ -420,9 +420,11 @@ def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -
     """A tagger from at most ``LABELLED`` documents that hold a base span, in hash order."""
     texts = picked(docs, doc_id=id_column, text=text_column)
     likely = texts.where(r"text RLIKE '[0-9]@|[0-9]{3}[ .-]?[0-9]' AND length(text) < 20000")
-    order = F.xxhash64(F.col("doc_id").cast("string"), "text")
-    sample = likely.select("text", order.alias("o")).orderBy("o", "text").limit(LABELLED).collect()
-    windows, tags = labelled_windows([r.text for r in sample])
+    order = F.xxhash64(F.col("doc_id").cast("string"), F.length("text"))
+    # First the hashes alone, so that no task sends more than the sample's texts.
+    last = likely.select(order.alias("o")).distinct().orderBy("o").limit(LABELLED).agg(F.max("o")).first()[0]
+    sample = [] if last is None else likely.where(order <= last).select("text", order.alias("o")).distinct().collect()
+    windows, tags = labelled_windows([r.text for r in sorted(sample, key=lambda r: (r.o, r.text))][:LABELLED])
     return Decoder(train(windows, tags)) if tags.any() else None
 
 

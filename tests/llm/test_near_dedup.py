@@ -69,7 +69,8 @@ def test_families_and_shared_passages(spark, rows):
     assert rows(found) == expected(source)
 
 
-def test_links_that_miss_the_first_member(spark, rows, monkeypatch):
+@pytest.mark.parametrize("crowd", [3, 1000])
+def test_links_that_miss_the_first_member(spark, rows, monkeypatch, crowd):
     """Sets that share tables but not links with a table's first member still find each other."""
     rng = random.Random(8)
     core = corpora.words(1, 150)
@@ -79,6 +80,7 @@ def test_links_that_miss_the_first_member(spark, rows, monkeypatch):
         texts += [one, edited(one, 0.005, rng)]
     source = list(enumerate(texts))
     monkeypatch.setattr(near_dedup, "BLOCK", 4)  # and blocks are split
+    monkeypatch.setattr(near_dedup, "CROWD", crowd)
     found = near_duplicates(corpora.documents(spark, source)).select("doc_id", "n_shingles", "component_id", "kept")
     assert rows(found) == expected(source)
 
@@ -88,7 +90,7 @@ def test_possible_pairs_against_all_pairs():
     n = 300
     component, size = rng.integers(0, 40, n), rng.integers(50, 80, n)
     signature = rng.integers(0, 2, (n, near_dedup.HASHES)).astype(np.uint8)
-    found = {(int(a), int(b)) for x, y in possible_pairs(component, size, signature, 32) for a, b in zip(x, y, strict=True)}
+    found = {(int(a), int(b)) for x, y in possible_pairs(component, size, signature) for a, b in zip(x, y, strict=True)}
     brute = {
         (a, b) for a, b in itertools.combinations(range(n), 2)
         if component[a] != component[b] and 100 * min(size[a], size[b]) >= 85 * max(size[a], size[b])

@@ -114,7 +114,9 @@ def test_token_files(odd, spark, tmp_path):
 def test_damaged_block_is_noticed(odd, spark, tmp_path):
     path = token_files.write_token_files(odd.where("doc_id IN (14, 15)"), BYTES, 0, str(tmp_path / "tokens"))
     block = spark.read.parquet(f"{path}/blocks").collect()[0].asDict()
-    block["payload"] = bytes([block["payload"][0] ^ 1]) + bytes(block["payload"][1:])
+    payload = bytearray(block["payload"])
+    payload[len(payload) // 2] ^= 1
+    block["payload"] = bytes(payload)
     with pytest.raises((ValueError, IndexError)):
         token_files._documents([block], token_files.read_table(spark, path), ["doc_id"])
 
