@@ -11,6 +11,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from martwright.functions.lineage import quoted
+
 UNIQUE = "UNIQUE"
 
 
@@ -80,4 +82,4 @@ def violation(rule: Rule, schema: T.StructType) -> Column:
         raise ValueError(f"{rule.kind} on {rule.column} needs a rule_value")
     if spec.numeric and not isinstance(schema[rule.column].dataType, T.NumericType):
         raise TypeError(f"{rule.kind} needs a numeric column, {rule.column} is not")
-    return F.coalesce(spec.violated(F.col(rule.column), rule.value), F.lit(False))
+    return F.coalesce(spec.violated(F.col(quoted(rule.column)), rule.value), F.lit(False))

@@ -271,6 +271,7 @@ def _append_to_bronze(flow: Flow, source: Row, files: DataFrame) -> None:
         source.file_pattern,
         source.file_type,
         files,
+        options=source.asDict().get("reader_options"),
         schema=source.asDict().get("source_schema"),
     )
     bronze = union_scans([to_bronze(scan, flow.run_id, source.source_name) for scan in scans])

@@ -29,15 +29,16 @@ def build_session(app_name: str, master: str | None = None, **conf: str) -> Spar
 def work_dir(spark: SparkSession) -> str:
     """Folder that every executor can reach, for staged tables.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local session
-    may fall back to a temporary folder of its own.
+    The cluster names it in ``spark.checkpoint.dir``, or a job has set it with
+    ``setCheckpointDir``. Only a local session may fall back to a temporary
+    folder of its own.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     if context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="martwright-"))
     return context.getCheckpointDir().rstrip("/")

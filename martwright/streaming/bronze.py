@@ -22,8 +22,13 @@ def stream_landing(
     schema: str,
     options: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Landing folder as a stream. ``schema`` is the file layout, in file order."""
-    known = FORMATS[file_type.lower()]
+    """Landing folder as a stream. ``schema`` is the file layout, in file order.
+
+    Of the ``options``, ``maxFilesPerTrigger`` bounds the files of one batch.
+    """
+    known = FORMATS.get(file_type.lower())
+    if known is None:
+        raise ValueError(f"unsupported file type: {file_type}")
     settings = {"pathGlobFilter": hadoop_glob(file_pattern)} | dict(known.options) | dict(options or {})
     settings.pop("inferSchema", None)
     return spark.readStream.format(known.source).schema(schema).options(**settings).load(landing_path)

@@ -395,3 +395,16 @@ def test_validation_reads_bronze_once_or_twice(flow, spark, monkeypatch):
     assert len(made) <= 3 * 3  # the plan's check, the valid rows, and rejects where there are some
     log = table(flow, "pipeline_run_log").filter("pipeline_stage = 'Schema Validation'").collect()
     assert all(r.records_read == r.records_written + r.rejected_records for r in log)
+
+
+def test_reader_options_of_a_source(flow, spark, rows):
+    """Line-delimited JSON, by the source's own reader options."""
+    landing = landing_of(flow)
+    (landing / "lines.jsonl").write_text("\n".join(json.dumps(order(line)) for line in ORDERS) + "\n")
+    config = table(flow, "ingestion_config").filter("source_name = 'orders'")
+    changed = config.selectExpr("* EXCEPT (file_pattern)", "'*.jsonl' AS file_pattern",
+                                "map('multiLine', 'false') AS reader_options")
+    lines = changed.collect()
+    spark.createDataFrame(lines, changed.schema).write.mode("overwrite").option("overwriteSchema", "true").saveAsTable(
+        f"{flow.metadata_schema}.ingestion_config")
+    assert ingest(flow)["rows_written"] == len(ORDERS)

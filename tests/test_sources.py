@@ -150,3 +150,18 @@ def test_stream_loads_every_file_once(spark, tmp_path, rows):
     assert len(run()) == 1
     (tmp_path / "landing" / "second.csv").write_text("Order ID,qty\nO2,2\n")
     assert run() == [("O1", "1", "first file.CSV"), ("O2", "2", "second.csv")]
+
+
+def test_stream_of_unknown_type(spark, tmp_path):
+    with pytest.raises(ValueError, match="xml2"):
+        stream_landing(spark, str(tmp_path), "*", "xml2", "a string")
+
+
+def test_partition_folders_of_listed_files(spark, tmp_path, rows):
+    for day in ("1", "2"):
+        (tmp_path / f"d={day}").mkdir()
+        (tmp_path / f"d={day}" / "a.csv").write_text("x\n7\n")
+    listed = file_listing(spark, str(tmp_path), "*.CSV")
+    assert [r.file_name for r in listed.collect()] == ["d=1/a.csv", "d=2/a.csv"]
+    scans = scan_landing(spark, str(tmp_path), "*.csv", "csv", listed)
+    assert rows(union_scans(scans), "x", "d") == [("7", 1), ("7", 2)]
