@@ -16,7 +16,8 @@ of about 2 (1 - s^HALF)^SIDE: 2e-5 at 0.85, 1e-7 at 0.92.
    From keys with more than ``CROWD`` members those go first whose own shingles,
    which no other member of such a key has, already rule out any link there; the
    others are first paired, twice, with the ``NEAREST`` of other components, so
-   that few components are left when all pairs of different ones are tested.
+   that few components are left when all pairs of different ones are tested, and
+   ``WIDE`` more minhashes rule out more of those.
    Keys with more than ``BLOCK`` members are dealt out as pairs of blocks.
 4. Confirmed links of all rounds give the components.
 
@@ -29,6 +30,7 @@ smallest id that isn't null. An empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -49,13 +51,14 @@ LEAST_EQUAL = 19
 BLOCK = 20_000
 CROWD = 32
 NEAREST = 3
+WIDE, LEAST_WIDE = 512, 395
 ROWS_PER_PARTITION = 1_000_000
 NO_ID = -(2**63)
 
 _RNG = np.random.default_rng(10)
-MULTIPLIERS = _RNG.integers(1, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-ADDED = _RNG.integers(0, 2**63, HASHES, dtype=np.uint64)
 WORD_ODDS = _RNG.integers(1, 2**63, WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+MULTIPLIERS = _RNG.integers(1, 2**63, HASHES + WIDE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+ADDED = _RNG.integers(0, 2**63, HASHES + WIDE, dtype=np.uint64)
 
 
 def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
@@ -78,22 +81,38 @@ def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
     return sets
 
 
-def minhashes(sets: list[np.ndarray]) -> np.ndarray:
-    """(HASHES, n) minima of 32 bits; sets must not be empty."""
+def minhashes(sets: list[np.ndarray], first: int = 0, last: int = HASHES) -> np.ndarray:
+    """(hashes, n) minima of 32 bits; sets must not be empty."""
     starts, _ = ragged(np.array([len(s) for s in sets]))
     flat = np.concatenate(sets)
-    out = np.empty((HASHES, len(sets)), np.uint64)
-    for k in range(HASHES):
-        out[k] = np.minimum.reduceat((flat * MULTIPLIERS[k] + ADDED[k]) >> np.uint64(32), starts)
+    out = np.empty((last - first, len(sets)), np.uint64)
+    for k in range(first, last):
+        out[k - first] = np.minimum.reduceat((flat * MULTIPLIERS[k] + ADDED[k]) >> np.uint64(32), starts)
     return out
 
 
+def _low_bytes(low: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray((low & np.uint64(0xFF)).astype(np.uint8).T)
+
+
+def table_key(a: np.ndarray, b: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Key of a pair of collections; tables have keys of their own."""
+    both = mixed(a) + mixed(b + np.uint64(1)) * np.uint64(3)
+    return mixed(both + table.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
 def table_keys(halves: np.ndarray) -> np.ndarray:
-    """(n, SIDE * SIDE) keys from (n, 2 * SIDE) collections; tables have keys of their own."""
-    a, b = halves[:, :SIDE].astype(np.uint64), halves[:, SIDE:].astype(np.uint64)
-    table = np.arange(SIDE * SIDE, dtype=np.uint64).reshape(SIDE, SIDE)
-    keys = mixed(a)[:, :, None] + mixed(b + np.uint64(1))[:, None, :] * np.uint64(3) + table * np.uint64(0x9E3779B97F4A7C15)
-    return mixed(keys.reshape(len(halves), -1))
+    """(n, SIDE * SIDE) keys from (n, 2 * SIDE) collections."""
+    halves = halves.astype(np.uint64)
+    table = np.arange(SIDE * SIDE)
+    return table_key(halves[:, table // SIDE], halves[:, SIDE + table % SIDE], table[None, :])
+
+
+def first_common_key(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    """Of pairs that share a table, the key of the first one; so a pair is tested once."""
+    same = one == two
+    i, j, at = same[:, :SIDE].argmax(axis=1), same[:, SIDE:].argmax(axis=1), np.arange(len(one))
+    return table_key(one[at, i].astype(np.uint64), one[at, SIDE + j].astype(np.uint64), i * SIDE + j)
 
 
 SKETCHES = "doc_id {}, row long, n long, digest binary, halves array<long>, signature binary"
@@ -107,7 +126,7 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if full:
             low = minhashes([sets[k] for k in full])
             pairs = mixed(low[0::2] << np.uint64(32) | low[1::2]).view(np.int64).T
-            bytes_ = np.ascontiguousarray((low & np.uint64(0xFF)).astype(np.uint8).T)
+            bytes_ = _low_bytes(low)
             for place, k in enumerate(full):
                 halves[k], signatures[k] = pairs[place].tolist(), bytes_[place].tobytes()
         digests = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
@@ -147,20 +166,31 @@ def _sizes_allow(one: np.ndarray, two: np.ndarray) -> np.ndarray:
     return 100 * np.minimum(one, two) >= PERCENT * np.maximum(one, two)
 
 
-def possible_pairs(component: np.ndarray, size: np.ndarray, signature: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs of different components that sizes and minhashes don't rule out."""
+def possible_pairs(group: Group) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs of different components that sizes and minhashes don't rule out, and that no earlier table has."""
+    component, size, signature = group.component, group.size, group.signature
     for a in _chunks(len(size)):
         rest = np.arange(a[0] + 1, len(size))
         open_ = (component[a][:, None] != component[rest][None, :]) & _sizes_allow(size[a][:, None], size[rest][None, :])
         left, right = np.nonzero(open_ & (rest[None, :] > a[:, None]))
-        for k in range(0, len(left), 1 << 20):
-            x, y = a[left[k : k + (1 << 20)]], rest[right[k : k + (1 << 20)]]
+        for k in range(0, len(left), 1 << 19):
+            x, y = a[left[k : k + (1 << 19)]], rest[right[k : k + (1 << 19)]]
             same = (signature[x] == signature[y]).sum(axis=1) >= LEAST_EQUAL
-            yield x[same], y[same]
-
-
-def nearest_pairs(component: np.ndarray, size: np.ndarray, signature: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Of the possible pairs, each member's with the ``NEAREST`` whose minhashes agree most."""
+            x, y = x[same], y[same]
+            own = first_common_key(group.halves[x], group.halves[y]) == group.key
+            x, y = x[own], y[own]
+            if group.wide is not None:
+                same = np.concatenate([
+                    (group.wide[x[k : k + 4096]] == group.wide[y[k : k + 4096]]).sum(axis=1) >= LEAST_WIDE
+                    for k in range(0, max(1, len(x)), 4096)
+                ])
+                x, y = x[same], y[same]
+            yield x, y
+
+
+def nearest_pairs(group: Group) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Of pairs of different components, each member's with the ``NEAREST`` whose minhashes agree most."""
+    component, size, signature = group.component, group.size, group.signature
     for a in _chunks(len(size)):
         same = (signature[a][:, None, :] == signature[None, :, :]).sum(axis=2).astype(np.int16)
         open_ = (component[a][:, None] != component[None, :]) & _sizes_allow(size[a][:, None], size[None, :])
@@ -177,32 +207,55 @@ def _chunks(n: int) -> Iterator[np.ndarray]:
         yield np.arange(start, min(start + step, n))
 
 
+@dataclass(frozen=True)
+class Group:
+    """Members of a key, or of a pair of its blocks. ``wide`` is None unless all have a wide signature."""
+
+    key: np.uint64
+    rep: np.ndarray
+    component: np.ndarray
+    size: np.ndarray
+    signature: np.ndarray
+    halves: np.ndarray
+    wide: np.ndarray | None
+
+
+def _group(parts: list[pa.RecordBatch]) -> Group:
+    rows = pa.Table.from_batches(parts)
+    number = lambda name: rows.column(name).to_numpy()
+    bytes_ = lambda name, width: np.frombuffer(b"".join(rows.column(name).to_pylist()), np.uint8).reshape(-1, width)
+    halves = rows.column("halves").combine_chunks().flatten().to_numpy().reshape(-1, 2 * SIDE)
+    wide = None if rows.column("wide").null_count else bytes_("wide", WIDE)
+    key = number("key")[:1].astype(np.int64).view(np.uint64)[0]
+    return Group(key, number("rep"), number("component"), number("n"), bytes_("signature", HASHES), halves, wide)
+
+
 def _crossed(nearest: bool):
     choose = nearest_pairs if nearest else possible_pairs
 
     def cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Pairs within each group of rows sorted by group; a group has at most two blocks."""
-        held: list[tuple] = []
+        held: list[pa.RecordBatch] = []
 
         def pairs() -> Iterator[pa.RecordBatch]:
-            reps, component, size = (np.concatenate([h[k] for h in held]) for k in (1, 2, 3))
-            signature = np.frombuffer(b"".join(h for g in held for h in g[4]), np.uint8).reshape(-1, HASHES)
-            for x, y in choose(component, size, signature):
-                low, high = np.minimum(reps[x], reps[y]), np.maximum(reps[x], reps[y])
+            group = _group(held)
+            for x, y in choose(group):
+                low, high = np.minimum(group.rep[x], group.rep[y]), np.maximum(group.rep[x], group.rep[y])
                 if len(x):
                     yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], names=["a", "b"])
 
+        last = None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            group, reps, component, size = (batch.column(c).to_numpy() for c in ("group", "rep", "component", "n"))
-            signatures = batch.column("signature").to_pylist()
+            group = batch.column("group").to_numpy()
             heads = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
             for a, b in zip(heads.tolist(), [*heads[1:].tolist(), len(group)], strict=True):
-                if held and held[0][0] != group[a]:
+                if held and last != group[a]:
                     yield from pairs()
                     held.clear()
-                held.append((group[a], reps[a:b], component[a:b], size[a:b], signatures[a:b]))
+                last = group[a]
+                held.append(batch.slice(a, b - a))
         if held:
             yield from pairs()
 
@@ -252,8 +305,8 @@ class _Corpus:
         right = sets.select(F.col("rep").alias("b"), F.col("shingles").alias("y"))
         return mapped(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y"), _confirmed, "a long, b long")
 
-    def alone(self, reps: DataFrame) -> DataFrame:
-        """Those of ``reps`` that can't be linked with another of them.
+    def crowd(self, reps: DataFrame) -> DataFrame:
+        """(rep, wide signature) of those of ``reps`` that may be linked with another of them.
 
         Of a set's shingles, those that no other of the sets has bound its
         similarity to any of them: it is at most the share of the others.
@@ -263,7 +316,15 @@ class _Corpus:
         own = spread.groupBy("shingle").agg(F.count("rep").alias("sets"), F.min("rep").alias("rep")).where("sets = 1")
         counts = own.groupBy("rep").agg(F.count("shingle").alias("own"))
         joined = counts.join(self.classes.select("rep", "n"), "rep")
-        return joined.where(f"100 * (n - own) < {PERCENT} * n").select("rep")
+        alone = joined.where(f"100 * (n - own) < {PERCENT} * n").select("rep")
+        return written(mapped(sets.join(alone, "rep", "left_anti"), _widened, "rep long, wide binary"), "crowd")
+
+
+def _widened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch, raw in sliced(batches, "shingles"):
+        low = minhashes([np.frombuffer(r, np.uint64) for r in raw], HASHES, HASHES + WIDE)
+        wide = pa.array([row.tobytes() for row in _low_bytes(low)], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column("rep"), wide], names=["rep", "wide"])
 
 
 def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -322,7 +383,7 @@ def near_duplicates(
     labels = components(links)
 
     members = written(stars.select("key", "rep").union(stars.select("key", "hub").distinct()), "members")
-    tested, alone = first, None
+    tested, crowd = first, None
     for nearest in (True, True, False):
         labelled = members.join(labels, "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("component"))
         mixed_keys = labelled.groupBy("key").agg(
@@ -334,10 +395,13 @@ def near_duplicates(
             if nearest:
                 continue
         else:
-            if alone is None:
-                alone = written(corpus.alone(crowded.select("rep").distinct()), "alone")
-            crowded = crowded.join(alone, "rep", "left_anti")
-            rows = crowded if nearest else rows.where(F.col("members") <= CROWD).unionByName(crowded)
+            if crowd is None:
+                crowd = corpus.crowd(crowded.select("rep").distinct())
+            crowded = crowded.join(crowd, "rep")
+            none = F.lit(None).cast("binary").alias("wide")
+            rows = crowded if nearest else rows.where(F.col("members") <= CROWD).select("*", none).unionByName(crowded)
+        if "wide" not in rows.columns:
+            rows = rows.withColumn("wide", F.lit(None).cast("binary"))
         crossed = mapped(_dealt(rows, classes, parts), _crossed(nearest), "a long, b long")
         pairs = written(crossed.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
         more = written(corpus.confirmed(pairs), "links")
@@ -360,9 +424,10 @@ def _dealt(rows: DataFrame, classes: DataFrame, parts: int) -> DataFrame:
     """Rows of the keys with sizes and signatures, sorted by group: a key, or a pair of blocks of a large one."""
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("rep"), blocks).cast("int")
-    dealt = rows.select("key", "rep", "component", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    dealt = rows.select("key", "rep", "component", "wide", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
     group = F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other"))
-    named = dealt.select("rep", "component", group.alias("group")).join(classes.select("rep", "n", "signature"), "rep")
+    sketches = classes.select("rep", "n", "signature", "halves")
+    named = dealt.select("key", "rep", "component", "wide", group.alias("group")).join(sketches, "rep")
     return named.repartition(parts, "group").sortWithinPartitions("group")
 
 

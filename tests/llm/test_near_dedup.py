@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 from martwright.llm import near_dedup
-from martwright.llm.near_dedup import components, keep_one, near_duplicates, possible_pairs
+from martwright.llm.near_dedup import components, keep_one, near_duplicates, possible_pairs, table_keys
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -90,13 +90,22 @@ def test_possible_pairs_against_all_pairs():
     n = 300
     component, size = rng.integers(0, 40, n), rng.integers(50, 80, n)
     signature = rng.integers(0, 2, (n, near_dedup.HASHES)).astype(np.uint8)
-    found = {(int(a), int(b)) for x, y in possible_pairs(component, size, signature) for a, b in zip(x, y, strict=True)}
-    brute = {
-        (a, b) for a, b in itertools.combinations(range(n), 2)
-        if component[a] != component[b] and 100 * min(size[a], size[b]) >= 85 * max(size[a], size[b])
-        and (signature[a] == signature[b]).sum() >= near_dedup.LEAST_EQUAL
-    }
+    halves = rng.integers(0, 3, (n, 2 * near_dedup.SIDE))
+    halves[:, [2, near_dedup.SIDE + 4]] = 7  # all share the table of these two collections
+    key = table_keys(halves[:1])[0, 2 * near_dedup.SIDE + 4]
+    group = near_dedup.Group(key, np.arange(n), component, size, signature, halves, None)
+    found = {(int(a), int(b)) for x, y in possible_pairs(group) for a, b in zip(x, y, strict=True)}
+    brute = set()
+    for a, b in itertools.combinations(range(n), 2):
+        common = [k for k, (p, q) in enumerate(zip(table_keys(halves[[a]])[0], table_keys(halves[[b]])[0], strict=True)) if p == q]
+        sizes = 100 * min(size[a], size[b]) >= 85 * max(size[a], size[b])
+        equal = (signature[a] == signature[b]).sum() >= near_dedup.LEAST_EQUAL
+        if component[a] != component[b] and sizes and equal and common[0] == 2 * near_dedup.SIDE + 4:
+            brute.add((a, b))
+    assert brute
     assert found == brute
+    nearest = {(int(a), int(b)) for x, y in near_dedup.nearest_pairs(group) for a, b in zip(x, y, strict=True)}
+    assert max(sum(a == k for a, _ in nearest) for k in range(n)) == near_dedup.NEAREST
 
 
 @pytest.mark.parametrize("edges", [[], [(1, 2)], [(k, k + 1) for k in range(50)], [(0, k) for k in range(1, 40)] + [(77, 90), (90, 77)]])
