@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from uuid import uuid4
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,7 +72,7 @@ def _save(df: DataFrame, table: str, mode: str, merge_schema: bool, partition_by
         writer = writer.option("path", _new_version(spark, table))
     try:
         writer.saveAsTable(table)
-    except AnalysisException as problem:
+    except PySparkException as problem:
         if problem.getCondition() != "LOCATION_ALREADY_EXISTS":
             raise
         # A table of this name was merged, and dropped, before.
