@@ -9,32 +9,13 @@ import pytest
 from __spark_entry__ import entry, oracle_sql, queries
 from check_oracle import connect, difference
 
+import workload
+from workload.registry import ORACLE, QUERIES
+
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="given tables are absent")
 
-# One per operator family; check_oracle.py runs them all.
-SAMPLE = [
-    "sales_master_missing_dims",
-    "profit_summary",
-    "customer_summary_missing_dims",
-    "daily_sales",
-    "typed_valid",
-    "typed_rejected",
-    "cast_timestamps",
-    "rule_unique",
-    "quality_valid",
-    "quality_rejected",
-    "quality_metrics",
-    "quality_valid_distinct",
-    "enrich_products",
-    "bronze_from_files",
-    "table_checks",
-    "csv_two_layouts",
-    "file_ledger",
-    "stream_ingest",
-    "upsert_partitioned",
-    "rejected_log",
-]
+workload.load()
 
 
 @pytest.fixture(scope="module")
@@ -42,13 +23,15 @@ def duckdb_tables():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", SAMPLE)
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_agrees_with_sql(spark, duckdb_tables, name):
     assert difference(queries()[name](spark, SF_DIR), duckdb_tables, oracle_sql()[name]) is None
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(queries())
+    assert set(ORACLE) <= set(oracle_sql())
 
 
 def test_entry(spark):
