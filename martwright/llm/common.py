@@ -20,8 +20,8 @@ from martwright.functions.lineage import quoted
 from martwright.session import work_dir
 
 # Texts of one slice that a task holds as Python objects at a time.
-SLICE_BYTES = 8 << 20
-SLICE_ROWS = 4096
+SLICE_BYTES = 4 << 20
+SLICE_ROWS = 2048
 
 Batches = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 

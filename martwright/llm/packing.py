@@ -27,6 +27,8 @@ from martwright.llm.tokenizing import tokenizer
 
 WINDOW = 2048
 RESTS = 1 << 17
+# Pieces of text a worker remembers; fewer than it might, since it also works for other stages.
+PIECES_HELD = 120_000
 
 
 class OpenWindows:
@@ -94,7 +96,7 @@ def pack(
     end = np.uint32(end_id).tobytes()
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, doc_type = tokenizer(tokenizer_path), None
+        encoder, doc_type = tokenizer(tokenizer_path, PIECES_HELD), None
         next_window = TaskContext.get().partitionId() << 40
         rests: list[tuple] = []
 

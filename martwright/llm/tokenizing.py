@@ -77,9 +77,10 @@ class Held(dict):
 class PieceTokenizer:
     """Ids as little-endian unsigned 32-bit integers, in bytes."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, most_held: int = PIECES_HELD) -> None:
         from tokenizers import Tokenizer
 
+        self.most_held = most_held
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
@@ -99,7 +100,7 @@ class PieceTokenizer:
             if pieces is None:
                 out.append(self._whole(text))
                 continue
-            if len(self.held) > PIECES_HELD:
+            if len(self.held) > self.most_held:
                 self.held.older = {}
                 self.held = Held(dict(self.held), self._encode_piece)
             out.append(b"".join(map(self.held.__getitem__, pieces)))
@@ -123,7 +124,7 @@ class PieceTokenizer:
             text = part.replace(" ", self.characters[32])
         else:
             text = part.encode().decode("latin-1").translate(self.characters)
-        if len(self.parts) > PIECES_HELD:
+        if len(self.parts) > self.most_held:
             self.parts.clear()
         self.parts[part] = ids = array("I", [t.id for t in self.model.tokenize(text)]).tobytes()
         return ids
@@ -147,8 +148,8 @@ def _kind(spec: dict) -> str:
 _LOADED: dict[str, PieceTokenizer] = {}
 
 
-def tokenizer(path: str) -> PieceTokenizer:
+def tokenizer(path: str, most_held: int = PIECES_HELD) -> PieceTokenizer:
     """The worker's own, loaded once."""
     if path not in _LOADED:
-        _LOADED[path] = PieceTokenizer(path)
+        _LOADED[path] = PieceTokenizer(path, most_held)
     return _LOADED[path]
