@@ -8,7 +8,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martwright.functions.lineage import stringify
+from martwright.functions.lineage import scanned_file_name, stringify
 from martwright.operators.typing import typed_split
 from martwright.plans.flow import Flow, ingest, run_all, validate
 from martwright.plans.marts import run_report
@@ -156,7 +156,7 @@ def listed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders.write.partitionBy("part").parquet(landing)
     files = file_listing(spark, landing, "PART-*.Parquet").select("path", "file_name")
     rows = spark.read.option("basePath", landing).parquet(landing)
-    named = rows.select("part", F.col("_metadata.file_name").alias("file_name"))
+    named = rows.select("part", scanned_file_name().alias("file_name"))
     return named.join(files, "file_name", "left_semi").groupBy("part").agg(
         F.count(F.lit(1)).alias("orders")
     )
