@@ -13,6 +13,7 @@ from martwright.llm import exact_dedup, near_dedup, packing, pii, quality
 from martwright.llm.common import table, written
 
 END_ID = 1
+NEAR_PERCENT = 80
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,8 +27,8 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of linked documents, the one with the smallest id."""
-    return near_dedup.keep_one(docs)
+    """Of documents linked at ``NEAR_PERCENT``, the one with the smallest id."""
+    return near_dedup.keep_one(docs, percent=NEAR_PERCENT)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,18 +1,19 @@
 """Near-duplicates by MinHash with tensored banding, confirmed on full shingle sets.
 
 Documents whose sets of five-word shingles have a Jaccard similarity of at least
-``PERCENT`` are linked; linked documents form components. ``SIDE`` small hash
-collections A and as many B are computed for each set, ``HALF`` minhashes each;
-a table's key is a pair (A_i, B_j), so SIDE * SIDE tables need only
-2 * SIDE * HALF minhashes. Two sets of similarity s share no table with a chance
-of about 2 (1 - s^HALF)^SIDE: 2e-5 at 0.85, 1e-7 at 0.92.
+``percent`` (85 unless given) are linked; linked documents form components.
+``side`` small hash collections A and as many B are computed for each set,
+``HALF`` minhashes each; a table's key is a pair (A_i, B_j), so side * side tables
+need only 2 * side * HALF minhashes. Two sets of similarity s share no table with
+a chance of about 2 (1 - s^HALF)^side. ``Limit`` takes the least side that keeps
+this within ``MISSED`` at the limit: 9 at 0.85 (2e-5; 1e-7 at 0.92), 12 at 0.80 (1e-5).
 
 1. Documents with equal sets form a class; only one member goes on.
 2. In each table, those with a key are paired with its first member; each class
    is held against the one it meets most often. Confirmed links give components.
 3. In each table, members of different components are paired, unless their
-   minhashes rule a link out (fewer than ``LEAST_EQUAL`` of them equal, a chance
-   of 1e-6 for a link) or their sizes do. Members of one component need no test.
+   minhashes rule a link out (fewer than ``least_equal`` of them equal, a chance
+   within ``RULED_OUT`` for a link) or their sizes do. Members of one component need no test.
    From keys with more than ``CROWD`` members those go first whose own shingles,
    which no other member of such a key has, already rule out any link there; the
    others are first paired, twice, with the ``NEAREST`` of other components, so
@@ -31,6 +32,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -44,21 +47,66 @@ from martwright.llm.common import (
 
 WORDS = 5
 PERCENT = 85
-SIDE = 9
 HALF = 2
-HASHES = 2 * SIDE * HALF
-LEAST_EQUAL = 19
+MISSED = 2e-5
+RULED_OUT = 1e-6
 BLOCK = 20_000
 CROWD = 32
 NEAREST = 3
-WIDE, LEAST_WIDE = 512, 395
+WIDE = 512
+MOST_HASHES = 512
+KEYS_AT_A_TIME = 1 << 19
 ROWS_PER_PARTITION = 1_000_000
 NO_ID = -(2**63)
 
 _RNG = np.random.default_rng(10)
 WORD_ODDS = _RNG.integers(1, 2**63, WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-MULTIPLIERS = _RNG.integers(1, 2**63, HASHES + WIDE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-ADDED = _RNG.integers(0, 2**63, HASHES + WIDE, dtype=np.uint64)
+MULTIPLIERS = _RNG.integers(1, 2**63, MOST_HASHES + WIDE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+ADDED = _RNG.integers(0, 2**63, MOST_HASHES + WIDE, dtype=np.uint64)
+
+
+def _least_equal(hashes: int, percent: int) -> int:
+    """What all but ``RULED_OUT`` of the pairs at the limit reach, of so many minhashes whose low bytes are compared."""
+    s, below = percent / 100 + (1 - percent / 100) / 256, 0.0
+    for k in range(hashes + 1):
+        below += comb(hashes, k) * s**k * (1 - s) ** (hashes - k)
+        if below > RULED_OUT:
+            return k
+    return hashes
+
+
+@dataclass(frozen=True)
+class Limit:
+    """The similarity from which on sets are linked, and what follows from it."""
+
+    percent: int = PERCENT
+
+    def __post_init__(self) -> None:
+        if not 0 < self.percent <= 100 or self.hashes > MOST_HASHES:
+            raise ValueError(f"no tables for a similarity of {self.percent} percent")
+
+    @cached_property
+    def side(self) -> int:
+        side, one = 1, 1 - (self.percent / 100) ** HALF
+        while 2 * one**side > MISSED:
+            side += 1
+        return side
+
+    @property
+    def hashes(self) -> int:
+        return 2 * self.side * HALF
+
+    @cached_property
+    def least_equal(self) -> int:
+        return _least_equal(self.hashes, self.percent)
+
+    @cached_property
+    def least_wide(self) -> int:
+        return _least_equal(WIDE, self.percent)
+
+
+USUAL = Limit()
+SIDE, HASHES, LEAST_EQUAL, LEAST_WIDE = USUAL.side, USUAL.hashes, USUAL.least_equal, USUAL.least_wide
 
 
 def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
@@ -102,45 +150,51 @@ def table_key(a: np.ndarray, b: np.ndarray, table: np.ndarray) -> np.ndarray:
 
 
 def table_keys(halves: np.ndarray) -> np.ndarray:
-    """(n, SIDE * SIDE) keys from (n, 2 * SIDE) collections."""
-    halves = halves.astype(np.uint64)
-    table = np.arange(SIDE * SIDE)
-    return table_key(halves[:, table // SIDE], halves[:, SIDE + table % SIDE], table[None, :])
+    """(n, side * side) keys from (n, 2 * side) collections."""
+    halves, side = halves.astype(np.uint64), halves.shape[1] // 2
+    table = np.arange(side * side)
+    return table_key(halves[:, table // side], halves[:, side + table % side], table[None, :])
 
 
 def first_common_key(one: np.ndarray, two: np.ndarray) -> np.ndarray:
     """Of pairs that share a table, the key of the first one; so a pair is tested once."""
-    same = one == two
-    i, j, at = same[:, :SIDE].argmax(axis=1), same[:, SIDE:].argmax(axis=1), np.arange(len(one))
-    return table_key(one[at, i].astype(np.uint64), one[at, SIDE + j].astype(np.uint64), i * SIDE + j)
+    same, side = one == two, one.shape[1] // 2
+    i, j, at = same[:, :side].argmax(axis=1), same[:, side:].argmax(axis=1), np.arange(len(one))
+    return table_key(one[at, i].astype(np.uint64), one[at, side + j].astype(np.uint64), i * side + j)
 
 
 SKETCHES = "doc_id {}, row long, n long, digest binary, halves array<long>, signature binary"
 
 
-def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch, texts in sliced(batches):
-        sets = shingle_sets(texts)
-        full = [k for k, s in enumerate(sets) if len(s)]
-        halves, signatures = [None] * len(sets), [None] * len(sets)
-        if full:
-            low = minhashes([sets[k] for k in full])
-            pairs = mixed(low[0::2] << np.uint64(32) | low[1::2]).view(np.int64).T
-            bytes_ = _low_bytes(low)
-            for place, k in enumerate(full):
-                halves[k], signatures[k] = pairs[place].tolist(), bytes_[place].tobytes()
-        digests = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
-        columns = [batch.column("doc_id"), batch.column("row"), pa.array([len(s) for s in sets], pa.int64())]
-        columns += [pa.array(digests, pa.binary()), pa.array(halves, pa.list_(pa.int64())), pa.array(signatures, pa.binary())]
-        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "row", "n", "digest", "halves", "signature"])
+def _sketched(limit: Limit):
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in sliced(batches):
+            sets = shingle_sets(texts)
+            full = [k for k, s in enumerate(sets) if len(s)]
+            halves, signatures = [None] * len(sets), [None] * len(sets)
+            if full:
+                low = minhashes([sets[k] for k in full], 0, limit.hashes)
+                pairs = mixed(low[0::2] << np.uint64(32) | low[1::2]).view(np.int64).T
+                bytes_ = _low_bytes(low)
+                for place, k in enumerate(full):
+                    halves[k], signatures[k] = pairs[place].tolist(), bytes_[place].tobytes()
+            digests = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
+            columns = [batch.column("doc_id"), batch.column("row"), pa.array([len(s) for s in sets], pa.int64())]
+            columns += [pa.array(digests, pa.binary()), pa.array(halves, pa.list_(pa.int64())), pa.array(signatures, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "row", "n", "digest", "halves", "signature"])
+
+    return sketch
 
 
 def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        if batch.num_rows:
-            halves = batch.column("halves").flatten().to_numpy().reshape(-1, 2 * SIDE)
-            keys = table_keys(halves).view(np.int64)
-            rows = np.repeat(batch.column("rep").to_numpy(), keys.shape[1])
+        if not batch.num_rows:
+            continue
+        halves = batch.column("halves").flatten().to_numpy().reshape(batch.num_rows, -1)
+        reps, step = batch.column("rep").to_numpy(), max(1, KEYS_AT_A_TIME // (halves.shape[1] // 2) ** 2)
+        for k in range(0, len(reps), step):
+            keys = table_keys(halves[k : k + step]).view(np.int64)
+            rows = np.repeat(reps[k : k + step], keys.shape[1])
             yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(rows)], names=["key", "rep"])
 
 
@@ -162,47 +216,47 @@ def _starred(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(a[others]) for a in (keys, hub, reps)], names=["key", "hub", "rep"])
 
 
-def _sizes_allow(one: np.ndarray, two: np.ndarray) -> np.ndarray:
-    return 100 * np.minimum(one, two) >= PERCENT * np.maximum(one, two)
+def _sizes_allow(one: np.ndarray, two: np.ndarray, limit: Limit) -> np.ndarray:
+    return 100 * np.minimum(one, two) >= limit.percent * np.maximum(one, two)
 
 
-def possible_pairs(group: Group) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def possible_pairs(group: Group, limit: Limit = USUAL) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs of different components that sizes and minhashes don't rule out, and that no earlier table has."""
     component, size, signature = group.component, group.size, group.signature
-    for a in _chunks(len(size)):
+    for a in _chunks(len(size), limit):
         rest = np.arange(a[0] + 1, len(size))
-        open_ = (component[a][:, None] != component[rest][None, :]) & _sizes_allow(size[a][:, None], size[rest][None, :])
+        open_ = (component[a][:, None] != component[rest][None, :]) & _sizes_allow(size[a][:, None], size[rest][None, :], limit)
         left, right = np.nonzero(open_ & (rest[None, :] > a[:, None]))
         for k in range(0, len(left), 1 << 19):
             x, y = a[left[k : k + (1 << 19)]], rest[right[k : k + (1 << 19)]]
-            same = (signature[x] == signature[y]).sum(axis=1) >= LEAST_EQUAL
+            same = (signature[x] == signature[y]).sum(axis=1) >= limit.least_equal
             x, y = x[same], y[same]
             own = first_common_key(group.halves[x], group.halves[y]) == group.key
             x, y = x[own], y[own]
             if group.wide is not None:
                 same = np.concatenate([
-                    (group.wide[x[k : k + 4096]] == group.wide[y[k : k + 4096]]).sum(axis=1) >= LEAST_WIDE
+                    (group.wide[x[k : k + 4096]] == group.wide[y[k : k + 4096]]).sum(axis=1) >= limit.least_wide
                     for k in range(0, max(1, len(x)), 4096)
                 ])
                 x, y = x[same], y[same]
             yield x, y
 
 
-def nearest_pairs(group: Group) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def nearest_pairs(group: Group, limit: Limit = USUAL) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Of pairs of different components, each member's with the ``NEAREST`` whose minhashes agree most."""
     component, size, signature = group.component, group.size, group.signature
-    for a in _chunks(len(size)):
+    for a in _chunks(len(size), limit):
         same = (signature[a][:, None, :] == signature[None, :, :]).sum(axis=2).astype(np.int16)
-        open_ = (component[a][:, None] != component[None, :]) & _sizes_allow(size[a][:, None], size[None, :])
+        open_ = (component[a][:, None] != component[None, :]) & _sizes_allow(size[a][:, None], size[None, :], limit)
         same[~open_] = 0
         order = np.argsort(-same, axis=1, kind="stable")[:, :NEAREST]
-        far = np.take_along_axis(same, order, 1) < LEAST_EQUAL
+        far = np.take_along_axis(same, order, 1) < limit.least_equal
         yield np.repeat(a, order.shape[1])[~far.ravel()], order.ravel()[~far.ravel()]
 
 
-def _chunks(n: int) -> Iterator[np.ndarray]:
+def _chunks(n: int, limit: Limit) -> Iterator[np.ndarray]:
     """Rows to compare with all at a time: as many as fit in 64 MB."""
-    step = max(1, min(128, (64 << 20) // max(1, n * HASHES)))
+    step = max(1, min(128, (64 << 20) // max(1, n * limit.hashes)))
     for start in range(0, n, step):
         yield np.arange(start, min(start + step, n))
 
@@ -220,17 +274,17 @@ class Group:
     wide: np.ndarray | None
 
 
-def _group(parts: list[pa.RecordBatch]) -> Group:
+def _group(parts: list[pa.RecordBatch], limit: Limit) -> Group:
     rows = pa.Table.from_batches(parts)
     number = lambda name: rows.column(name).to_numpy()
     bytes_ = lambda name, width: np.frombuffer(b"".join(rows.column(name).to_pylist()), np.uint8).reshape(-1, width)
-    halves = rows.column("halves").combine_chunks().flatten().to_numpy().reshape(-1, 2 * SIDE)
+    halves = rows.column("halves").combine_chunks().flatten().to_numpy().reshape(-1, 2 * limit.side)
     wide = None if rows.column("wide").null_count else bytes_("wide", WIDE)
     key = number("key")[:1].astype(np.int64).view(np.uint64)[0]
-    return Group(key, number("rep"), number("component"), number("n"), bytes_("signature", HASHES), halves, wide)
+    return Group(key, number("rep"), number("component"), number("n"), bytes_("signature", limit.hashes), halves, wide)
 
 
-def _crossed(nearest: bool):
+def _crossed(nearest: bool, limit: Limit):
     choose = nearest_pairs if nearest else possible_pairs
 
     def cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,8 +292,8 @@ def _crossed(nearest: bool):
         held: list[pa.RecordBatch] = []
 
         def pairs() -> Iterator[pa.RecordBatch]:
-            group = _group(held)
-            for x, y in choose(group):
+            group = _group(held, limit)
+            for x, y in choose(group, limit):
                 low, high = np.minimum(group.rep[x], group.rep[y]), np.maximum(group.rep[x], group.rep[y])
                 if len(x):
                     yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], names=["a", "b"])
@@ -262,15 +316,18 @@ def _crossed(nearest: bool):
     return cross
 
 
-def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        keep = []
-        for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
-            one, two = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            both = np.sort(np.concatenate([one, two]))
-            common = int(np.count_nonzero(both[1:] == both[:-1]))
-            keep.append(100 * common >= PERCENT * (len(both) - common))
-        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+def _confirmed(limit: Limit):
+    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
+                one, two = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                both = np.sort(np.concatenate([one, two]))
+                common = int(np.count_nonzero(both[1:] == both[:-1]))
+                keep.append(100 * common >= limit.percent * (len(both) - common))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return confirm
 
 
 def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -285,8 +342,8 @@ def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class _Corpus:
     """Texts by id, the classes with a member's id each, and whether some ids repeat."""
 
-    def __init__(self, source: DataFrame, classes: DataFrame, repeats: bool) -> None:
-        self.source, self.classes, self.repeats = source, classes, repeats
+    def __init__(self, source: DataFrame, classes: DataFrame, repeats: bool, limit: Limit) -> None:
+        self.source, self.classes, self.repeats, self.limit = source, classes, repeats, limit
 
     def full_sets(self, wanted: DataFrame) -> DataFrame:
         """(rep, shingles) of the classes in ``wanted`` (rep), computed anew from the texts."""
@@ -303,7 +360,7 @@ class _Corpus:
         sets = self.full_sets(pairs.select(F.col("a").alias("rep")).union(pairs.select("b")).distinct())
         left = sets.select(F.col("rep").alias("a"), F.col("shingles").alias("x"))
         right = sets.select(F.col("rep").alias("b"), F.col("shingles").alias("y"))
-        return mapped(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y"), _confirmed, "a long, b long")
+        return mapped(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y"), _confirmed(self.limit), "a long, b long")
 
     def crowd(self, reps: DataFrame) -> DataFrame:
         """(rep, wide signature) of those of ``reps`` that may be linked with another of them.
@@ -316,13 +373,13 @@ class _Corpus:
         own = spread.groupBy("shingle").agg(F.count("rep").alias("sets"), F.min("rep").alias("rep")).where("sets = 1")
         counts = own.groupBy("rep").agg(F.count("shingle").alias("own"))
         joined = counts.join(self.classes.select("rep", "n"), "rep")
-        alone = joined.where(f"100 * (n - own) < {PERCENT} * n").select("rep")
+        alone = joined.where(f"100 * (n - own) < {self.limit.percent} * n").select("rep")
         return written(mapped(sets.join(alone, "rep", "left_anti"), _widened, "rep long, wide binary"), "crowd")
 
 
 def _widened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch, raw in sliced(batches, "shingles"):
-        low = minhashes([np.frombuffer(r, np.uint64) for r in raw], HASHES, HASHES + WIDE)
+        low = minhashes([np.frombuffer(r, np.uint64) for r in raw], MOST_HASHES, MOST_HASHES + WIDE)
         wide = pa.array([row.tobytes() for row in _low_bytes(low)], pa.binary())
         yield pa.RecordBatch.from_arrays([batch.column("rep"), wide], names=["rep", "wide"])
 
@@ -354,25 +411,26 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", row_column: str | None = None
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", row_column: str | None = None, percent: int = PERCENT
 ) -> DataFrame:
     """doc_id, n_shingles, component_id, kept (doc_id is component_id), row and component of every document.
 
     ``component`` tells groups apart; it is null for a document that is alone.
     """
+    limit = Limit(percent)
     source = picked(docs, doc_id=id_column, text=text_column, **({"row": row_column} if row_column else {}))
     source = source.withColumn("doc_id", F.col("doc_id").cast("long"))
     rows = source if row_column else source.withColumn("row", F.monotonically_increasing_id())
-    sketches = written(mapped(rows, _sketched, SKETCHES.format("long")), "sketches")
+    sketches = written(mapped(rows, _sketched(limit), SKETCHES.format("long")), "sketches")
     classes = sketches.where("n > 0").groupBy("digest").agg(
         F.min("row").alias("rep"), F.min(F.coalesce("doc_id", F.lit(NO_ID))).alias("member"), F.min("doc_id").alias("least_id"),
         F.count("row").alias("size"), F.first("n").alias("n"), F.first("halves").alias("halves"), F.first("signature").alias("signature"),
     )
     classes = written(classes, "classes")
     repeats = sketches.groupBy("doc_id").count().where("count > 1").limit(1).count() > 0
-    corpus = _Corpus(source, classes, repeats)
+    corpus = _Corpus(source, classes, repeats, limit)
     keyed = mapped(classes.select("rep", "halves"), _keyed, "key long, rep long")
-    parts = partitions_for(classes, classes.count() * SIDE * SIDE, ROWS_PER_PARTITION)
+    parts = partitions_for(classes, classes.count() * limit.side**2, ROWS_PER_PARTITION)
     dealt = keyed.repartition(parts, "key").sortWithinPartitions("key", "rep")
     stars = written(mapped(dealt, _starred, "key long, hub long, rep long"), "stars")
 
@@ -402,7 +460,7 @@ def near_duplicates(
             rows = crowded if nearest else rows.where(F.col("members") <= CROWD).select("*", none).unionByName(crowded)
         if "wide" not in rows.columns:
             rows = rows.withColumn("wide", F.lit(None).cast("binary"))
-        crossed = mapped(_dealt(rows, classes, parts), _crossed(nearest), "a long, b long")
+        crossed = mapped(_dealt(rows, classes, parts), _crossed(nearest, limit), "a long, b long")
         pairs = written(crossed.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
         more = written(corpus.confirmed(pairs), "links")
         if more.limit(1).count():
@@ -431,10 +489,10 @@ def _dealt(rows: DataFrame, classes: DataFrame, parts: int) -> DataFrame:
     return named.repartition(parts, "group").sortWithinPartitions("group")
 
 
-def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", percent: int = PERCENT) -> DataFrame:
     """``docs`` with one document of each component: the one with the smallest id, the first of equals."""
     rows, row = numbered(docs, "numbered")
-    found = near_duplicates(rows, id_column, text_column, row).where("component IS NOT NULL")
+    found = near_duplicates(rows, id_column, text_column, row, percent).where("component IS NOT NULL")
     found = written(found.select("component", "doc_id", "row"), "in-components")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
     stay = found.groupBy("component").agg(F.min(order).getField("row").alias("stays"))

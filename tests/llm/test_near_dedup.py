@@ -128,3 +128,60 @@ def test_keep_one(odd):
 def test_empty(none):
     assert near_duplicates(none).count() == 0
     assert keep_one(none).count() == 0
+
+
+def test_limits():
+    usual, lower = near_dedup.Limit(85), near_dedup.Limit(80)
+    assert (usual.side, usual.least_equal, usual.least_wide) == (9, 19, 395)
+    assert 2 * (1 - 0.8**2) ** lower.side <= 2e-5
+    assert lower.least_equal / lower.hashes < usual.least_equal / usual.hashes and lower.least_wide < usual.least_wide
+    with pytest.raises(ValueError):
+        near_dedup.Limit(5)
+
+
+def between_the_limits() -> tuple[str, str]:
+    base = corpora.words(77, 120).split()
+    other = " ".join(base[:108]) + " " + corpora.words(78, 12)
+    share = len(shingles(" ".join(base)) & shingles(other)) / len(shingles(" ".join(base)) | shingles(other))
+    assert 0.80 <= share < 0.85
+    return " ".join(base), other
+
+
+def test_a_lower_limit_links_more(spark, rows):
+    source = [*enumerate(between_the_limits()), (2, corpora.words(5, 90))]
+    docs = corpora.documents(spark, source)
+    at = lambda percent: {r.doc_id for r in keep_one(docs, percent=percent).collect()}
+    assert at(85) == {0, 1, 2}
+    assert at(80) == {0, 2}
+
+
+@pytest.mark.parametrize("crowd", [3, 1000])
+def test_lower_limit_against_all_pairs(spark, rows, monkeypatch, crowd):
+    rng = random.Random(4)
+    texts, core = [], corpora.words(1, 150)
+    for family in range(12):
+        base = corpora.words(700 + family, 200)
+        texts += [base] + [edited(base, share, rng) for share in (0.01, 0.015, 0.02, 0.0225, 0.025, 0.03)]
+    for k in range(10):  # across pairs the similarity is 0.65
+        one = f"{core} {corpora.words(100 + k, 40)}"
+        texts += [one, edited(one, 0.02, rng)]
+    source = list(enumerate(texts))
+    monkeypatch.setattr(near_dedup, "CROWD", crowd)
+    found = near_duplicates(corpora.documents(spark, source), percent=80).select("doc_id", "n_shingles", "component_id", "kept")
+    assert rows(found) == expected_at(source, 80)
+
+
+def expected_at(rows, percent: int) -> list[tuple]:
+    sets = [shingles(t) for _, t in rows]
+    near = [[k for k, o in enumerate(sets) if 100 * len(s & o) >= percent * len(s | o)] for s in sets]
+    least = list(range(len(rows)))
+    for _ in rows:
+        least = [min(least[j] for j in near[k]) for k in range(len(rows))]
+    return sorted([(rows[k][0], len(sets[k]), rows[least[k]][0], least[k] == k) for k in range(len(rows))], key=repr)
+
+
+def test_the_stage_links_from_80_percent(spark):
+    import corpus_pipeline
+
+    docs = corpora.documents(spark, list(enumerate(between_the_limits())))
+    assert [r.doc_id for r in corpus_pipeline.near_copies(spark, docs, "").collect()] == [0]
