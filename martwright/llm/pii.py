@@ -3,9 +3,12 @@
 Base spans (e-mail, IP address, card and phone number) are found by rule. The
 tagger is a character-level bidirectional LSTM with CRF transitions over the
 tags outside, begin and inside. It is trained here, in numpy, on labelled spans:
-windows around the base spans of a bounded sample of documents (``LABELLED``),
-plus windows of those documents without any; a part of the spans is written in
-other ways that the rules miss but that mean the same. A whole text is cut into overlapping windows;
+windows around the base spans of a bounded sample of documents (``LABELLED``)
+that hold one, by the rules themselves, each kind in turn; plus windows around
+other numbers and places of theirs, and of ``NUMBERED`` documents that hold
+numbers but no span. From texts of any length, up to ``OF_A_KIND`` spans of each
+kind are taken. A part of the spans is written in other ways that the rules miss
+but that mean the same. A whole text is cut into overlapping windows;
 windows of a batch are tagged side by side, and each character takes its tag
 from the window in which it lies furthest from an edge. A tagged span is added
 if it holds an at sign, or passes the checks of a number of its kind (parts of
@@ -22,21 +25,24 @@ import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import zip_longest
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martwright.llm.common import mapped, picked, sliced
+from martwright.llm.common import mapped, picked, sliced, written
 
 KINDS = ("email", "ip", "card", "phone")
 LABELLED = 400
-HIDDEN = 4
+NUMBERED = 100
+OF_A_KIND = 8
+HIDDEN = 6
 WINDOW = 256
 OVERLAP = 48
 TRAINED_WINDOW = 64
-STEPS = 300
+STEPS = 600
 BATCH = 64
 RATE = 0.02
 SEED = 9
@@ -171,6 +177,7 @@ def _run(codes: np.ndarray, inputs: np.ndarray, recurrent: np.ndarray) -> tuple[
 def _run_back(codes, recurrent, kept, slope, inputs_slope, recurrent_slope) -> None:
     """Adds this direction's gradients, given those of its hidden states."""
     dh, dc = np.zeros(slope.shape[1:]), np.zeros(slope.shape[1:])
+    fed = np.empty((*codes.shape, recurrent.shape[1]))
     for t in range(len(codes) - 1, -1, -1):
         i, f, o, g, before, squashed, h_before = kept[t]
         dh = dh + slope[t]
@@ -178,9 +185,11 @@ def _run_back(codes, recurrent, kept, slope, inputs_slope, recurrent_slope) -> N
         gates = np.concatenate(
             [dc * g * i * (1 - i), dc * before * f * (1 - f), dh * squashed * o * (1 - o), dc * i * (1 - g**2)], axis=1
         )
-        np.add.at(inputs_slope, codes[t], gates)
+        fed[t] = gates
         recurrent_slope += h_before.T @ gates
         dh, dc = gates @ recurrent.T, dc * f
+    of_class = np.arange(CLASSES)[:, None] == codes.ravel()
+    inputs_slope += of_class.astype(np.float64) @ fed.reshape(-1, fed.shape[2])
 
 
 def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
@@ -252,36 +261,63 @@ def rewritten(value: str, kind: str, rng: np.random.Generator) -> str:
     return value.replace(".", " . ")
 
 
+def _regions(spans: list[Span]) -> list[tuple[int, str | None, int]]:
+    """Stretches that spans cover; the kind is None where spans overlap."""
+    out: list[tuple[int, str | None, int]] = []
+    for start, kind, end in spans:
+        if out and start < out[-1][2]:
+            out[-1] = (out[-1][0], None, max(end, out[-1][2]))
+        else:
+            out.append((start, kind, end))
+    return out
+
+
+def windows_of(text: str, rng: np.random.Generator) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(codes, tags) of windows around the text's spans, some of them rewritten, and around other places."""
+    spans = base_spans(text)
+    regions = _regions(spans)
+    chosen = []
+    for kind in (*KINDS, None):
+        own = [r for r in regions if r[1] == kind]
+        chosen += [own[k] for k in sorted(rng.permutation(len(own))[:OF_A_KIND].tolist())]
+    starts = np.array([a for a, _, _ in regions], np.int64)
+    numbers = np.array([m.start() for m in re.finditer("[0-9]+", text)], np.int64)
+    if len(numbers) and len(regions):
+        last = np.searchsorted(starts, numbers, side="right") - 1
+        numbers = numbers[(last < 0) | (numbers >= np.array([b for _, _, b in regions])[last])]
+    for k in range(1 + len(chosen)):
+        at = int(rng.integers(0, len(text) + 1))
+        if len(numbers) and k % 2 == 0:
+            at = int(numbers[rng.integers(0, len(numbers))])
+        if not any(a < at < b for a, _, b in regions):
+            chosen.append((at, None, at))
+    for start, kind, end in chosen:
+        value = text[start:end]
+        if kind and rng.random() < 0.4:
+            value = rewritten(value, kind, rng)
+        room = int(rng.integers(4, max(5, TRAINED_WINDOW - len(value) - 3)))
+        before = text[max(0, start - room) : start].rjust(room)
+        after = text[end : end + TRAINED_WINDOW].ljust(TRAINED_WINDOW)
+        tags = np.zeros(TRAINED_WINDOW, np.int64)
+        first = max(0, int(np.searchsorted(starts, start - room, side="right")) - 1)
+        for a, _, b in regions[first:]:  # the span itself and its neighbours
+            if a >= end + TRAINED_WINDOW:
+                break
+            moved = len(value) - (end - start)
+            low = room + a - start + (moved if a >= end and a > start else 0)
+            high = room + b - start + (moved if b >= end and b > start else 0)
+            if high > 0:
+                tags[max(0, low) : high] = INSIDE
+                if 0 <= low < TRAINED_WINDOW:
+                    tags[low] = BEGIN
+        yield coded((before + value + after)[:TRAINED_WINDOW]), tags
+
+
 def labelled_windows(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Windows around the spans, some of them rewritten, and others of the same texts; with their tags."""
+    """Windows of the texts with their tags."""
     rng = np.random.default_rng(SEED)
-    windows, tags = [], []
-    for text in texts:
-        spans = base_spans(text)
-        for start, kind, end in [*spans, *[(None, None, None)] * (1 + len(spans))]:
-            if start is None:
-                start = end = int(rng.integers(0, len(text) + 1))
-                value = ""
-                if any(a - TRAINED_WINDOW < start < b + TRAINED_WINDOW for a, _, b in spans):
-                    continue
-            else:
-                value = text[start:end]
-                if rng.random() < 0.4:
-                    value = rewritten(value, kind, rng)
-            if len(value) > TRAINED_WINDOW - 8:
-                continue
-            room = int(rng.integers(4, TRAINED_WINDOW - len(value) - 3))
-            before = text[max(0, start - room) : start].rjust(room)
-            after = text[end : end + TRAINED_WINDOW].ljust(TRAINED_WINDOW)
-            if kind and (base_spans(before) or base_spans(after)):
-                continue
-            window = (before + value + after)[:TRAINED_WINDOW]
-            tag = np.zeros(TRAINED_WINDOW, np.int64)
-            tag[room : room + len(value)] = INSIDE
-            if value:
-                tag[room] = BEGIN
-            windows.append(coded(window))
-            tags.append(tag)
+    found = [pair for text in texts for pair in windows_of(text, rng)]
+    windows, tags = [w for w, _ in found], [t for _, t in found]
     return np.array(windows, np.uint8).reshape(-1, TRAINED_WINDOW), np.array(tags, np.int64).reshape(-1, TRAINED_WINDOW)
 
 
@@ -416,16 +452,56 @@ def tagged_spans(text: str, tags: np.ndarray, taken: list[Span]) -> list[Span]:
 FOUND = "n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
 
 
+def _held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(o, place) of each kind of base span that a text holds; the last place is of texts with numbers only."""
+    for batch, raw in sliced(batches):
+        orders, places = [], []
+        for o, t in zip(batch.column("o").to_pylist(), raw, strict=True):
+            held = {KINDS.index(kind) for _, kind, _ in base_spans(t.decode())}
+            if not held and re.search(rb"[0-9]{3}", t):
+                held = {len(KINDS)}
+            orders += [o] * len(held)
+            places += sorted(held)
+        yield pa.RecordBatch.from_arrays([pa.array(orders, pa.int64()), pa.array(places, pa.int64())], names=["o", "place"])
+
+
+def _windowed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch, raw in sliced(batches):
+        for o, t in zip(batch.column("o").to_pylist(), raw, strict=True):
+            found = list(windows_of(t.decode(), np.random.default_rng([SEED, o & (2**63 - 1)])))
+            codes = b"".join(c.tobytes() for c, _ in found)
+            tags = b"".join(g.astype(np.uint8).tobytes() for _, g in found)
+            yield pa.RecordBatch.from_arrays([pa.array([o]), pa.array([codes]), pa.array([tags])], names=["o", "codes", "tags"])
+
+
+def sampled(texts: DataFrame) -> set[int]:
+    """Orders of the documents to learn from: in hash order, each kind of span in turn, and some with numbers only."""
+    held = written(mapped(texts.select("o", "text"), _held, "o long, place long"), "held-kinds")
+    first = [
+        [r.o for r in held.where(F.col("place") == place).select("o").distinct().orderBy("o").limit(most).collect()]
+        for place, most in enumerate([LABELLED] * len(KINDS) + [NUMBERED])
+    ]
+    chosen: dict[int, None] = {}
+    for turn in zip_longest(*first[:-1]):
+        for o in turn:
+            if o is not None and len(chosen) < LABELLED:
+                chosen[o] = None
+    return {*chosen, *first[-1]} if chosen else set()
+
+
 def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> Decoder | None:
-    """A tagger from at most ``LABELLED`` documents that hold a base span, in hash order."""
+    """A tagger from at most ``LABELLED`` documents that hold a base span, and ``NUMBERED`` with other numbers."""
     texts = picked(docs, doc_id=id_column, text=text_column)
-    likely = texts.where(r"text RLIKE '[0-9]@|[0-9]{3}[ .-]?[0-9]' AND length(text) < 20000")
-    order = F.xxhash64(F.col("doc_id").cast("string"), F.length("text"))
-    # First the hashes alone, so that no task sends more than the sample's texts.
-    last = likely.select(order.alias("o")).distinct().orderBy("o").limit(LABELLED).agg(F.max("o")).first()[0]
-    sample = [] if last is None else likely.where(order <= last).select("text", order.alias("o")).distinct().collect()
-    windows, tags = labelled_windows([r.text for r in sorted(sample, key=lambda r: (r.o, r.text))][:LABELLED])
-    return Decoder(train(windows, tags)) if tags.any() else None
+    texts = texts.withColumn("o", F.xxhash64(F.col("doc_id").cast("string"), "text"))
+    chosen = sampled(texts)
+    if not chosen:
+        return None
+    sample = texts.where(F.col("o").isin(*chosen)).select("o", "text").dropDuplicates(["o"])
+    # Windows alone leave the tasks, a bounded number of each text.
+    rows = sorted(mapped(sample, _windowed, "o long, codes binary, tags binary").collect(), key=lambda r: r.o)
+    windows = np.frombuffer(b"".join(r.codes for r in rows), np.uint8).reshape(-1, TRAINED_WINDOW)
+    tags = np.frombuffer(b"".join(r.tags for r in rows), np.uint8).reshape(-1, TRAINED_WINDOW)
+    return Decoder(train(windows, tags.astype(np.int64)))
 
 
 def spans_of(texts: list[str], decoder: Decoder | None) -> list[tuple[list[Span], list[Span]]]:

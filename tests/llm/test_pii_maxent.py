@@ -9,6 +9,7 @@ from collections import Counter
 import corpora
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from martwright.llm import maxent, pii
 
@@ -142,6 +143,33 @@ def test_nothing_personal(none, spark):
     assert pii.find(docs, None).collect()[0].spans == ""
 
 
+def test_sample_holds_spans_whatever_else_the_texts_hold(spark):
+    """Many numbers, few data: e-mails without digits, short addresses, and long texts."""
+    years = [(k, f"{corpora.words(k, 20)} in {1900 + k % 100} order {100000 + k}") for k in range(900)]
+    mails = [(1000 + k, f"{corpora.words(k, 20)} jo.doe@mail.example.org {corpora.words(k + 1, 5)}") for k in range(6)]
+    addresses = [(2000 + k, f"{corpora.words(k, 20)} 10.0.0.{k} {corpora.words(k + 1, 5)}") for k in range(6)]
+    long_ = [(3000, corpora.words(1, 5000) + " +1 (415) 555-0100 " + corpora.words(2, 5))]
+    assert len(long_[0][1]) > 20000
+    docs = corpora.documents(spark, [*years, *mails, *addresses, *long_]).withColumn("o", F.col("doc_id"))
+    chosen = pii.sampled(docs)
+    assert {i for i, _ in [*mails, *addresses, *long_]} <= chosen
+    assert len(chosen) == 13 + pii.NUMBERED
+    assert pii.fit(docs.where("doc_id < 900 OR doc_id = 3000")) is not None
+
+
+def test_windows_tag_neighbours_and_bound_long_texts():
+    text = "write to jo@mail.example.org or to ann@mail.example.org in 2019"
+    windows, tags = pii.labelled_windows([text] * 20)
+    assert len(windows) >= 60
+    codes = pii.coded("@")[0]
+    for window, tag in zip(windows, tags, strict=True):
+        assert tag[window == codes].all()
+    several = [t for t in tags if (t == pii.BEGIN).sum() == 2]
+    assert several
+    windows, _ = pii.labelled_windows(["jo@mail.example.org " * 5000])
+    assert len(windows) <= 2 * pii.OF_A_KIND + 1
+
+
 def held(doc) -> bool:
     return zlib.crc32(b"" if doc is None else str(doc).encode()) % 7 == 2
 
