@@ -10,9 +10,10 @@ numbers but no span. From texts of any length, up to ``OF_A_KIND`` spans of each
 kind are taken. A part of the spans is written in other ways that the rules miss
 but that mean the same. A whole text is cut into overlapping windows;
 windows of a batch are tagged side by side, and each character takes its tag
-from the window in which it lies furthest from an edge. A tagged span is added
-if it holds an at sign, or passes the checks of a number of its kind (parts of
-an address, checksum of a card), and touches no base span.
+from the window in which it lies furthest from an edge. Base spans are cut out
+of a tagged stretch; what remains is added if it holds an at sign, or passes the
+checks of a number of its kind: four parts of an address, checksum of a card, or
+7 to 15 digits of a phone number, grouped or not.
 
 Positions are in code points, ends exclusive. Null text counts as empty: no
 spans. Repeated rows are searched each for itself; an empty table gives an empty
@@ -46,7 +47,7 @@ STEPS = 600
 BATCH = 64
 RATE = 0.02
 SEED = 9
-MIN_DIGITS = 7
+MIN_DIGITS, MAX_DIGITS = 7, 15
 OUTSIDE, BEGIN, INSIDE = 0, 1, 2
 
 LOCAL = re.compile(r"[A-Za-z0-9._%+-]*\Z")
@@ -56,6 +57,7 @@ IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 NO_DIGIT = re.compile(r"[^0-9]+")
+SPACED_IP = re.compile(r"[0-9]+(\s*\.\s*[0-9]+){3}")
 LOCAL_CHARACTERS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
 Span = tuple[int, str, int]  # start, kind, end
@@ -414,38 +416,47 @@ def _kind(value: str) -> str | None:
         return "email"
     groups = re.findall("[0-9]+", value)
     digits = "".join(groups)
+    if len(groups) == 4 and SPACED_IP.fullmatch(value) and all(len(g) <= 3 and int(g) <= 255 for g in groups):
+        return "ip"
     if 2 * len(digits) < len(value):
         return None
-    if len(groups) == 4 and value.count(".") == 3 and all(len(g) <= 3 and int(g) <= 255 for g in groups):
-        return "ip"
     if 12 <= len(digits) <= 19 and luhn(digits):
         return "card"
-    return "phone" if MIN_DIGITS <= len(digits) <= 11 and len(groups) > 1 else None
+    return "phone" if MIN_DIGITS <= len(digits) <= MAX_DIGITS else None
+
+
+def _remainders(start: int, end: int, taken: list[Span]) -> Iterator[tuple[int, int]]:
+    """What is left of a stretch once the base spans, sorted by start, are cut out."""
+    for a, _, b in taken:
+        if a >= end:
+            break
+        if b > start:
+            if a > start:
+                yield start, a
+            start = b
+    yield start, end
 
 
 def tagged_spans(text: str, tags: np.ndarray, taken: list[Span]) -> list[Span]:
-    """Tagged spans that look like a datum and touch no base span."""
+    """Tagged spans that look like a datum, outside the base spans."""
     found = []
     inside = np.flatnonzero(tags)
     if not len(inside):
         return []
     heads = inside[np.r_[True, (np.diff(inside) > 1) | (tags[inside[1:]] == BEGIN)]]
-    for k, start in enumerate(heads.tolist()):
+    for k, head in enumerate(heads.tolist()):
         limit = int(heads[k + 1]) if k + 1 < len(heads) else len(text)
-        end = start + 1
-        while end < limit and tags[end]:
-            end += 1
-        while start < end and not (text[start].isalnum() or text[start] in "+("):
-            start += 1
-        while end > start and not text[end - 1].isalnum():
-            end -= 1
-        value = text[start:end]
-        digits = len(NO_DIGIT.sub("", value))
-        if any(a < end and start < b for a, _, b in taken):
-            continue
-        kind = _kind(value)
-        if kind:
-            found.append((start, kind, end))
+        tail = head + 1
+        while tail < limit and tags[tail]:
+            tail += 1
+        for start, end in _remainders(head, tail, taken):
+            while start < end and not (text[start].isalnum() or text[start] in "+("):
+                start += 1
+            while end > start and not text[end - 1].isalnum():
+                end -= 1
+            kind = _kind(text[start:end])
+            if kind:
+                found.append((start, kind, end))
     return found
 
 

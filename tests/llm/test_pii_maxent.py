@@ -170,6 +170,27 @@ def test_windows_tag_neighbours_and_bound_long_texts():
     assert len(windows) <= 2 * pii.OF_A_KIND + 1
 
 
+@pytest.mark.parametrize("value, kind", [
+    ("0044 20 7946 0958", "phone"), ("4155550100", "phone"), ("(415) 555-0100", "phone"), ("123456", None), ("1234567890123456", None),
+    ("10 . 0 . 0 . 1", "ip"), ("300 . 0 . 0 . 1", None), ("4111.1111.1111.1111", "card"), ("jo @ mail.example.org", "email"),
+])
+def test_tagged_stretches(value, kind):
+    text = f"call {value} now"
+    tags = np.zeros(len(text), np.uint8)
+    tags[5 : 5 + len(value)] = pii.INSIDE
+    assert pii.tagged_spans(text, tags, []) == ([(5, kind, 5 + len(value))] if kind else [])
+
+
+def test_base_spans_are_cut_out_of_a_tagged_stretch():
+    text = "415-555-0100 jo@mail.example.org 4155550101"
+    base = pii.base_spans(text)
+    assert [text[a:b] for a, _, b in base] == ["jo@mail.example.org"]
+    added = pii.tagged_spans(text, np.full(len(text), pii.INSIDE, np.uint8), base)
+    assert [(k, text[a:b]) for a, k, b in added] == [("phone", "415-555-0100"), ("phone", "4155550101")]
+    nested = [(2, "card", 20), (4, "phone", 8)]
+    assert list(pii._remainders(0, 30, nested)) == [(0, 2), (20, 30)]
+
+
 def held(doc) -> bool:
     return zlib.crc32(b"" if doc is None else str(doc).encode()) % 7 == 2
 
