@@ -39,7 +39,7 @@ KINDS = ("email", "ip", "card", "phone")
 LABELLED = 400
 NUMBERED = 100
 OF_A_KIND = 8
-HIDDEN = 6
+HIDDEN = 8
 WINDOW = 256
 OVERLAP = 48
 TRAINED_WINDOW = 64
