@@ -69,6 +69,30 @@ def without(docs: DataFrame, row: str, dropped: DataFrame) -> DataFrame:
     return docs.join(gone, row, "left_anti").drop(row)
 
 
+# Groups that a join may broadcast. Their rows must be of fixed width, a few longs each.
+HELD_GROUPS = 1_000_000
+
+
+def held(groups: DataFrame) -> bool:
+    """Whether ``groups``, written, may be broadcast."""
+    return groups.count() <= HELD_GROUPS
+
+
+def matched(rows: DataFrame, groups: DataFrame, keys: list[str], weight: str, total: int) -> DataFrame:
+    """``rows`` joined with ``groups`` (written, one line a key; ``weight`` of the ``total`` rows have it).
+
+    Groups are broadcast if their count allows it. Beyond that only those with a
+    share of 1 / ``HELD_GROUPS`` or more are, which no more than ``HELD_GROUPS``
+    can have; the others are joined by shuffle, where none of them is hot.
+    """
+    if held(groups):
+        return rows.join(F.broadcast(groups), keys)
+    share = F.col(weight).cast("decimal(38,0)") * HELD_GROUPS
+    hot, rest = groups.where(share >= total), groups.where(share < total)
+    others = rows.join(F.broadcast(hot.select(keys)), keys, "left_anti")
+    return rows.join(F.broadcast(hot), keys).unionByName(others.join(rest.hint("merge"), keys))
+
+
 def partitions_for(df: DataFrame, rows: int, rows_each: int) -> int:
     """Partitions with at most about ``rows_each`` rows each, and no fewer than the session's."""
     session = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martwright.llm import maxent, pii, quality, urls
+from martwright.llm.collocations import collocations
 from martwright.llm.common import shared_path, table
 from martwright.llm.exact_dedup import exact_dedup
 from martwright.llm.near_dedup import near_duplicates
@@ -106,3 +107,43 @@ def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_near_dedup")
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).drop("row", "component")
+
+
+@query(
+    "op13_phrase_collocations",
+    f"""
+    WITH pieces AS (
+        SELECT row_number() OVER () AS piece, *
+        FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({LOWERED}, '[.,;:!?\\x0A-\\x0D]')) AS body FROM documents)),
+    words AS (
+        SELECT piece, lang, unnest(w) AS word, generate_subscripts(w, 1) AS i
+        FROM (SELECT piece, lang, list_filter(regexp_split_to_array(body, '[ \\t]+'), lambda x: x <> '') AS w FROM pieces)),
+    places AS (
+        SELECT lang, word AS x, lead(word) OVER g AS y, lead(word, 2) OVER g AS z
+        FROM words WINDOW g AS (PARTITION BY piece ORDER BY i)),
+    f AS (
+        SELECT lang, 1 AS k, [x] AS ws, x AS p, count(*) AS a FROM places GROUP BY ALL UNION ALL
+        SELECT lang, 2, [x, y], concat_ws(' ', x, y), count(*) FROM places WHERE y IS NOT NULL GROUP BY ALL UNION ALL
+        SELECT lang, 3, [x, y, z], concat_ws(' ', x, y, z), count(*) FROM places WHERE z IS NOT NULL GROUP BY ALL),
+    totals AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+    cut AS (
+        SELECT lang, k, p, a, j, array_to_string(ws[1 : j], ' ') AS head, array_to_string(ws[j + 1 :], ' ') AS tail
+        FROM f, (VALUES (1), (2)) AS t(j) WHERE k > j AND a >= 10),
+    cuts AS (
+        SELECT cut.lang, cut.k, cut.p, cut.a, x.a AS l, y.a AS r, j,
+               (1000000::HUGEINT * cut.a * cut.a // (x.a::HUGEINT * y.a))::BIGINT AS score
+        FROM cut JOIN f AS x ON x.lang = cut.lang AND x.p = head JOIN f AS y ON y.lang = cut.lang AND y.p = tail),
+    lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, j) = 1),
+    covers AS (
+        SELECT lang, part, max(a) AS most
+        FROM (SELECT lang, a, unnest([array_to_string(ws[1 : 2], ' '), array_to_string(ws[2 : 3], ' ')]) AS part FROM f WHERE k = 3 AND a >= 10)
+        GROUP BY ALL),
+    ranked AS (
+        SELECT lowest.*, p AS phrase, row_number() OVER (PARTITION BY lowest.lang ORDER BY score DESC, a DESC, p) AS rank
+        FROM lowest LEFT JOIN covers ON covers.lang = lowest.lang AND covers.part = lowest.p
+        WHERE most IS NULL OR 100 * most < 50 * a)
+    SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+    """,
+)
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
