@@ -17,6 +17,7 @@ from martwright.llm.packing import pack
 from martwright.llm.pieces import piece_digests
 from martwright.llm.token_counts import count_tokens
 from martwright.llm.token_files import read_token_files, write_token_files
+from martwright.llm.vector_codes import vector_codes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -109,6 +110,47 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).drop("row", "component")
 
 
+def _assigned(step: int) -> str:
+    """DuckDB: each part's nearest entry of codebooks c<step>; distance and index in one number."""
+    return f"""a{step} AS (
+        SELECT id, q, min(list_sum(list_transform(range(1, len(x.w) + 1), lambda i: (x.w[i] - c.w[i]) * (x.w[i] - c.w[i])))::BIGINT * 64 + e) AS m
+        FROM x JOIN c{step} AS c USING (q) GROUP BY id, q)"""
+
+
+def _replaced(step: int) -> str:
+    """DuckDB: codebooks after assignment a<step>: floors of means, unused entries as they were."""
+    return f"""s{step} AS (
+        SELECT q, e, list(((t - ((t % n) + n) % n) // n)::BIGINT ORDER BY i) AS w
+        FROM (SELECT q, m % 64 AS e, i, sum(x.w[i])::BIGINT AS t, count(*)::BIGINT AS n
+              FROM x JOIN a{step} USING (id, q), (SELECT unnest(range(1, (SELECT max(len(w)) FROM x) + 1)) AS i) GROUP BY ALL)
+        GROUP BY q, e),
+    c{step + 1} AS (SELECT c.q, c.e, coalesce(s.w, c.w) AS w FROM c{step} AS c LEFT JOIN s{step} AS s ON s.q = c.q AND s.e = c.e)"""
+
+
+@query(
+    "op12_vector_codes",
+    f"""
+    WITH kept AS (
+        SELECT row_number() OVER (ORDER BY vec_id) - 1 AS id, vec_id, label,
+               list_transform(embedding, lambda v: floor(256 * v::DOUBLE)::BIGINT) AS v
+        FROM embeddings
+        WHERE len(embedding) > 0 AND list_bool_and(list_transform(embedding, lambda v: v IS NOT NULL AND isfinite(v)))),
+    x AS MATERIALIZED (
+        SELECT id, q, v[q * (len(v) // 16) + 1 : (q + 1) * (len(v) // 16)] AS w FROM kept, (SELECT unnest(range(16)) AS q)),
+    c0 AS (SELECT q, id AS e, w FROM x WHERE id < 64),
+    {_assigned(0)}, {_replaced(0)}, {_assigned(1)}, {_replaced(1)}, {_assigned(2)},
+    coded AS (
+        SELECT id, string_agg(printf('%02x', m % 64), '' ORDER BY q) AS code, sum(m // 64)::BIGINT AS error
+        FROM a2 GROUP BY id)
+    SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
+           (SELECT sha256(string_agg(array_to_string(w, ','), ',' ORDER BY q, e)) FROM c2) AS codebooks_sha256
+    FROM kept JOIN coded USING (id)
+    """,
+)
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes(table(spark, sf_dir, "embeddings"))
+
+
 @query(
     "op13_phrase_collocations",
     f"""
