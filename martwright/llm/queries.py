@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martwright.llm import maxent, pii, quality, urls
+from martwright.llm import maxent, neighbours, pii, quality, urls
 from martwright.llm.collocations import collocations
 from martwright.llm.common import shared_path, table
 from martwright.llm.exact_dedup import exact_dedup
@@ -110,6 +110,14 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).drop("row", "component")
 
 
+@query("op11_neighbour_quality")
+def op11_neighbour_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 3 == 1
+    scored = neighbours.score(docs, neighbours.fit(docs, labels.where(~held_out)))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def _assigned(step: int) -> str:
     """DuckDB: each part's nearest entry of codebooks c<step>; distance and index in one number."""
     return f"""a{step} AS (
