@@ -196,7 +196,8 @@ class Neighbours:
         least = np.partition(cosines, last, axis=1)[:, last : last + 1]
         votes = np.where(cosines >= least, np.maximum(cosines, 0), 0).astype(np.float64) ** SHARPNESS
         total = votes.sum(axis=1)
-        return np.where(total > 0, votes @ self.good / np.where(total > 0, total, 1), self.prior)
+        shares = np.minimum(votes @ self.good / np.where(total > 0, total, 1), 1)
+        return np.where(total > 0, shares, self.prior)
 
     def scores(self, counts: np.ndarray) -> np.ndarray:
         return self.vote(unit(weights(counts, self.inverse) @ self.axes))

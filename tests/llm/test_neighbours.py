@@ -1,0 +1,91 @@
+from __future__ import annotations
+
+import corpora
+import numpy as np
+
+from martwright.llm import neighbours
+
+
+def labels(spark, rows):
+    return spark.createDataFrame(list(rows), "doc_id long, quality int, toxic int")
+
+
+def trained(spark, rows, known):
+    frame = corpora.documents(spark, rows).repartition(3)
+    return frame, neighbours.fit(frame, labels(spark, known))
+
+
+def mixed_texts(n=400):
+    """One in four is poor in one of two ways: symbols on every word, or words again and again."""
+    def poor(k):
+        ws = corpora.words(k, 60).split()
+        return " ".join(f"{w}%%%" for w in ws) if k % 8 else " ".join(w for w in ws[:8] for _ in range(9))
+
+    return [(k, corpora.words(1000 + k, 80) if k % 4 else poor(k)) for k in range(n)]
+
+
+def test_held_out_accuracy(spark):
+    rows = mixed_texts()
+    frame, model = trained(spark, rows, [(k, int(k % 4 > 0), 0) for k in range(400) if k % 10 < 6])
+    found = {r.doc_id: r for r in neighbours.score(frame, model).collect()}
+    held = [k for k in range(400) if k % 10 >= 6]
+    assert np.mean([found[k].predicted == (k % 4 > 0) for k in held]) > 0.97
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in found.values())
+
+
+def test_votes_are_exact():
+    rng = np.random.default_rng(1)
+    vectors, good = neighbours.unit(rng.normal(size=(90, 5))), rng.integers(0, 2, 90).astype(float)
+    vectors[7], good[7] = vectors[3], 1 - good[3]  # a tie in similarity
+    model = neighbours.Neighbours(np.zeros(0), np.zeros(0), vectors, good)
+    asked = neighbours.unit(np.concatenate([rng.normal(size=(40, 5)), vectors[3:4], np.zeros((1, 5))]))
+    for vector, score in zip(asked, model.vote(asked), strict=True):
+        cosines = vectors @ vector
+        near = cosines >= np.sort(cosines)[-neighbours.NEIGHBOURS]
+        votes = np.where(near & (cosines > 0), cosines, 0) ** neighbours.SHARPNESS
+        assert np.isclose(score, votes @ good / votes.sum() if votes.sum() else good.mean())
+
+
+def test_axes_are_the_leading_ones(spark):
+    """The subspace holds nearly as much of the sample's weights as the best one of its size."""
+    rows = mixed_texts(200)
+    _, model = trained(spark, rows, [(k, int(k % 4 > 0), 0) for k, _ in rows])
+    matrix = neighbours.weights(neighbours.term_counts([t.encode() for _, t in rows]), model.inverse)
+    best = (np.linalg.svd(matrix, compute_uv=False)[: neighbours.DIMENSIONS] ** 2).sum()
+    assert ((matrix @ model.axes) ** 2).sum() > 0.95 * best
+    assert np.allclose(model.axes.T @ model.axes, np.eye(neighbours.DIMENSIONS), atol=1e-4)
+
+
+def test_inverse_frequencies_count_all_documents(spark):
+    rows = [(1, "abc abc"), (2, "ABC"), (3, None), (4, "xyz")]
+    inverse = neighbours.inverse_frequencies(corpora.documents(spark, rows).repartition(3))
+    counts = neighbours.term_counts([(t or "").encode() for _, t in rows])
+    assert np.allclose(inverse, np.log(5 / (1 + (counts > 0).sum(axis=0))), atol=1e-6)
+
+
+def test_terms_of_a_text():
+    one = neighbours.term_counts([b"Ab c", b"", b"xy", b"ab c"])
+    assert (one[0] == one[3]).all()
+    assert one[0, : neighbours.BUCKETS].sum() == 2 and one[2, : neighbours.BUCKETS].sum() == 0
+    assert one[1].sum() == 0 and one[0, neighbours.BUCKETS :].sum() == neighbours.MEASURES
+
+
+def test_odd_rows(spark, odd, none):
+    known = labels(spark, [(4, 1, 0), (5, 0, 0), (5, 1, 0), (14, 1, 0), (15, 1, 0), (None, 1, 0), (1, None, 0), (99, 1, 0)])
+    model = neighbours.fit(odd, known)
+    assert sorted(model.good.tolist()) == [0, 1, 1, 1, 1]  # 4 is there twice, 5 counts as poor
+    found = neighbours.score(odd, model).collect()
+    assert len(found) == len(corpora.odd_rows())
+    scores = {r.doc_id: r.score for r in found if r.doc_id is not None}
+    assert scores[2] == scores[1] == model.prior
+    assert len({r.score for r in found if r.doc_id == 4}) == 1
+    assert {r.score for r in neighbours.score(odd, neighbours.fit(odd, known.limit(0))).collect()} == {0.5}
+    assert neighbours.score(none, neighbours.fit(none, known)).collect() == []
+    assert neighbours.score(odd, neighbours.fit(none, known)).count() == len(corpora.odd_rows())
+
+
+def test_repeatable(spark):
+    rows, known = mixed_texts(120), [(k, int(k % 4 > 0), 0) for k in range(120)]
+    _, one = trained(spark, rows, known)
+    two = neighbours.fit(corpora.documents(spark, rows[::-1]).repartition(7), labels(spark, known))
+    assert (one.axes == two.axes).all() and (one.vectors == two.vectors).all() and (one.good == two.good).all()
