@@ -49,9 +49,10 @@ ENDS = b".,;:!?\n\x0b\x0c\r"
 # A byte that UTF-8 never has stands for each of them.
 END = b"\xff"
 TO_END = bytes.maketrans(ENDS, END * len(ENDS))
-# Words, and pairs, that a task counts before it hands the counts on.
-WORDS_AT_A_TIME = 500_000
-PAIRS_AT_A_TIME = 2_000_000
+# Words, and pairs, that a task counts before it hands the counts on, and slots it joins at a time.
+WORDS_AT_A_TIME = 250_000
+PAIRS_AT_A_TIME = 1_000_000
+SLOTS_AT_A_TIME = 500_000
 SLOT, WORD = 0, 1
 
 TOKENS = "kind int, row long, slots array<long>, word long, lang string, text string, n long"
@@ -113,6 +114,17 @@ def _rows(kind: int, **columns: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([columns.get(k, pa.nulls(size, t)) for k, t in types.items()], names=list(types))
 
 
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Slices of whole lines with at most about ``SLOTS_AT_A_TIME`` slots."""
+    for batch in batches:
+        ends, start = batch.column("slots").offsets.to_numpy(), 0
+        while start < batch.num_rows:
+            stop = int(np.searchsorted(ends, ends[start] + SLOTS_AT_A_TIME, side="right")) - 1
+            stop = min(max(stop, start + 1), batch.num_rows)
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
 def _joined(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The merge join of a batch of the relation with itself: line and place of each pair, and its two keys."""
     lengths = np.diff(batch.column("slots").offsets.to_numpy())
@@ -128,7 +140,7 @@ def _hashed(left: np.ndarray, right: np.ndarray, seed: int) -> np.ndarray:
 
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(row, place, left, right) of all pairs."""
-    for batch in batches:
+    for batch in _cut(batches):
         line, place, left, right = _joined(batch)
         row = batch.column("row").to_numpy()[line]
         columns = [row, place.astype(np.int32), left, right]
@@ -138,7 +150,7 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _pair_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(left, right, n), counted over some of the task's pairs at a time."""
     parts, size = [], 0
-    for batch in batches:
+    for batch in _cut(batches):
         parts.append(_joined(batch)[2:])
         size += len(parts[-1][0])
         if size >= PAIRS_AT_A_TIME:
@@ -180,7 +192,7 @@ class _Lookup:
 
 def _found(lookup: _Lookup) -> Callable:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _cut(batches):
             line, place, left, right = _joined(batch)
             starts, _ = ragged(lengths := np.diff(batch.column("slots").offsets.to_numpy()))
             slots = np.zeros(int(lengths.sum()), np.int64)
@@ -194,7 +206,7 @@ def _only(words: np.ndarray) -> Callable:
     """The relation of words without those not in ``words`` (sorted)."""
 
     def only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _cut(batches):
             slots = batch.column("slots").flatten().to_numpy().copy()
             at = np.minimum(np.searchsorted(words, slots), len(words) - 1)
             slots[words[at] != slots] = 0

@@ -89,6 +89,17 @@ def test_keys_that_are_not_one_to_one_take_another_seed(spark, monkeypatch):
         assert unique(spark.createDataFrame([(k,) for k in keys], "key long")) == good
 
 
+def test_slices_hold_whole_lines(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(collocations, "SLOTS_AT_A_TIME", 4)
+    lines = [[], [1], [2, 3, 4], [5] * 9, [], [6], [7, 8], [9, 9, 9]]
+    batch = pa.RecordBatch.from_pydict({"row": list(range(8)), "slots": pa.array(lines, pa.list_(pa.int64()))})
+    parts = list(collocations._cut([batch, batch.slice(0, 0), batch.slice(2, 3)]))
+    assert [x for p in parts for x in p.column("slots").to_pylist()] == lines + lines[2:5]
+    assert all(p.num_rows == 1 or sum(map(len, p.column("slots").to_pylist())) <= 4 for p in parts)
+
+
 def test_pairs_that_share_a_hash_are_told_apart(monkeypatch):
     import numpy as np
     import pyarrow as pa
