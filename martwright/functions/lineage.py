@@ -45,15 +45,18 @@ def add_lineage(
 def file_name_of(path: Column) -> Column:
     """A path's base name, after its partition folders if it has any: ``dt=1/part-0.csv``.
 
-    So files of one name in two partition folders stay apart.
+    So files of one name in two partition folders stay apart. Only a path with
+    such folders is searched, from its start, folder by folder.
     """
-    return F.regexp_extract(path, r"((?:[^/=]+=[^/]*/)*[^/]+)$", 1)
+    foldered = F.regexp_extract(path, r"^(?:[^/]*/)*?((?:[^/=]+=[^/]*/)*[^/]+)$", 1)
+    return F.when(F.contains(path, F.lit("=")), foldered).otherwise(F.substring_index(path, "/", -1))
 
 
 def scanned_file_name() -> Column:
     """Each row's file name as listed; the scan reports it percent-encoded."""
-    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    return file_name_of(path)
+    path = F.col("_metadata.file_path")
+    decoded = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    return F.when(F.contains(path, F.lit("%")), file_name_of(decoded)).otherwise(file_name_of(path))
 
 
 def stringify(df: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Iterable
 from dataclasses import astuple, dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martwright.functions.lineage import SOURCE_FILE, quoted
@@ -86,7 +86,9 @@ def rejected_records(
     """Rejected rows in the shape of the central rejected-records table.
 
     Each row keeps the file it came from; ``source_file_name`` is for rows
-    without lineage. NULL fields are absent from ``raw_record``.
+    without lineage. NULL fields are absent from ``raw_record``. An id follows
+    from what the reject says of which row, not from the run that finds it: a load
+    that is validated again gives the same ids, and rows alike in all share one.
     """
     if SOURCE_FILE in rejected.columns:
         file_name = F.col(SOURCE_FILE)
@@ -94,7 +96,7 @@ def rejected_records(
         file_name = F.lit(source_file_name)
     expected = "expected_data_type" if "expected_data_type" in rejected.columns else "failed_rule"
     values = {
-        "rejection_id": F.uuid(),
+        "rejection_id": _content_id(stage, table_name, source_name, expected, rejected.columns),
         "run_id": F.lit(run_id),
         "pipeline_stage": F.lit(stage),
         "table_name": F.lit(table_name),
@@ -109,6 +111,16 @@ def rejected_records(
     )
 
 
+def _content_id(stage: str, table_name: str, source_name: str, expected: str, columns: list[str]) -> Column:
+    """36 characters in the form of a UUID."""
+    said = ("failed_column", expected, "actual_value", "rejection_reason")
+    record = F.to_json(F.struct(*[F.col(quoted(c)) for c in columns]))
+    content = F.to_json(F.array(F.lit(stage), F.lit(table_name), F.lit(source_name), *[F.col(c).cast("string") for c in said], record))
+    digest = F.sha2(content, 256)
+    parts = [F.substring(digest, start, length) for start, length in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
+    return F.concat_ws("-", *parts)
+
+
 def log_rejected(rejected: DataFrame | None, table: str, **details: str | None) -> None:
     """Append to the rejected-records table; an empty frame adds no rows."""
     if rejected is not None:
