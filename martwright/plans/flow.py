@@ -13,32 +13,47 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import date, datetime, timedelta
+from functools import reduce
 from itertools import batched
 from threading import Lock
 from urllib.parse import unquote, urlsplit
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from martwright.functions.enrich import enrich
-from martwright.functions.lineage import INGESTED_ON, RUN_ID, SOURCE_FILE
+from martwright.functions.lineage import INGESTED_ON, RUN_ID, SOURCE_FILE, quoted
 from martwright.operators.bronze import to_bronze
 from martwright.operators.quality import quality_split
 from martwright.operators.schema import SchemaDiff, schema_diff
-from martwright.operators.staging import stage
+from martwright.operators.staging import broadcast_within, stage
 from martwright.operators.typing import Field, as_fields, typed_split
 from martwright.plans.marts import MARTS, over_master
 from martwright.plans.star import sales_master, star
 from martwright.sinks.audit import RunEntry, log_runs, log_schema_checks, rejected_records
-from martwright.sinks.tables import add_missing_columns, load_mode, upsert, write_table
+from martwright.sinks.tables import (
+    BUCKET,
+    BUCKETS,
+    add_missing_columns,
+    load_mode,
+    overwrite_in_buckets,
+    partition_columns,
+    repoint_partition,
+    upsert,
+    write_table,
+)
 from martwright.sources.files import scan_landing, union_scans
 from martwright.sources.listing import (
+    FILE_KEY,
     LOADED,
     STARTED,
     VALIDATED,
+    VALIDATING,
+    compacted,
     interrupted,
     landed_after_all,
     ledger_rows,
@@ -55,6 +70,9 @@ SUCCESS, PARTIAL, FAILED = "SUCCESS", "PARTIAL_SUCCESS", "FAILED"
 # Sources, or marts, whose jobs run side by side.
 SIDE_BY_SIDE = 4
 
+# Ledger lines that a source may have for each file before they are compacted.
+LINES_PER_FILE = 2
+
 # Paths one scan names; a larger delivery is loaded by several scans.
 FILES_PER_SCAN = 20_000
 
@@ -93,10 +111,11 @@ class Flow:
         log_runs(self.spark, entries, self.audit("pipeline_run_log"))
 
 
-def counted_write(df: DataFrame, name: str, mode: str, keys: list[str] | None = None, **how) -> int:
+def counted_write(df: DataFrame, name: str, mode: str, keys: list[str] | None = None, buckets: int = 0, **how) -> int:
     """Write and return the number of rows, observed on the way.
 
-    A merge into a table that lacks some of the columns adds them first.
+    A merge into a table that lacks some of the columns adds them first. A table
+    with keys and without partitions is made in ``buckets``, if there are to be any.
     """
     spark = df.sparkSession
     if mode == "merge" and spark.catalog.tableExists(full_name(spark, name)):
@@ -104,7 +123,10 @@ def counted_write(df: DataFrame, name: str, mode: str, keys: list[str] | None =
         return upsert(df, full_name(spark, name), keys or [])
     seen = Observation()
     counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    write_table(counted, name, "overwrite" if mode == "merge" else mode, **how)
+    if mode != "append" and keys and buckets and not how.get("partition_by"):
+        overwrite_in_buckets(counted, name, keys, buckets)
+    else:
+        write_table(counted, name, "overwrite" if mode == "merge" else mode, **how)
     return seen.get["rows"]
 
 
@@ -163,6 +185,7 @@ def _ingest_source(flow: Flow, source: Row) -> list[RunEntry]:
             done, bad = _load(flow, source, files)
             loaded.extend(done)
             failed.extend(bad)
+        _compact_ledger(flow, source)
         counted.extend(_loaded_entries(flow, source, loaded, started))
 
     entry = _attempt(_file_entry(flow, source, ""), load)
@@ -230,7 +253,7 @@ def _new_files(flow: Flow, source: Row) -> Iterator[list[Row]]:
     """Files to load, oldest first, in sets of at most FILES_PER_SCAN."""
     listing = matching_files(flow.spark, source.landing_path, source.file_pattern)
     ledger = _ledger(flow)
-    fresh = stage(unloaded(listing, ledger) if ledger else listing, "landing").frame
+    fresh = stage(unloaded(listing, ledger, source.source_name) if ledger else listing, "landing").frame
     rows = fresh.orderBy("modification_time", "path").toLocalIterator()
     return (list(batch) for batch in batched(rows, FILES_PER_SCAN))
 
@@ -240,10 +263,29 @@ def _ledger(flow: Flow) -> DataFrame | None:
     return flow.spark.table(name) if flow.spark.catalog.tableExists(name) else None
 
 
-def _note(flow: Flow, files: DataFrame, source: Row, run_id: str, state: str) -> None:
+def _note(flow: Flow, files: DataFrame, source: Row, run_id: str | None, state: str) -> None:
+    """Ledger lines, in the source's own partition; files of several loads name their runs."""
     lines = ledger_rows(files, source.source_name, run_id, state).withColumn("noted_at", F.current_timestamp())
     with flow.shared_tables:
-        write_table(lines.coalesce(1), flow.audit("file_ledger"), merge_schema=True)
+        new = _ledger(flow) is None
+        write_table(lines.coalesce(1), flow.audit("file_ledger"), merge_schema=True, partition_by=["source_name"] if new else None)
+
+
+def _compact_ledger(flow: Flow, source: Row) -> None:
+    """Once a source has over LINES_PER_FILE ledger lines a file, they become one a file."""
+    ledger = _ledger(flow)
+    if ledger is None or "source_name" not in partition_columns(flow.spark, full_name(flow.spark, flow.audit("file_ledger"))):
+        return
+    own = ledger.filter(F.col("source_name") == source.source_name)
+    files = own.groupBy(*FILE_KEY).agg(F.count(F.lit(1)).alias("lines"))
+    size = files.agg(F.count(F.lit(1)).alias("files"), F.sum("lines").alias("lines")).first()
+    if (size.lines or 0) <= LINES_PER_FILE * size.files:
+        return
+    name = full_name(flow.spark, flow.audit("file_ledger"))
+    with flow.shared_tables:
+        lines = stage(compacted(_ledger(flow), source.source_name), "ledger").frame
+        add_missing_columns(lines, name)
+        repoint_partition(lines.coalesce(1), name, "source_name", source.source_name)
 
 
 def _confirm_interrupted(flow: Flow, source: Row) -> None:
@@ -326,46 +368,92 @@ def _validate_source(flow: Flow, source: Row, entry: RunEntry) -> None:
     fields = flow.fields(source.source_name)
     _require(flow, source, SchemaDiff(missing=schema_diff(bronze, fields).missing))
     _require(flow, source, schema_diff(typed_split(bronze, fields).valid, fields))
+    open_files = _unvalidated_files(flow, source)
     if load_mode(source.load_type) == "overwrite":
-        _write_valid(flow, source, entry, bronze, fields)
-        return
-    for files, rows in _unvalidated_loads(flow, source, bronze):
-        _write_valid(flow, source, entry, rows, fields)
-        _note(flow, files, source, files.first().run_id, VALIDATED)
-
-
-def _write_valid(flow: Flow, source: Row, entry: RunEntry, bronze: DataFrame, fields: list[Field]) -> None:
-    """Valid rows to their table, and the others, if there are any, to the reject log."""
-    seen = Observation()
+        # What is in bronze now is in the table afterwards, should the source's load type change.
+        with _noted(flow, source, open_files):
+            _write_valid(flow, source, entry, bronze, fields)
+    elif open_files:
+        for files, rows, begun in _unvalidated_loads(open_files, bronze):
+            with _noted(flow, source, files):
+                _write_valid(flow, source, entry, rows, fields, again=begun)
+    _compact_ledger(flow, source)
+
+
+@contextmanager
+def _noted(flow: Flow, source: Row, files: DataFrame | None) -> Iterator[None]:
+    """Ledger lines of the files' validation before and after it."""
+    some = files is not None and not files.isEmpty()
+    if some:
+        _note(flow, files, source, None, VALIDATING)
+    yield
+    if some:
+        _note(flow, files, source, None, VALIDATED)
+
+
+def _write_valid(
+    flow: Flow, source: Row, entry: RunEntry, bronze: DataFrame, fields: list[Field], again: bool = False
+) -> None:
+    """Valid rows to their table, and the others, if there are any, to the reject log.
+
+    ``again`` tells that a validation of this load began before: what it wrote is
+    not written twice. Rows with keys replace themselves; of those without, and of
+    rejects, what is there already is left out.
+    """
+    seen, passed = Observation(), Observation()
     split = typed_split(bronze.observe(seen, F.count(F.lit(1)).alias("rows")), fields)
     keys = [key.strip() for key in (source.merge_keys or "").split(",") if key.strip()]
-    written = counted_write(split.valid, source.validated_table, load_mode(source.load_type), keys)
-    rejected = seen.get["rows"] - written
+    valid = split.valid.observe(passed, F.count(F.lit(1)).alias("rows"))
+    if again and keys and flow.spark.catalog.tableExists(full_name(flow.spark, source.validated_table)):
+        valid = _not_there_yet(valid, read_table(flow.spark, source.validated_table), keys)
+    settings = source.asDict()
+    layout = {"partition_by": [c.strip() for c in (settings.get("partition_by") or "").split(",") if c.strip()]}
+    buckets = settings.get("merge_buckets")
+    buckets = BUCKETS if buckets is None else int(buckets)
+    written = counted_write(valid, source.validated_table, load_mode(source.load_type), keys, buckets, **layout)
+    rejected = seen.get["rows"] - passed.get["rows"]
     if rejected:
-        _log_rejects(flow, source, typed_split(bronze, fields).rejected, "Schema Validation", source.validated_table)
+        _log_rejects(flow, source, typed_split(bronze, fields).rejected, "Schema Validation", source.validated_table, again)
     entry.records_read += seen.get["rows"]
     entry.records_written += written
     entry.rejected_records += rejected
 
 
-def _unvalidated_loads(flow: Flow, source: Row, bronze: DataFrame) -> Iterator[tuple[DataFrame, DataFrame]]:
-    """The loads that no validation has merged yet, oldest first: their files and their bronze rows.
+def _not_there_yet(rows: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows but for those without a key whose load (run and file) has such rows in the target.
 
-    Whatever run loaded them. Only the partitions of the days they landed on are read.
+    A load's rows reach the table by one commit, so one of them stands for all.
     """
+    load = [RUN_ID, SOURCE_FILE]
+    if not set(load) <= set(target.columns):
+        return rows
+    keyless = reduce(Column.__or__, [F.col(quoted(key)).isNull() for key in keys])
+    there = stage(target.filter(keyless).select(*load).distinct(), "keyless-loads")
+    found = broadcast_within(there.frame, there.bytes).withColumn("__there", F.lit(True))
+    marked = rows.join(found, load, "left").filter(F.col("__there").isNull() | ~keyless)
+    return marked.select(*[F.col(quoted(c)) for c in rows.columns])
+
+
+def _unvalidated_files(flow: Flow, source: Row) -> DataFrame | None:
     ledger = _ledger(flow)
-    if ledger is None:
-        return
-    open_files = stage(unvalidated(ledger, source.source_name), "unvalidated").frame
+    return None if ledger is None else stage(unvalidated(ledger, source.source_name), "unvalidated").frame
+
+
+def _unvalidated_loads(open_files: DataFrame, bronze: DataFrame) -> Iterator[tuple[DataFrame, DataFrame, bool]]:
+    """The loads that no validation has finished yet, oldest first: files, bronze rows, and whether one began.
+
+    Whatever run loaded them. Only the partitions of the days they landed on are read.
+    """
     loads = open_files.groupBy("run_id").agg(
-        F.min("first_day").alias("first"), F.max("last_day").alias("last"), F.min("loaded_at").alias("at")
+        F.min("first_day").alias("first"), F.max("last_day").alias("last"), F.min("loaded_at").alias("at"),
+        F.max("begun").alias("begun"),
     )
     for load in loads.orderBy("at", "run_id").collect():
         files = open_files.filter(F.col("run_id") == load.run_id)
         days = F.col(INGESTED_ON).between(F.lit(load.first), F.lit(load.last))
         rows = bronze.filter(days & (F.col(RUN_ID) == load.run_id))
         names = files.select(F.col("file_name").alias(SOURCE_FILE)).distinct()
-        yield files, rows.join(names, SOURCE_FILE, "left_semi").select(*bronze.columns)
+        yield files, rows.join(names, SOURCE_FILE, "left_semi").select(*bronze.columns), load.begun
 
 
 def _require(flow: Flow, source: Row, diff: SchemaDiff) -> None:
@@ -376,11 +464,20 @@ def _require(flow: Flow, source: Row, diff: SchemaDiff) -> None:
         raise ValueError(f"schema validation failed: {rows}")
 
 
-def _log_rejects(flow: Flow, source: Row, rejected: DataFrame, stage_name: str, table: str) -> None:
-    """The rows are made before the audit table is held; under the lock they are only appended."""
+def _log_rejects(
+    flow: Flow, source: Row, rejected: DataFrame, stage_name: str, table: str, again: bool = False
+) -> None:
+    """The rows are made before the audit table is held; under the lock they are only appended.
+
+    ``again`` leaves out those that are logged already; equal rejects have equal ids.
+    """
     rows = rejected_records(
         rejected, run_id=flow.run_id, stage=stage_name, table_name=table, source_name=source.source_name
     )
+    name = full_name(flow.spark, flow.audit("rejected_records"))
+    if again and flow.spark.catalog.tableExists(name):
+        own = flow.spark.table(name).filter((F.col("source_name") == source.source_name) & (F.col("pipeline_stage") == stage_name))
+        rows = rows.join(own.select("rejection_id"), "rejection_id", "left_anti").select(*rows.columns)
     made = stage(rows, "rejects").frame
     with flow.shared_tables:
         write_table(made, flow.audit("rejected_records"))
@@ -410,7 +507,7 @@ def _check_source(flow: Flow, source: Row, entry: RunEntry) -> None:
     for column in ("validated_table", "checked_table", "rejected_table"):
         if not source[column]:
             raise ValueError(f"{column} is not configured for {source.source_name}")
-    validated = read_table(flow.spark, source.validated_table)
+    validated = read_table(flow.spark, source.validated_table).drop(BUCKET)
     rules = active_rules(flow.metadata("data_quality_rules"), source.source_name)
     split = quality_split(validated, rules)
     entry.records_written = counted_write(split.valid, source.checked_table, "overwrite")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from urllib.parse import quote
 from uuid import uuid4
 
 from pyspark.errors import PySparkException
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from martwright.functions.lineage import quoted
 from martwright.operators.quality import duplicate_rows
-from martwright.operators.staging import Staged, broadcast_within, stage
+from martwright.operators.staging import NESTED, Staged, broadcast_within, stage
 from martwright.sources.tables import full_name
 
 MODES = ("append", "overwrite", "merge")
@@ -20,6 +21,12 @@ MODES = ("append", "overwrite", "merge")
 # others are not even listed; beyond, the join alone picks them.
 LISTED_PARTITIONS = 10_000
 
+# A table that is merged by key may be laid out in buckets: partitions by a hash of the keys, so that
+# a merge rewrites only the buckets its own keys fall in. Keys and number are properties of the table.
+BUCKET = "_merge_bucket"
+BUCKETED_BY = "martwright.merge_keys"
+BUCKETS = 32
+
 # Folder names of table versions that merges and overwrites made begin with this.
 VERSIONS = "_versions-"
 
@@ -34,14 +41,23 @@ def write_table(
     merge_schema: bool = False,
     merge_keys: list[str] | None = None,
     partition_by: list[str] | None = None,
-) -> dict[str, str]:
-    """Write to a catalog table by one of MODES."""
+) -> dict[str, object]:
+    """Write to a catalog table by one of MODES.
+
+    Columns that the table lacks are added with ``merge_schema``. Without it an
+    append refuses them, and a merge leaves them out and names them in its result.
+    """
     if mode not in MODES:
         raise ValueError(f"unsupported mode: {mode}")
     spark = df.sparkSession
     table = full_name(spark, name)
     if mode == "merge":
+        if merge_schema:
+            add_missing_columns(df, table)
+        left_out = unknown_columns(df, spark.table(table))
         upsert(df, table, merge_keys or [])
+        if left_out:
+            return {"status": "SUCCESS", "mode": mode, "table": table, "left_out": left_out}
     else:
         _save(df, table, mode, merge_schema, partition_by or [])
     return {"status": "SUCCESS", "mode": mode, "table": table}
@@ -65,7 +81,7 @@ def _save(df: DataFrame, table: str, mode: str, merge_schema: bool, partition_by
         if merge_schema:
             add_missing_columns(df, table)
             df = _aligned(df, spark.table(table))
-        partition_by = partition_by or _partition_columns(spark, table)
+        partition_by = partition_by or partition_columns(spark, table)
     writer = df.write.mode(mode).partitionBy(*partition_by)
     if exists and mode == "overwrite" and VERSIONS in _location(spark, table):
         # Its own folder still holds what it held before a merge: overwrite as a new version too.
@@ -79,15 +95,47 @@ def _save(df: DataFrame, table: str, mode: str, merge_schema: bool, partition_by
         writer.option("path", _new_version(spark, table)).saveAsTable(table)
 
 
+def overwrite_in_buckets(df: DataFrame, name: str, keys: list[str], buckets: int = BUCKETS) -> None:
+    """Write a table anew in ``buckets`` partitions by its merge keys, each in few files."""
+    spark = df.sparkSession
+    placed = df.drop(BUCKET).withColumn(BUCKET, bucket_of(df.drop(BUCKET), keys, buckets))
+    write_table(placed.hint("rebalance", F.col(BUCKET)), name, "overwrite", partition_by=[BUCKET])
+    properties = f"'{BUCKETED_BY}' = {_literal(','.join(keys))}, '{BUCKETED_BY}.buckets' = '{buckets}'"
+    spark.sql(f"ALTER TABLE {full_name(spark, name)} SET TBLPROPERTIES ({properties})")
+
+
+def bucket_of(df: DataFrame, keys: list[str], buckets: int) -> Column:
+    """A row's bucket. Rows with a NULL key match nothing; they are dealt by their other values."""
+    flat = [F.col(quoted(f.name)) for f in df.schema if not isinstance(f.dataType, NESTED)]
+    columns = [F.col(quoted(key)) for key in keys]
+    missing = reduce(Column.__or__, [column.isNull() for column in columns])
+    place = F.when(missing, F.xxhash64(*flat)).otherwise(F.xxhash64(*columns))
+    return F.pmod(place, F.lit(buckets)).cast("int")
+
+
+def _bucket_layout(spark: SparkSession, table: str) -> tuple[list[str], int] | None:
+    """Keys and number of a table's buckets."""
+    found = {row.key: row.value for row in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    if BUCKETED_BY not in found or partition_columns(spark, table) != [BUCKET]:
+        return None
+    return found[BUCKETED_BY].split(","), int(found[f"{BUCKETED_BY}.buckets"])
+
+
 def add_missing_columns(df: DataFrame, table: str) -> None:
     """Columns the table lacks are added to it; rows already there read NULL."""
     spark = df.sparkSession
-    known = set(spark.table(table).columns)
-    new = [f"{quoted(f.name)} {f.dataType.simpleString()}" for f in df.schema if f.name not in known]
+    new = [f"{quoted(f.name)} {f.dataType.simpleString()}" for f in df.schema if f.name in unknown_columns(df, spark.table(table))]
     if new:
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(new)})")
 
 
+def unknown_columns(df: DataFrame, target: DataFrame) -> list[str]:
+    """Columns that the target lacks, by name as the session compares names."""
+    fold = str if target.sparkSession.conf.get("spark.sql.caseSensitive") == "true" else str.lower
+    known = {fold(name) for name in target.columns}
+    return [name for name in df.columns if fold(name) not in known]
+
+
 def _aligned(df: DataFrame, target: DataFrame) -> DataFrame:
     """Columns of ``target`` in its order, NULL where ``df`` has none."""
     return df.unionByName(target.limit(0), allowMissingColumns=True).select(
@@ -95,7 +143,7 @@ def _aligned(df: DataFrame, target: DataFrame) -> DataFrame:
     )
 
 
-def _partition_columns(spark: SparkSession, table: str) -> list[str]:
+def partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [column.name for column in spark.catalog.listColumns(table) if column.isPartition]
 
 
@@ -115,14 +163,17 @@ def merged(target: DataFrame, source: DataFrame, keys: list[str], size: int | No
     return kept.unionByName(source)
 
 
-def touched_partitions(target: DataFrame, source: DataFrame, keys: list[str], partitions: list[str]) -> DataFrame:
+def touched_partitions(
+    target: DataFrame, source: DataFrame, keys: list[str], partitions: list[str], by_key: bool = False
+) -> DataFrame:
     """The partitions that a merge of ``source`` changes: its own, and those of the rows it replaces.
 
-    If the keys cover the partition columns, a replaced row is in a partition of
-    its own source row; else only the target's keys and partition columns are read.
+    If the keys cover the partition columns, or determine them (``by_key``), a
+    replaced row is in a partition of its own source row; else only the target's
+    keys and partition columns are read.
     """
     own = source.select(*partitions)
-    if set(partitions) <= set(keys):
+    if by_key or set(partitions) <= set(keys):
         return own.distinct()
     changed = stage(source.select(*keys).na.drop().distinct(), "changed-keys")
     found = target.select(*dict.fromkeys([*keys, *partitions])).join(
@@ -148,29 +199,35 @@ def within_partitions(target: DataFrame, touched: Staged, partitions: list[str])
 def upsert(source: DataFrame, table: str, keys: list[str]) -> int:
     """Merge ``source`` into ``table``; returns the number of source rows.
 
-    The source must have every column of the target and takes its types. It is
-    staged, since the merge reads it several times. Formats with row-level
+    The source must have every column of the target (but for the bucket) and takes
+    their types; others are left out. It is staged, since the merge reads it several times. Formats with row-level
     commands run MERGE INTO. Of a partitioned parquet table only the partitions
     with replaced or new rows are rewritten; they change when the write is
-    committed. A table without partitions is written as a new version
+    committed. If it is laid out in buckets by these keys, these are found without
+    reading it. A table without partitions is written as a new version
     that it is then pointed to.
     """
     if not keys:
         raise ValueError("merge needs merge_keys")
     spark = source.sparkSession
     target = spark.table(table)
-    fields = target.schema.fields
-    typed = [F.col(quoted(f.name)).cast(f.dataType).alias(f.name) for f in fields]
-    staged = stage(source.select(*typed), "upsert")
+    layout = _bucket_layout(spark, table)
+    fields = [f for f in target.schema.fields if not layout or f.name != BUCKET]
+    typed = source.select(*[F.col(quoted(f.name)).cast(f.dataType).alias(f.name) for f in fields])
+    if layout:
+        # By the values as the table has them, or a key would land in another bucket.
+        typed = typed.withColumn(BUCKET, bucket_of(typed, *layout)).select(*target.columns)
+    staged = stage(typed, "upsert")
     rows, size = staged.frame, staged.bytes
     _require_single_match(rows, target, keys)
     if _provider(spark, table) != "parquet":
         rows.createOrReplaceTempView(view := f"upsert_{uuid4().hex}")
         spark.sql(merge_statement(table, view, keys))
         return staged.rows
-    partitions = _partition_columns(spark, table)
+    partitions = partition_columns(spark, table)
     if partitions:
-        touched = stage(touched_partitions(target, rows, keys, partitions), "touched")
+        by_key = layout is not None and layout[0] == keys
+        touched = stage(touched_partitions(target, rows, keys, partitions, by_key), "touched")
         affected = within_partitions(target, touched, partitions)
         _replace_partitions(merged(affected, rows, keys, size), table, touched, partitions)
     else:
@@ -243,13 +300,30 @@ def _replace_partitions(df: DataFrame, table: str, touched: Staged, partitions:
     filled = staged.frame.select(*partitions).distinct()
     writing = spark.newSession()
     writing.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    writing.read.schema(target.schema).parquet(staged.path).write.insertInto(table, overwrite=True)
+    rows = writing.read.schema(target.schema).parquet(staged.path)
+    rows.hint("rebalance", *[F.col(quoted(name)) for name in partitions]).write.insertInto(table, overwrite=True)
     for row in touched.frame.exceptAll(filled).toLocalIterator():
         spec = ", ".join(f"{quoted(n)} = {_literal(v)}" for n, v in zip(partitions, row, strict=True))
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
     spark.catalog.refreshTable(table)
 
 
+def repoint_partition(df: DataFrame, table: str, name: str, value: str) -> None:
+    """One partition anew in a folder of its own, by one catalog change.
+
+    The files before stay for running readers; older versions are deleted.
+    """
+    spark = df.sparkSession
+    location = f"{_new_version(spark, table).rsplit('/', 1)[0]}/{quote(f'{name}={value}', safe='')}/{uuid4().hex}"
+    spec = f"PARTITION ({quoted(name)} = {_literal(value)})"
+    details = spark.sql(f"DESCRIBE TABLE EXTENDED {table} {spec}").filter("col_name = 'Location'")
+    before = details.first().data_type.rstrip("/")
+    df.drop(name).write.parquet(location)
+    spark.sql(f"ALTER TABLE {table} {spec} SET LOCATION '{location}'")
+    spark.catalog.refreshTable(table)
+    _drop_versions(spark, location, keep={location.rsplit("/", 1)[-1], before.rsplit("/", 1)[-1]})
+
+
 def _literal(value: object) -> str:
     if value is None:
         return "NULL"

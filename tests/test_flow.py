@@ -408,3 +408,122 @@ def test_reader_options_of_a_source(flow, spark, rows):
     spark.createDataFrame(lines, changed.schema).write.mode("overwrite").option("overwriteSchema", "true").saveAsTable(
         f"{flow.metadata_schema}.ingestion_config")
     assert ingest(flow)["rows_written"] == len(ORDERS)
+
+
+def incremental_orders(flow, spark, load_type="INCREMENTAL"):
+    """Orders by row_id, which may be NULL."""
+    only_orders(flow, spark, load_type=load_type, merge_keys="row_id")
+    schema = table(flow, "required_schema")
+    lines = [r.asDict() | {"nullable": r.nullable or r.standard_column == "row_id"} for r in schema.collect()]
+    spark.createDataFrame(lines, schema.schema).write.mode("overwrite").saveAsTable(f"{flow.metadata_schema}.required_schema")
+
+
+KEYLESS = (None, "O8", "5/1/2017", "C1", "P1", 1, 10, 0, 3)
+
+
+def kept(flow, rows):
+    return (rows(table(flow, "orders_validated"), "row_id", "order_id"),
+            rows(table(flow, "rejected_records").filter("source_name = 'orders'"), "failed_column", "actual_value"))
+
+
+def test_full_then_incremental_doubles_nothing(flow, spark, rows):
+    incremental_orders(flow, spark, "FULL")
+    write_orders(landing_of(flow) / "orders_1.json", [*ORDERS[:3], KEYLESS])
+    ingest(flow)
+    validate(flow)
+    before = kept(flow, rows)
+    assert len(before[0]) == 3 and len(before[1]) == 1
+    only_orders(flow, spark, load_type="INCREMENTAL")
+    assert validate(another(flow))["rows_read"] == 0
+    assert kept(flow, rows) == before
+    write_orders(landing_of(flow) / "orders_2.json", [(3, "N3", "1/1/2017", "C1", "P1", 1, 1, 0, 1), KEYLESS])
+    ingest(another(flow))
+    validate(another(flow))
+    assert kept(flow, rows)[0] == sorted([*[r for r in before[0] if r[0] != 3], (3, "N3"), (None, "O8")], key=repr)
+
+
+@pytest.mark.parametrize("stops", ["before the rejects", "before the note", "during the merge"])
+@pytest.mark.parametrize("load_type", ["INCREMENTAL", "FULL"])
+def test_replayed_load_writes_nothing_twice(flow, spark, rows, monkeypatch, stops, load_type):
+    incremental_orders(flow, spark, load_type)
+    write_orders(landing_of(flow) / "orders_0.json", [(50, "O50", "1/1/2017", "C1", "P1", 1, 1, 0, 1)])
+    write_orders(landing_of(flow) / "orders_1.json", [*ORDERS[:3], KEYLESS, KEYLESS])
+    ingest(flow)
+    real = flow_module._note
+
+    def fail(*_, **__):
+        raise OSError("stopped")
+
+    def note(flow, files, source, run_id, state):
+        return fail() if state == flow_module.VALIDATED else real(flow, files, source, run_id, state)
+
+    name, broken = {"before the rejects": ("_log_rejects", fail), "before the note": ("_note", note),
+                    "during the merge": ("counted_write", fail)}[stops]
+    with monkeypatch.context() as patched:
+        patched.setattr(flow_module, name, broken)
+        assert validate(another(flow))["failed_tables"] == 1
+    only_orders(flow, spark, load_type="INCREMENTAL")
+    validate(another(flow))
+    expected = [(1, "O1"), (3, "O3"), (50, "O50"), (None, "O8"), (None, "O8")]
+    assert kept(flow, rows) == (expected, [("order_date", "99/99/2024")])
+    assert validate(another(flow))["rows_read"] == 0
+
+
+def test_two_sources_share_a_folder(flow, spark, rows):
+    config = table(flow, "ingestion_config")
+    lines = [r.asDict() for r in config.collect() if r.source_name == "orders"]
+    twin = lines[0] | {"source_name": "copies", "bronze_table": f"{flow.gold_schema}.copies_bronze", "file_pattern": "*_1.json"}
+    spark.createDataFrame([*lines, twin], config.schema).write.mode("overwrite").saveAsTable(f"{flow.metadata_schema}.ingestion_config")
+    write_orders(landing_of(flow) / "orders_2.json", ORDERS[:2])
+    assert ingest(flow)["status"] == "SUCCESS"
+    assert table(flow, "orders_bronze").count() == 9
+    assert table(flow, "copies_bronze").count() == 7
+    assert ingest(another(flow))["rows_written"] == 0
+
+
+def test_ledger_keeps_one_line_a_file(flow, spark, rows):
+    incremental_orders(flow, spark)
+    for k in range(3):
+        write_orders(landing_of(flow) / f"orders_{k + 1}.json", [(k, f"O{k}", "1/1/2017", "C1", "P1", 1, 1, 0, 1)])
+        ingest(another(flow))
+        validate(another(flow))
+        lines = table(flow, "file_ledger").filter("source_name = 'orders'")
+        assert lines.count() <= 2 * (k + 1)
+    assert lines.filter("state = 'VALIDATED'").count() == 3
+    assert ingest(another(flow))["rows_written"] == 0
+    assert validate(another(flow))["rows_read"] == 0
+    assert rows(table(flow, "orders_validated"), "order_id") == [("O0",), ("O1",), ("O2",)]
+
+
+def test_ledger_of_an_earlier_layout_still_serves(flow, spark, rows):
+    """Without partitions and without the times of a load."""
+    incremental_orders(flow, spark)
+    write_orders(landing_of(flow) / "orders_1.json", ORDERS[:1])
+    ingest(flow)
+    name = f"{flow.audit_schema}.file_ledger"
+    lines = table(flow, "file_ledger").collect()
+    spark.sql(f"DROP TABLE {name}")
+    spark.createDataFrame(lines, "path string, modification_time timestamp, file_name string, length long, run_id string, "
+                          "state string, noted_at timestamp, source_name string").write.saveAsTable(name)
+    write_orders(landing_of(flow) / "orders_2.json", ORDERS[2:3])
+    assert ingest(another(flow))["rows_written"] == 1
+    assert validate(another(flow))["rows_read"] == 2
+    assert validate(another(flow))["rows_read"] == 0
+
+
+def test_layout_of_a_validated_table(flow, spark, rows):
+    """Buckets by the merge keys, unless the source names partitions; the next stages don't see them."""
+    incremental_orders(flow, spark)
+    ingest(flow)
+    validate(flow)
+    assert "_merge_bucket" in table(flow, "orders_validated").columns
+    check(flow)
+    assert "_merge_bucket" not in table(flow, "orders_checked").columns
+    config = table(flow, "ingestion_config").selectExpr("*", "'customer_id' AS partition_by")
+    lines = config.collect()
+    spark.createDataFrame(lines, config.schema).write.mode("overwrite").saveAsTable(f"{flow.metadata_schema}.ingestion_config")
+    spark.sql(f"DROP TABLE {flow.gold_schema}.orders_validated")
+    write_orders(landing_of(flow) / "orders_2.json", ORDERS[2:4])
+    ingest(another(flow))
+    validate(another(flow))
+    assert [c.name for c in spark.catalog.listColumns(f"{flow.gold_schema}.orders_validated") if c.isPartition] == ["customer_id"]

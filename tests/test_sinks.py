@@ -22,8 +22,11 @@ from martwright.sinks.audit import (
 )
 from martwright.operators.staging import stage
 from martwright.sinks.tables import (
+    BUCKET,
     load_mode,
     merge_statement,
+    overwrite_in_buckets,
+    repoint_partition,
     touched_partitions,
     within_partitions,
     write_table,
@@ -119,6 +122,69 @@ def test_merge_takes_target_types(spark, database, rows):
     assert rows(spark.table(name)) == [(1, "b")]
 
 
+def test_merge_says_or_adds_columns_that_the_table_lacks(spark, database, rows):
+    name = f"{database}.t"
+    write_table(frame(spark, [(1, "a")]), name)
+    wide = frame(spark, [("b", 1, 9)], "V string, k int, extra int")
+    assert write_table(wide, name, "merge", merge_keys=["k"])["left_out"] == ["extra"]
+    done = write_table(wide, name, "merge", merge_schema=True, merge_keys=["k"])
+    assert "left_out" not in done
+    assert rows(spark.table(name), "k", "v", "extra") == [(1, "b", 9)]
+
+
+def bucket_files(spark, name):
+    return {p.parent.name: p.name for p in Path(urlsplit(location(spark, name)).path).rglob("*.parquet")}
+
+
+def location(spark, name):
+    return spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").first().data_type
+
+
+def test_merge_rewrites_only_the_buckets_of_its_keys(spark, database, rows):
+    name = f"{database}.t"
+    first = [(k, f"v{k}") for k in range(200)] + [(None, "n1"), (None, "n2")]
+    overwrite_in_buckets(frame(spark, first), name, ["k"], 16)
+    before = bucket_files(spark, name)
+    assert len(before) == 16
+    change = frame(spark, [("7", "new"), ("1000", "more"), (None, "n3")], "k string, v string")
+    write_table(change, name, "merge", merge_keys=["k"])
+    after = bucket_files(spark, name)
+    touched = {b for b in after if after[b] != before.get(b)}
+    assert 1 <= len(touched) <= 3
+    kept = [r for r in first if r[0] != 7]
+    assert rows(spark.table(name), "k", "v") == sorted([*kept, (7, "new"), (1000, "more"), (None, "n3")], key=repr)
+    # Twice the same merge changes nothing but keyless rows; other keys find their rows in any bucket.
+    write_table(change.filter("k IS NOT NULL"), name, "merge", merge_keys=["k"])
+    assert spark.table(name).count() == len(first) + 2
+    write_table(frame(spark, [(5000, "v8")]), name, "merge", merge_keys=["v"])
+    assert rows(spark.table(name).filter("v = 'v8'"), "k") == [(5000,)]
+    assert spark.table(name).count() == len(first) + 2
+
+
+def test_keyless_rows_are_dealt_to_many_buckets(spark, database):
+    name = f"{database}.t"
+    overwrite_in_buckets(frame(spark, [(None, f"v{k}") for k in range(400)]), name, ["k"], 8)
+    counts = [r["count"] for r in spark.table(name).groupBy(BUCKET).count().collect()]
+    assert len(counts) == 8 and max(counts) < 100
+
+
+def test_partition_is_replaced_by_one_catalog_change(spark, database, rows):
+    name = f"{spark.catalog.currentCatalog()}.{database}.t"
+    write_table(frame(spark, [(1, "a'b"), (2, "c")]), name, partition_by=["v"])
+    for k in (10, 11, 12):
+        repoint_partition(frame(spark, [(k, "a'b")]), name, "v", "a'b")
+        assert rows(spark.table(name)) == [(2, "c"), (k, "a'b")]
+    write_table(frame(spark, [(13, "a'b")]), name)
+    assert rows(spark.table(name)) == [(12, "a'b"), (13, "a'b"), (2, "c")]
+
+
+def test_reject_ids_follow_from_the_content(spark, rows):
+    split = cast_split(frame(spark, [("x", "a"), ("y", "a"), ("x", "a")], "k string, v string"), [Field("k", "int")])
+    ids = [rows(rejected_records(split.rejected, run, "s", "t", "n", "f"), "rejection_id") for run in ("r1", "r2")]
+    assert ids[0] == ids[1]
+    assert len(ids[0]) == 3 and len(set(ids[0])) == 2
+
+
 def test_merge_statement():
     assert merge_statement("c.s.t", "v", ["a", "b"]) == (
         "MERGE INTO c.s.t t USING v s ON t.`a` = s.`a` AND t.`b` = s.`b` "
