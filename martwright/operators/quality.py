@@ -21,6 +21,7 @@ from martwright.operators.staging import BROADCAST_BYTES, broadcast_within, stag
 
 REJECT_COLUMNS = ("failed_column", "failed_rule", "actual_value", "rejection_reason")
 RULE_VIOLATED = "DATA_QUALITY_RULE_FAILED"
+PASSED = "__passed"
 _BROKEN = "__broken"
 
 
@@ -31,6 +32,9 @@ class QualitySplit:
     rejected: DataFrame
     # one row per input row: whether it passed
     verdicts: DataFrame
+    # the same, with the input columns, REJECT_COLUMNS (NULL where it passed) and the verdict in PASSED:
+    # both outputs from one evaluation
+    judged: DataFrame
     skipped: list[Rule]
 
     def metrics(self) -> DataFrame:
@@ -91,6 +95,7 @@ def quality_split(
             valid=rest.valid,
             rejected=first.rejected.unionByName(rest.rejected),
             verdicts=first.verdicts.filter(~F.col("passed")).unionAll(rest.verdicts),
+            judged=first.judged.filter(~F.col(PASSED)).unionByName(rest.judged),
             skipped=skipped,
         )
 
@@ -105,11 +110,13 @@ def quality_split(
     first = [F.when(verdict, F.lit(position)) for position, verdict in enumerate(verdicts)]
     broken = F.coalesce(*first, F.lit(None).cast("int"))
     columns = [F.col(quoted(name)) for name in df.columns]
+    marked = flagged.select(*columns, broken.alias(_BROKEN))
+    failed = F.col(_BROKEN).isNotNull()
+    reasons = [F.when(failed, reason).alias(name) for name, reason in zip(REJECT_COLUMNS, _reasons(active), strict=True)]
     return QualitySplit(
         valid=_unbroken(flagged, verdicts).select(*columns),
-        rejected=flagged.select(*columns, broken.alias(_BROKEN))
-        .filter(F.col(_BROKEN).isNotNull())
-        .select(*columns, *_reasons(active)),
+        rejected=marked.filter(failed).select(*columns, *_reasons(active)),
+        judged=marked.select(*columns, *reasons, (~failed).alias(PASSED)),
         verdicts=flagged.select(broken.isNull().alias("passed")),
         skipped=skipped,
     )

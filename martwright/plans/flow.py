@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from martwright.functions.enrich import enrich
 from martwright.functions.lineage import INGESTED_ON, RUN_ID, SOURCE_FILE, quoted
 from martwright.operators.bronze import to_bronze
-from martwright.operators.quality import quality_split
+from martwright.operators.quality import PASSED, REJECT_COLUMNS, quality_split
 from martwright.operators.schema import SchemaDiff, schema_diff
 from martwright.operators.staging import broadcast_within, stage
 from martwright.operators.typing import Field, as_fields, typed_split
@@ -40,6 +40,7 @@ from martwright.sinks.tables import (
     BUCKETS,
     add_missing_columns,
     load_mode,
+    overwrite_by_flag,
     overwrite_in_buckets,
     partition_columns,
     repoint_partition,
@@ -510,9 +511,13 @@ def _check_source(flow: Flow, source: Row, entry: RunEntry) -> None:
     validated = read_table(flow.spark, source.validated_table).drop(BUCKET)
     rules = active_rules(flow.metadata("data_quality_rules"), source.source_name)
     split = quality_split(validated, rules)
-    entry.records_written = counted_write(split.valid, source.checked_table, "overwrite")
-    entry.rejected_records = counted_write(split.rejected, source.rejected_table, "overwrite")
-    entry.records_read = entry.records_written + entry.rejected_records
+    seen = Observation()
+    judged = split.judged.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(PASSED).alias("passed"))
+    checked = (source.checked_table, validated.columns)
+    rejected = (source.rejected_table, [*validated.columns, *REJECT_COLUMNS])
+    overwrite_by_flag(judged, PASSED, {True: checked, False: rejected})
+    entry.records_read, entry.records_written = seen.get["rows"], seen.get["passed"]
+    entry.rejected_records = entry.records_read - entry.records_written
     if entry.rejected_records:
         rejected = read_table(flow.spark, source.rejected_table)
         _log_rejects(flow, source, rejected, "Data Quality", source.rejected_table)

@@ -9,6 +9,7 @@ from uuid import uuid4
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martwright.functions.lineage import quoted
 from martwright.operators.quality import duplicate_rows
@@ -280,6 +281,41 @@ def _repoint(df: DataFrame, table: str) -> None:
     _drop_versions(spark, location, keep={location.rsplit("/", 1)[-1], before.rsplit("/", 1)[-1]})
 
 
+def overwrite_by_flag(df: DataFrame, flag: str, tables: dict[bool, tuple[str, list[str]]]) -> None:
+    """Overwrite two tables by one write: each row goes to the table that its ``flag`` names, with that one's columns.
+
+    The rows are written once, partitioned by the flag, as a new version that both
+    tables are then pointed to, one catalog change each.
+    """
+    spark = df.sparkSession
+    names = {value: full_name(spark, name) for value, (name, _) in tables.items()}
+    for value, (_, columns) in tables.items():
+        _shaped(spark, names[value], df.select(*[F.col(quoted(c)) for c in columns]).schema)
+    before = {_version_of(_location(spark, table)) for table in names.values()}
+    base = _new_version(spark, next(iter(names.values())))
+    df.write.partitionBy(flag).parquet(base)
+    for value, table in names.items():
+        location = f"{base}/{flag}={str(value).lower()}"
+        path = spark._jvm.org.apache.hadoop.fs.Path(location)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).mkdirs(path)
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
+        spark.catalog.refreshTable(table)
+    _drop_versions(spark, base, keep={base.rsplit("/", 1)[-1], *before})
+
+
+def _shaped(spark: SparkSession, table: str, schema: T.StructType) -> None:
+    """Make an empty table of these columns unless there is one just like it."""
+    if spark.catalog.tableExists(table) and _provider(spark, table) == "parquet" and not partition_columns(spark, table):
+        if [(f.name, f.dataType) for f in spark.table(table).schema] == [(f.name, f.dataType) for f in schema]:
+            return
+    _save(spark.createDataFrame([], schema), table, "overwrite", False, [])
+
+
+def _version_of(location: str) -> str:
+    """The folder of a version that a location lies in."""
+    return location.split(VERSIONS, 1)[-1].split("/")[1] if VERSIONS in location else ""
+
+
 def _drop_versions(spark: SparkSession, location: str, keep: set[str]) -> None:
     path = spark._jvm.org.apache.hadoop.fs.Path(location).getParent()
     files = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())

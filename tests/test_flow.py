@@ -527,3 +527,45 @@ def test_layout_of_a_validated_table(flow, spark, rows):
     ingest(another(flow))
     validate(another(flow))
     assert [c.name for c in spark.catalog.listColumns(f"{flow.gold_schema}.orders_validated") if c.isPartition] == ["customer_id"]
+
+
+def test_check_evaluates_once(flow, spark, rows, monkeypatch):
+    """One pass over the keys of each UNIQUE rule, one write for both tables, and no version left behind."""
+    ingest(flow)
+    validate(flow)
+    import martwright.operators.quality as quality_module
+
+    passes, writes = [], []
+    real, write = quality_module.stage, flow_module.overwrite_by_flag
+    monkeypatch.setattr(quality_module, "stage", lambda df, label: passes.append(label) or real(df, label))
+    monkeypatch.setattr(flow_module, "overwrite_by_flag", lambda df, *how: writes.append(df) or write(df, *how))
+    for _ in range(3):
+        assert check(another(flow))["status"] == "SUCCESS"
+    assert passes == ["duplicates"] * 3
+    assert len(writes) == 9
+    for judged in writes:
+        plan = judged._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("_validated") == 1
+    assert rows(table(flow, "orders_checked"), "order_id") == [("O1",), ("O3",)]
+    assert rows(table(flow, "orders_rejected"), "order_id", "failed_rule") == [("O4", "MIN_VALUE"), ("O6", "UNIQUE"), ("O6", "UNIQUE")]
+    assert table(flow, "products_rejected").columns[-4:] == ["failed_column", "failed_rule", "actual_value", "rejection_reason"]
+    assert "failed_rule" not in table(flow, "orders_checked").columns
+    from urllib.parse import urlsplit
+
+    place = spark.sql(f"DESCRIBE TABLE EXTENDED {flow.gold_schema}.orders_checked").filter("col_name = 'Location'").first().data_type
+    from pathlib import Path
+
+    versions = Path(urlsplit(place).path).parent.parent
+    assert len(list(versions.iterdir())) == 2
+
+
+def test_check_without_rejects_and_after_a_new_column(flow, spark, rows):
+    only_orders(flow, spark)
+    write_orders(landing_of(flow) / "orders_1.json", ORDERS[:1])
+    ingest(flow)
+    validate(flow)
+    assert check(flow)["rejected_rows"] == 0
+    assert table(flow, "orders_rejected").count() == 0
+    spark.sql(f"ALTER TABLE {flow.gold_schema}.orders_validated ADD COLUMNS (colour string)")
+    assert check(another(flow))["rows_written"] == 1
+    assert "colour" in table(flow, "orders_checked").columns
