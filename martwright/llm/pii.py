@@ -57,6 +57,8 @@ IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 NO_DIGIT = re.compile(r"[^0-9]+")
+# What addresses are found in: a run of numbers joined by dots, taken whole, so that no digit is tried twice.
+NUMBERS = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 SPACED_IP = re.compile(r"[0-9]+(\s*\.\s*[0-9]+){3}")
 LOCAL_CHARACTERS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
@@ -85,14 +87,26 @@ def _emails(text: str) -> Iterator[tuple[int, int]]:
         at = text.find("@", max(at + 1, free))
 
 
+def _addresses(text: str) -> Iterator[tuple[int, int]]:
+    """Matches of ``IP``, parts at most 255: of a run of numbers the first four, then the next four."""
+    for run in NUMBERS.finditer(text):
+        if run.group().count(".") < 3:
+            continue
+        parts, start = run.group().split("."), run.start()
+        for k in range(0, len(parts) - 3, 4):
+            four = parts[k : k + 4]
+            end = start + sum(map(len, four)) + 3
+            if all(len(part.lstrip("0")) <= 3 and int(part.lstrip("0") or "0") <= 255 for part in four):
+                yield start, end
+            start = end + 1
+
+
 def base_spans(text: str) -> list[Span]:
     found: list[Span] = []
     if "@" in text:
         found += [(a, "email", b) for a, b in _emails(text)]
     if re.search("[0-9]", text):
-        for m in IP.finditer(text):
-            if all(len(part.lstrip("0")) <= 3 and int(part) <= 255 for part in m.group().split(".")):
-                found.append((m.start(), "ip", m.end()))
+        found += [(a, "ip", b) for a, b in _addresses(text)]
         for m in CARD.finditer(text):
             digits = NO_DIGIT.sub("", m.group())
             if 12 <= len(digits) <= 19 and luhn(digits):

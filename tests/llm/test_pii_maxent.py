@@ -294,3 +294,27 @@ def test_local_steps_lower_the_loss():
 
 def test_empty_corpus(none):
     assert maxent.score(none).count() == 0
+
+
+def test_long_digit_runs_are_linear_and_equal_the_patterns():
+    import random
+    import time
+
+    zeros = "0" * 5000 + ".0.0.0"
+    assert pii.base_spans(zeros) == [(0, "ip", len(zeros))]
+    started = time.monotonic()
+    for text in ("7" * 1_000_000, "1." * 300_000, "0" * 1_000_000 + ".1.2", "+1" + "(" * 500_000, "a@" * 200_000):
+        pii.base_spans(text)
+    assert time.monotonic() - started < 30
+    rng = random.Random(3)
+    for _ in range(3000):
+        text = "".join(rng.choice("0012.59.. a") for _ in range(rng.randint(0, 40)))
+        plain = [(m.start(), "ip", m.end()) for m in pii.IP.finditer(text) if all(int(p) <= 255 for p in m.group().split("."))]
+        assert [s for s in pii.base_spans(text) if s[1] == "ip"] == plain
+
+
+def test_operator_stands_long_digit_runs(spark):
+    texts = ["0" * 5000 + ".0.0.0", "7" * 300_000, "5." * 20_000]
+    docs = corpora.documents(spark, list(enumerate(texts)))
+    found = {r.doc_id: r for r in pii.find(docs, pii.fit(docs)).collect()}
+    assert [found[k].n_ip for k in range(3)] == [1, 0, 5000]
