@@ -127,7 +127,11 @@ def encode_blocks(blocks: list[np.ndarray], table: Table) -> list[tuple[bytes, b
 
 
 def decode_blocks(blocks: list[dict], table: Table) -> list[np.ndarray]:
-    """Ids of each block; every segment between checkpoints is decoded side by side."""
+    """Ids of each block; every segment between checkpoints is decoded side by side.
+
+    Each must end in the states and at the word where the next one begins, and a
+    block's last one in the states that coding began with, or the block is damaged.
+    """
     streams = [np.frombuffer(b["payload"], np.uint32) for b in blocks]
     bases = np.cumsum([0, *map(len, streams)])
     flat = np.concatenate([*streams, np.zeros(1, np.uint32)]).astype(np.uint64)
@@ -150,8 +154,12 @@ def decode_blocks(blocks: list[dict], table: Table) -> list[np.ndarray]:
     steps = np.minimum(every, -(-sizes[owner] // lanes) - begin)
     decoded = np.zeros((int(steps.max()), len(owner), lanes), np.uint32)
     lane = np.arange(lanes)
+    first_states, first_words = state.copy(), at.copy()
+    end_states, end_words = np.empty_like(state), np.empty_like(at)
     left = np.minimum(sizes[owner] - begin * lanes, steps * lanes)  # symbols of each segment
     for step in range(len(decoded)):
+        ending = np.flatnonzero(steps == step + 1)
+        before = state[ending]
         slot = state & low_bits
         symbol = symbols[slot.astype(np.int64)]
         decoded[step] = symbol
@@ -164,6 +172,16 @@ def decode_blocks(blocks: list[dict], table: Table) -> list[np.ndarray]:
         at -= taken
         place = at[segment] + np.arange(len(segment)) - (np.cumsum(taken) - taken)[segment]
         state[segment, which] = (state[segment, which] << WORD) | flat[place]
+        if len(ending):
+            # What stands after a block's end has changed no state.
+            inside = step * lanes + lane[None, :] < left[ending][:, None]
+            end_states[ending], end_words[ending] = np.where(inside, state[ending], before), at[ending]
+    last = np.append(owner[1:] != owner[:-1], True)
+    wanted_states = np.where(last[:, None], LOW, np.roll(first_states, -1, axis=0))
+    wanted_words = np.where(last, bases[owner], np.roll(first_words, -1))
+    damaged = (end_states != wanted_states).any(axis=1) | (end_words != wanted_words)
+    if damaged.any():
+        raise ValueError(f"block at {blocks[owner[damaged.argmax()]]['first']} is damaged")
     for k in range(len(owner)):
         part = decoded[: steps[k], k].ravel()
         out[owner[k]][begin[k] * lanes : begin[k] * lanes + len(part)] = part

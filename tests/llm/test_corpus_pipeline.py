@@ -35,7 +35,7 @@ def test_each_stage_works_on_what_its_predecessor_kept(spark, tmp_path):
     source, one = kept["exact dedup"]
     assert ids(one) == ids(exact_dedup.exact_dedup(source).where("kept"))
     source, one = kept["near-dedup"]
-    assert ids(one) == ids(near_dedup.near_duplicates(source).where("kept"))
+    assert ids(one) == ids(near_dedup.near_duplicates(source, percent=corpus_pipeline.NEAR_PERCENT).where("kept"))
     source, masked = kept["personal data"]
     assert ids(masked) == ids(source)
     assert all(not pii.base_spans(r.text) and r.n_chars == len(r.text) for r in masked.collect())

@@ -121,6 +121,24 @@ def test_damaged_block_is_noticed(odd, spark, tmp_path):
         token_files._documents([block], token_files.read_table(spark, path), ["doc_id"])
 
 
+def test_every_flipped_bit_of_a_block_is_noticed():
+    rng = np.random.default_rng(5)
+    ids = [rng.integers(0, 50, n).astype(np.uint32) for n in (1, 40, token_files.LANES * (token_files.EVERY * 2 + 3) + 5)]
+    table = token_files.quantized(np.bincount(np.concatenate(ids), minlength=50))
+    whole = [
+        {"first": 7, "payload": p, "states": s, "checkpoints": c, "n_tokens": len(i), "lanes": token_files.LANES, "every": token_files.EVERY}
+        for i, (p, s, c) in zip(ids, token_files.encode_blocks(ids, table), strict=True)
+    ]
+    assert all((a == b).all() for a, b in zip(token_files.decode_blocks(whole, table), ids, strict=True))
+    for part in ("payload", "states", "checkpoints"):
+        size = len(whole[2][part])
+        for bit in sorted(set(rng.integers(0, 8 * size, 150).tolist()) | {0, 8 * size - 1}):
+            damaged = bytearray(whole[2][part])
+            damaged[bit // 8] ^= 1 << bit % 8
+            with pytest.raises((ValueError, IndexError, OverflowError)):
+                token_files.decode_blocks([whole[0], whole[2] | {part: bytes(damaged)}, whole[1]], table)
+
+
 def test_best_fit_against_a_plain_search():
     rng = np.random.default_rng(4)
     for window in (16, 100, 2048):
