@@ -20,6 +20,9 @@ this within ``MISSED`` at the limit: 9 at 0.85 (2e-5; 1e-7 at 0.92), 12 at 0.80
    that few components are left when all pairs of different ones are tested, and
    ``WIDE`` more minhashes rule out more of those.
    Keys with more than ``BLOCK`` members are dealt out as pairs of blocks.
+   These last pairs never leave a key's task: it first names the members that have
+   one to test, and then, with their full sets, tests them and gives those links that
+   join members not joined by links before (fewer than it has members).
 4. Confirmed links of all rounds give the components.
 
 A text without words, null included, has the empty set and no links. One with
@@ -284,36 +287,78 @@ def _group(parts: list[pa.RecordBatch], limit: Limit) -> Group:
     return Group(key, number("rep"), number("component"), number("n"), bytes_("signature", limit.hashes), halves, wide)
 
 
-def _crossed(nearest: bool, limit: Limit):
-    choose = nearest_pairs if nearest else possible_pairs
-
-    def cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Pairs within each group of rows sorted by group; a group has at most two blocks."""
-        held: list[pa.RecordBatch] = []
-
-        def pairs() -> Iterator[pa.RecordBatch]:
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
+    """The rows of each group, of rows sorted by group; a group has at most two blocks."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        group = batch.column("group").to_numpy()
+        heads = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
+        for a, b in zip(heads.tolist(), [*heads[1:].tolist(), len(group)], strict=True):
+            if held and last != group[a]:
+                yield held
+                held = []
+            last = group[a]
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield held
+
+
+def _nearest(limit: Limit):
+    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each member's nearest ones: at most ``NEAREST`` pairs a member."""
+        for held in _groups(batches):
             group = _group(held, limit)
-            for x, y in choose(group, limit):
+            for x, y in nearest_pairs(group, limit):
                 low, high = np.minimum(group.rep[x], group.rep[y]), np.maximum(group.rep[x], group.rep[y])
                 if len(x):
                     yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], names=["a", "b"])
 
-        last = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            group = batch.column("group").to_numpy()
-            heads = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
-            for a, b in zip(heads.tolist(), [*heads[1:].tolist(), len(group)], strict=True):
-                if held and last != group[a]:
-                    yield from pairs()
-                    held.clear()
-                last = group[a]
-                held.append(batch.slice(a, b - a))
-        if held:
-            yield from pairs()
+    return nearest
+
 
-    return cross
+def _involved(limit: Limit):
+    """Of each group the members that are in a pair to test, as they came."""
+
+    def involved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for held in _groups(batches):
+            group = _group(held, limit)
+            marked = np.zeros(len(group.rep), bool)
+            for x, y in possible_pairs(group, limit):
+                marked[x] = marked[y] = True
+            if marked.any():
+                yield from pa.Table.from_batches(held).filter(pa.array(marked)).to_batches()
+
+    return involved
+
+
+def _joined(limit: Limit):
+    """Of each group links between members that its links before don't join, on full sets."""
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for held in _groups(batches):
+            group = _group(held, limit)
+            sets = [np.frombuffer(s, np.uint64) for batch in held for s in batch.column("shingles").to_pylist()]
+            # Members of a component count as joined from the start.
+            _, first, place = np.unique(group.component, return_index=True, return_inverse=True)
+            root, links = first[place], []
+            for x, y in possible_pairs(group, limit):
+                for i, j in zip(x.tolist(), y.tolist(), strict=True):
+                    if root[i] != root[j] and linked(sets[i], sets[j], limit):
+                        links.append(sorted((int(group.rep[i]), int(group.rep[j]))))
+                        root[root == root[j]] = root[i]
+            if links:
+                yield pa.RecordBatch.from_arrays([pa.array(side, pa.int64()) for side in zip(*links, strict=True)], names=["a", "b"])
+
+    return join
+
+
+def linked(one: np.ndarray, two: np.ndarray, limit: Limit = USUAL) -> bool:
+    both = np.sort(np.concatenate([one, two]))
+    common = int(np.count_nonzero(both[1:] == both[:-1]))
+    return 100 * common >= limit.percent * (len(both) - common)
 
 
 def _confirmed(limit: Limit):
@@ -321,10 +366,7 @@ def _confirmed(limit: Limit):
         for batch in batches:
             keep = []
             for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
-                one, two = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = np.sort(np.concatenate([one, two]))
-                common = int(np.count_nonzero(both[1:] == both[:-1]))
-                keep.append(100 * common >= limit.percent * (len(both) - common))
+                keep.append(linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), limit))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return confirm
@@ -460,11 +502,18 @@ def near_duplicates(
             rows = crowded if nearest else rows.where(F.col("members") <= CROWD).select("*", none).unionByName(crowded)
         if "wide" not in rows.columns:
             rows = rows.withColumn("wide", F.lit(None).cast("binary"))
-        crossed = mapped(_dealt(rows, classes, parts), _crossed(nearest, limit), "a long, b long")
-        pairs = written(crossed.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
-        more = written(corpus.confirmed(pairs), "links")
+        dealt = _dealt(rows, classes, parts)
+        if nearest:
+            near = mapped(dealt, _nearest(limit), "a long, b long").distinct()
+            pairs = written(near.join(tested, ["a", "b"], "left_anti"), "pairs")
+            tested, more = tested.union(pairs), written(corpus.confirmed(pairs), "links")
+        else:
+            involved = written(mapped(dealt, _involved(limit), dealt.schema), "involved")
+            sets = corpus.full_sets(involved.select("rep").distinct())
+            grouped = involved.join(sets, "rep").repartition(parts, "group").sortWithinPartitions("group")
+            more = written(mapped(grouped, _joined(limit), "a long, b long").distinct(), "links")
         if more.limit(1).count():
-            links, tested = links.union(more), tested.union(pairs)
+            links = links.union(more)
             labels = components(links)
 
     joined = classes.join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
