@@ -50,9 +50,9 @@ ENDS = b".,;:!?\n\x0b\x0c\r"
 END = b"\xff"
 TO_END = bytes.maketrans(ENDS, END * len(ENDS))
 # Words, and pairs, that a task counts before it hands the counts on, and slots it joins at a time.
-WORDS_AT_A_TIME = 250_000
-PAIRS_AT_A_TIME = 1_000_000
-SLOTS_AT_A_TIME = 500_000
+WORDS_AT_A_TIME = 120_000
+PAIRS_AT_A_TIME = 300_000
+SLOTS_AT_A_TIME = 250_000
 SLOT, WORD = 0, 1
 
 TOKENS = "kind int, row long, slots array<long>, word long, lang string, text string, n long"
