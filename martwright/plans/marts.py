@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from martwright.operators.staging import stage
 from martwright.plans.star import Lookup, Star, master_profit, measured
 from martwright.sources.tables import full_name
 
 YEAR = "order_year"
+TOTAL = "total"
 
 
 @dataclass(frozen=True)
@@ -46,6 +48,7 @@ MARTS: dict[str, Mart] = {
     "daily_sales": Mart(keys=("order_date",), order=("order_date",)),
 }
 
+# Keys and sort order of the profit reports.
 REPORTS: dict[str, Mart] = {
     "profit_by_year": Mart(keys=(YEAR,), order=(YEAR,), profit_only=True),
     "profit_by_year_category": Mart(
@@ -150,6 +153,51 @@ def _finished(grouped: DataFrame, mart: Mart, ordered: bool) -> DataFrame:
     return result
 
 
+def profit_rollup(master: DataFrame, reports: dict[str, Mart] | None = None) -> DataFrame:
+    """All profit reports and the grand total by one aggregation over a sales master.
+
+    One shuffle: each line counts towards every report in the partial
+    aggregation. Columns: report, every report's keys (NULL where a report has no
+    such key), total_profit. Over no lines the result is empty.
+    """
+    reports = REPORTS if reports is None else reports
+    keys = list(dict.fromkeys(key for report in reports.values() for key in report.keys))
+    sets = [list(report.keys) for report in reports.values()]
+    # The bit of a key, the first one's the highest, is set where the report lacks it.
+    levels = [sum((key not in names) << k for k, key in enumerate(reversed(keys))) for names in [*sets, []]]
+    lines = master.select(*[F.year("order_date").alias(YEAR) if key == YEAR else key for key in keys], "profit")
+    grouped = lines.groupingSets([*sets, []], *keys).agg(
+        F.grouping_id().alias("level"), F.sum("profit").alias("total_profit")
+    )
+    name = F.lit(None).cast("string")
+    for level, report in zip(levels, [*reports, TOTAL], strict=True):
+        name = F.when(F.col("level") == level, report).otherwise(name)
+    return grouped.select(
+        name.alias("report"), *keys, F.round("total_profit", 2).alias("total_profit")
+    )
+
+
+def placed(rows: DataFrame, mart: Mart, position: str = "position") -> DataFrame:
+    """A mart's rows with their place in its order, from 1; ties go by the keys, in their order.
+
+    Sorted by ranges and staged; a range begins after the rows of all ranges
+    before it, so no task holds more than one range. Only the counts of the ranges
+    pass through one task.
+    """
+    upwards = not mart.descending
+    order = [F.asc(c) if upwards else F.desc(c) for c in mart.order]
+    order += [F.asc(key) for key in mart.keys if key not in mart.order]
+    within = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    numbered = rows.orderBy(*order).withColumns({"__range": F.spark_partition_id(), "__within": within})
+    ranges = stage(numbered, "placed").frame
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = ranges.groupBy("__range").agg(F.count(F.lit(1)).alias("rows"))
+    starts = sizes.select("__range", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("__start"))
+    place = (F.col("__start") + F.col("__within") + 1).alias(position)
+    # One row a range of the sort, at most spark.sql.shuffle.partitions.
+    return ranges.join(F.broadcast(starts), "__range").select(place, *rows.columns)
+
+
 def report_sql(name: str, table: str) -> str:
     """A profit report as SQL text over a written sales master."""
     report = REPORTS[name]

@@ -15,6 +15,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martwright.operators.staging import broadcast_within, row_bytes
 
@@ -68,6 +69,8 @@ class Lookup:
     columns: Mapping[str, str]
     unique: bool = False
     bytes: int | None = None
+    # Bytes by column, and of the key alone under its name, once the whole lookup is measured.
+    sizes: Mapping[str, int] | None = None
 
     def rows(self, names: list[str]) -> DataFrame:
         picked = [F.col(self.columns[name]).alias(name) for name in names]
@@ -103,6 +106,8 @@ def measured(needs: list[tuple[Lookup, list[str]]]) -> list[Lookup]:
     One job over the lookups' needed columns. Hot keys shrink in the partial
     aggregation; a NULL key joins nothing and is no duplicate.
     """
+    if all(lookup.sizes is not None for lookup, _ in needs):
+        return [replace(lookup, bytes=sum(lookup.sizes[n] for n in [lookup.key, *names])) for lookup, names in needs]
     parts = []
     for position, (lookup, names) in enumerate(needs):
         rows = lookup.rows(names)
@@ -125,6 +130,37 @@ def measured(needs: list[tuple[Lookup, list[str]]]) -> list[Lookup]:
     ]
 
 
+def measured_star(source: Star) -> Star:
+    """The star with its lookups measured column by column, once for any number of marts.
+
+    One job. The lookups must not change while marts are built from the result.
+    """
+    parts = []
+    for position, lookup in enumerate(source.lookups):
+        rows = lookup.rows(list(lookup.columns))
+        base = row_bytes(rows.select(lookup.key).schema)
+        extra = [row_bytes(rows.select(name).schema) - row_bytes(T.StructType()) for name in lookup.columns]
+        key = F.col(lookup.key).cast("string").alias("key")
+        parts.append(rows.select(F.lit(position).alias("lookup"), key, F.array(base, *extra).alias("sizes")))
+    widest = max(len(lookup.columns) for lookup in source.lookups) + 1
+    columns = [F.try_element_at("sizes", F.lit(k + 1)).alias(f"size_{k}") for k in range(widest)]
+    sums = [F.sum(f"size_{k}").alias(f"size_{k}") for k in range(widest)]
+    per_key = (
+        reduce(DataFrame.unionAll, parts)
+        .select("lookup", "key", *columns)
+        .groupBy("lookup", "key")
+        .agg(F.count(F.lit(1)).alias("rows"), *sums)
+    )
+    repeats = F.max(F.when(F.col("key").isNotNull(), F.col("rows")).otherwise(0)).alias("repeats")
+    found = {row.lookup: row for row in per_key.groupBy("lookup").agg(repeats, *sums).collect()}
+    done = []
+    for position, lookup in enumerate(source.lookups):
+        row, names = found.get(position), [lookup.key, *lookup.columns]
+        sizes = {name: row[f"size_{k}"] if row else 0 for k, name in enumerate(names)}
+        done.append(replace(lookup, unique=row is None or row.repeats <= 1, sizes=sizes))
+    return replace(source, customers=done[0], products=done[1])
+
+
 def master_profit() -> Column:
     return F.round("profit", 2).alias("profit")
 

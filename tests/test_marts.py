@@ -8,12 +8,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from martwright.functions.enrich import enrich_customers, enrich_products
-from martwright.plans.marts import MARTS, REPORTS, over_master, over_star, run_report
+from martwright.plans.marts import MARTS, REPORTS, TOTAL, over_master, over_star, placed, profit_rollup, run_report
 from martwright.plans.star import (
     CUSTOMER_COLUMNS,
     ORDER_COLUMNS,
     PRODUCT_COLUMNS,
     measured,
+    measured_star,
     sales_master,
     star,
 )
@@ -165,3 +166,49 @@ def test_hot_customer_is_split(spark, settings):
     assert counted.first()["count"] == 20300
     counted.collect()
     assert "skew=true" in counted._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rollup_holds_every_report(spark, rows):
+    master = sales_master(random_star(spark, 9, True), measure=False)
+    rollup = profit_rollup(master)
+    plan = rollup._jdf.queryExecution().executedPlan().toString()
+    whole = rollup._jdf.queryExecution().optimizedPlan().toString()
+    assert whole.count("Expand") == 1 and plan.count("Exchange hashpartitioning(order_year") == 1
+    for name, report in REPORTS.items():
+        one = rollup.filter(F.col("report") == name).select(*report.keys, "total_profit")
+        assert rows(one) == rows(over_master(master, report))
+    assert rollup.filter(F.col("report") == TOTAL).first().total_profit == master.agg(F.round(F.sum("profit"), 2)).first()[0]
+
+
+def test_rollup_of_no_lines(spark):
+    master = sales_master(random_star(spark, 9, True), measure=False).limit(0)
+    assert profit_rollup(master).count() == 0
+
+
+def test_places_follow_the_order_over_many_ranges(spark, settings):
+    settings(spark__sql__shuffle__partitions="7", spark__sql__adaptive__coalescePartitions__enabled="false")
+    mart = REPORTS["profit_by_customer"]
+    lines = [(f"c{k % 50:02}", f"n{k}", None if k % 9 == 0 else Decimal(k % 13)) for k in range(200)]
+    frame = spark.createDataFrame(lines, "customer_id string, customer_name string, total_profit decimal(18,2)")
+    got = placed(frame.repartition(5), mart).orderBy("position").collect()
+    wanted = sorted(lines, key=lambda r: (r[2] is None, -(r[2] or 0), r[0], r[1]))
+    assert [r.position for r in got] == list(range(1, 201))
+    assert [tuple(r)[1:] for r in got] == wanted
+    assert placed(frame.limit(0), mart).count() == 0
+
+
+def test_lookups_are_measured_once_for_all_marts(spark, rows, monkeypatch):
+    for repeated in (False, True):
+        source = random_star(spark, 10, repeated)
+        once = measured_star(source)
+        assert [x.unique for x in once.lookups] == [not repeated] * 2
+        needs = [(x, list(x.columns)[:2]) for x in source.lookups]
+        after = [(x, names) for x, (_, names) in zip(once.lookups, needs, strict=True)]
+        assert [x.bytes for x in measured(after)] == [x.bytes for x in measured(needs)]
+        expected = {name: rows(over_star(source, mart)) for name, mart in ALL.items()}
+        jobs = spark.sparkContext.statusTracker()
+        spark.sparkContext.setJobGroup("measured", "")
+        frames = {name: over_star(once, mart) for name, mart in ALL.items()}
+        assert not jobs.getJobIdsForGroup("measured")
+        spark.sparkContext.setJobGroup("", "")
+        assert {name: rows(frame) for name, frame in frames.items()} == expected

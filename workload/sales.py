@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from martwright.functions.enrich import enrich_customers, enrich_products
-from martwright.plans.marts import MARTS, REPORTS, over_star
-from martwright.plans.star import Star, sales_master, star
+from martwright.plans.marts import MARTS, REPORTS, over_star, placed, profit_rollup
+from martwright.plans.star import Star, measured_star, sales_master, star
+from martwright.sources.files import union_scans
 from workload.adapter import (
     CUSTOMERS_SQL,
     ORDERS_SQL,
@@ -121,3 +123,68 @@ for _name in [*MARTS, *REPORTS]:
 for _name in MARTS:
     _missing = f"{_name}_missing_dims"
     query(_missing, mart_sql(_name, CHECKED_MASTER))(mart_query(_name, checked_star))
+
+
+_ROLLUP_KEYS = ("order_year", "product_category", "customer_id", "customer_name")
+
+
+def rollup_sql(report: str, keys: tuple[str, ...]) -> str:
+    """A report's rows, NULL for the keys that it lacks."""
+    source = {"order_year": "year(order_date)::INTEGER"}
+    columns = [f"{source.get(k, k) if k in keys else 'NULL'} AS {k}" for k in _ROLLUP_KEYS]
+    by = f"GROUP BY {', '.join(source.get(k, k) for k in keys)}" if keys else "HAVING count(*) > 0"
+    return f"SELECT '{report}' AS report, {', '.join(columns)}, {PROFIT} FROM master {by}"
+
+
+@query(
+    "profit_rollup",
+    FULL_MASTER + " UNION ALL ".join(rollup_sql(r, k) for r, k in [*((n, m.keys) for n, m in REPORTS.items()), ("total", ())]),
+)
+def rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The four profit reports and the grand total, by one aggregation."""
+    return doubles(profit_rollup(sales_master(sales_star(spark, sf_dir))))
+
+
+def placed_sql(name: str) -> str:
+    mart = REPORTS.get(name) or MARTS[name]
+    order = [f"{c} {'DESC NULLS LAST' if mart.descending else 'NULLS FIRST'}" for c in mart.order]
+    order += [f"{key} NULLS FIRST" for key in mart.keys if key not in mart.order]
+    return (
+        f"{mart_sql(name, CHECKED_MASTER + ', report AS (')}) "
+        f"SELECT row_number() OVER (ORDER BY {', '.join(order)}) AS position, * FROM report"
+    )
+
+
+@query("profit_by_customer_ranked", placed_sql("profit_by_customer"))
+def customers_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers by profit, highest first, with their place; equal profits by id, then name."""
+    mart = REPORTS["profit_by_customer"]
+    return doubles(placed(over_star(checked_star(spark, sf_dir), mart, ordered=False), mart))
+
+
+@query("profit_summary_ranked", placed_sql("profit_summary"))
+def summary_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profit summary in its order, with each row's place; unknown customers and products first."""
+    mart = MARTS["profit_summary"]
+    return doubles(placed(over_star(checked_star(spark, sf_dir), mart, ordered=False), mart))
+
+
+@query(
+    "marts_measured_once",
+    FULL_MASTER
+    + " UNION ALL ".join(
+        f"SELECT '{name}' AS mart, count(*) AS groups, sum(profit)::DOUBLE AS profit FROM "
+        f"(SELECT sum(profit) AS profit FROM master GROUP BY {', '.join('year(order_date)' if k == 'order_year' else k for k in mart.keys)})"
+        for name, mart in MARTS.items() if not mart.profit_only
+    ),
+)
+def marts_measured_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and profit of the marts over one star, whose lookups are measured by one job."""
+    source = measured_star(sales_star(spark, sf_dir))
+    totals = [
+        over_star(source, mart, ordered=False).agg(
+            F.lit(name).alias("mart"), F.count(F.lit(1)).alias("groups"), F.sum("total_profit").alias("profit")
+        )
+        for name, mart in MARTS.items() if not mart.profit_only
+    ]
+    return doubles(union_scans(totals))
