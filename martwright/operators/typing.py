@@ -17,10 +17,12 @@ from pyspark.sql import types as T
 from martwright.functions.casting import failed_cast, parse_type, tolerant_cast
 from martwright.functions.columns import reorder_columns
 from martwright.functions.lineage import LINEAGE_COLUMNS, quoted
+from martwright.sources.files import MALFORMED_LINE
 
 # Reasons, and the columns a reject carries.
 CAST_FAILED = "DATATYPE_CAST_FAILED"
 REQUIRED_NULL = "REQUIRED_COLUMN_NULL"
+MALFORMED = "MALFORMED_LINE"
 FAILURE_COLUMNS = ("failed_column", "expected_data_type", "actual_value", "rejection_reason")
 _FAILURE = "__failure"
 
@@ -75,8 +77,15 @@ def required_split(df: DataFrame, schema: DataFrame | Iterable[Field]) -> TypedS
 
 
 def typed_split(df: DataFrame, schema: DataFrame | Iterable[Field]) -> TypedSplit:
-    """Cast, then required check on the rows that cast; source values in the rejects."""
+    """Cast, then required check on the rows that cast; source values in the rejects.
+
+    Where the scan kept malformed lines (a column ``MALFORMED_LINE``), those are
+    rejected first, once each and with the whole line; valid rows lack the column.
+    """
     fields = as_fields(schema)
+    if MALFORMED_LINE in df.columns and MALFORMED_LINE not in [f.name for f in fields]:
+        split = _split(df, fields, _parsed_columns(df, fields), True, F.col(MALFORMED_LINE).isNotNull())
+        return TypedSplit(split.valid.drop(MALFORMED_LINE), split.rejected)
     return _split(df, fields, _parsed_columns(df, fields), required=True)
 
 
@@ -84,7 +93,7 @@ Failure = tuple[Field, Column, str]
 
 
 def _split(
-    df: DataFrame, fields: list[Field], parsed: dict[str, str], required: bool
+    df: DataFrame, fields: list[Field], parsed: dict[str, str], required: bool, malformed: Column | None = None
 ) -> TypedSplit:
     rows = _with_parsed(df, fields, parsed)
     casts = [
@@ -93,12 +102,17 @@ def _split(
         if f.name in parsed
     ]
     gaps = _required_failures(fields) if required else []
+    lines = []
+    if malformed is not None:
+        lines = [(Field(MALFORMED_LINE, "line of its header's fields"), malformed, MALFORMED)]
+        casts = [(field, ~malformed & broken, reason) for field, broken, reason in casts]
+        gaps = [(field, ~malformed & gap, reason) for field, gap, reason in gaps]
     castable = _none_of(casts)
     only_castable = [(field, castable & gap, reason) for field, gap, reason in gaps]
-    passed = castable & _none_of(gaps)
+    passed = _none_of(lines) & castable & _none_of(gaps)
     return TypedSplit(
         valid=_typed(rows.filter(passed), df, fields, parsed),
-        rejected=_exploded(rows.filter(~passed), casts + only_castable, df.columns),
+        rejected=_exploded(rows.filter(~passed), lines + casts + only_castable, df.columns),
     )
 
 

@@ -9,10 +9,16 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martwright.sources.listing import hadoop_glob, matching_files
 
 
+# Of the reader options, names the text column for lines that do not fit their file's header.
+RAW_LINE_OPTION = "columnNameOfCorruptRecord"
+MALFORMED_LINE = "malformed_line"
+
+
 @dataclass(frozen=True)
 class Format:
     source: str
@@ -44,12 +50,26 @@ def scan(
 ) -> DataFrame:
     """Read files of a registered type; ``options`` override the format's defaults.
 
-    A known ``schema`` saves JSON its inference pass over the data.
+    A known ``schema`` saves JSON its inference pass over the data. CSV with the
+    option ``columnNameOfCorruptRecord`` has that column last: the whole line where
+    its number of fields is not the header's (longer, shorter, a quote not closed),
+    NULL on all other lines. Spark refuses to read that column alone.
     """
     known = FORMATS.get(file_type.lower())
     if known is None:
         raise ValueError(f"unsupported file type: {file_type}")
-    reader = spark.read.format(known.source).options(**{**known.options, **(options or {})})
+    settings = {**known.options, **(options or {})}
+    raw_line = settings.get(RAW_LINE_OPTION)
+    if raw_line and known.source == "csv":
+        del settings[RAW_LINE_OPTION]
+        plain = spark.read.format("csv").options(**settings)
+        header = (plain.schema(schema) if schema else plain).load(path).schema
+        if raw_line in header.names:
+            raise ValueError(f"the files have a column {raw_line} of their own")
+        schema = T.StructType([*header.fields, T.StructField(raw_line, T.StringType())])
+        # A line is judged by all of its fields, whatever columns are read.
+        settings |= {RAW_LINE_OPTION: raw_line, "mode": "PERMISSIVE", "columnPruning": "false"}
+    reader = spark.read.format(known.source).options(**settings)
     return (reader.schema(schema) if schema else reader).load(path)
 
 

@@ -7,6 +7,8 @@ import pytest
 
 from martwright.sources.files import (
     FORMATS,
+    MALFORMED_LINE,
+    RAW_LINE_OPTION,
     register_format,
     scan,
     scan_csv,
@@ -26,7 +28,7 @@ from martwright.sources.listing import (
 )
 from martwright.sources.metadata import active_sources, column_mapping, table_schema
 from martwright.sources.tables import full_name, read_table
-from martwright.streaming.bronze import ingest_new_files, stream_landing
+from martwright.streaming.bronze import ingest_files_into, ingest_new_files, stream_landing
 
 
 def test_csv_is_text_with_header(spark, tmp_path, rows):
@@ -165,3 +167,67 @@ def test_partition_folders_of_listed_files(spark, tmp_path, rows):
     assert [r.file_name for r in listed.collect()] == ["d=1/a.csv", "d=2/a.csv"]
     scans = scan_landing(spark, str(tmp_path), "*.csv", "csv", listed)
     assert rows(union_scans(scans), "x", "d") == [("7", 1), ("7", 2)]
+
+
+def test_malformed_lines_are_kept_whole(spark, tmp_path, rows):
+    (tmp_path / "a.csv").write_text('id,name,qty\n1,x,2\n2,"long",3,4\n3,short\n4,"open,5\n5,,\n\n6,"a,b",7\n')
+    df = scan_csv(spark, str(tmp_path), {RAW_LINE_OPTION: MALFORMED_LINE})
+    assert df.columns == ["id", "name", "qty", MALFORMED_LINE]
+    assert rows(df.filter(f"{MALFORMED_LINE} IS NULL"), "id", "name", "qty") == [
+        ("1", "x", "2"), ("5", None, None), ("6", "a,b", "7")
+    ]
+    lines = ['2,"long",3,4', "3,short", '4,"open,5']
+    # the verdict does not depend on the columns that are read
+    assert sorted(r[1] for r in df.select("id", MALFORMED_LINE).collect() if r[1]) == lines
+    (tmp_path / "c.csv").write_text(f"{MALFORMED_LINE}\n1\n")
+    with pytest.raises(ValueError, match="of their own"):
+        scan_csv(spark, str(tmp_path / "c.csv"), {RAW_LINE_OPTION: MALFORMED_LINE})
+
+
+def test_malformed_lines_over_two_layouts(spark, tmp_path, rows):
+    (tmp_path / "a.csv").write_text("id,name\n1,x\n2\n")
+    (tmp_path / "b.csv").write_text("name,id,more\ny,3,z\ny,4,z,?\n")
+    scans = scan_landing(spark, str(tmp_path), "*.csv", "csv", options={RAW_LINE_OPTION: MALFORMED_LINE})
+    got = union_scans(scans)
+    assert rows(got.filter(f"{MALFORMED_LINE} IS NULL"), "id", "name", "more") == [("1", "x", None), ("3", "y", "z")]
+    assert sorted(r[0] for r in got.select(MALFORMED_LINE, "id").collect() if r[0]) == ["2", "y,4,z,?"]
+
+
+def test_stream_into_a_table_takes_layouts_and_replays(spark, database, tmp_path, rows, monkeypatch):
+    landing, checkpoint, table = tmp_path / "landing", str(tmp_path / "checkpoint"), f"{database}.orders"
+    landing.mkdir()
+
+    def run(**how):
+        query = ingest_files_into(spark, str(landing), "*.csv", "csv", "s", "shop", table, checkpoint, **how)
+        query.awaitTermination()
+        return rows(spark.table(table), "order_id", "qty", "more", "source_file_name", "pipeline_run_id")
+
+    (landing / "first file.CSV").write_text("Order ID,qty,more\nO1,1,a\n")
+    (landing / "second.csv").write_text("qty,Order ID\n2,O2\n")
+    (landing / "note.txt").write_text("not,me\n")
+    loaded = [("O1", "1", "a", "first file.CSV", "s/0"), ("O2", "2", None, "second.csv", "s/0")]
+    assert run() == loaded
+    assert run() == loaded
+
+    # The rows are written, then the stream stops before its checkpoint says so.
+    from martwright.sinks.tables import write_table as write
+
+    def write_and_stop(*args, **kwargs):
+        write(*args, **kwargs)
+        raise RuntimeError("stopped")
+
+    (landing / "third.csv").write_text("Order ID,late\nO3,x\n")
+    monkeypatch.setattr("martwright.streaming.bronze.write_table", write_and_stop)
+    with pytest.raises(Exception, match="stopped"):
+        run()
+    monkeypatch.undo()
+    loaded.append(("O3", None, None, "third.csv", "s/1"))
+    assert run() == loaded
+    (landing / "fourth.csv").write_text("Order ID,qty\nO4,4\n")
+    (landing / "fifth.csv").write_text("Order ID,qty\nO5,5\n")
+    assert [r[0] for r in run(files_per_batch=1)] == ["O1", "O2", "O3", "O4", "O5"]
+
+
+def test_stream_into_a_table_of_unknown_type(spark, tmp_path):
+    with pytest.raises(ValueError, match="xml2"):
+        ingest_files_into(spark, str(tmp_path), "*", "xml2", "s", "shop", "t", str(tmp_path / "c"))

@@ -9,14 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martwright.functions.lineage import scanned_file_name, stringify
-from martwright.operators.typing import typed_split
+from martwright.operators.typing import Field, typed_split
 from martwright.plans.flow import Flow, ingest, run_all, validate
 from martwright.plans.marts import run_report
 from martwright.plans.star import sales_master
 from martwright.session import work_dir
 from martwright.sinks.audit import rejected_records
 from martwright.sinks.tables import write_table
-from martwright.sources.files import scan, scan_csv, scan_landing, scan_parquet, union_scans
+from martwright.sources.files import MALFORMED_LINE, RAW_LINE_OPTION, scan, scan_csv, scan_json, scan_landing, scan_parquet, union_scans
 from martwright.sources.listing import (
     LOADED,
     file_listing,
@@ -25,7 +25,7 @@ from martwright.sources.listing import (
     unloaded,
 )
 from martwright.sources.tables import read_table
-from martwright.streaming.bronze import ingest_new_files, stream_landing
+from martwright.streaming.bronze import ingest_files_into, ingest_new_files, stream_landing
 from workload.adapter import (
     CUSTOMERS_SQL,
     PRODUCTS_SQL,
@@ -108,6 +108,17 @@ def json_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(spark, path, "json", {"multiLine": "false"})
 
 
+@query("json_array_scan", ORDERS_TEXT)
+def json_array_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The default reading: files that are one array over many lines, of at most 10,000 orders."""
+    path = folder(spark, "json")
+    orders = orders_feed(spark, sf_dir)
+    records = F.to_json(F.collect_list(F.struct(*orders.columns)), {"pretty": "true"})
+    arrays = orders.groupBy(F.expr("o_orderkey DIV 10000")).agg(records.alias("value"))
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
+    return scan_json(spark, path)
+
+
 @query("parquet_scan", "SELECT * REPLACE (o_totalprice::DECIMAL(18,2)::DOUBLE AS o_totalprice, o_orderdate::DATE AS o_orderdate) FROM orders")
 def parquet_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = folder(spark, "parquet")
@@ -138,6 +149,42 @@ def csv_two_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_scans(scan_landing(spark, two_layouts(spark, sf_dir), "*.CSV", "csv"))
 
 
+# Every seventh line is short of a field, every eleventh has one too many, every thirteenth a quote left open.
+LINE_KINDS = """CASE WHEN o_orderkey % 7 = 0 THEN 'short' WHEN o_orderkey % 11 = 0 THEN 'long'
+    WHEN o_orderkey % 13 = 0 THEN 'open' END"""
+
+
+def broken_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as written CSV lines, part of them malformed."""
+    path = folder(spark, "lines")
+    line = F.when(F.col("kind") == "short", F.concat_ws(",", "o_orderkey", "o_orderstatus")).when(
+        F.col("kind") == "long", F.concat_ws(",", "o_orderkey", "o_orderstatus", "o_orderpriority", F.lit("more"))
+    ).when(F.col("kind") == "open", F.concat(F.col("o_orderkey"), F.lit(',"'), "o_orderstatus", F.lit(","), "o_orderpriority"))
+    whole = F.concat_ws(",", "o_orderkey", "o_orderstatus", "o_orderpriority")
+    orders = table(spark, sf_dir, "orders").withColumn("kind", F.expr(LINE_KINDS))
+    lines = orders.select(F.coalesce(line, whole).alias("order_key,status,priority"))
+    lines.write.options(header="true", quote="", escapeQuotes="false", sep="\x01").csv(path)
+    return scan_csv(spark, path, {RAW_LINE_OPTION: MALFORMED_LINE})
+
+
+@query(
+    "csv_malformed",
+    f"""WITH lines AS (SELECT o_orderkey AS k, o_orderstatus AS s, o_orderpriority AS p, {LINE_KINDS} AS kind FROM orders)
+    SELECT k AS order_key, s AS status, p AS priority, NULL AS actual_value, NULL AS rejection_reason
+    FROM lines WHERE kind IS NULL
+    UNION ALL SELECT NULL, NULL, NULL,
+        CASE kind WHEN 'short' THEN k || ',' || s WHEN 'long' THEN k || ',' || s || ',' || p || ',more'
+             ELSE k || ',"' || s || ',' || p END, 'MALFORMED_LINE'
+    FROM lines WHERE kind IS NOT NULL""",
+)
+def csv_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines too short, too long and with an open quote are rejected whole; the others are typed."""
+    fields = [Field("order_key", "bigint", None, False), Field("status", "string"), Field("priority", "string")]
+    split = typed_split(broken_lines(spark, sf_dir), fields)
+    rejected = split.rejected.select("actual_value", "rejection_reason")
+    return split.valid.unionByName(rejected, allowMissingColumns=True)
+
+
 # --- landing folder, ledger, stream ----------------------------------------
 
 
@@ -192,6 +239,21 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(*table(spark, sf_dir, "orders").columns)
 
 
+@query(
+    "stream_two_layouts",
+    """SELECT p_partkey::VARCHAR AS p_partkey, p_name, p_brand, p_type,
+              CASE WHEN p_type IN ('SMALL', 'MEDIUM', 'LARGE') THEN p_size::VARCHAR END AS p_size, 'parts' AS source_system
+       FROM part""",
+)
+def stream_two_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of two layouts through the stream into a bronze table, started twice."""
+    landing, checkpoint = two_layouts(spark, sf_dir), folder(spark, "checkpoint")
+    name = f"{database(spark, 'stream')}.parts"
+    for _ in range(2):
+        ingest_files_into(spark, landing, "*.csv", "csv", "parts", "parts", name, checkpoint).awaitTermination()
+    return read_table(spark, name).select("p_partkey", "p_name", "p_brand", "p_type", "p_size", "source_system")
+
+
 # --- table sinks -----------------------------------------------------------
 
 PART_SQL = "SELECT p_partkey, p_name, p_type, p_retailprice FROM part"
