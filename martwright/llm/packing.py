@@ -23,12 +23,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martwright.llm.common import mapped, picked, sliced
-from martwright.llm.tokenizing import tokenizer
+from martwright.llm.tokenizing import PIECES_HELD, tokenizer
 
 WINDOW = 2048
 RESTS = 1 << 17
-# Pieces of text a worker remembers; fewer than it might, since it also works for other stages.
-PIECES_HELD = 120_000
 
 
 class OpenWindows:
@@ -86,17 +84,20 @@ NUMBERS = ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
 def pack(
     docs: DataFrame, tokenizer_path: str, end_id: int, window: int = WINDOW,
     id_column: str = "doc_id", text_column: str = "text", with_ids: bool = True,
+    pieces_held: int = PIECES_HELD,
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids.
 
     ``ids`` are little-endian unsigned 32-bit integers, left out unless asked for.
+    ``pieces_held`` bounds what a worker remembers of texts: time against memory,
+    never the result.
     """
     source = picked(docs, doc_id=id_column, text=text_column)
     names = ["doc_id", *NUMBERS, *(["ids"] if with_ids else [])]
     end = np.uint32(end_id).tobytes()
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, doc_type = tokenizer(tokenizer_path, PIECES_HELD), None
+        encoder, doc_type = tokenizer(tokenizer_path, pieces_held), None
         next_window = TaskContext.get().partitionId() << 40
         rests: list[tuple] = []
 

@@ -14,6 +14,7 @@ import json
 import os
 import re
 from array import array
+from collections.abc import Callable
 
 import numpy as np
 import regex
@@ -62,17 +63,22 @@ def piece_text(key: bytes) -> str:
 
 
 class Held(dict):
-    """Ids of pieces; a piece that is not held comes from the generation before, or is encoded."""
+    """Ids of pieces or parts; what is not held comes from the generation before, or is encoded."""
 
-    def __init__(self, older: dict, encode) -> None:
+    def __init__(self, older: dict, encode: Callable) -> None:
         super().__init__()
         self.older, self.encode = older, encode
 
-    def __missing__(self, piece: bytes) -> bytes:
-        ids = self.older.get(piece)
+    def __missing__(self, piece: bytes | str) -> bytes:
+        ids = dict.get(self.older, piece)
         self[piece] = ids = self.encode(piece) if ids is None else ids
         return ids
 
+    def next(self) -> Held:
+        """An empty generation after this one; the one before this is let go."""
+        self.older = {}
+        return Held(self, self.encode)
+
 
 class PieceTokenizer:
     """Ids as little-endian unsigned 32-bit integers, in bytes."""
@@ -91,7 +97,7 @@ class PieceTokenizer:
             self.model = self.tokenizer.model
             self.characters = byte_characters()
         self.held = Held({}, self._encode_piece)
-        self.parts: dict[str, bytes] = {}
+        self.parts = Held({}, self._part)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         out = []
@@ -101,8 +107,9 @@ class PieceTokenizer:
                 out.append(self._whole(text))
                 continue
             if len(self.held) > self.most_held:
-                self.held.older = {}
-                self.held = Held(dict(self.held), self._encode_piece)
+                self.held = self.held.next()
+            if len(self.parts) > self.most_held:
+                self.parts = self.parts.next()
             out.append(b"".join(map(self.held.__getitem__, pieces)))
         return out
 
@@ -117,17 +124,14 @@ class PieceTokenizer:
         if not text.isascii() and max(text) > "\xff":
             return self._whole(text.encode())
         parts = self.split(text.lower() if self.kind == "words" else text)
-        return b"".join([self.parts.get(p) or self._part(p) for p in parts])
+        return b"".join(map(self.parts.__getitem__, parts))
 
     def _part(self, part: str) -> bytes:
         if part.isascii() and part.isprintable():  # only the space is shown as something else
             text = part.replace(" ", self.characters[32])
         else:
             text = part.encode().decode("latin-1").translate(self.characters)
-        if len(self.parts) > self.most_held:
-            self.parts.clear()
-        self.parts[part] = ids = array("I", [t.id for t in self.model.tokenize(text)]).tobytes()
-        return ids
+        return array("I", [t.id for t in self.model.tokenize(text)]).tobytes()
 
     def _whole(self, text: bytes) -> bytes:
         return np.array(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, np.uint32).tobytes()
@@ -149,7 +153,8 @@ _LOADED: dict[str, PieceTokenizer] = {}
 
 
 def tokenizer(path: str, most_held: int = PIECES_HELD) -> PieceTokenizer:
-    """The worker's own, loaded once."""
+    """The worker's own, loaded once; it remembers as many pieces as its last user allows."""
     if path not in _LOADED:
         _LOADED[path] = PieceTokenizer(path, most_held)
+    _LOADED[path].most_held = most_held
     return _LOADED[path]
