@@ -14,6 +14,8 @@ from martwright.llm.common import table, written
 
 END_ID = 1
 NEAR_PERCENT = 80
+# Fewer than the packing operator's own number: its workers hold what earlier stages left them.
+PIECES_HELD = 120_000
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,7 +40,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token windows, with their ids."""
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), END_ID)
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), END_ID, pieces_held=PIECES_HELD)
 
 
 STAGES = [
