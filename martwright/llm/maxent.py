@@ -8,11 +8,20 @@ one share being kept for unknown words, so the whole is a distribution.
 
     P(w | before) = P(class | before) P(bucket | class, before) (c(w) + 1) / (N_b + V_b + 1)
 
-Training: in each round every task makes gradient steps over all its training
-text from the present weights; the changes are averaged, each weight row by how
-often its feature occurred, and the next round starts from there. Counts cover
-all training text. Words above a count that at most ``HEAD_WORDS`` words reach
-are held by every task; the others' counts are joined by key.
+Training is one update by the gradient over all training text. Before it every
+context has the shares of the counts, so the gradient of a feature row and an
+outcome is how often they were seen together less the row's occurrences times
+the outcome's share. Tasks count, Spark sums the counts by row, and each row
+steps by the log of seen over expected (``PRIOR`` occurrences at the plain share
+added to both), divided by the features that fire together. Counts are whole
+numbers, so the weights are the same however the input is split.
+
+Feature rows follow the training tokens: the power of two from four times their
+square root on, ``CLASS_ROWS`` at least. Every task holds the weights, 384 bytes
+a class row, so there are ``MOST_ROWS`` at most (400 MB, reached at 70 billion
+tokens); beyond that more features share a row. Words above a count that at most
+``HEAD_WORDS`` words reach are held by every task; the others' counts are joined
+by key.
 
 Tokens are words of the text with A-Z lower-cased, and one end. Null text counts
 as empty: one end. A null id counts as the empty text when documents are held
@@ -22,6 +31,7 @@ gives an empty result.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -44,11 +54,14 @@ IN_CLASS = 32
 BUCKETS = CLASSES * IN_CLASS
 OWN_BUCKETS = BUCKETS // 2
 CLASS_ROWS = 1 << 14
-BUCKET_ROWS = 1 << 10
-ROUNDS = 1
+MOST_ROWS = 1 << 20
+ROWS_A_BUCKET_ROW = 16  # class rows for each bucket row, which has one for each class
+BUCKET_ROWS = CLASS_ROWS // ROWS_A_BUCKET_ROW
+CLASS_KINDS, BUCKET_KINDS = 4, 2
+PRIOR = 20.0
 STEP_TOKENS = 1 << 14
-RATE = 0.15
 SLOT_ROWS = 512
+COUNTED_TOKENS = 1 << 31  # a task's counts are 32 bits wide
 ORIGIN = np.uint32(0x5BD1E995)  # stands for the words before the first
 
 
@@ -76,17 +89,6 @@ class Weights:
     class_bias: np.ndarray = field(default_factory=lambda: np.zeros(CLASSES, np.float32))
     bucket_bias: np.ndarray = field(default_factory=lambda: np.zeros((CLASSES, IN_CLASS), np.float32))
 
-    def rows(self) -> np.ndarray:
-        """All feature rows as one matrix, ``CLASSES`` wide; a bucket feature has one row for each class."""
-        return np.concatenate([self.classes, self.buckets.reshape(-1, IN_CLASS)])
-
-    def with_rows(self, rows: np.ndarray) -> Weights:
-        buckets = rows[CLASS_ROWS:].reshape(BUCKET_ROWS, CLASSES, IN_CLASS)
-        return Weights(rows[:CLASS_ROWS], buckets, self.class_bias, self.bucket_bias)
-
-
-ROWS = CLASS_ROWS + BUCKET_ROWS * CLASSES
-
 
 @dataclass(frozen=True)
 class Lexicon:
@@ -168,8 +170,14 @@ def first_weights(words: Lexicon) -> Weights:
     )
 
 
-def features(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Feature rows of each token: four for the class (n-grams and skips), two for the bucket."""
+def rows_for(tokens: int) -> int:
+    """Class rows for so many training tokens."""
+    wanted = 4 * math.isqrt(max(0, tokens))
+    return min(MOST_ROWS, max(CLASS_ROWS, 1 << (wanted - 1).bit_length() if wanted else 0))
+
+
+def features(hashes: np.ndarray, counts: np.ndarray, held: int = CLASS_ROWS) -> tuple[np.ndarray, np.ndarray]:
+    """Of ``held`` class rows, those of each token: four for the class (n-grams and skips), two for the bucket."""
     starts, row = ragged(counts)
     place = np.arange(len(hashes)) - starts[row]
     before = []
@@ -178,19 +186,11 @@ def features(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.nda
         before.append(np.where(place >= back, shifted, ORIGIN + np.uint32(back)).astype(np.uint64))
     one, two, three = before
     kinds = [one, one << np.uint64(32) | two, two + np.uint64(1 << 40), three + np.uint64(1 << 41)]
-    class_rows = np.stack([mixed(k) & np.uint64(CLASS_ROWS - 1) for k in kinds]).astype(np.int64)
-    bucket_rows = np.stack([mixed(k + np.uint64(1 << 50)) & np.uint64(BUCKET_ROWS - 1) for k in (one, two)]).astype(np.int64)
+    class_rows = np.stack([mixed(k) & np.uint64(held - 1) for k in kinds]).astype(np.int64)
+    bucket_rows = np.stack([mixed(k + np.uint64(1 << 50)) & np.uint64(held // ROWS_A_BUCKET_ROW - 1) for k in (one, two)]).astype(np.int64)
     return class_rows, bucket_rows
 
 
-def _softmax(scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    scores -= scores.max(axis=1, keepdims=True)
-    shares = np.exp(scores)
-    sums = shares.sum(axis=1, keepdims=True)
-    shares /= sums
-    return shares, np.log(sums[:, 0])
-
-
 def _scores(weights: Weights, class_rows, bucket_rows, classes) -> tuple[np.ndarray, np.ndarray]:
     class_scores = weights.class_bias + weights.classes[class_rows[0]]
     for rows in class_rows[1:]:
@@ -212,86 +212,88 @@ def log_shares(weights: Weights, class_rows, bucket_rows, buckets) -> np.ndarray
     return total
 
 
-class LocalSteps:
-    """Gradient steps of one task, with a step size for every feature row."""
-
-    def __init__(self, weights: Weights) -> None:
-        self.start = weights.rows()
-        self.all = self.start.copy()
-        self.weights = weights.with_rows(self.all)  # views of the same rows
-        self.squares = np.full(ROWS, 1e-2, np.float32)
-        self.seen = np.zeros(ROWS, np.int64)
-
-    def step(self, class_rows, bucket_rows, buckets) -> None:
-        classes, inner, at = buckets // IN_CLASS, buckets % IN_CLASS, np.arange(len(buckets))
-        class_scores, in_class = _scores(self.weights, class_rows, bucket_rows, classes)
-        slopes = []
-        for scores, chosen in ((class_scores, classes), (in_class, inner)):
-            shares, _ = _softmax(scores)
-            shares[at, chosen] -= 1
-            slopes.append(shares)
-        self._apply(class_rows, slopes[0])
-        self._apply(CLASS_ROWS + bucket_rows * CLASSES + classes, slopes[1])
-
-    def _apply(self, rows: np.ndarray, slope: np.ndarray) -> None:
-        touched, place, counts = np.unique(rows, return_inverse=True, return_counts=True)
-        place, columns = place.reshape(rows.shape), np.ascontiguousarray(slope.T, np.float64)
-        sums = np.empty((len(columns), len(touched)))
-        for column, out in zip(columns, sums, strict=True):
-            out[:] = np.bincount(place[0], column, len(touched))
-            for kind in place[1:]:
-                out += np.bincount(kind, column, len(touched))
-        sums = sums.T.astype(np.float32)
-        self.seen[touched] += counts
-        self.squares[touched] += (sums**2).mean(axis=1)
-        self.all[touched] -= RATE * sums / np.sqrt(self.squares[touched])[:, None]
-
-
-def _trained(words: Broadcast, weights: Broadcast):
-    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        steps = LocalSteps(weights.value)
-        for _, texts in sliced(batches):
-            flat, counts = tokens_of(texts)
-            hashes = np.fromiter(map(zlib.crc32, flat), np.uint32, len(flat))
-            buckets = words.value.bucket_of(flat, hashes)
-            class_rows, bucket_rows = features(hashes, counts)
-            for k in range(0, len(flat), STEP_TOKENS):
-                part = slice(k, k + STEP_TOKENS)
-                steps.step(class_rows[:, part], bucket_rows[:, part], buckets[part])
-        weighted = (steps.all - steps.start) * steps.seen[:, None].astype(np.float32)
-        for slot in range(0, ROWS, SLOT_ROWS):
-            seen = steps.seen[slot : slot + SLOT_ROWS]
-            if seen.any():
-                row = [[slot // SLOT_ROWS], [seen.tobytes()], [weighted[slot : slot + SLOT_ROWS].tobytes()]]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in row], names=["slot", "seen", "change"])
+def seen_together(hashes: np.ndarray, counts: np.ndarray, buckets: np.ndarray, held: int, into: np.ndarray) -> None:
+    """Adds to ``into``, a line of ``CLASSES`` columns for each feature row, where rows and outcomes meet.
+
+    Class rows come first, against classes; then the bucket rows, one a class, against buckets.
+    """
+    classes, inner = buckets // IN_CLASS, buckets % IN_CLASS
+    class_rows, bucket_rows = features(hashes, counts, held)
+    cells = into.reshape(-1)
+    for rows in class_rows:
+        np.add.at(cells, rows * CLASSES + classes, 1)
+    for rows in bucket_rows:
+        np.add.at(cells, (held + rows * CLASSES + classes) * IN_CLASS + inner, 1)
+
+
+def updated(first: int, seen: np.ndarray, weights: Weights, held: int) -> np.ndarray:
+    """Weights of the feature rows from ``first`` on, whose meetings with all outcomes are ``seen``."""
+    rows = first + np.arange(len(seen))
+    class_shares = np.exp(weights.class_bias.astype(np.float64))
+    inner_shares = np.exp(weights.bucket_bias.astype(np.float64))
+    of_class = (rows < held)[:, None]
+    shares = np.where(of_class, class_shares / class_shares.sum(), inner_shares[(rows - held) % CLASSES])
+    gradient = seen - seen.sum(axis=1, keepdims=True) * shares
+    expected = (seen.sum(axis=1, keepdims=True) + PRIOR) * shares
+    return (np.log1p(gradient / expected) / np.where(of_class, CLASS_KINDS, BUCKET_KINDS)).astype(np.float32)
 
-    return train
 
+SLOTS = "slot long, seen binary"
 
-def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of the slots of a partition, row by row as they come."""
-    sums: dict[int, list[np.ndarray]] = {}
-    for batch in batches:
-        for slot, seen, change in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            new = [np.frombuffer(seen, np.int64), np.frombuffer(change, np.float32)]
-            sums[slot] = [a + b for a, b in zip(sums[slot], new, strict=True)] if slot in sums else new
-    for slot, (seen, change) in sums.items():
-        yield pa.RecordBatch.from_arrays([pa.array([slot]), pa.array([seen.tobytes()]), pa.array([change.tobytes()])], names=["slot", "seen", "change"])
+
+def _gathered(words: Broadcast, held: int):
+    lines = held + held // ROWS_A_BUCKET_ROW * CLASSES
+
+    def rows(seen: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for first in range(0, lines, SLOT_ROWS):
+            part = seen[first : first + SLOT_ROWS]
+            if part.any():
+                packed = zlib.compress(part.tobytes(), 1)
+                yield pa.RecordBatch.from_arrays([pa.array([first // SLOT_ROWS]), pa.array([packed])], names=["slot", "seen"])
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, tokens = np.zeros((lines, CLASSES), np.uint32), 0
+        for _, texts in sliced(batches):
+            flat, counts = tokens_of(texts)
+            hashes = np.fromiter(map(zlib.crc32, flat), np.uint32, len(flat))
+            seen_together(hashes, counts, words.value.bucket_of(flat, hashes), held, seen)
+            tokens += len(flat)
+            if tokens > COUNTED_TOKENS // CLASS_KINDS:
+                yield from rows(seen)
+                seen[:], tokens = 0, 0
+        yield from rows(seen)
+
+    return gather
+
+
+def _stepped(weights: Weights, held: int):
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """New weights of the slots of a partition; their counts are summed row by row as they come."""
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for slot, packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                seen = np.frombuffer(zlib.decompress(packed), np.uint32)
+                if slot in sums:
+                    sums[slot] += seen
+                else:
+                    sums[slot] = seen.astype(np.int64)
+        for slot, seen in sums.items():
+            new = updated(slot * SLOT_ROWS, seen.reshape(-1, CLASSES), weights, held)
+            yield pa.RecordBatch.from_arrays([pa.array([slot]), pa.array([new.tobytes()])], names=["slot", "seen"])
+
+    return step
 
 
 def train(texts: DataFrame, words: Lexicon) -> Weights:
-    context, weights, slots = texts.sparkSession.sparkContext, first_weights(words), "slot long, seen binary, change binary"
-    shared = context.broadcast(words)
-    for _ in range(ROUNDS):
-        sent = context.broadcast(weights)
-        steps = mapped(texts.select("text"), _trained(shared, sent), slots)
-        rows = weights.rows()
-        # The weights' own size, whatever the input.
-        for slot, seen, change in mapped(steps.repartition("slot"), _summed, slots).collect():
-            seen, change = np.frombuffer(seen, np.int64), np.frombuffer(change, np.float32).reshape(-1, CLASSES)
-            rows[slot * SLOT_ROWS : slot * SLOT_ROWS + len(seen)] += change / np.maximum(1, seen)[:, None]
-        weights = weights.with_rows(rows)
-    return weights
+    """The weights after one update by the gradient over all ``texts``."""
+    held, start = rows_for(words.total), first_weights(words)
+    counted = mapped(texts.select("text"), _gathered(texts.sparkSession.sparkContext.broadcast(words), held), SLOTS)
+    lines = np.zeros((held + held // ROWS_A_BUCKET_ROW * CLASSES, CLASSES), np.float32)
+    # At most the weights' own size, whatever the input.
+    for slot, new in mapped(counted.repartition("slot"), _stepped(start, held), SLOTS).toLocalIterator():
+        part = np.frombuffer(new, np.float32).reshape(-1, CLASSES)
+        lines[slot * SLOT_ROWS : slot * SLOT_ROWS + len(part)] = part
+    return Weights(lines[:held], lines[held:].reshape(-1, CLASSES, IN_CLASS), start.class_bias, start.bucket_bias)
 
 
 SCORED = "row long, doc_id {}, held_out boolean, n_tokens long, known long, counts double, shares double, tail array<binary>"
@@ -307,7 +309,7 @@ def _scored(words: Broadcast, weights: Broadcast):
             flat, counts = tokens_of(texts)
             hashes = np.fromiter(map(zlib.crc32, flat), np.uint32, len(flat))
             buckets = lex.bucket_of(flat, hashes)
-            class_rows, bucket_rows = features(hashes, counts)
+            class_rows, bucket_rows = features(hashes, counts, len(weights.value.classes))
             shares = np.empty(len(flat))
             for k in range(0, len(flat), STEP_TOKENS):
                 part = slice(k, k + STEP_TOKENS)

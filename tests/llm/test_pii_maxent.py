@@ -280,16 +280,38 @@ def test_shares_are_a_distribution():
     assert np.exp(shares).sum() == pytest.approx(1, abs=1e-4)
 
 
-def test_local_steps_lower_the_loss():
+def test_update_by_the_gradient_lowers_the_loss():
     rng = np.random.default_rng(6)
     hashes, counts = rng.integers(0, 50, 4000).astype(np.uint32), np.full(40, 100)
     class_rows, bucket_rows = maxent.features(hashes, counts)
     buckets = (class_rows[0] * 31) % maxent.BUCKETS  # the word before decides
-    steps = maxent.LocalSteps(maxent.Weights())
-    before = maxent.log_shares(steps.weights, class_rows, bucket_rows, buckets).mean()
-    for _ in range(20):
-        steps.step(class_rows, bucket_rows, buckets)
-    assert maxent.log_shares(steps.weights, class_rows, bucket_rows, buckets).mean() > before + 1
+    weights = maxent.Weights(bucket_bias=np.full((maxent.CLASSES, maxent.IN_CLASS), -math.log(maxent.IN_CLASS), np.float32))
+    before = maxent.log_shares(weights, class_rows, bucket_rows, buckets).mean()
+    held = maxent.CLASS_ROWS
+    seen = np.zeros((held + maxent.BUCKET_ROWS * maxent.CLASSES, maxent.CLASSES), np.uint32)
+    maxent.seen_together(hashes, counts, buckets, held, seen)
+    assert seen.sum() == 4000 * (maxent.CLASS_KINDS + maxent.BUCKET_KINDS)
+    new = maxent.updated(0, seen, weights, held)
+    weights = maxent.Weights(new[:held], new[held:].reshape(-1, maxent.CLASSES, maxent.IN_CLASS), weights.class_bias, weights.bucket_bias)
+    assert maxent.log_shares(weights, class_rows, bucket_rows, buckets).mean() > before + 1
+
+
+def gain_of(scored) -> float:
+    found = [r for r in scored.collect() if r.held_out]
+    return sum(r.score - r.base_score for r in found) / sum(r.n_tokens for r in found)
+
+
+def test_scores_do_not_depend_on_partitions(spark):
+    docs = corpora.documents(spark, sequence_corpus(300) + corpora.odd_rows()[2:])
+    few, many = (sorted((r.doc_id, r.n_tokens, r.score) for r in maxent.score(docs.repartition(n)).collect()) for n in (2, 20))
+    assert [r[:2] for r in few] == [r[:2] for r in many]
+    assert [r[2] for r in few] == pytest.approx([r[2] for r in many], rel=1e-9)
+
+
+def test_gain_and_rows_grow_with_the_corpus(spark):
+    assert [maxent.rows_for(n) for n in (0, 1 << 20, 1 << 28, 1 << 50)] == [1 << 14, 1 << 14, 1 << 16, maxent.MOST_ROWS]
+    small, large = (gain_of(maxent.score(corpora.documents(spark, sequence_corpus(n)))) for n in (300, 3000))
+    assert large > small + 0.05
 
 
 def test_empty_corpus(none):
