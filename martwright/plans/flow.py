@@ -11,6 +11,7 @@ rows by file are counted in bronze, once after a source's last load.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
@@ -25,6 +26,7 @@ from uuid import uuid4
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
+from martwright.functions.columns import rename_columns
 from martwright.functions.enrich import enrich
 from martwright.functions.lineage import INGESTED_ON, RUN_ID, SOURCE_FILE, quoted
 from martwright.operators.bronze import to_bronze
@@ -62,7 +64,7 @@ from martwright.sources.listing import (
     unloaded,
     unvalidated,
 )
-from martwright.sources.metadata import active_rules, active_sources, table_schema
+from martwright.sources.metadata import active_rules, active_sources, column_mapping, table_schema
 from martwright.sources.tables import full_name, read_table
 
 # Statuses in results and run log.
@@ -100,6 +102,13 @@ class Flow:
     def sources(self) -> list[Row]:
         return active_sources(self.metadata("ingestion_config")).collect()
 
+    def renames(self, source: str) -> dict[str, str]:
+        """New names of a source's standardized columns, where the metadata schema has a ``column_mapping``."""
+        if not self.spark.catalog.tableExists(full_name(self.spark, f"{self.metadata_schema}.column_mapping")):
+            return {}
+        lines = column_mapping(self.metadata("column_mapping"), source).collect()
+        return {line.source_column: line.target_column for line in lines}
+
     def fields(self, source: str) -> list[Field]:
         return as_fields(table_schema(self.metadata("required_schema"), source))
 
@@ -317,13 +326,23 @@ def _append_to_bronze(flow: Flow, source: Row, files: DataFrame) -> None:
         options=source.asDict().get("reader_options"),
         schema=source.asDict().get("source_schema"),
     )
-    bronze = union_scans([to_bronze(scan, flow.run_id, source.source_name) for scan in scans])
+    renames = flow.renames(source.source_name)
+    bronze = union_scans([_renamed(to_bronze(scan, flow.run_id, source.source_name), renames) for scan in scans])
     _note(flow, files, source, flow.run_id, STARTED)
     write_table(
         bronze, source.bronze_table, "append", merge_schema=True, partition_by=[INGESTED_ON]
     )
 
 
+def _renamed(bronze: DataFrame, renames: dict[str, str]) -> DataFrame:
+    """Mapped names of one layout; no two of its columns may end with one name."""
+    renamed = rename_columns(bronze, renames)
+    clashes = sorted(name for name, times in Counter(renamed.columns).items() if times > 1)
+    if clashes:
+        raise ValueError(f"column names become ambiguous once mapped: {clashes}")
+    return renamed
+
+
 def _loaded_entries(flow: Flow, source: Row, files: list[Row], started: datetime) -> list[RunEntry]:
     """A log line per file."""
     rows = _rows_per_file(flow, source, started.date() - timedelta(days=1)) if files else {}

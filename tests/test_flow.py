@@ -13,6 +13,7 @@ import martwright.plans.flow as flow_module
 from martwright.plans.flow import (
     STAGES,
     Flow,
+    _renamed,
     build_gold,
     check,
     enrich_all,
@@ -590,3 +591,29 @@ def test_malformed_lines_reach_the_reject_log(spark, flow, tmp_path):
     assert MALFORMED_LINE not in valid.columns
     # a quote left open in the last field isn't noticed: it is read as closed at the line's end
     assert sorted(r.product_id for r in valid.collect()) == ["P1", "P3", "P6"]
+
+
+def test_mapped_columns_of_a_layout(spark, flow, tmp_path):
+    landing = tmp_path / "landing"
+    header, *lines = (landing / "products one.csv").read_text().splitlines()
+    names = header.split(",")
+    other = ",".join("Item No" if name.lower().replace(" ", "_") == "product_id" else name for name in names)
+    assert other != header
+    (landing / "products three.csv").write_text("\n".join([other, *(line.replace("P", "Q") for line in lines)]) + "\n")
+    schema = "table_name string, source_column string, target_column string"
+    mapping = [("products", "item_no", "product_id"), ("products", "absent", "nothing"), ("orders", "product_id", "elsewhere")]
+    spark.createDataFrame(mapping, schema).write.saveAsTable(flow.metadata_schema + ".column_mapping")
+    ingest(flow)
+    bronze = table(flow, "products_bronze")
+    assert "item_no" not in bronze.columns
+    ids = sorted(r.product_id for r in bronze.collect())
+    ones = [line.split(",")[names.index("Product ID") if "Product ID" in names else names.index("product_id")] for line in lines]
+    assert ids == sorted([*ones, *(i.replace("P", "Q") for i in ones), "P3"])
+
+
+def test_mapping_that_makes_two_columns_one_is_refused(spark):
+    df = spark.createDataFrame([(1, 2)], "a int, b int")
+    assert _renamed(df, {"a": "c"}).columns == ["c", "b"]
+    for mapping in ({"a": "b"}, {"a": "b", "b": "c"}):  # lines of a mapping apply one after the other
+        with pytest.raises(ValueError, match="ambiguous once mapped"):
+            _renamed(df, mapping)

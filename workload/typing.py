@@ -11,6 +11,7 @@ from martwright.functions.lineage import add_lineage, stringify
 from martwright.operators.bronze import to_bronze
 from martwright.operators.schema import table_report
 from martwright.operators.typing import Field, cast_split, required_split, typed_split
+from martwright.sources.metadata import column_mapping
 from workload.adapter import (
     CUSTOMERS_SQL,
     ORDERS_SQL,
@@ -235,6 +236,20 @@ def map_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rename_columns(table(spark, sf_dir, "part"), mapping)
 
 
+@query(
+    "map_columns_by_table",
+    """SELECT p_partkey AS product_id, p_name AS product_name, p_brand, p_type AS category, p_size, p_retailprice
+       FROM part""",
+)
+def map_columns_by_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = [
+        ("products", "p_partkey", "product_id"), ("products", "p_name", "product_name"), ("products", "p_type", "category"),
+        ("products", "p_comment", "comment"), ("customers", "p_brand", "name"),
+    ]
+    mapping = spark.createDataFrame(lines, "table_name string, source_column string, target_column string")
+    return rename_columns(table(spark, sf_dir, "part"), column_mapping(mapping, "products"))
+
+
 @query("reorder_columns", "SELECT * FROM supplier")
 def reorder(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reorder_columns(table(spark, sf_dir, "supplier"), ["s_name", "s_phone", "s_suppkey"])
