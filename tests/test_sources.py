@@ -4,6 +4,7 @@ import gzip
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from martwright.sources.files import (
     FORMATS,
@@ -231,3 +232,32 @@ def test_stream_into_a_table_takes_layouts_and_replays(spark, database, tmp_path
 def test_stream_into_a_table_of_unknown_type(spark, tmp_path):
     with pytest.raises(ValueError, match="xml2"):
         ingest_files_into(spark, str(tmp_path), "*", "xml2", "s", "shop", "t", str(tmp_path / "c"))
+
+
+def test_json_files_of_many_lines_read_as_records(spark, tmp_path, rows):
+    """Arrays and single objects over many lines, as the multi-line reader reads them, without going back to the file."""
+    texts = {
+        "array.json": b'[ {"a" : 1199.980, "b" : "x\\ny",\n "c": {"d": [1, 2.50]}},\n\n {"a":1e2,\r\n"b":null, "c": {"d": []}} ]\n',
+        "object.json": '{"a": 123456789012345678901234567890.10,\n "b": "\u00fc\u4e00", "c": {"d": [true]}}'.encode(),
+        "bom.json": b'\xef\xbb\xbf[{"a": -0.0,\n "e": 7}]',
+        "empty.json": b"", "none.json": b"[]",
+    }
+    for name, text in texts.items():
+        (tmp_path / name).write_bytes(text)
+    read = scan_json(spark, str(tmp_path))
+    plain = spark.read.options(multiLine="true", primitivesAsString="true").json(str(tmp_path))
+    assert read.schema == plain.schema
+    assert rows(read) == rows(plain)
+    assert {r.a for r in read.collect()} == {"1199.980", "1e2", "123456789012345678901234567890.10", "-0.0"}
+    named = read.select("a", F.element_at(F.split("_metadata.file_path", "/"), -1))
+    assert ("1e2", "array.json") in rows(named)
+    scanned = read._jdf.queryExecution().analyzed().collectLeaves().apply(0).relation().options()
+    assert scanned.get("multiLine").get() == "false"
+
+
+def test_a_malformed_json_file_is_kept_whole(spark, tmp_path, rows):
+    (tmp_path / "good.json").write_text('[{"a": 1},\n {"a": 2}]')
+    (tmp_path / "bad.json").write_text('[{"a": 3},\n {"a": ')
+    assert rows(scan_json(spark, str(tmp_path)), "a", "_corrupt_record") == rows(
+        spark.read.options(multiLine="true", primitivesAsString="true").json(str(tmp_path)), "a", "_corrupt_record"
+    )
