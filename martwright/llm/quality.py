@@ -3,11 +3,11 @@
 The method compares two multinomials over hashed word n-grams (one and two
 words): one of trusted target documents, one of the whole corpus. A document's
 score is the mean log ratio of its n-grams; it is kept if the score reaches the
-threshold. Corpus counts cover every document. Target counts and threshold come
-from a bounded sample of labelled documents (``LABELLED``): one half of the
-trusted ones gives the target counts; the rest, with those labelled poor, the
-threshold with the least loss, where losing a good document counts
-``GOOD_LOSS`` times keeping a poor one. The same tables give the same verdicts.
+threshold. Corpus counts cover every document, target counts and threshold every
+labelled one: one half of the trusted ones gives the target counts; the rest,
+with those labelled poor, the threshold with the least loss, where losing a good
+document counts ``GOOD_LOSS`` times keeping a poor one. The same tables give the
+same verdicts.
 
 Words are runs of bytes other than space and 09-0D. A text without words (null
 and empty included) has n_words 0, so it fails the base rules. Without labelled
@@ -24,12 +24,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from martwright.llm.common import mapped, mixed, picked, ragged, sliced, written
+from martwright.llm.common import held, mapped, mixed, picked, ragged, sliced, written
 
-LABELLED = 20_000
 BUCKETS = 1 << 16
 SMOOTHING = 0.5
 GOOD_LOSS = 10
@@ -83,21 +82,23 @@ def grams(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts = np.zeros(BUCKETS, np.int64)
-    for _, texts in sliced(batches):
-        buckets, _ = grams(*word_hashes([t.lower() for t in texts]))
-        counts += np.bincount(buckets, minlength=BUCKETS)
-    seen = np.flatnonzero(counts)
-    yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(counts[seen])], names=["bucket", "n"])
+    corpus, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+    for batch, texts in sliced(batches):
+        buckets, row = grams(*word_hashes([t.lower() for t in texts]))
+        corpus += np.bincount(buckets, minlength=BUCKETS)
+        wanted = batch.column("target").to_numpy(zero_copy_only=False).astype(bool)
+        target += np.bincount(buckets[wanted[row]], minlength=BUCKETS)
+    seen = np.flatnonzero(corpus)
+    yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(corpus[seen]), pa.array(target[seen])], names=["bucket", "corpus", "target"])
 
 
-def gram_counts(texts: DataFrame) -> np.ndarray:
-    """N-gram counts of all texts; at most ``BUCKETS`` rows reach the driver."""
-    sums = mapped(texts.select("text"), _counted, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-    counts = np.zeros(BUCKETS)
-    for row in sums.collect():
-        counts[row.bucket] = row.n
-    return counts
+def gram_counts(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """N-gram counts of all texts, and of those in ``target``; at most ``BUCKETS`` rows reach the driver."""
+    counted = mapped(texts.select("text", "target"), _counted, "bucket long, corpus long, target long")
+    corpus, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    for row in counted.groupBy("bucket").agg(F.sum("corpus").alias("corpus"), F.sum("target").alias("target")).collect():
+        corpus[row.bucket], target[row.bucket] = row.corpus, row.target
+    return corpus, target
 
 
 @dataclass(frozen=True)
@@ -129,6 +130,35 @@ def least_loss(good: np.ndarray, poor: np.ndarray) -> float:
     return float(cuts[np.argmin(GOOD_LOSS * lost - caught)])
 
 
+def least_loss_of(scores: DataFrame) -> float:
+    """``least_loss`` over any number of rows (good, score).
+
+    Distinct scores are sorted by ranges and summed up within them; one line a
+    range, at most spark.sql.shuffle.partitions, reaches the driver.
+    """
+    change = F.when(F.col("good"), GOOD_LOSS).otherwise(-1)
+    found = scores.groupBy("score").agg(F.sum(change).alias("change"), F.count_if("good").alias("good"))
+    ranges = written(found.orderBy("score").withColumn("range", F.spark_partition_id()), "scores")
+    upwards = Window.partitionBy("range").orderBy("score")
+    cuts = ranges.withColumns({"loss": F.sum("change").over(upwards), "next": F.lead("score").over(upwards)})
+    inner = F.min(F.when(F.col("next").isNotNull(), F.struct("loss", "score", "next"))).alias("inner")
+    lines = cuts.groupBy("range").agg(
+        inner, F.sum("change").alias("change"), F.sum("good").alias("good"),
+        F.min("score").alias("first"), F.max("score").alias("last"),
+    ).orderBy("range").collect()
+    best, cut, before = 0, float("-inf"), 0
+    if not sum(line.good for line in lines):
+        return cut
+    for line, after in zip(lines, [*lines[1:], None], strict=True):
+        # Cuts between two scores of the range, then the one between its last and the next range's first.
+        if line.inner and before + line.inner.loss < best:
+            best, cut = before + line.inner.loss, (line.inner.score + line.inner.next) / 2
+        before += line.change
+        if after and before < best:
+            best, cut = before, (line["last"] + after["first"]) / 2
+    return cut
+
+
 def _scored(model: QualityModel) -> Callable:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in sliced(batches):
@@ -139,23 +169,24 @@ def _scored(model: QualityModel) -> Callable:
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> QualityModel:
-    """Model from all documents and labels (doc_id, quality 0 or 1) of some."""
+    """Model from all documents and all labels (doc_id, quality 0 or 1), which some of them have."""
     texts = picked(docs, doc_id=id_column, text=text_column)
-    sample = (
+    known = written(
         picked(labels, doc_id="doc_id", quality="quality")
         .where("doc_id IS NOT NULL AND quality IS NOT NULL")
         .groupBy("doc_id").agg(F.min("quality").alias("quality"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(LABELLED)
-        .select("doc_id", (F.col("quality") > 0).alias("good"), (F.xxhash64(F.col("doc_id"), F.lit(1)) % 2 == 0).alias("fits"))
+        .select("doc_id", (F.col("quality") > 0).alias("good"), (F.xxhash64(F.col("doc_id"), F.lit(1)) % 2 == 0).alias("fits")),
+        "labels",
     )
-    labelled = written(texts.join(F.broadcast(sample), "doc_id"), "labelled")
-    ratios = log_ratios(gram_counts(labelled.where("good AND fits")), gram_counts(texts))
+    small = held(known)
+    labelled = texts.join(F.broadcast(known) if small else known, "doc_id", "left")
+    if not small:
+        labelled = written(labelled, "labelled")
+    corpus, target = gram_counts(labelled.select("text", F.expr("coalesce(good AND fits, false)").alias("target")))
+    ratios = log_ratios(target, corpus)
     model = QualityModel(ratios, float("-inf"))
-    held = mapped(labelled.where("NOT good OR NOT fits").select("good", "text"), _scored(model), "good boolean, score double")
-    rows = held.collect()  # at most LABELLED
-    good = np.array([r.score for r in rows if r.good])
-    poor = np.array([r.score for r in rows if not r.good])
-    return QualityModel(ratios, least_loss(good, poor))
+    others = labelled.where("NOT good OR NOT fits").select("good", "text")
+    return QualityModel(ratios, least_loss_of(mapped(others, _scored(model), "good boolean, score double")))
 
 
 def measures(texts: list[bytes], model: QualityModel) -> dict[str, np.ndarray]:
