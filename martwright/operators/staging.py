@@ -58,6 +58,6 @@ def stage(df: DataFrame, label: str) -> Staged:
     metrics = [F.count(F.lit(1)).alias("rows")]
     if not any(isinstance(f.dataType, NESTED) for f in df.schema.fields):
         metrics.append(F.coalesce(F.sum(row_bytes(df.schema)), F.lit(0)).alias("bytes"))
-    df.observe(measured, *metrics).write.parquet(path)
+    df.observe(measured, *metrics).write.option("compression", "zstd").parquet(path)
     frame = spark.read.schema(df.schema).parquet(path)
     return Staged(frame, path, measured.get["rows"], measured.get.get("bytes"))

@@ -174,3 +174,14 @@ def test_rules_from_metadata(spark):
     assert as_rules(active_rules(table, "t")) == [Rule("a", "REGEX", "x"), Rule("b", "UNIQUE")]
     first = table.withColumn("priority", F.when(F.col("column_name") == "b", 1).otherwise(2))
     assert as_rules(active_rules(first, "t")) == [Rule("b", "UNIQUE"), Rule("a", "REGEX", "x")]
+
+
+def test_staged_tables_are_packed_closely(spark, rows):
+    from pathlib import Path
+
+    from martwright.operators.staging import stage
+
+    staged = stage(spark.range(1000).selectExpr("concat('key-', id) AS k"), "packed")
+    files = [file.name for file in Path(staged.path.removeprefix("file:")).glob("part-*")]
+    assert files and all(name.endswith(".zstd.parquet") for name in files)
+    assert staged.rows == len(rows(staged.frame)) == 1000
