@@ -15,11 +15,13 @@ this within ``MISSED`` at the limit: 9 at 0.85 (2e-5; 1e-7 at 0.92), 12 at 0.80
    minhashes rule a link out (fewer than ``least_equal`` of them equal, a chance
    within ``RULED_OUT`` for a link) or their sizes do. Members of one component need no test.
    From keys with more than ``CROWD`` members those go first whose own shingles,
-   which no other member of such a key has, already rule out any link there; the
-   others are first paired, twice, with the ``NEAREST`` of other components, so
+   which no other member of such a key has, already rule out any link there. The
+   others are dealt by their collections A, ``side`` rows a member instead of one a
+   table: all that share a table with them share one of these. They are first
+   paired, twice, with the ``NEAREST`` of other components, so
    that few components are left when all pairs of different ones are tested, and
    ``WIDE`` more minhashes rule out more of those.
-   Keys with more than ``BLOCK`` members are dealt out as pairs of blocks.
+   Collections with more than ``BLOCK`` members are dealt out as pairs of blocks.
    These last pairs never leave a key's task: it first names the members that have
    one to test, and then, with their full sets, tests them and gives those links that
    join members not joined by links before (fewer than it has members).
@@ -166,6 +168,12 @@ def first_common_key(one: np.ndarray, two: np.ndarray) -> np.ndarray:
     return table_key(one[at, i].astype(np.uint64), one[at, side + j].astype(np.uint64), i * side + j)
 
 
+def first_shared(one: np.ndarray, two: np.ndarray, collection: int) -> np.ndarray:
+    """Of pairs, whether this is the first collection A that both have."""
+    same = one[:, : one.shape[1] // 2] == two[:, : one.shape[1] // 2]
+    return same[:, collection] & (same.argmax(axis=1) == collection)
+
+
 SKETCHES = "doc_id {}, row long, n long, digest binary, halves array<long>, signature binary"
 
 
@@ -234,7 +242,7 @@ def possible_pairs(group: Group, limit: Limit = USUAL) -> Iterator[tuple[np.ndar
             x, y = a[left[k : k + (1 << 19)]], rest[right[k : k + (1 << 19)]]
             same = (signature[x] == signature[y]).sum(axis=1) >= limit.least_equal
             x, y = x[same], y[same]
-            own = first_common_key(group.halves[x], group.halves[y]) == group.key
+            own = _tested_here(group, x, y)
             x, y = x[own], y[own]
             if group.wide is not None:
                 same = np.concatenate([
@@ -245,6 +253,15 @@ def possible_pairs(group: Group, limit: Limit = USUAL) -> Iterator[tuple[np.ndar
             yield x, y
 
 
+def _tested_here(group: Group, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Of pairs, those that share a table and whose first common key, or collection A, is the group's."""
+    one, two = group.halves[x], group.halves[y]
+    if group.collection is None:
+        return first_common_key(one, two) == group.key
+    side = one.shape[1] // 2
+    return first_shared(one, two, group.collection) & (one[:, side:] == two[:, side:]).any(axis=1)
+
+
 def nearest_pairs(group: Group, limit: Limit = USUAL) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Of pairs of different components, each member's with the ``NEAREST`` whose minhashes agree most."""
     component, size, signature = group.component, group.size, group.signature
@@ -254,7 +271,11 @@ def nearest_pairs(group: Group, limit: Limit = USUAL) -> Iterator[tuple[np.ndarr
         same[~open_] = 0
         order = np.argsort(-same, axis=1, kind="stable")[:, :NEAREST]
         far = np.take_along_axis(same, order, 1) < limit.least_equal
-        yield np.repeat(a, order.shape[1])[~far.ravel()], order.ravel()[~far.ravel()]
+        x, y = np.repeat(a, order.shape[1])[~far.ravel()], order.ravel()[~far.ravel()]
+        if group.collection is not None:
+            first = first_shared(group.halves[x], group.halves[y], group.collection)
+            x, y = x[first], y[first]
+        yield x, y
 
 
 def _chunks(n: int, limit: Limit) -> Iterator[np.ndarray]:
@@ -266,7 +287,10 @@ def _chunks(n: int, limit: Limit) -> Iterator[np.ndarray]:
 
 @dataclass(frozen=True)
 class Group:
-    """Members of a key, or of a pair of its blocks. ``wide`` is None unless all have a wide signature."""
+    """Members of a key, or of a collection A (its number given) or a pair of its blocks.
+
+    ``wide`` is None unless all have a wide signature.
+    """
 
     key: np.uint64
     rep: np.ndarray
@@ -275,6 +299,7 @@ class Group:
     signature: np.ndarray
     halves: np.ndarray
     wide: np.ndarray | None
+    collection: int | None = None
 
 
 def _group(parts: list[pa.RecordBatch], limit: Limit) -> Group:
@@ -284,7 +309,7 @@ def _group(parts: list[pa.RecordBatch], limit: Limit) -> Group:
     halves = rows.column("halves").combine_chunks().flatten().to_numpy().reshape(-1, 2 * limit.side)
     wide = None if rows.column("wide").null_count else bytes_("wide", WIDE)
     key = number("key")[:1].astype(np.int64).view(np.uint64)[0]
-    return Group(key, number("rep"), number("component"), number("n"), bytes_("signature", limit.hashes), halves, wide)
+    return Group(key, number("rep"), number("component"), number("n"), bytes_("signature", limit.hashes), halves, wide, rows.column("collection")[0].as_py())
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
@@ -308,13 +333,14 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]
 
 def _nearest(limit: Limit):
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Each member's nearest ones: at most ``NEAREST`` pairs a member."""
+        """Each member's nearest ones: at most ``NEAREST`` pairs a member, each pair once."""
         for held in _groups(batches):
             group = _group(held, limit)
-            for x, y in nearest_pairs(group, limit):
-                low, high = np.minimum(group.rep[x], group.rep[y]), np.maximum(group.rep[x], group.rep[y])
-                if len(x):
-                    yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], names=["a", "b"])
+            found = [np.stack([group.rep[x], group.rep[y]]) for x, y in nearest_pairs(group, limit)]
+            pairs = np.concatenate(found, axis=1)
+            if pairs.size:
+                pairs = np.unique(np.sort(pairs, axis=0), axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
 
     return nearest
 
@@ -490,19 +516,18 @@ def near_duplicates(
             F.min("component").alias("low"), F.max("component").alias("high"), F.count("rep").alias("members")
         ).where("low < high").select("key", "members")
         rows = written(labelled.join(mixed_keys, "key"), "mixed-rows")
-        crowded = rows.where(F.col("members") > CROWD)
-        if not crowded.limit(1).count():
-            if nearest:
-                continue
-        else:
+        crowded = rows.where(F.col("members") > CROWD).select("rep", "component").distinct()
+        none = [F.lit(None).cast(kind).alias(name) for name, kind in (("wide", "binary"), ("collection", "int"))]
+        dealt = rows.where(F.col("members") <= CROWD).select("rep", "key", "component", *none, F.col("key").alias("group"))
+        if crowded.limit(1).count():
             if crowd is None:
-                crowd = corpus.crowd(crowded.select("rep").distinct())
-            crowded = crowded.join(crowd, "rep")
-            none = F.lit(None).cast("binary").alias("wide")
-            rows = crowded if nearest else rows.where(F.col("members") <= CROWD).select("*", none).unionByName(crowded)
-        if "wide" not in rows.columns:
-            rows = rows.withColumn("wide", F.lit(None).cast("binary"))
-        dealt = _dealt(rows, classes, parts)
+                crowd = corpus.crowd(crowded.select("rep"))
+            shared = _by_collection(crowded, crowd, classes, limit)
+            dealt = shared if nearest else dealt.unionByName(shared)
+        elif nearest:
+            continue
+        sketched = dealt.join(classes.select("rep", "n", "signature", "halves"), "rep")
+        dealt = sketched.repartition(parts, "group").sortWithinPartitions("group")
         if nearest:
             near = mapped(dealt, _nearest(limit), "a long, b long").distinct()
             pairs = written(near.join(tested, ["a", "b"], "left_anti"), "pairs")
@@ -527,15 +552,22 @@ def near_duplicates(
     )
 
 
-def _dealt(rows: DataFrame, classes: DataFrame, parts: int) -> DataFrame:
-    """Rows of the keys with sizes and signatures, sorted by group: a key, or a pair of blocks of a large one."""
+def _by_collection(crowded: DataFrame, crowd: DataFrame, classes: DataFrame, limit: Limit) -> DataFrame:
+    """Rows of those of ``crowded`` (rep, component) that are in the crowd: one for each collection A that
+    members of different components share. A group is a collection, or a pair of blocks of a large one."""
+    halves = classes.select("rep", F.slice("halves", 1, limit.side).alias("halves"))
+    members = crowded.join(crowd.select("rep"), "rep").join(halves, "rep")
+    each = members.select("rep", "component", F.posexplode("halves").alias("collection", "half"))
+    each = written(each.select("rep", "component", "collection", F.xxhash64("collection", "half").alias("key")), "collections")
+    met = each.groupBy("key").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count("rep").alias("members")
+    ).where("low < high").select("key", "members")
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("rep"), blocks).cast("int")
-    dealt = rows.select("key", "rep", "component", "wide", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    other = F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")
+    dealt = each.join(met, "key").select("rep", "key", "component", "collection", own.alias("own"), other)
     group = F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other"))
-    sketches = classes.select("rep", "n", "signature", "halves")
-    named = dealt.select("key", "rep", "component", "wide", group.alias("group")).join(sketches, "rep")
-    return named.repartition(parts, "group").sortWithinPartitions("group")
+    return dealt.join(crowd, "rep").select("rep", "key", "component", "wide", "collection", group.alias("group"))
 
 
 def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", percent: int = PERCENT) -> DataFrame:

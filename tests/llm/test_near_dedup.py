@@ -85,6 +85,49 @@ def test_links_that_miss_the_first_member(spark, rows, monkeypatch, crowd):
     assert rows(found) == expected(source)
 
 
+def test_crowded_members_are_dealt_by_collection(spark, rows, monkeypatch):
+    """A row a collection for each member, not one a table; a nearest pair is named by one collection's task."""
+    rng = random.Random(6)
+    core = corpora.words(1, 150)
+    texts = []
+    for k in range(20):
+        one = f"{core} {corpora.words(100 + k, 20)}"
+        texts += [one, edited(one, 0.005, rng)]
+    dealt, mapped = {}, near_dedup.mapped
+
+    def counted(df, function, schema):
+        out = mapped(df, function, schema)
+        dealt.setdefault(function.__name__, []).append((df.count(), out.count()))
+        return out
+
+    monkeypatch.setattr(near_dedup, "CROWD", 3)
+    monkeypatch.setattr(near_dedup, "mapped", counted)
+    found = near_duplicates(corpora.documents(spark, list(enumerate(texts)))).select("doc_id", "n_shingles", "component_id", "kept")
+    assert rows(found) == expected(list(enumerate(texts)))
+    assert all(0 < read <= near_dedup.SIDE * len(texts) and made <= near_dedup.NEAREST * len(texts) for read, made in dealt["nearest"])
+
+
+@pytest.mark.parametrize("number", [0, 3])
+def test_possible_pairs_of_a_collection(number):
+    rng = np.random.default_rng(5)
+    n, side = 200, near_dedup.SIDE
+    component, size = rng.integers(0, 40, n), rng.integers(50, 80, n)
+    signature = rng.integers(0, 2, (n, near_dedup.HASHES)).astype(np.uint8)
+    halves = rng.integers(0, 4, (n, 2 * side))
+    halves[:, number] = 7
+    halves[: n // 2, side:] = np.arange(n // 2 * side).reshape(-1, side) + 100  # these share no table with any other
+    group = near_dedup.Group(np.uint64(1), np.arange(n), component, size, signature, halves, None, number)
+    found = [(int(a), int(b)) for x, y in possible_pairs(group) for a, b in zip(x, y, strict=True)]
+    brute = set()
+    for a, b in itertools.combinations(range(n), 2):
+        same = halves[a] == halves[b]
+        sizes = 100 * min(size[a], size[b]) >= 85 * max(size[a], size[b])
+        equal = (signature[a] == signature[b]).sum() >= near_dedup.LEAST_EQUAL
+        if component[a] != component[b] and sizes and equal and same[side:].any() and not same[:number].any():
+            brute.add((a, b))
+    assert brute and sorted(found) == sorted(brute)
+
+
 def test_possible_pairs_against_all_pairs():
     rng = np.random.default_rng(2)
     n = 300
