@@ -40,6 +40,8 @@ BLOCK_TOKENS = 1 << 16
 EVERY = 256
 BATCH_TOKENS = 1 << 21
 DOCS_A_PART = 16_384
+# Twice the packing operator's number: the worker holds little else here.
+PIECES_HELD = 700_000
 CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -210,7 +212,7 @@ def _tokenized(path: str, end_id: int, bounds: np.ndarray):
     end = np.uint32(end_id).tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = tokenizer(path)
+        encoder = tokenizer(path, PIECES_HELD)
         for batch, texts in sliced(batches):
             doc = batch.column("doc_id").fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False)
             part = np.searchsorted(bounds, doc, side="right").astype(np.int32)

@@ -15,6 +15,7 @@ import os
 import re
 from array import array
 from collections.abc import Callable
+from operator import attrgetter
 
 import numpy as np
 import regex
@@ -31,6 +32,9 @@ _WIDE = (b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x80", b"\xe2\x81\x9f"
 # The split patterns of the two kinds of tokenizer; the second matches no white space.
 BYTE_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+# Keys that the first pattern splits in one way: a line end, Latin-1 letters, ASCII marks but the apostrophe.
+PLAIN = re.compile(rb"(\n?)((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-&(-/:-@\[-`{-~]*)").fullmatch
+TOKEN_ID = attrgetter("id")
 
 
 def byte_characters() -> dict[int, str]:
@@ -120,6 +124,11 @@ class PieceTokenizer:
         return text.split() if self.kind == "words" else cut_at_spaces(text)
 
     def _encode_piece(self, piece: bytes) -> bytes:
+        plain = PLAIN(piece) if self.kind == "spaces" else None
+        if plain:
+            line, word, marks = plain.groups()
+            ids = self.parts["\n"] + self.parts[word.decode()] if line else self.parts[" " + word.decode()]
+            return ids + self.parts[marks.decode()] if marks else ids
         text = piece.decode() if self.kind == "words" else piece_text(piece)
         if not text.isascii() and max(text) > "\xff":
             return self._whole(text.encode())
@@ -130,8 +139,8 @@ class PieceTokenizer:
         if part.isascii() and part.isprintable():  # only the space is shown as something else
             text = part.replace(" ", self.characters[32])
         else:
-            text = part.encode().decode("latin-1").translate(self.characters)
-        return array("I", [t.id for t in self.model.tokenize(text)]).tobytes()
+            text = "".join(map(self.characters.__getitem__, part.encode()))
+        return array("I", map(TOKEN_ID, self.model.tokenize(text))).tobytes()
 
     def _whole(self, text: bytes) -> bytes:
         return np.array(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, np.uint32).tobytes()

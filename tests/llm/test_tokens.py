@@ -30,6 +30,17 @@ def test_pieces_give_the_ids_of_whole_texts(path):
         assert np.frombuffer(found, np.uint32).tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_plain_pieces_are_not_split_by_the_pattern():
+    text = "Eauenê ciónillar,\nÜber thanstti,*** {x} ×y ÷z it's don't"
+    library, own = Tokenizer.from_file(BYTES), PieceTokenizer(BYTES)
+    split, searched = own.split, []
+    own.split = lambda piece: searched.append(piece) or split(piece)
+    found = own.encode([text.encode()])[0]
+    assert np.frombuffer(found, np.uint32).tolist() == library.encode(text, add_special_tokens=False).ids
+    assert {" it's", " don't", " ×y", " ÷z"} <= set(searched)
+    assert not {" ciónillar,", "\nÜber", " thanstti,***"} & set(searched)
+
+
 def test_token_counts_against_the_library(odd, rows):
     library = Tokenizer.from_file(BYTES)
     size = lambda t: len(library.encode(t or "", add_special_tokens=False).ids)
