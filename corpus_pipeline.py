@@ -15,7 +15,7 @@ from martwright.llm.common import table, written
 END_ID = 1
 NEAR_PERCENT = 80
 # Fewer than the packing operator's own number: its workers hold what earlier stages left them.
-PIECES_HELD = 120_000
+PIECES_HELD = 40_000
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

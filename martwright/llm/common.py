@@ -137,7 +137,20 @@ def ship(spark: SparkSession) -> None:
 
 def mapped(df: DataFrame, function: Batches, schema: str | StructType) -> DataFrame:
     ship(df.sparkSession)
-    return df.mapInArrow(function, schema)
+    return df.mapInArrow(released(function), schema)
+
+
+def released(function: Batches) -> Batches:
+    """``function``; at a task's end its worker, which is kept, gives memory that it no longer uses back to the system."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from function(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            pa.system_memory_pool().release_unused()
+
+    return run
 
 
 def ragged(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -8,7 +8,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from martwright.llm import exact_dedup, near_dedup, pii, quality
+from martwright.llm import common, exact_dedup, near_dedup, pii, quality
 from martwright.llm.queries import ORACLE, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -72,3 +72,20 @@ def test_odd_documents_through_all_stages(spark, odd, tmp_path):
         docs = spark.read.parquet(f"{tmp_path}/{name}")
     assert {r.doc_id for r in docs.collect()} <= {i for i, _ in corpora.odd_rows()}
     assert {11, 14} <= {r.doc_id for r in docs.collect()}
+
+
+def test_a_worker_gives_memory_back_at_a_tasks_end(monkeypatch):
+    given_back = []
+
+    class Pool:
+        def release_unused(self):
+            given_back.append(True)
+
+    monkeypatch.setattr(common.pa, "system_memory_pool", Pool)
+    whole = common.released(iter)([1, 2])
+    assert next(whole) == 1 and not given_back
+    assert list(whole) == [2] and given_back
+    part = common.released(iter)([1, 2])
+    next(part)
+    part.close()
+    assert len(given_back) == 2
