@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,6 +17,9 @@ INGESTED_AT = "ingestion_timestamp"
 INGESTED_ON = "ingestion_date"
 LINEAGE_COLUMNS = (RUN_ID, SOURCE_FILE, SOURCE_SYSTEM, INGESTED_AT, INGESTED_ON)
 
+# A path of these characters alone is reported as listed, and names no partition folder.
+_PLAIN_PATH = re.compile(r"[A-Za-z0-9_.:/-]+")
+
 
 def business_columns(df: DataFrame) -> list[str]:
     return [name for name in df.columns if name not in LINEAGE_COLUMNS]
@@ -52,8 +58,14 @@ def file_name_of(path: Column) -> Column:
     return F.when(F.contains(path, F.lit("=")), foldered).otherwise(F.substring_index(path, "/", -1))
 
 
-def scanned_file_name() -> Column:
-    """Each row's file name as listed; the scan reports it percent-encoded."""
+def scanned_file_name(paths: Iterable[str] | None = None) -> Column:
+    """Each row's file name as listed; the scan reports it percent-encoded.
+
+    Where the ``paths`` scanned are known and all plain, it is the name that the
+    scan holds once a file; else each row's path is searched.
+    """
+    if paths is not None and all(_PLAIN_PATH.fullmatch(path) for path in paths):
+        return F.col("_metadata.file_name")
     path = F.col("_metadata.file_path")
     decoded = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
     return F.when(F.contains(path, F.lit("%")), file_name_of(decoded)).otherwise(file_name_of(path))

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from martwright.functions.columns import rename_columns
 from martwright.functions.enrich import enrich
-from martwright.functions.lineage import INGESTED_ON, RUN_ID, SOURCE_FILE, quoted
+from martwright.functions.lineage import INGESTED_ON, RUN_ID, SOURCE_FILE, quoted, scanned_file_name
 from martwright.operators.bronze import to_bronze
 from martwright.operators.quality import PASSED, REJECT_COLUMNS, quality_split
 from martwright.operators.schema import SchemaDiff, schema_diff
@@ -327,7 +327,8 @@ def _append_to_bronze(flow: Flow, source: Row, files: DataFrame) -> None:
         schema=source.asDict().get("source_schema"),
     )
     renames = flow.renames(source.source_name)
-    bronze = union_scans([_renamed(to_bronze(scan, flow.run_id, source.source_name), renames) for scan in scans])
+    file_name = scanned_file_name(row.path for row in files.select("path").collect())
+    bronze = union_scans([_renamed(to_bronze(scan, flow.run_id, source.source_name, file_name), renames) for scan in scans])
     _note(flow, files, source, flow.run_id, STARTED)
     write_table(
         bronze, source.bronze_table, "append", merge_schema=True, partition_by=[INGESTED_ON]

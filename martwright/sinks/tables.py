@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from martwright.functions.lineage import quoted
 from martwright.operators.quality import duplicate_rows
-from martwright.operators.staging import NESTED, Staged, broadcast_within, stage
+from martwright.operators.staging import NESTED, PARQUET_OPTIONS, Staged, broadcast_within, stage
 from martwright.sources.tables import full_name
 
 MODES = ("append", "overwrite", "merge")
@@ -83,7 +83,7 @@ def _save(df: DataFrame, table: str, mode: str, merge_schema: bool, partition_by
             add_missing_columns(df, table)
             df = _aligned(df, spark.table(table))
         partition_by = partition_by or partition_columns(spark, table)
-    writer = df.write.mode(mode).partitionBy(*partition_by)
+    writer = df.write.mode(mode).options(**PARQUET_OPTIONS).partitionBy(*partition_by)
     if exists and mode == "overwrite" and VERSIONS in _location(spark, table):
         # Its own folder still holds what it held before a merge: overwrite as a new version too.
         writer = writer.option("path", _new_version(spark, table))
@@ -275,7 +275,7 @@ def _repoint(df: DataFrame, table: str) -> None:
     """
     spark = df.sparkSession
     before, location = _location(spark, table), _new_version(spark, table)
-    df.write.parquet(location)
+    df.write.options(**PARQUET_OPTIONS).parquet(location)
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
     spark.catalog.refreshTable(table)
     _drop_versions(spark, location, keep={location.rsplit("/", 1)[-1], before.rsplit("/", 1)[-1]})
@@ -293,7 +293,7 @@ def overwrite_by_flag(df: DataFrame, flag: str, tables: dict[bool, tuple[str, li
         _shaped(spark, names[value], df.select(*[F.col(quoted(c)) for c in columns]).schema)
     before = {_version_of(_location(spark, table)) for table in names.values()}
     base = _new_version(spark, next(iter(names.values())))
-    df.write.partitionBy(flag).parquet(base)
+    df.write.options(**PARQUET_OPTIONS).partitionBy(flag).parquet(base)
     for value, table in names.items():
         location = f"{base}/{flag}={str(value).lower()}"
         path = spark._jvm.org.apache.hadoop.fs.Path(location)

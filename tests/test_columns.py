@@ -10,7 +10,7 @@ from martwright.functions.columns import (
     standardize_columns,
 )
 from martwright.functions.enrich import enrich
-from martwright.functions.lineage import LINEAGE_COLUMNS, add_lineage, stringify
+from martwright.functions.lineage import LINEAGE_COLUMNS, add_lineage, scanned_file_name, stringify
 from martwright.operators.bronze import to_bronze
 
 
@@ -77,3 +77,17 @@ def test_enrich_products_and_others(spark):
     row = enrich(df, "products").first()
     assert (row.category_name, row.sub_category_name) == ("Office Supplies", "Home-office Supplies")
     assert enrich(df, "orders").columns == enrich(df, "unknown").columns == df.columns
+
+
+@pytest.mark.parametrize("names", [["a-1.parquet"], ["a-1.parquet", "b c+d%.parquet"], ["dt=1/a.parquet"]])
+def test_file_names_need_no_search_where_paths_are_plain(spark, tmp_path, rows, names):
+    for name in names:
+        spark.range(0, 2, 1, 1).write.parquet(str(tmp_path / "made" / name))
+        (part,) = (tmp_path / "made" / name).glob("*.parquet")
+        (tmp_path / "in" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "in" / name).write_bytes(part.read_bytes())
+    scanned = spark.read.option("recursiveFileLookup", True).parquet(str(tmp_path / "in"))
+    named = scanned.select(scanned_file_name(f"file:{tmp_path}/in/{name}" for name in names))
+    assert rows(named) == rows(scanned.select(scanned_file_name())) == sorted([(n,) for n in names * 2], key=repr)
+    plan = named._jdf.queryExecution().optimizedPlan().toString()
+    assert ("file_path" in plan) == (names != ["a-1.parquet"])

@@ -7,6 +7,7 @@ from pathlib import Path
 from urllib.parse import urlsplit
 from datetime import datetime
 
+import pyarrow.parquet as pq
 import pytest
 
 from martwright.functions.rules import Rule
@@ -270,3 +271,13 @@ def test_table_stays_usable_after_a_merge(spark, database, rows):
     spark.sql(f"DROP TABLE {name}")
     write_table(frame(spark, [(1, "again")]), name, "overwrite")
     assert rows(spark.table(name)) == [(1, "again")]
+
+
+def test_columns_of_many_ids_give_their_dictionary_up(spark, database):
+    """60,000 ids of four rows each would fill a dictionary of 840 KB; few values keep theirs."""
+    name = f"{spark.catalog.currentCatalog()}.{database}.t"
+    ids = spark.range(0, 240_000, 1, 1).selectExpr("lpad(id div 4, 10, '0') AS k", "id % 3 AS few")
+    write_table(ids, name)
+    ((path,),) = spark.table(name).select("_metadata.file_path").distinct().collect()
+    columns = pq.ParquetFile(path.removeprefix("file:")).metadata.row_group(0)
+    assert ["PLAIN" in columns.column(k).encodings for k in (0, 1)] == [True, False]

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martwright.functions.lineage import scanned_file_name, stringify
+from martwright.operators.staging import PARQUET_OPTIONS
 from martwright.operators.typing import Field, typed_split
 from martwright.plans.flow import Flow, ingest, run_all, validate
 from martwright.plans.marts import run_report
@@ -427,7 +428,7 @@ def flow_over(spark: SparkSession, sf_dir: str, absent: str | None = None) -> Fl
             ),
         }
     )
-    typed.write.parquet(lines)
+    typed.write.options(**PARQUET_OPTIONS).parquet(lines)
     config = []
     for source, path, kind in (
         ("customer", people, "csv"),
