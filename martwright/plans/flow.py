@@ -92,6 +92,8 @@ class Flow:
     run_id: str = field(default_factory=lambda: str(uuid4()))
     # Sources share the audit tables, and two appends to one folder must not overlap.
     shared_tables: Lock = field(default_factory=Lock, repr=False, compare=False)
+    # The reject log has a lock of its own: it is held while rejects are made.
+    shared_rejects: Lock = field(default_factory=Lock, repr=False, compare=False)
 
     def audit(self, table: str) -> str:
         return f"{self.audit_schema}.{table}"
@@ -488,7 +490,7 @@ def _require(flow: Flow, source: Row, diff: SchemaDiff) -> None:
 def _log_rejects(
     flow: Flow, source: Row, rejected: DataFrame, stage_name: str, table: str, again: bool = False
 ) -> None:
-    """The rows are made before the audit table is held; under the lock they are only appended.
+    """One write: the rows are made as they are appended.
 
     ``again`` leaves out those that are logged already; equal rejects have equal ids.
     """
@@ -498,10 +500,10 @@ def _log_rejects(
     name = full_name(flow.spark, flow.audit("rejected_records"))
     if again and flow.spark.catalog.tableExists(name):
         own = flow.spark.table(name).filter((F.col("source_name") == source.source_name) & (F.col("pipeline_stage") == stage_name))
-        rows = rows.join(own.select("rejection_id"), "rejection_id", "left_anti").select(*rows.columns)
-    made = stage(rows, "rejects").frame
-    with flow.shared_tables:
-        write_table(made, flow.audit("rejected_records"))
+        left = rows.join(own.select("rejection_id"), "rejection_id", "left_anti").select(*rows.columns)
+        rows = stage(left, "rejects").frame  # not from the table that they go to
+    with flow.shared_rejects:
+        write_table(rows, flow.audit("rejected_records"))
 
 
 # --- validated to checked --------------------------------------------------

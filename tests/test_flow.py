@@ -617,3 +617,12 @@ def test_mapping_that_makes_two_columns_one_is_refused(spark):
     for mapping in ({"a": "b"}, {"a": "b", "b": "c"}):  # lines of a mapping apply one after the other
         with pytest.raises(ValueError, match="ambiguous once mapped"):
             _renamed(df, mapping)
+
+
+def test_rejects_are_written_once(flow, spark, rows, monkeypatch):
+    staged = []
+    monkeypatch.setattr(flow_module, "stage", lambda df, label: staged.append(label) or stage(df, label))
+    run_all(flow)
+    stages = table(flow, "rejected_records").groupBy("pipeline_stage").count()
+    assert {stage_name for stage_name, _ in rows(stages)} == {"Schema Validation", "Data Quality"}
+    assert "rejects" not in staged
