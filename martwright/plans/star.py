@@ -9,15 +9,16 @@ rows. Both give the rows of the full join, also when lookup keys repeat.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, replace
 from functools import reduce
+from math import ceil, sqrt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martwright.operators.staging import broadcast_within, row_bytes
+from martwright.operators.staging import BROADCAST_BYTES, broadcast_within, row_bytes
 
 # Columns of the sales master, in order.
 ORDER_COLUMNS = (
@@ -59,6 +60,14 @@ PRODUCT_COLUMNS = {
     "price_per_product": "price_per_product",
 }
 
+# Lines are dealt to cells by both lookups' keys when neither lookup is small: so much of each, by the
+# bound of row_bytes, a cell's task holds in memory, and so many cells there are at most.
+CELL_BYTES = 256 * 1024 * 1024
+MOST_CELLS = 1024
+CELL = "__cell"
+# Key types whose equal values have equal hashes.
+DEALT_TYPES = (T.StringType(), T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType(), T.DateType())
+
 
 @dataclass(frozen=True)
 class Lookup:
@@ -169,13 +178,61 @@ def sales_master(source: Star, measure: bool = True) -> DataFrame:
     """Every order line, with its customer and product where known (left joins).
 
     Measured lookups are broadcast when small, which spares shuffling the
-    lines; otherwise both joins shuffle and adaptive execution splits hot keys.
+    lines. Two large ones with unique keys are joined cell by cell, after one
+    shuffle of the narrow lines; otherwise both joins shuffle, the second one lines with the first
+    one's columns, and adaptive execution splits hot keys.
     """
     joined = source.orders
     lookups = source.lookups
     if measure:
         lookups = measured([(lookup, list(lookup.columns)) for lookup in lookups])
-    for lookup in lookups:
-        joined = joined.join(lookup.lend(list(lookup.columns)), lookup.key, "left")
+    if grid := _grid(joined, *lookups):
+        joined = _joined_by_cell(joined, *lookups, *grid)
+    else:
+        for lookup in lookups:
+            joined = joined.join(lookup.lend(list(lookup.columns)), lookup.key, "left")
     facts = [master_profit() if name == "profit" else F.col(name) for name in ORDER_COLUMNS]
     return joined.select(*facts, *CUSTOMER_COLUMNS, *PRODUCT_COLUMNS)
+
+
+def _grid(lines: DataFrame, first: Lookup, second: Lookup) -> tuple[int, int] | None:
+    """Parts of each lookup's keys, if its rows and the lines are to be dealt to cells.
+
+    A part of a lookup goes to all cells in its row, or column, of the grid; the numbers
+    are chosen so that these copies are few.
+    """
+    for lookup in (first, second):
+        if not lookup.unique or lookup.bytes is None or lookup.bytes <= BROADCAST_BYTES:
+            return None
+        kind = lines.schema[lookup.key].dataType
+        if kind not in DEALT_TYPES or kind != lookup.frame.schema[lookup.key].dataType:
+            return None
+    least = [ceil(lookup.bytes / CELL_BYTES) for lookup in (first, second)]
+    cells = max(least[0] * least[1], 2 * lines.sparkSession.sparkContext.defaultParallelism)
+    across = max(least[0], round(sqrt(cells * first.bytes / second.bytes)))
+    down = max(least[1], round(cells / across))
+    return (across, down) if across * down <= MOST_CELLS else None
+
+
+def _joined_by_cell(lines: DataFrame, first: Lookup, second: Lookup, across: int, down: int) -> DataFrame:
+    """Both left joins after one shuffle: a line lies in one cell, with the parts of both lookups that its keys can be in."""
+    cells = across * down
+
+    def part(key: str, parts: int) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
+
+    def dealt(lookup: Lookup, parts: int, others: int, cell: Callable[[Column, Column], Column]) -> DataFrame:
+        rows = lookup.rows(list(lookup.columns)).filter(F.col(lookup.key).isNotNull())
+        copies = rows.withColumn("__other", F.explode(F.sequence(F.lit(0), F.lit(others - 1))))
+        placed = copies.withColumn(CELL, cell(part(lookup.key, parts), F.col("__other"))).drop("__other")
+        return placed.repartitionById(cells, CELL).hint("shuffle_hash")
+
+    def line_part(key: str, parts: int) -> Column:
+        # A NULL key matches nothing; such lines are dealt by their own ids.
+        own = F.pmod(F.xxhash64("row_id", "order_id", F.lit(key)), F.lit(parts)).cast("int")
+        return F.when(F.col(key).isNull(), own).otherwise(part(key, parts))
+
+    placed = lines.withColumn(CELL, line_part(first.key, across) * down + line_part(second.key, down))
+    joined = placed.repartitionById(cells, CELL)
+    joined = joined.join(dealt(first, across, down, lambda own, other: own * down + other), [CELL, first.key], "left")
+    return joined.join(dealt(second, down, across, lambda own, other: other * down + own), [CELL, second.key], "left")

@@ -117,6 +117,41 @@ def joins(df):
     return df._jdf.queryExecution().optimizedPlan().toString().count("Join")
 
 
+def by_cell(monkeypatch, settings):
+    """No lookup is small, and a cell holds little of each."""
+    monkeypatch.setattr("martwright.plans.star.BROADCAST_BYTES", 0)
+    monkeypatch.setattr("martwright.plans.star.CELL_BYTES", 1000)
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+
+
+def test_large_lookups_are_joined_after_one_shuffle_of_the_lines(spark, rows, settings, monkeypatch):
+    source = random_star(spark, 7, False, hot=0.5)
+    expected = rows(sales_master(source, measure=False))
+    by_cell(monkeypatch, settings)
+    monkeypatch.setattr("martwright.operators.staging.broadcast_within.__defaults__", (0,))
+    master = sales_master(source)
+    plan = master._jdf.queryExecution().executedPlan().toString()
+    # The lines and both lookups, once each; lines with a customer's columns are not shuffled.
+    assert plan.count("Exchange") == 3
+    assert rows(master) == expected
+
+
+@pytest.mark.parametrize("change", ["repeated keys", "another key type", "many cells"])
+def test_lookups_that_cells_do_not_suit(spark, rows, settings, monkeypatch, change):
+    source = random_star(spark, 9, change == "repeated keys")
+    if change == "another key type":
+        people = source.customers.frame.withColumn("customer_id", F.regexp_replace("customer_id", "C", "").cast("int"))
+        lines = source.orders.withColumn("customer_id", F.regexp_replace("customer_id", "C", "0"))
+        source = star(lines, people, source.products.frame)
+    expected = rows(sales_master(source, measure=False))
+    by_cell(monkeypatch, settings)
+    if change == "many cells":
+        monkeypatch.setattr("martwright.plans.star.MOST_CELLS", 1)
+    master = sales_master(source)
+    assert "__cell" not in master._jdf.queryExecution().toString()
+    assert rows(master) == expected
+
+
 def test_unused_lookups_are_not_joined(spark):
     source = random_star(spark, 2, False)
     assert joins(over_star(source, REPORTS["profit_by_year"])) == 0
