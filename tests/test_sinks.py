@@ -281,3 +281,12 @@ def test_columns_of_many_ids_give_their_dictionary_up(spark, database):
     ((path,),) = spark.table(name).select("_metadata.file_path").distinct().collect()
     columns = pq.ParquetFile(path.removeprefix("file:")).metadata.row_group(0)
     assert ["PLAIN" in columns.column(k).encodings for k in (0, 1)] == [True, False]
+
+
+@pytest.mark.parametrize("mode", ["overwrite", "append", "merge"])
+def test_tables_are_packed_with_zstd(spark, database, mode):
+    name = f"{spark.catalog.currentCatalog()}.{database}.t"
+    write_table(frame(spark, [(1, "a")]), name, "overwrite")
+    write_table(frame(spark, [(2, "b")]), name, mode, merge_keys=["k"])
+    paths = [path for (path,) in spark.table(name).select("_metadata.file_path").distinct().collect()]
+    assert {pq.ParquetFile(p.removeprefix("file:")).metadata.row_group(0).column(1).compression for p in paths} == {"ZSTD"}
