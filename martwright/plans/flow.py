@@ -5,7 +5,8 @@ Within a stage the sources' jobs are submitted side by side, so a small source
 does not leave the cluster idle. One bad source does not stop the others;
 ``run_all`` stops at the first stage that is not a full success. Rows read,
 written and rejected are observed during the writes, not by jobs of their own;
-rows by file are counted in bronze, once after a source's last load.
+rows by file are counted in bronze, once after a source's last load. A query's
+shuffle files are deleted when it ends, not when the driver happens to collect garbage.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import date, datetime, timedelta
-from functools import reduce
+from functools import reduce, wraps
 from itertools import batched
 from threading import Lock
 from urllib.parse import unquote, urlsplit
@@ -70,12 +71,15 @@ from martwright.sources.tables import full_name, read_table
 # Statuses in results and run log.
 SUCCESS, PARTIAL, FAILED = "SUCCESS", "PARTIAL_SUCCESS", "FAILED"
 
-# Sources, or marts, whose jobs run side by side.
+# Sources whose jobs run side by side.
 SIDE_BY_SIDE = 4
 
 # Ledger lines that a source may have for each file before they are compacted.
 LINES_PER_FILE = 2
 
+# Set within the stages only, and then set back.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 # Paths one scan names; a larger delivery is loaded by several scans.
 FILES_PER_SCAN = 20_000
 
@@ -142,6 +146,28 @@ def counted_write(df: DataFrame, name: str, mode: str, keys: list[str] | None =
     return seen.get["rows"]
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Queries begun in this block delete their shuffle files at their end."""
+    before = spark.conf.get(FREE_SHUFFLES)
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(FREE_SHUFFLES, before)
+
+
+def _freeing(run: Callable[[Flow], dict]) -> Callable[[Flow], dict]:
+    """A stage under ``shuffles_freed``."""
+
+    @wraps(run)
+    def freed(flow: Flow) -> dict:
+        with shuffles_freed(flow.spark):
+            return run(flow)
+
+    return freed
+
+
 def _side_by_side[T, R](work: Callable[[T], R], items: Iterable[T]) -> list[R]:
     with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
         return list(pool.map(work, items))
@@ -177,6 +203,7 @@ def _summary(stage_name: str, flow: Flow, entries: list[RunEntry], none_is_faile
 # --- files to bronze -------------------------------------------------------
 
 
+@_freeing
 def ingest(flow: Flow) -> dict:
     """New files of every source to its bronze table, each file once."""
     loads = _side_by_side(lambda source: _ingest_source(flow, source), flow.sources())
@@ -369,6 +396,7 @@ def _rows_per_file(flow: Flow, source: Row, since: date) -> dict[str, int]:
 # --- bronze to validated ---------------------------------------------------
 
 
+@_freeing
 def validate(flow: Flow) -> dict:
     """Typed, complete rows of every source to its validated table; the rest to the reject log."""
 
@@ -509,6 +537,7 @@ def _log_rejects(
 # --- validated to checked --------------------------------------------------
 
 
+@_freeing
 def check(flow: Flow) -> dict:
     """Rows that pass the source's rules to its checked table, the others to its rejected table."""
 
@@ -550,6 +579,7 @@ def _check_source(flow: Flow, source: Row, entry: RunEntry) -> None:
 # --- checked to enriched ---------------------------------------------------
 
 
+@_freeing
 def enrich_all(flow: Flow) -> dict:
     """Derived columns; a source without enrich_table is left as it is."""
 
@@ -598,8 +628,12 @@ def build_gold(flow: Flow) -> dict[str, DataFrame]:
     return {f"{flow.gold_schema}.{name}": df for name, df in {"sales_master": master, **marts}.items()}
 
 
+@_freeing
 def gold(flow: Flow) -> dict:
-    """Write the sales master, then every mart from the written master: no join runs twice."""
+    """Write the sales master, then every mart from the written master: no join runs twice.
+
+    Marts in turn: each reads the whole master and fills the cluster by itself, and only one's shuffle is on disk.
+    """
 
     def write(name: str, build: Callable[[], DataFrame]) -> RunEntry:
         target = f"{flow.gold_schema}.{name}"
@@ -616,7 +650,7 @@ def gold(flow: Flow) -> dict:
 
     entries = [write("sales_master", lambda: _master(flow))]
     if entries[0].status == SUCCESS:
-        entries += _side_by_side(write_mart, MARTS)
+        entries += [write_mart(name) for name in MARTS]
     flow.log(entries)
     result = _summary("gold", flow, entries, none_is_failed=True)
     return result | {"status": FAILED if result["failed_tables"] else SUCCESS}

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+import time
 from datetime import date
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -626,3 +628,27 @@ def test_rejects_are_written_once(flow, spark, rows, monkeypatch):
     stages = table(flow, "rejected_records").groupBy("pipeline_stage").count()
     assert {stage_name for stage_name, _ in rows(stages)} == {"Schema Validation", "Data Quality"}
     assert "rejects" not in staged
+
+
+def test_stages_leave_no_shuffle_files(flow, spark):
+    disks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    folders = [Path(folder.getPath()) for folder in disks]
+
+    def shuffle_files():
+        return {path for folder in folders for path in folder.rglob("shuffle_*.data")}
+
+    setting, before = spark.conf.get(flow_module.FREE_SHUFFLES), shuffle_files()
+    run_all(flow)
+    until = time.monotonic() + 20  # they are deleted in the background
+    while (left := shuffle_files() - before) and time.monotonic() < until:
+        time.sleep(0.2)
+    assert not left
+    assert spark.conf.get(flow_module.FREE_SHUFFLES) == setting
+
+
+def test_setting_is_restored_after_a_failure(spark):
+    setting = spark.conf.get(flow_module.FREE_SHUFFLES)
+    with pytest.raises(RuntimeError), flow_module.shuffles_freed(spark):
+        assert spark.conf.get(flow_module.FREE_SHUFFLES) == "true"
+        raise RuntimeError
+    assert spark.conf.get(flow_module.FREE_SHUFFLES) == setting
