@@ -5,8 +5,8 @@ Within a stage the sources' jobs are submitted side by side, so a small source
 does not leave the cluster idle. One bad source does not stop the others;
 ``run_all`` stops at the first stage that is not a full success. Rows read,
 written and rejected are observed during the writes, not by jobs of their own;
-rows by file are counted in bronze, once after a source's last load. A query's
-shuffle files are deleted when it ends, not when the driver happens to collect garbage.
+rows by file are counted in bronze, once after a source's last load. Stages that
+shuffle whole tables have the driver collect garbage, so that shuffle files do not pile up.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import date, datetime, timedelta
-from functools import reduce, wraps
+from functools import reduce
 from itertools import batched
 from threading import Lock
 from urllib.parse import unquote, urlsplit
@@ -77,9 +77,6 @@ SIDE_BY_SIDE = 4
 # Ledger lines that a source may have for each file before they are compacted.
 LINES_PER_FILE = 2
 
-# Set within the stages only, and then set back.
-FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
 # Paths one scan names; a larger delivery is loaded by several scans.
 FILES_PER_SCAN = 20_000
 
@@ -146,26 +143,12 @@ def counted_write(df: DataFrame, name: str, mode: str, keys: list[str] | None =
     return seen.get["rows"]
 
 
-@contextmanager
-def shuffles_freed(spark: SparkSession) -> Iterator[None]:
-    """Queries begun in this block delete their shuffle files at their end."""
-    before = spark.conf.get(FREE_SHUFFLES)
-    spark.conf.set(FREE_SHUFFLES, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(FREE_SHUFFLES, before)
-
+def free_shuffles(spark: SparkSession) -> None:
+    """Delete the shuffle files of queries that are done.
 
-def _freeing(run: Callable[[Flow], dict]) -> Callable[[Flow], dict]:
-    """A stage under ``shuffles_freed``."""
-
-    @wraps(run)
-    def freed(flow: Flow) -> dict:
-        with shuffles_freed(flow.spark):
-            return run(flow)
-
-    return freed
+    Spark deletes them once their frames are garbage, which a driver with little to do seldom collects.
+    """
+    spark.sparkContext._jvm.System.gc()
 
 
 def _side_by_side[T, R](work: Callable[[T], R], items: Iterable[T]) -> list[R]:
@@ -203,7 +186,6 @@ def _summary(stage_name: str, flow: Flow, entries: list[RunEntry], none_is_faile
 # --- files to bronze -------------------------------------------------------
 
 
-@_freeing
 def ingest(flow: Flow) -> dict:
     """New files of every source to its bronze table, each file once."""
     loads = _side_by_side(lambda source: _ingest_source(flow, source), flow.sources())
@@ -396,7 +378,6 @@ def _rows_per_file(flow: Flow, source: Row, since: date) -> dict[str, int]:
 # --- bronze to validated ---------------------------------------------------
 
 
-@_freeing
 def validate(flow: Flow) -> dict:
     """Typed, complete rows of every source to its validated table; the rest to the reject log."""
 
@@ -537,7 +518,6 @@ def _log_rejects(
 # --- validated to checked --------------------------------------------------
 
 
-@_freeing
 def check(flow: Flow) -> dict:
     """Rows that pass the source's rules to its checked table, the others to its rejected table."""
 
@@ -551,6 +531,7 @@ def check(flow: Flow) -> dict:
         return _attempt(entry, lambda e: _check_source(flow, source, e))
 
     entries = _side_by_side(run, flow.sources())
+    free_shuffles(flow.spark)
     flow.log(entries)
     return _summary("data_quality", flow, entries, none_is_failed=True)
 
@@ -579,7 +560,6 @@ def _check_source(flow: Flow, source: Row, entry: RunEntry) -> None:
 # --- checked to enriched ---------------------------------------------------
 
 
-@_freeing
 def enrich_all(flow: Flow) -> dict:
     """Derived columns; a source without enrich_table is left as it is."""
 
@@ -628,7 +608,6 @@ def build_gold(flow: Flow) -> dict[str, DataFrame]:
     return {f"{flow.gold_schema}.{name}": df for name, df in {"sales_master": master, **marts}.items()}
 
 
-@_freeing
 def gold(flow: Flow) -> dict:
     """Write the sales master, then every mart from the written master: no join runs twice.
 
@@ -642,7 +621,9 @@ def gold(flow: Flow) -> dict:
         def work(e: RunEntry) -> None:
             e.records_written = counted_write(build(), target, "overwrite")
 
-        return _attempt(entry, work)
+        done = _attempt(entry, work)
+        free_shuffles(flow.spark)
+        return done
 
     def write_mart(name: str) -> RunEntry:
         master = read_table(flow.spark, f"{flow.gold_schema}.sales_master")

@@ -630,25 +630,25 @@ def test_rejects_are_written_once(flow, spark, rows, monkeypatch):
     assert "rejects" not in staged
 
 
-def test_stages_leave_no_shuffle_files(flow, spark):
+def test_shuffle_files_of_done_queries_are_deleted(flow, spark, monkeypatch):
     disks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
     folders = [Path(folder.getPath()) for folder in disks]
 
     def shuffle_files():
         return {path for folder in folders for path in folder.rglob("shuffle_*.data")}
 
-    setting, before = spark.conf.get(flow_module.FREE_SHUFFLES), shuffle_files()
-    run_all(flow)
+    before = shuffle_files()
+    spark.range(1000).repartition(3).write.format("noop").mode("overwrite").save()
+    made = shuffle_files() - before
+    for _ in range(3):  # the last query's are still held
+        spark.range(1000).repartition(3).write.format("noop").mode("overwrite").save()
+    flow_module.free_shuffles(spark)
     until = time.monotonic() + 20  # they are deleted in the background
-    while (left := shuffle_files() - before) and time.monotonic() < until:
+    while made & shuffle_files() and time.monotonic() < until:
         time.sleep(0.2)
-    assert not left
-    assert spark.conf.get(flow_module.FREE_SHUFFLES) == setting
-
+    assert made and not made & shuffle_files()
 
-def test_setting_is_restored_after_a_failure(spark):
-    setting = spark.conf.get(flow_module.FREE_SHUFFLES)
-    with pytest.raises(RuntimeError), flow_module.shuffles_freed(spark):
-        assert spark.conf.get(flow_module.FREE_SHUFFLES) == "true"
-        raise RuntimeError
-    assert spark.conf.get(flow_module.FREE_SHUFFLES) == setting
+    freed = []
+    monkeypatch.setattr(flow_module, "free_shuffles", freed.append)
+    run_all(flow)
+    assert len(freed) == 1 + 1 + len(flow_module.MARTS)  # after the check, the master and each mart

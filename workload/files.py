@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from martwright.functions.lineage import scanned_file_name, stringify
 from martwright.operators.staging import PARQUET_OPTIONS
 from martwright.operators.typing import Field, typed_split
-from martwright.plans.flow import Flow, ingest, run_all, shuffles_freed, validate
+from martwright.plans.flow import Flow, free_shuffles, ingest, run_all, validate
 from martwright.plans.marts import run_report
 from martwright.plans.star import sales_master
 from martwright.session import work_dir
@@ -428,8 +428,9 @@ def flow_over(spark: SparkSession, sf_dir: str, absent: str | None = None) -> Fl
             ),
         }
     )
-    with shuffles_freed(spark):
-        typed.write.options(**PARQUET_OPTIONS).parquet(lines)
+    typed.write.options(**PARQUET_OPTIONS).parquet(lines)
+    del typed
+    free_shuffles(spark)
     config = []
     for source, path, kind in (
         ("customer", people, "csv"),
